@@ -99,16 +99,17 @@ def with_range_bucket(df: DataFrame, order: Order, seed: int = 17) -> tuple[Data
     thousand values to the driver, independent of the data size)."""
     spark = df.sparkSession
     numeric = len(order) == 1 and isinstance(df.schema[order[0][0]].dataType, T.NumericType)
-    n = df.count()
-    cap = MAX_NUMERIC_BUCKETS if numeric else MAX_TREE_BUCKETS
-    buckets = _target_buckets(spark, n, cap)
-    if buckets <= 1:
-        return df.withColumn(BUCKET, F.lit(0)), 1
     if numeric:
+        # one pass: row count and boundaries for the target bucket count
         c, asc = order[0]
-        probs = [i / buckets for i in range(1, buckets)]
-        acc = max(10_000, 4 * buckets)
-        row = df.agg(F.percentile_approx(F.col(c).cast("double"), probs, acc).alias("q")).first()
+        target = _target_buckets(spark, 10**18, MAX_NUMERIC_BUCKETS)
+        probs = [i / target for i in range(1, target)] or [0.5]
+        acc = max(10_000, 4 * target)
+        row = df.agg(F.count(F.lit(1)).alias("n"),
+                     F.percentile_approx(F.col(c).cast("double"), probs, acc).alias("q")).first()
+        n = row["n"]
+        if _target_buckets(spark, n, MAX_NUMERIC_BUCKETS) <= 1:
+            return df.withColumn(BUCKET, F.lit(0)), 1
         bounds = sorted({float(v) for v in (row["q"] or []) if v is not None and not math.isnan(v)})
         splits = [-math.inf] + bounds + [math.inf]
         nb = len(splits) - 1
@@ -122,6 +123,10 @@ def with_range_bucket(df: DataFrame, order: Order, seed: int = 17) -> tuple[Data
         out = out.withColumn(BUCKET, F.when(F.col(c).isNull(), F.lit(null_bucket)).otherwise(idx)) \
                  .drop(tmp, BUCKET + "_d")
         return out, nb + 1
+    n = df.count()
+    buckets = _target_buckets(spark, n, MAX_TREE_BUCKETS)
+    if buckets <= 1:
+        return df.withColumn(BUCKET, F.lit(0)), 1
     fraction = min(1.0, 20.0 * buckets / max(n, 1))
     cols = [c for c, _ in order]
     sample = df.select(*cols).sample(fraction=fraction, seed=seed).orderBy(*sort_exprs(order)).collect()

@@ -15,14 +15,14 @@ from ..operators import (DistinctEquals, InSetOf, LengthBetween, NotNull, Unique
                          incident_counts, latest_per_key, season_totals, standings, top_k,
                          upsert, upsert_with_key)
 from ..session import scratch_path
-from ..sources import flatten_json, full_refresh, incremental_extract, load_or_upsert, pack_json, read, register, save
+from ..sources import scan, flatten_json, full_refresh, incremental_extract, load_or_upsert, pack_json, read, register, save
 from .star import RACE_TIME, StarPipeline, dirty
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return scan(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _fresh_table(spark: SparkSession, name: str) -> str:

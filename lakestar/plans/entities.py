@@ -13,12 +13,12 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import types as T
 
 from ..functions import assemble_datetimes, rename, sentinel_to_null, try_cast_columns
 from ..operators import check, dense_keys, latest_per_key
-from ..operators.quality import Expectation
+from ..operators.quality import Expectation, ExpectationError, observed_metrics
 from ..sources import RAW_COL, flatten_json, load_or_upsert
 
 
@@ -75,11 +75,31 @@ def refine(flat: DataFrame, spec: EntitySpec) -> DataFrame:
 def silver_frame(raw: DataFrame, spec: EntitySpec, run_gate: bool = True,
                  extra_rules: Sequence[Expectation] = ()) -> DataFrame:
     """The silver table as of a first load: refined rows with surrogate keys
-    numbered in natural-key order."""
+    numbered in natural-key order.
+
+    One scan of the raw rows does three things: row-level rules are
+    *observed* on the parsed rows, duplicates are reduced to the latest
+    version, and the refined result is checkpointed to the shared checkpoint
+    folder (lineage cut; the key passes then read the small refined copy,
+    not the raw JSON again).  Set-level rules run as their own joins.  The
+    gate raises before anything is returned or written."""
     flat = flatten(raw, spec)
-    if run_gate:
-        gate(flat, spec, extra_rules)
-    df = refine(flat, spec)
+    rules = list(spec.rules) + list(spec.set_rules(flat) if spec.set_rules else []) + list(extra_rules)
+    row_rules = [r for r in rules if r.row_level] if run_gate else []
+    set_rules = [r for r in rules if not r.row_level] if run_gate else []
+    observation = None
+    if row_rules:
+        observation = Observation(f"gate_{spec.name}")
+        metrics, finish = observed_metrics(row_rules)
+        flat = flat.observe(observation, *metrics)
+    df = refine(flat, spec).checkpoint(eager=True)
+    if observation is not None:
+        report = finish(observation.get)
+        failed = [r for r in report if not r["success"]]
+        if failed:
+            raise ExpectationError(failed)
+    if set_rules:
+        check(flatten(raw, spec), set_rules)
     if spec.key_col:
         df = dense_keys(df, spec.key_order, spec.key_col)
         df = df.select(spec.key_col, *[c for c in df.columns if c != spec.key_col])

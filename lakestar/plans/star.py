@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 from ..functions import NULL_SENTINEL, join_text, rename, to_day
 from ..operators import (DistinctEquals, InSetOf, NotNull, attach_dimensions, join_dimension,
                          lookup_keys, union_tagged)
-from ..sources import pack_json
+from ..sources import pack_json, scan
 from .entities import EntitySpec, silver_frame
 
 # Fixed values of the raw rule.
@@ -149,7 +149,7 @@ class StarPipeline:
         self.run_gates = run_gates
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return scan(self.spark, f"{self.sf_dir}/{name}.parquet")
 
     # ---- raw (bronze) tables ------------------------------------------
     @cached_property

@@ -2,12 +2,13 @@
 versioned table store behind the name registry."""
 
 from .raw import RAW_COL, flatten_json, pack_json
+from .scan import scan
 from .extract import full_refresh, incremental_extract, jdbc_source
 from .catalog import (TableStore, ensure_table, load_or_upsert, read, register,
                       save, sql_with_registry, table_exists)
 
 __all__ = [
-    "RAW_COL", "flatten_json", "pack_json", "full_refresh", "incremental_extract",
+    "RAW_COL", "scan", "flatten_json", "pack_json", "full_refresh", "incremental_extract",
     "jdbc_source", "TableStore", "ensure_table", "load_or_upsert", "read", "register",
     "save", "sql_with_registry", "table_exists",
 ]
