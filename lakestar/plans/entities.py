@@ -14,6 +14,7 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import assemble_datetimes, rename, sentinel_to_null, try_cast_columns
@@ -44,8 +45,16 @@ class EntitySpec:
         return [self.renames.get(k, k) for k in self.natural_key]
 
 
+RAW_HASH = "_raw_hash"
+
+
 def flatten(raw: DataFrame, spec: EntitySpec, payload_col: str = RAW_COL) -> DataFrame:
-    return flatten_json(raw, spec.raw_schema, payload_col)
+    """Parse the payload; keep a 64-bit hash of the raw text as the final
+    tie-breaker of the latest-version order (D7: two versions with the same
+    ``updated_at`` resolve the same way on every run, whatever the input
+    order; equal hashes mean identical text)."""
+    return flatten_json(raw.withColumn(RAW_HASH, F.xxhash64(payload_col)), spec.raw_schema,
+                        payload_col, keep=[RAW_HASH])
 
 
 def gate(flat: DataFrame, spec: EntitySpec, extra: Sequence[Expectation] = ()) -> list[dict]:
@@ -56,7 +65,8 @@ def gate(flat: DataFrame, spec: EntitySpec, extra: Sequence[Expectation] = ()) -
 
 def refine(flat: DataFrame, spec: EntitySpec) -> DataFrame:
     """Latest version per key, then clean, type, rename and project."""
-    df = latest_per_key(flat, list(spec.natural_key), [spec.cursor], list(spec.tiebreak))
+    tiebreak = list(spec.tiebreak) + ([RAW_HASH] if RAW_HASH in flat.columns else [])
+    df = latest_per_key(flat, list(spec.natural_key), [spec.cursor], tiebreak)
     if spec.after_dedup is not None:
         df = spec.after_dedup(df)
     if spec.sentinel_cols:
@@ -69,20 +79,19 @@ def refine(flat: DataFrame, spec: EntitySpec) -> DataFrame:
         df = rename(df, spec.renames)
     if spec.columns is not None:
         df = df.select(*spec.columns)
-    return df
+    return df.drop(RAW_HASH)
 
 
-def silver_frame(raw: DataFrame, spec: EntitySpec, run_gate: bool = True,
-                 extra_rules: Sequence[Expectation] = ()) -> DataFrame:
-    """The silver table as of a first load: refined rows with surrogate keys
-    numbered in natural-key order.
+def prepare(raw: DataFrame, spec: EntitySpec, run_gate: bool = True,
+            extra_rules: Sequence[Expectation] = ()) -> DataFrame:
+    """Gate and refine the raw rows; the result is checkpointed.
 
     One scan of the raw rows does three things: row-level rules are
     *observed* on the parsed rows, duplicates are reduced to the latest
     version, and the refined result is checkpointed to the shared checkpoint
-    folder (lineage cut; the key passes then read the small refined copy,
-    not the raw JSON again).  Set-level rules run as their own joins.  The
-    gate raises before anything is returned or written."""
+    folder (lineage cut: later passes read the refined copy, not the raw
+    JSON again).  Set-level rules run as their own joins.  The gate raises
+    before anything is returned, so nothing unchecked is ever published."""
     flat = flatten(raw, spec)
     rules = list(spec.rules) + list(spec.set_rules(flat) if spec.set_rules else []) + list(extra_rules)
     row_rules = [r for r in rules if r.row_level] if run_gate else []
@@ -100,6 +109,14 @@ def silver_frame(raw: DataFrame, spec: EntitySpec, run_gate: bool = True,
             raise ExpectationError(failed)
     if set_rules:
         check(flatten(raw, spec), set_rules)
+    return df
+
+
+def silver_frame(raw: DataFrame, spec: EntitySpec, run_gate: bool = True,
+                 extra_rules: Sequence[Expectation] = ()) -> DataFrame:
+    """The silver table as of a first load: refined rows with surrogate keys
+    numbered in natural-key order (key column first)."""
+    df = prepare(raw, spec, run_gate, extra_rules)
     if spec.key_col:
         df = dense_keys(df, spec.key_order, spec.key_col)
         df = df.select(spec.key_col, *[c for c in df.columns if c != spec.key_col])
@@ -107,11 +124,9 @@ def silver_frame(raw: DataFrame, spec: EntitySpec, run_gate: bool = True,
 
 
 def silver_job(raw: DataFrame, spec: EntitySpec, table: str | None = None,
-               run_gate: bool = True) -> DataFrame:
-    """One refresh of a silver table: gate, refine, then create on first
-    load or upsert keeping surrogate keys (S10 + M4)."""
-    flat = flatten(raw, spec)
-    if run_gate:
-        gate(flat, spec)
-    df = refine(flat, spec)
+               run_gate: bool = True, extra_rules: Sequence[Expectation] = ()) -> DataFrame:
+    """One refresh of a silver table: gate and refine, then create on the
+    first load or upsert keeping surrogate keys (S10 + M4).  Returns the
+    published table."""
+    df = prepare(raw, spec, run_gate, extra_rules)
     return load_or_upsert(df, table or spec.name, spec.key_order, key_col=spec.key_col)

@@ -184,7 +184,10 @@ def load_or_upsert(df: DataFrame, name: str, keys: Sequence[str],
 
     spark = df.sparkSession
     if not table_exists(spark, name):
-        out = dense_keys(df, list(keys), key_col) if key_col else df
+        out = df
+        if key_col:
+            out = dense_keys(df, list(keys), key_col)
+            out = out.select(key_col, *[c for c in out.columns if c != key_col])
         save(out, name, mode="overwrite", schema=schema, sort_by=list(keys),
              expectations=expectations)
     else:
