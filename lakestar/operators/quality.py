@@ -46,6 +46,16 @@ class Expectation:
     def bad(self) -> Column:  # row-level rules only
         raise NotImplementedError
 
+    def metric(self) -> Column:
+        """Aggregate giving ``n_bad`` in one pass (row-level rules)."""
+        return F.count_if(self.bad())
+
+    def observable(self) -> "Expectation | None":
+        """A single-pass (aggregate-only) equivalent, or None if the rule
+        needs a join.  Used to check rules while the data streams through
+        another job instead of scanning it again."""
+        return self if self.row_level else None
+
     def evaluate(self, df: DataFrame) -> DataFrame:
         """Set-level rules: a one-row frame ``(n_rows, n_bad)``."""
         raise NotImplementedError
@@ -115,6 +125,30 @@ class DistinctEquals(Expectation):
         return both.agg(F.count_if(F.col("_seen").isNotNull()).alias("n_rows"),
                         F.count_if(F.col("_seen").isNull() | F.col("_exp").isNull()).alias("n_bad"))
 
+    def observable(self) -> "Expectation":
+        return _ObservedDistinctEquals(self.column, self.values)
+
+
+class _ObservedDistinctEquals(Expectation):
+    """DistinctEquals as one aggregate: rows outside the set, plus expected
+    values never seen.  The collected set only ever holds expected values,
+    so its size is bounded by the rule itself.  ``n_bad`` counts offending
+    rows (not distinct values); it is zero exactly when the rule holds."""
+    row_level = True
+
+    def __init__(self, column: str, values: tuple):
+        self.column, self.values = column, tuple(values)
+        self.rule_name = "distinct_equals"
+
+    def bad(self) -> Column:
+        c = F.col(self.column)
+        return c.isNotNull() & ~c.isin(list(self.values))
+
+    def metric(self) -> Column:
+        c = F.col(self.column)
+        seen = F.size(F.collect_set(F.when(c.isin(list(self.values)), c)))
+        return F.count_if(self.bad()) + (F.lit(len(set(self.values))) - seen)
+
 
 class InSetOf(Expectation):
     """Every non-NULL value appears in ``other[other_column]``
@@ -127,6 +161,16 @@ class InSetOf(Expectation):
         self.column, self.other, self.other_column = column, other, other_column or column
         self.rule_name = "in_set_of"
 
+    def observable(self, max_values: int = 10_000) -> "Expectation | None":
+        """When the referenced side has at most ``max_values`` distinct
+        values (checked with a count first), check membership against them
+        as a literal set in the same pass; beyond that keep the join."""
+        ref = self.other.select(F.col(self.other_column).alias("_ref")).where(F.col("_ref").isNotNull()).distinct()
+        values = [r["_ref"] for r in ref.limit(max_values + 1).collect()]  # bounded
+        if len(values) > max_values:
+            return None
+        return _ObservedInSet(self.column, values)
+
     def evaluate(self, df: DataFrame) -> DataFrame:
         ref = self.other.select(F.col(self.other_column).alias("_ref")).distinct() \
                   .withColumn("_hit", F.lit(True))
@@ -135,6 +179,18 @@ class InSetOf(Expectation):
                      F.count_if(F.col("_ref").isNotNull() & F.col("_hit").isNull()).alias("n_bad"))
 
 
+class _ObservedInSet(Expectation):
+    row_level = True
+
+    def __init__(self, column: str, values: list):
+        self.column, self.values = column, values
+        self.rule_name = "in_set_of"
+
+    def bad(self) -> Column:
+        c = F.col(self.column)
+        return c.isNotNull() & ~c.isin(self.values)
+
+
 class Unique(Expectation):
     """No two rows share the key; ``n_bad`` = number of duplicated keys."""
     columns: tuple = ()
@@ -152,7 +208,7 @@ class Unique(Expectation):
 
 def _row_level_frame(df: DataFrame, rules: Sequence[Expectation]) -> DataFrame:
     aggs = [F.count(F.lit(1)).alias("n_rows")] + \
-           [F.count_if(r.bad()).alias(f"b{i}") for i, r in enumerate(rules)]
+           [r.metric().alias(f"b{i}") for i, r in enumerate(rules)]
     one = df.agg(*aggs)
     stack = ", ".join(f"'{r.rule_name}', '{r.column}', b{i}" for i, r in enumerate(rules))
     return one.selectExpr("n_rows", f"stack({len(rules)}, {stack}) as (rule_name, column, n_bad)")
@@ -199,7 +255,7 @@ def observed_metrics(expectations: Sequence[Expectation]) -> tuple[list[Column],
     if len(rows) != len(expectations):
         raise ValueError("only row-level expectations can be observed during a write")
     metrics = [F.count(F.lit(1)).alias("n_rows")] + \
-              [F.count_if(r.bad()).alias(f"b{i}") for i, r in enumerate(rows)]
+              [r.metric().cast("bigint").alias(f"b{i}") for i, r in enumerate(rows)]
 
     def finish(values: dict) -> list[dict]:
         return [{"rule_name": r.rule_name, "column": r.column, "n_rows": values["n_rows"],

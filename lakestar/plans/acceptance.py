@@ -189,7 +189,7 @@ def q_upsert_composite(spark, sf_dir):
 # ---- silver / star / report / questions (synthetic configuration) ----------------
 
 def _p(spark, sf_dir) -> StarPipeline:
-    return StarPipeline(spark, sf_dir)
+    return StarPipeline.shared(spark, sf_dir)
 
 
 def q_silver_circuit(spark, sf_dir):

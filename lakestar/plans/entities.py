@@ -94,8 +94,12 @@ def prepare(raw: DataFrame, spec: EntitySpec, run_gate: bool = True,
     before anything is returned, so nothing unchecked is ever published."""
     flat = flatten(raw, spec)
     rules = list(spec.rules) + list(spec.set_rules(flat) if spec.set_rules else []) + list(extra_rules)
-    row_rules = [r for r in rules if r.row_level] if run_gate else []
-    set_rules = [r for r in rules if not r.row_level] if run_gate else []
+    row_rules: list[Expectation] = []
+    set_rules: list[Expectation] = []
+    if run_gate:
+        for r in rules:
+            single_pass = r.observable()
+            (row_rules if single_pass is not None else set_rules).append(single_pass or r)
     observation = None
     if row_rules:
         observation = Observation(f"gate_{spec.name}")

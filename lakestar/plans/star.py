@@ -26,8 +26,8 @@ from pyspark.sql import types as T
 from ..functions import NULL_SENTINEL, join_text, rename, to_day
 from ..operators import (DistinctEquals, InSetOf, NotNull, attach_dimensions, join_dimension,
                          lookup_keys, union_tagged)
-from ..sources import pack_json, scan
-from .entities import EntitySpec, silver_frame
+from ..sources import load_or_upsert, pack_json, read, save, scan
+from .entities import EntitySpec, silver_frame, silver_job
 
 # Fixed values of the raw rule.
 FRESH_TS = "2024-01-02 00:00:00"
@@ -59,6 +59,16 @@ def raw_with_history(df: DataFrame, key: str, fields: dict[str, Column],
     return pack_json(fresh.unionByName(stale))
 
 
+def _fingerprint(spark: SparkSession, folder: str) -> tuple:
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return ()
+    return tuple(sorted((st.getPath().getName(), st.getLen(), st.getModificationTime())
+                        for st in fs.listStatus(path)))
+
+
 # ---- entity specs -------------------------------------------------------
 
 CIRCUIT = EntitySpec(
@@ -143,11 +153,24 @@ class StarPipeline:
     """Lazily built frames of the whole synthetic pipeline for one data
     folder.  Every frame is derived from the given tables by Spark."""
 
+    _shared: dict[tuple, "StarPipeline"] = {}
+
     def __init__(self, spark: SparkSession, sf_dir: str, run_gates: bool = True):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
         self.run_gates = run_gates
 
+    @classmethod
+    def shared(cls, spark: SparkSession, sf_dir: str) -> "StarPipeline":
+        """One pipeline per (application, data folder, folder contents):
+        queries of a session share the silver layer computed (and
+        checkpointed) once, as a dashboard shares the refreshed tables.  A
+        change of any source file (size or modification time) starts over."""
+        key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), _fingerprint(spark, sf_dir))
+        if key not in cls._shared:
+            cls._shared[key] = cls(spark, sf_dir)
+        return cls._shared[key]
+
     def table(self, name: str) -> DataFrame:
         return scan(self.spark, f"{self.sf_dir}/{name}.parquet")
 
@@ -312,3 +335,45 @@ class StarPipeline:
         return rep.select("result_key", "race_type", "race_year", "race_date", "circuit_name",
                           "circuit_country", "driver_fullname", "constructor_name", "status_name",
                           "position_order", "points")
+
+    # ---- C15: the whole run, publishing every layer --------------------------
+    SILVER = {"circuit": CIRCUIT, "driver": DRIVER, "constructor": CONSTRUCTOR, "race": RACE,
+              "race_result": RACE_RESULT, "sprint_result": SPRINT_RESULT, "status": STATUS}
+    GOLD_KEYS = {"dim_constructor": ["constructor_key"], "dim_driver": ["driver_key"],
+                 "dim_race": ["race_key"], "dim_status": ["status_key"],
+                 "fct_race_result": ["result_id"], "fct_sprint_result": ["result_id"]}
+
+    def publish(self, timer=None) -> dict[str, DataFrame]:
+        """Sync raw tables, refresh silver (upsert with keys), rebuild gold
+        and the report, each layer written as a published table and read
+        back by the next one.  ``timer(stage)`` is a context manager used to
+        time the stages."""
+        import contextlib
+        timer = timer or (lambda _stage: contextlib.nullcontext())
+        out: dict[str, DataFrame] = {}
+        with timer("sync_bronze"):
+            for entity in self.SILVER:
+                src = getattr(self, "raw_result" if entity.endswith("_result") else f"raw_{entity}")
+                name = "bronze_result" if entity.endswith("_result") else f"bronze_{entity}"
+                if name not in out:
+                    save(src, name, mode="overwrite")
+                    out[name] = read(self.spark, name)
+        with timer("silver"):
+            from ..sources import flatten_json
+            statuses = flatten_json(out["bronze_status"], STATUS.raw_schema)
+            for entity, spec in self.SILVER.items():
+                raw = out["bronze_result" if entity.endswith("_result") else f"bronze_{entity}"]
+                extra = [InSetOf("statusname", statuses, "statusname")] if entity.endswith("_result") else []
+                table = silver_job(raw, spec, run_gate=self.run_gates, extra_rules=extra)
+                self.__dict__[f"silver_{entity}"] = table
+                out[f"silver_{entity}"] = table
+        with timer("gold"):
+            for name, keys in self.GOLD_KEYS.items():
+                table = load_or_upsert(getattr(self, name), f"gold_{name}", keys)
+                self.__dict__[name] = table
+                out[f"gold_{name}"] = table
+        with timer("report"):
+            table = load_or_upsert(self.report, "gold_report_result", ["result_key", "race_type"])
+            self.__dict__["report"] = table
+            out["gold_report_result"] = table
+        return out

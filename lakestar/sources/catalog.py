@@ -185,10 +185,14 @@ def load_or_upsert(df: DataFrame, name: str, keys: Sequence[str],
     spark = df.sparkSession
     if not table_exists(spark, name):
         out = df
+        sort_by = list(keys)
         if key_col:
+            # the key window already clusters rows by key range and sorts
+            # them inside each partition: no second range shuffle needed
             out = dense_keys(df, list(keys), key_col)
             out = out.select(key_col, *[c for c in out.columns if c != key_col])
-        save(out, name, mode="overwrite", schema=schema, sort_by=list(keys),
+            sort_by = []
+        save(out, name, mode="overwrite", schema=schema, sort_by=sort_by,
              expectations=expectations)
     else:
         target = read(spark, name)
