@@ -81,15 +81,18 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
 
 
 def upsert_with_key(target: DataFrame, source: DataFrame, keys: Sequence[str], key_col: str,
-                    validate: bool = True) -> DataFrame:
+                    validate: bool = True, start: int | None = None) -> DataFrame:
     """M4: upsert that preserves surrogate keys.  Matched rows keep their
-    key, new natural keys get ``max(key) + 1, ...`` in natural-key order."""
+    key, new natural keys get ``max(key) + 1, ...`` in natural-key order
+    (``start`` overrides the first new key, e.g. when ``target`` is only
+    the touched part of a bucketed table)."""
     keys = list(keys)
     cols = target.columns
     data_cols = [c for c in cols if c != key_col]
     src = source.select(*data_cols).withColumn(key_col, F.lit(None).cast("bigint"))
     merged = upsert(target, src, keys, update_cols=data_cols, insert_cols=data_cols, validate=validate)
-    top = target.agg(F.max(key_col).alias("m")).first()["m"] or 0
+    if start is None:
+        start = (target.agg(F.max(key_col).alias("m")).first()["m"] or 0) + 1
     have = merged.where(F.col(key_col).isNotNull())
-    new = dense_keys(merged.where(F.col(key_col).isNull()).drop(key_col), keys, key_col, start=top + 1)
+    new = dense_keys(merged.where(F.col(key_col).isNull()).drop(key_col), keys, key_col, start=start)
     return have.unionByName(new.select(*cols))

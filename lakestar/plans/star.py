@@ -343,11 +343,13 @@ class StarPipeline:
                  "dim_race": ["race_key"], "dim_status": ["status_key"],
                  "fct_race_result": ["result_id"], "fct_sprint_result": ["result_id"]}
 
-    def publish(self, timer=None) -> dict[str, DataFrame]:
+    def publish(self, timer=None, num_buckets: int | None = None) -> dict[str, DataFrame]:
         """Sync raw tables, refresh silver (upsert with keys), rebuild gold
         and the report, each layer written as a published table and read
-        back by the next one.  ``timer(stage)`` is a context manager used to
-        time the stages."""
+        back by the next one.  Raw rows are stamped with ``_ingested_at`` and
+        silver tables are stored in key buckets, so a later refresh reads
+        only new raw rows and rewrites only touched buckets.  ``timer(stage)``
+        is a context manager used to time the stages."""
         import contextlib
         timer = timer or (lambda _stage: contextlib.nullcontext())
         out: dict[str, DataFrame] = {}
@@ -356,7 +358,7 @@ class StarPipeline:
                 src = getattr(self, "raw_result" if entity.endswith("_result") else f"raw_{entity}")
                 name = "bronze_result" if entity.endswith("_result") else f"bronze_{entity}"
                 if name not in out:
-                    save(src, name, mode="overwrite")
+                    save(src.withColumn("_ingested_at", F.current_timestamp()), name, mode="append")
                     out[name] = read(self.spark, name)
         with timer("silver"):
             from ..sources import flatten_json
@@ -364,7 +366,8 @@ class StarPipeline:
             for entity, spec in self.SILVER.items():
                 raw = out["bronze_result" if entity.endswith("_result") else f"bronze_{entity}"]
                 extra = [InSetOf("statusname", statuses, "statusname")] if entity.endswith("_result") else []
-                table = silver_job(raw, spec, run_gate=self.run_gates, extra_rules=extra)
+                table = silver_job(raw, spec, run_gate=self.run_gates, extra_rules=extra,
+                                   incremental=True, num_buckets=num_buckets)
                 self.__dict__[f"silver_{entity}"] = table
                 out[f"silver_{entity}"] = table
         with timer("gold"):

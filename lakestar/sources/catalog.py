@@ -10,7 +10,14 @@ the new version, never half of one.  Layout of a table root::
     <root>/v=00000003_snap/...               (overwrite / upsert result)
 
 The live table is the newest published ``snap`` plus every published
-``add`` after it.  Logical names map to roots through session conf keys
+``add`` after it.  A *bucketed* table (``bucket_by`` + ``num_buckets``)
+stores rows under ``_b=<pmod(xxhash64(keys), N)>`` folders; an upsert
+rewrites only the buckets its batch touches into a ``part`` version, and
+the live table takes, per bucket, the newest folder since the last snap::
+
+    <root>/v=00000004_part/_b=17/...  _b=503/...  _PUBLISHED
+
+so a small batch never rewrites the whole table.  Logical names map to roots through session conf keys
 ``lakestar.table.<name>`` (the reference's conf-driven registry); unset
 names live under :func:`lakestar.session.warehouse_root`.
 """
@@ -26,8 +33,16 @@ from pyspark.sql import types as T
 
 from ..session import warehouse_root
 
-_VERSION_RE = re.compile(r"^v=(\d{8})_(snap|add)$")
+_VERSION_RE = re.compile(r"^v=(\d{8})_(snap|add|part)$")
 _MARKER = "_PUBLISHED"
+_BUCKETS_RE = re.compile(r"^_BUCKETS_(\d+)_(.+)$")
+_CURSOR_RE = re.compile(r"^_CURSOR_(-?\d+)$")
+BUCKET_COL = "_b"
+
+
+def bucket_of(keys: Sequence[str], num_buckets: int):
+    """Pure function of the key values: stable across runs and versions."""
+    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(num_buckets)).cast("int")
 
 
 def register(spark: SparkSession, name: str, root: str) -> None:
@@ -65,12 +80,55 @@ class TableStore:
                 out.append((int(m.group(1)), m.group(2), st.getPath().toString()))
         return sorted(out)
 
-    def live_paths(self) -> list[str]:
+    def _since_snap(self) -> list[tuple[int, str, str]]:
         versions = self._versions()
         snaps = [i for i, (_, kind, _) in enumerate(versions) if kind == "snap"]
-        if not snaps:
+        return versions[snaps[-1]:] if snaps else []
+
+    def bucketing(self) -> tuple[int, list[str]] | None:
+        """(N, key columns) of a bucketed table, from the snap's marker."""
+        live = self._since_snap()
+        if not live:
+            return None
+        for st in self._fs.listStatus(self._Path(live[0][2])):
+            m = _BUCKETS_RE.match(st.getPath().getName())
+            if m:
+                return int(m.group(1)), m.group(2).split(",")
+        return None
+
+    def bucket_map(self) -> dict[int, str]:
+        """Bucket -> folder holding its live rows (newest version wins)."""
+        out: dict[int, str] = {}
+        for _, _, path in self._since_snap():
+            for st in self._fs.listStatus(self._Path(path)):
+                name = st.getPath().getName()
+                if st.isDirectory() and name.startswith(BUCKET_COL + "="):
+                    out[int(name.split("=", 1)[1])] = st.getPath().toString()
+        return out
+
+    def live_paths(self) -> list[str]:
+        live = self._since_snap()
+        if not live:
             return []
-        return [p for _, _, p in versions[snaps[-1]:]]
+        if self.bucketing() is not None:
+            paths = list(self.bucket_map().values())
+            return paths or [live[0][2]]
+        return [p for _, _, p in live]
+
+    def cursor(self) -> int | None:
+        """Ingestion cursor (epoch microseconds) stored with the newest
+        published version, or None."""
+        versions = self._versions()
+        if not versions:
+            return None
+        for st in self._fs.listStatus(self._Path(versions[-1][2])):
+            m = _CURSOR_RE.match(st.getPath().getName())
+            if m:
+                return int(m.group(1))
+        return None
+
+    def mark(self, path: str, name: str) -> None:
+        self._fs.create(self._Path(path, name), False).close()
 
     def exists(self) -> bool:
         return bool(self.live_paths())
@@ -88,7 +146,7 @@ class TableStore:
         return f"{self.root}/v={top + 1:08d}_{kind}"
 
     def publish(self, path: str) -> None:
-        self._fs.create(self._Path(path, _MARKER), False).close()
+        self.mark(path, _MARKER)
 
 
 def table_exists(spark: SparkSession, name: str) -> bool:
@@ -106,6 +164,8 @@ def read(spark: SparkSession, name: str, schema: T.StructType | None = None) ->
     if schema is not None:
         reader = reader.schema(schema)
     df = reader.parquet(*paths)
+    if BUCKET_COL in df.columns:  # an empty snap read through its root
+        df = df.drop(BUCKET_COL)
     df.createOrReplaceTempView(name)
     return df
 
@@ -128,12 +188,16 @@ def _conform(df: DataFrame, schema: T.StructType | None) -> DataFrame:
 
 def save(df: DataFrame, name: str, mode: str = "overwrite",
          schema: T.StructType | None = None, sort_by: Sequence[str] = (),
-         expectations: Sequence = (), partition_by: Sequence[str] = ()) -> str:
+         expectations: Sequence = (), partition_by: Sequence[str] = (),
+         bucket_by: Sequence[str] = (), num_buckets: int | None = None,
+         cursor: int | None = None, _kind: str | None = None) -> str:
     """Write ``df`` as a new version of ``name`` and publish it.
 
     ``mode='overwrite'`` makes a new snapshot, ``'append'`` adds files (on
     the first load both create the table).  ``sort_by`` range-partitions and
     sorts inside partitions (file locality without a single-task sort).
+    ``bucket_by``/``num_buckets`` store the table in hash buckets of its key
+    (one shuffle, one file group per bucket, sorted by key inside).
     Row-level ``expectations`` (not-null, between, length) are collected
     with ``observe`` during the write itself; if one fails the version is
     left unpublished and :class:`~lakestar.operators.quality.ExpectationError`
@@ -142,9 +206,14 @@ def save(df: DataFrame, name: str, mode: str = "overwrite",
 
     spark = df.sparkSession
     store = TableStore(spark, name)
-    kind = "add" if (mode == "append" and store.exists()) else "snap"
+    kind = _kind or ("add" if (mode == "append" and store.exists()) else "snap")
     out = _conform(df, schema)
-    if sort_by:
+    if bucket_by:
+        n = int(num_buckets or spark.conf.get("spark.sql.shuffle.partitions"))
+        out = out.withColumn(BUCKET_COL, bucket_of(bucket_by, n)) \
+                 .repartition(n, BUCKET_COL).sortWithinPartitions(BUCKET_COL, *bucket_by)
+        partition_by = [BUCKET_COL]
+    elif sort_by:
         out = out.repartitionByRange(*sort_by).sortWithinPartitions(*sort_by)
     observation, finish = None, None
     if expectations:
@@ -161,6 +230,10 @@ def save(df: DataFrame, name: str, mode: str = "overwrite",
         failed = [r for r in report if not r["success"]]
         if failed:
             raise ExpectationError(failed)
+    if bucket_by and kind == "snap":
+        store.mark(path, f"_BUCKETS_{n}_{','.join(bucket_by)}")
+    if cursor is not None:
+        store.mark(path, f"_CURSOR_{int(cursor)}")
     store.publish(path)
     return path
 
@@ -175,15 +248,20 @@ def load_or_upsert(df: DataFrame, name: str, keys: Sequence[str],
                    key_col: str | None = None, schema: T.StructType | None = None,
                    update_cols: Sequence[str] | None = None,
                    insert_cols: Sequence[str] | None = None,
-                   expectations: Sequence = ()) -> DataFrame:
-    """Create the table on first load (sorted by the natural key, with
-    dense surrogate keys when ``key_col`` is given), otherwise upsert into
-    the live version.  Returns the published table."""
+                   expectations: Sequence = (), num_buckets: int | None = None,
+                   cursor: int | None = None) -> DataFrame:
+    """Create the table on first load (with dense surrogate keys when
+    ``key_col`` is given), otherwise upsert into the live version.  With
+    ``num_buckets`` the table is stored in key buckets and an upsert
+    rewrites only the buckets the batch touches.  Returns the published
+    table."""
     from ..operators.keys import dense_keys
     from ..operators.upsert import upsert, upsert_with_key
 
     spark = df.sparkSession
-    if not table_exists(spark, name):
+    store = TableStore(spark, name)
+    bucket_by = list(keys) if num_buckets else []
+    if not store.exists():
         out = df
         sort_by = list(keys)
         if key_col:
@@ -193,13 +271,33 @@ def load_or_upsert(df: DataFrame, name: str, keys: Sequence[str],
             out = out.select(key_col, *[c for c in out.columns if c != key_col])
             sort_by = []
         save(out, name, mode="overwrite", schema=schema, sort_by=sort_by,
-             expectations=expectations)
-    else:
+             expectations=expectations, bucket_by=bucket_by, num_buckets=num_buckets, cursor=cursor)
+        return read(spark, name)
+
+    bucketing = store.bucketing()
+    if bucketing is None:
         target = read(spark, name)
         if key_col:
             merged = upsert_with_key(target, df, keys, key_col)
         else:
             merged = upsert(target, df, keys, update_cols=update_cols, insert_cols=insert_cols)
         save(merged, name, mode="overwrite", schema=schema, sort_by=list(keys),
-             expectations=expectations)
+             expectations=expectations, cursor=cursor)
+        return read(spark, name)
+
+    # bucketed: read and rewrite only the touched buckets
+    n, bkeys = bucketing
+    whole = read(spark, name)
+    touched = sorted(r[0] for r in df.select(bucket_of(bkeys, n).alias("b")).distinct().collect())  # <= n
+    folders = store.bucket_map()
+    paths = [folders[b] for b in touched if b in folders]
+    target = spark.read.parquet(*paths) if paths else spark.createDataFrame([], whole.schema)
+    target = target.select(*whole.columns)
+    if key_col:
+        top = whole.agg(F.max(key_col).alias("m")).first()["m"] or 0
+        merged = upsert_with_key(target, df, keys, key_col, start=top + 1)
+    else:
+        merged = upsert(target, df, keys, update_cols=update_cols, insert_cols=insert_cols)
+    save(merged, name, schema=schema, expectations=expectations, bucket_by=bkeys, num_buckets=n,
+         cursor=cursor, _kind="part")
     return read(spark, name)

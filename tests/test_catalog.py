@@ -57,3 +57,25 @@ def test_cursor_filter_is_pushed_to_parquet(spark):
     batch, _ = incremental_extract(ev, "ts", "2024-01-15 00:00:00")
     plan = batch._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(ts), GreaterThan(ts," in plan
+
+
+def test_bucketed_upsert_rewrites_only_touched_buckets(spark, warehouse):
+    from lakestar.sources.catalog import TableStore
+    base = spark.range(0, 400).select(F.col("id").cast("int").alias("id"), (F.col("id") * 10).alias("v"))
+    load_or_upsert(base, "tb", ["id"], key_col="key", num_buckets=16)
+    store = TableStore(spark, "tb")
+    assert store.bucketing() == (16, ["id"]) and len(store.bucket_map()) == 16
+    batch = spark.createDataFrame([(5, 1), (7, 2), (1000, 3)], "id int, v long")
+    out = load_or_upsert(batch, "tb", ["id"], key_col="key")
+    versions = store._versions()
+    assert versions[-1][1] == "part"
+    rewritten = [st.getPath().getName() for st in store._fs.listStatus(store._Path(versions[-1][2]))
+                 if st.isDirectory()]
+    assert 1 <= len(rewritten) <= 3  # only the buckets of ids 5, 7, 1000
+    got = {r["id"]: (r["key"], r["v"]) for r in out.collect()}
+    assert len(got) == 401 and got[5] == (6, 1) and got[7] == (8, 2) and got[1000] == (401, 3)
+    assert got[6] == (7, 60)
+    # same result as the unbucketed path
+    load_or_upsert(base, "tu", ["id"], key_col="key")
+    ref = load_or_upsert(batch, "tu", ["id"], key_col="key")
+    assert out.exceptAll(ref).count() == 0 and ref.exceptAll(out).count() == 0

@@ -169,3 +169,34 @@ def test_tie_on_updated_at_is_deterministic(spark):
     r1 = refine(flatten(raw(spark, [a, b]), spec), spec).collect()[0]["name"]
     r2 = refine(flatten(raw(spark, [b, a]).repartition(3), spec), spec).collect()[0]["name"]
     assert r1 == r2
+
+
+def test_incremental_bucketed_refresh_equals_full(spark, warehouse):
+    from lakestar.sources.catalog import TableStore
+
+    def stamped(rows, ts):
+        return {k: raw(spark, v).withColumn("_ingested_at", F.lit(ts).cast("timestamp"))
+                for k, v in rows.items()}
+
+    first = stamped(batch1(), "2024-02-01 00:00:00")
+    racing.run(spark, first, seasons=[2022, 2023], incremental=True, num_buckets=4)
+    news = {k: [] for k in first}
+    news["driver"] = [{"driverid": 1, "driverref": "hamilton", "number": "44", "code": "HAM",
+                       "forename": "Sir Lewis", "surname": "Hamilton", "dob": "1985-01-07",
+                       "nationality": "British", "url": "d1", "updated_at": T2},
+                      {"driverid": 0, "driverref": "zero", "number": "1", "code": "ZER", "forename": "Zed",
+                       "surname": "Zero", "dob": "1980-01-01", "nationality": "Z", "url": "d0",
+                       "updated_at": T2}]
+    second = {k: (first[k].unionByName(raw(spark, v).withColumn(
+        "_ingested_at", F.lit("2024-02-02 00:00:00").cast("timestamp"))) if v else first[k])
+        for k, v in news.items()}
+    out = racing.run(spark, second, seasons=[2022, 2023], incremental=True)
+    store = TableStore(spark, "silver_driver")
+    assert store._versions()[-1][1] == "part"  # only touched buckets rewritten
+    drv = {r["driver_id"]: (r["driver_key"], r["forename"]) for r in out["silver_driver"].collect()}
+    assert drv[1] == (1, "Sir Lewis") and drv[0] == (4, "Zed") and drv[3][0] == 3
+    # nothing new: the race table keeps its version
+    races_before = len(TableStore(spark, "silver_race")._versions())
+    racing.run_silver(second, seasons=[2022, 2023], incremental=True)
+    assert len(TableStore(spark, "silver_race")._versions()) == races_before
+    assert out["report_result"].where("driver_fullname = 'Sir Lewis Hamilton'").count() == 5
