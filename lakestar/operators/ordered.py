@@ -26,9 +26,11 @@ from pyspark.sql import types as T
 
 BUCKET = "_rb"
 OFFSET = "_rb_off"
+SORT_KEY = "_rb_key"
 
-# Below this many rows a single ordered window is cheaper than bucketing.
-MIN_ROWS_PER_BUCKET = 50_000
+# Below this many rows (an exact, counted bound) one ordered window task is
+# cheaper than bucketing; above it the work is split into range buckets.
+MIN_ROWS_PER_BUCKET = 1_000_000
 # Binary CASE trees are used for non-numeric or multi-column orders; keep
 # them small enough for whole-stage codegen.
 MAX_TREE_BUCKETS = 256
@@ -83,13 +85,28 @@ def _before(order: Order, bound: tuple) -> Column:
     return out
 
 
-def _tree(order: Order, bounds: list[tuple], lo: int, hi: int) -> Column:
+def _sort_struct(order: Order, values: tuple | None = None) -> Column:
+    """For all-numeric orders: one struct whose plain ascending order is the
+    wanted order (a null flag per field puts NULLs first for ascending and
+    last for descending columns; descending values are negated).  One
+    struct comparison then replaces a chain of per-column tests."""
+    fields = []
+    for i, (c, asc) in enumerate(order):
+        v = F.col(c).cast("double") if values is None else F.lit(None if values[i] is None else float(values[i])).cast("double")
+        flag = v.isNotNull() if asc else v.isNull()
+        fields += [flag.alias(f"f{i}"), (v if asc else -v).alias(f"v{i}")]
+    return F.struct(*fields)
+
+
+def _tree(order: Order, bounds: list[tuple], lo: int, hi: int, numeric: bool = False) -> Column:
     """Bucket index in [lo, hi]: bucket i holds rows in [bounds[i-1], bounds[i])."""
     if lo == hi:
         return F.lit(lo)
     mid = (lo + hi + 1) // 2
-    return F.when(_before(order, bounds[mid - 1]), _tree(order, bounds, lo, mid - 1)) \
-            .otherwise(_tree(order, bounds, mid, hi))
+    before = (F.col(SORT_KEY) < _sort_struct(order, bounds[mid - 1])) if numeric \
+        else _before(order, bounds[mid - 1])
+    return F.when(before, _tree(order, bounds, lo, mid - 1, numeric)) \
+            .otherwise(_tree(order, bounds, mid, hi, numeric))
 
 
 def with_range_bucket(df: DataFrame, order: Order, seed: int = 17) -> tuple[DataFrame, int]:
@@ -138,6 +155,14 @@ def with_range_bucket(df: DataFrame, order: Order, seed: int = 17) -> tuple[Data
         b = tuple(sample[min(len(sample) - 1, int(i * step))])
         if not bounds or b != bounds[-1]:
             bounds.append(b)
+    # Bucketing needs only a monotone function of the order: the cast to
+    # double is monotone (rounding never reverses two values), equal keys
+    # still share a bucket, and the window inside a bucket uses exact values.
+    all_numeric = all(isinstance(df.schema[c].dataType, T.NumericType) for c, _ in order)
+    if all_numeric:
+        out = df.withColumn(SORT_KEY, _sort_struct(order)) \
+                .withColumn(BUCKET, _tree(order, bounds, 0, len(bounds), True)).drop(SORT_KEY)
+        return out, len(bounds) + 1
     return df.withColumn(BUCKET, _tree(order, bounds, 0, len(bounds))), len(bounds) + 1
 
 
@@ -152,7 +177,8 @@ def bucket_offsets(dfb: DataFrame, partition_cols: Sequence[str] = ()) -> DataFr
 
 
 def global_number(df: DataFrame, order_by, out_col: str, start: int = 1,
-                  partition_cols: Sequence[str] = (), method: str = "row_number") -> DataFrame:
+                  partition_cols: Sequence[str] = (), method: str = "row_number",
+                  materialize: bool = False) -> DataFrame:
     """``start - 1 + row_number()/rank() OVER (PARTITION BY partition_cols
     ORDER BY order_by)`` computed with range buckets, never in one task for
     large inputs.  ``partition_cols`` are prepended to the bucketing order so
@@ -160,6 +186,17 @@ def global_number(df: DataFrame, order_by, out_col: str, start: int = 1,
     order = normalize_order(order_by)
     full = [(c, True) for c in partition_cols] + [o for o in order if o[0] not in partition_cols]
     fn = {"row_number": F.row_number, "rank": F.rank}[method]
+    if materialize:
+        # the input is read by the count/sample pass and twice by the final
+        # job: compute it once (reliable checkpoint, lineage cut)
+        df = df.checkpoint(eager=True)
+    if partition_cols:
+        # a plain partitioned window is fine while every partition is small:
+        # check the largest one (partial aggregate, one number back)
+        biggest = df.groupBy(*partition_cols).count().agg(F.max("count").alias("m")).first()["m"] or 0
+        if biggest <= MIN_ROWS_PER_BUCKET:
+            w = Window.partitionBy(*partition_cols).orderBy(*sort_exprs(order))
+            return df.withColumn(out_col, (fn().over(w) + F.lit(start - 1)).cast("bigint"))
     dfb, nb = with_range_bucket(df, full)
     if nb == 1:
         w = Window.partitionBy(*partition_cols).orderBy(*sort_exprs(order)) if partition_cols \

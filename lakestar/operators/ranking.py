@@ -26,7 +26,7 @@ def standings(totals: DataFrame) -> DataFrame:
     DESC, wins DESC)`` as ``season_rank``, computed with range buckets over
     (season, score) so one season never has to fit in one task."""
     return global_number(totals, [("total_points", False), ("wins", False)], "season_rank",
-                         partition_cols=["race_year"], method="rank")
+                         partition_cols=["race_year"], method="rank", materialize=True)
 
 
 def champions(totals: DataFrame) -> DataFrame:
