@@ -166,26 +166,42 @@ def with_range_bucket(df: DataFrame, order: Order, seed: int = 17) -> tuple[Data
     return df.withColumn(BUCKET, _tree(order, bounds, 0, len(bounds))), len(bounds) + 1
 
 
-def bucket_offsets(dfb: DataFrame, partition_cols: Sequence[str] = ()) -> DataFrame:
-    """Exclusive prefix count of rows per (partition, bucket): the number of
-    rows of the same partition in earlier buckets.  One row per non-empty
-    (bucket, partition) pair; its window runs over this small table only."""
-    counts = dfb.groupBy(BUCKET, *partition_cols).agg(F.count(F.lit(1)).alias("_n"))
+def bucket_offsets(dfb: DataFrame, partition_cols: Sequence[str] = (),
+                   weight_col: str | None = None) -> DataFrame:
+    """Exclusive prefix count of rows (or sum of ``weight_col``) per
+    (partition, bucket): what the same partition holds in earlier buckets.
+    One row per non-empty (bucket, partition) pair; its window runs over
+    this small table only."""
+    amount = F.sum(weight_col) if weight_col else F.count(F.lit(1))
+    counts = dfb.groupBy(BUCKET, *partition_cols).agg(amount.alias("_n"))
     w = Window.partitionBy(*partition_cols).orderBy(BUCKET) \
               .rowsBetween(Window.unboundedPreceding, -1)
     return counts.withColumn(OFFSET, F.coalesce(F.sum("_n").over(w), F.lit(0)).cast("bigint")).drop("_n")
 
 
+def _numbering(method: str, weight_col: str | None):
+    """Window function per method; ``prefix`` is the exclusive running sum
+    of ``weight_col`` (rows strictly before)."""
+    if method == "prefix":
+        def prefix(w):
+            return F.coalesce(F.sum(weight_col).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        return prefix
+    fn = {"row_number": F.row_number, "rank": F.rank}[method]
+    return lambda w: fn().over(w)
+
+
 def global_number(df: DataFrame, order_by, out_col: str, start: int = 1,
                   partition_cols: Sequence[str] = (), method: str = "row_number",
-                  materialize: bool = False) -> DataFrame:
+                  materialize: bool = False, weight_col: str | None = None) -> DataFrame:
     """``start - 1 + row_number()/rank() OVER (PARTITION BY partition_cols
     ORDER BY order_by)`` computed with range buckets, never in one task for
     large inputs.  ``partition_cols`` are prepended to the bucketing order so
-    each bucket covers a contiguous run of partitions."""
+    each bucket covers a contiguous run of partitions.  ``method='prefix'``
+    gives ``start - 1 +`` the sum of ``weight_col`` over the rows strictly
+    before (the order must then be a total order)."""
     order = normalize_order(order_by)
     full = [(c, True) for c in partition_cols] + [o for o in order if o[0] not in partition_cols]
-    fn = {"row_number": F.row_number, "rank": F.rank}[method]
+    over = _numbering(method, weight_col)
     if materialize:
         # the input is read by the count/sample pass and twice by the final
         # job: compute it once (reliable checkpoint, lineage cut)
@@ -196,13 +212,13 @@ def global_number(df: DataFrame, order_by, out_col: str, start: int = 1,
         biggest = df.groupBy(*partition_cols).count().agg(F.max("count").alias("m")).first()["m"] or 0
         if biggest <= MIN_ROWS_PER_BUCKET:
             w = Window.partitionBy(*partition_cols).orderBy(*sort_exprs(order))
-            return df.withColumn(out_col, (fn().over(w) + F.lit(start - 1)).cast("bigint"))
+            return df.withColumn(out_col, (over(w) + F.lit(start - 1)).cast("bigint"))
     dfb, nb = with_range_bucket(df, full)
     if nb == 1:
         w = Window.partitionBy(*partition_cols).orderBy(*sort_exprs(order)) if partition_cols \
             else Window.orderBy(*sort_exprs(order))
-        return dfb.withColumn(out_col, (fn().over(w) + F.lit(start - 1)).cast("bigint")).drop(BUCKET)
-    offsets = bucket_offsets(dfb, partition_cols)
+        return dfb.withColumn(out_col, (over(w) + F.lit(start - 1)).cast("bigint")).drop(BUCKET)
+    offsets = bucket_offsets(dfb, partition_cols, weight_col if method == "prefix" else None)
     if not partition_cols:
         # one row per bucket: a size bound we chose ourselves
         offsets = F.broadcast(offsets)
@@ -213,5 +229,5 @@ def global_number(df: DataFrame, order_by, out_col: str, start: int = 1,
            [F.col(c).eqNullSafe(F.col("_o_" + c)) for c in partition_cols]
     w = Window.partitionBy(BUCKET, *partition_cols).orderBy(*sort_exprs(order))
     out = dfb.join(renamed, cond, "inner") \
-             .withColumn(out_col, (F.col(OFFSET) + fn().over(w) + F.lit(start - 1)).cast("bigint"))
+             .withColumn(out_col, (F.col(OFFSET) + over(w) + F.lit(start - 1)).cast("bigint"))
     return out.drop(BUCKET, OFFSET, "_o" + BUCKET, *["_o_" + c for c in partition_cols])

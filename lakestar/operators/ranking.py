@@ -23,10 +23,24 @@ def season_totals(report: DataFrame, season_col: str, competitor_col: str, point
 
 def standings(totals: DataFrame) -> DataFrame:
     """Q3/Q4: ``rank() OVER (PARTITION BY race_year ORDER BY total_points
-    DESC, wins DESC)`` as ``season_rank``, computed with range buckets over
-    (season, score) so one season never has to fit in one task."""
-    return global_number(totals, [("total_points", False), ("wins", False)], "season_rank",
-                         partition_cols=["race_year"], method="rank", materialize=True)
+    DESC, wins DESC)`` as ``season_rank``.
+
+    Ties make rank a function of the score alone: rank = 1 + number of
+    competitors of the season with a strictly better (points, wins).  So
+    the season's score histogram (partial aggregate: a score shared by a
+    third of all competitors is still one row) gets an exclusive running
+    sum of its counts - range-bucketed, never one task per season - and
+    the result joins back on (season, points, wins), many-to-one (AQE
+    broadcasts the histogram when small, else splits a hot score's
+    partition)."""
+    hist = totals.groupBy("race_year", "total_points", "wins").agg(F.count(F.lit(1)).alias("_n"))
+    ranked = global_number(hist, [("total_points", False), ("wins", False)], "season_rank",
+                           partition_cols=["race_year"], method="prefix", weight_col="_n",
+                           materialize=True, start=2).drop("_n")
+    r = ranked.select(*[F.col(c).alias(f"_h_{c}") for c in ["race_year", "total_points", "wins"]],
+                      "season_rank")
+    cond = [totals[c].eqNullSafe(r[f"_h_{c}"]) for c in ["race_year", "total_points", "wins"]]
+    return totals.join(r, cond, "inner").select(*totals.columns, "season_rank")
 
 
 def champions(totals: DataFrame) -> DataFrame:

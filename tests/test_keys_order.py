@@ -71,3 +71,17 @@ def test_hash_key_matches_md5_text(spark):
     got = [r[0] for r in df.select(hash_key("c")).collect()]
     import hashlib
     assert got == [hashlib.md5(b"1").hexdigest(), hashlib.md5(b"22").hexdigest()]
+
+
+def test_standings_with_hot_tied_score_equals_window_rank(spark, many_buckets):
+    from lakestar.operators import standings
+    # a third of the competitors share the score (0 points, 0 wins)
+    df = spark.range(0, 3000).select(
+        (F.col("id") % 4).cast("bigint").alias("race_year"), F.col("id").cast("string").alias("competitor"),
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") * 7 % 97).cast("decimal(18,2)").alias("total_points"),
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 5).cast("bigint").alias("wins"))
+    got = standings(df)
+    w = Window.partitionBy("race_year").orderBy(F.col("total_points").desc(), F.col("wins").desc())
+    want = df.withColumn("season_rank", F.rank().over(w).cast("bigint"))
+    assert got.count() == 3000
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
