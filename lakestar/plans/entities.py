@@ -155,8 +155,8 @@ def silver_job(raw: DataFrame, spec: EntitySpec, table: str | None = None,
         if last is not None:
             batch = raw.where(F.col(INGESTED) > F.timestamp_micros(F.lit(last)))
         top = batch.agg(F.max(F.unix_micros(F.col(INGESTED))).alias("c")).first()["c"]
-        if top is None:
-            return _read_table(raw.sparkSession, name)
+        if top is None and last is not None:
+            return _read_table(raw.sparkSession, name)  # nothing new since the last refresh
         cursor = top
         if last is not None:
             spec = _subset_rules(spec)

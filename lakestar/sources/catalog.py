@@ -207,6 +207,8 @@ def save(df: DataFrame, name: str, mode: str = "overwrite",
     spark = df.sparkSession
     store = TableStore(spark, name)
     kind = _kind or ("add" if (mode == "append" and store.exists()) else "snap")
+    if kind == "add" and store.bucketing() is not None:
+        raise ValueError(f"{name} is stored in key buckets: use load_or_upsert, not append")
     out = _conform(df, schema)
     if bucket_by:
         n = int(num_buckets or spark.conf.get("spark.sql.shuffle.partitions"))
