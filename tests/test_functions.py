@@ -1,6 +1,5 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakestar.functions import (assemble_datetime, join_text, rename, sentinel_to_null,
