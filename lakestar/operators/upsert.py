@@ -42,10 +42,12 @@ def validate_source_keys(source: DataFrame, keys: Sequence[str]) -> None:
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
            update_cols: Sequence[str] | None = None, insert_cols: Sequence[str] | None = None,
-           validate: bool = True) -> DataFrame:
+           validate: bool = True, delete_keys: DataFrame | None = None) -> DataFrame:
     """M1/M2/M3.  ``update_cols=None`` and ``insert_cols=None`` mean every
     column (full-row upsert); ``update_cols=[], insert_cols=keys`` is the
-    key-only merge.  Output has the target's columns and order."""
+    key-only merge.  Target rows whose key is in ``delete_keys`` but not in
+    the source are removed (MERGE ... WHEN MATCHED THEN DELETE).  Output
+    has the target's columns and order."""
     keys = list(keys)
     cols = target.columns
     upd = set(cols if update_cols is None else update_cols) | set(keys)
@@ -57,7 +59,8 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
         validate_source_keys(source, keys)
 
     src_keys = source.select(*keys)
-    untouched = target.join(src_keys, keys, "left_anti")
+    gone = src_keys if delete_keys is None else src_keys.unionByName(delete_keys.select(*keys))
+    untouched = target.join(gone, keys, "left_anti")
     keep_from_target = [c for c in cols if c not in upd]
     full_row = not keep_from_target and ins == set(cols)
     if full_row:
@@ -81,7 +84,8 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
 
 
 def upsert_with_key(target: DataFrame, source: DataFrame, keys: Sequence[str], key_col: str,
-                    validate: bool = True, start: int | None = None) -> DataFrame:
+                    validate: bool = True, start: int | None = None,
+                    delete_keys: DataFrame | None = None) -> DataFrame:
     """M4: upsert that preserves surrogate keys.  Matched rows keep their
     key, new natural keys get ``max(key) + 1, ...`` in natural-key order
     (``start`` overrides the first new key, e.g. when ``target`` is only
@@ -90,7 +94,8 @@ def upsert_with_key(target: DataFrame, source: DataFrame, keys: Sequence[str], k
     cols = target.columns
     data_cols = [c for c in cols if c != key_col]
     src = source.select(*data_cols).withColumn(key_col, F.lit(None).cast("bigint"))
-    merged = upsert(target, src, keys, update_cols=data_cols, insert_cols=data_cols, validate=validate)
+    merged = upsert(target, src, keys, update_cols=data_cols, insert_cols=data_cols, validate=validate,
+                    delete_keys=delete_keys)
     if start is None:
         start = (target.agg(F.max(key_col).alias("m")).first()["m"] or 0) + 1
     have = merged.where(F.col(key_col).isNotNull())

@@ -163,8 +163,14 @@ def silver_job(raw: DataFrame, spec: EntitySpec, table: str | None = None,
             extra_rules = [(_ObservedInSet(r.column, list(r.values)) if isinstance(r, DistinctEquals) else r)
                            for r in extra_rules]
     df = prepare(batch, spec, run_gate, extra_rules)
+    delete_keys = None
+    if incremental and spec.after_dedup is not None:
+        # a key whose newest version no longer passes this table's filter
+        # (e.g. a result that moved to the other result table) must leave it
+        delete_keys = flatten(batch, spec).select(
+            *[F.col(k).alias(spec.renames.get(k, k)) for k in spec.natural_key]).distinct()
     return load_or_upsert(df, name, spec.key_order, key_col=spec.key_col, num_buckets=num_buckets,
-                          cursor=cursor)
+                          cursor=cursor, delete_keys=delete_keys)
 
 
 def _subset_rules(spec: EntitySpec) -> EntitySpec:

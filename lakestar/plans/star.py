@@ -59,6 +59,18 @@ def raw_with_history(df: DataFrame, key: str, fields: dict[str, Column],
     return pack_json(fresh.unionByName(stale))
 
 
+def pack_results(li: DataFrame) -> DataFrame:
+    """Raw result rows of this configuration: one JSON document per lineitem."""
+    rid = F.col("l_orderkey") * 10 + F.col("l_linenumber")
+    return pack_json(li, {
+        "resultid": rid, "raceid": "l_orderkey", "constructorid": "l_suppkey",
+        "partkey": "l_partkey", "statusname": F.concat("l_returnflag", "l_linestatus"),
+        "linestatus": "l_linestatus", "position": dirty(F.col("l_linenumber"), rid),
+        "positionorder": "l_linenumber", "points": "l_quantity",
+        "extendedprice": "l_extendedprice", "discount": "l_discount", "tax": "l_tax",
+        "updated_at": "l_shipdate"})
+
+
 def _fingerprint(spark: SparkSession, folder: str) -> tuple:
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(folder)
@@ -212,15 +224,7 @@ class StarPipeline:
 
     @cached_property
     def raw_result(self) -> DataFrame:
-        li = self.table("lineitem")
-        rid = F.col("l_orderkey") * 10 + F.col("l_linenumber")
-        return pack_json(li, {
-            "resultid": rid, "raceid": "l_orderkey", "constructorid": "l_suppkey",
-            "partkey": "l_partkey", "statusname": F.concat("l_returnflag", "l_linestatus"),
-            "linestatus": "l_linestatus", "position": dirty(F.col("l_linenumber"), rid),
-            "positionorder": "l_linenumber", "points": "l_quantity",
-            "extendedprice": "l_extendedprice", "discount": "l_discount", "tax": "l_tax",
-            "updated_at": "l_shipdate"})
+        return pack_results(self.table("lineitem"))
 
     @cached_property
     def raw_status(self) -> DataFrame:
@@ -248,10 +252,8 @@ class StarPipeline:
         return self._silver(self.raw_race, RACE)
 
     def _status_rule(self) -> list:
-        # every result's status must be a known status (reference check)
-        from ..sources import flatten_json
-        statuses = flatten_json(self.raw_status, STATUS.raw_schema)
-        return [InSetOf("statusname", statuses, "statusname")]
+        # every result's status must be a known status (a key of the status table)
+        return [InSetOf("statusname", self.silver_status, "status_name")]
 
     @cached_property
     def silver_race_result(self) -> DataFrame:
@@ -337,8 +339,9 @@ class StarPipeline:
                           "position_order", "points")
 
     # ---- C15: the whole run, publishing every layer --------------------------
-    SILVER = {"circuit": CIRCUIT, "driver": DRIVER, "constructor": CONSTRUCTOR, "race": RACE,
-              "race_result": RACE_RESULT, "sprint_result": SPRINT_RESULT, "status": STATUS}
+    # status first: the result jobs check their statuses against it
+    SILVER = {"status": STATUS, "circuit": CIRCUIT, "driver": DRIVER, "constructor": CONSTRUCTOR,
+              "race": RACE, "race_result": RACE_RESULT, "sprint_result": SPRINT_RESULT}
     GOLD_KEYS = {"dim_constructor": ["constructor_key"], "dim_driver": ["driver_key"],
                  "dim_race": ["race_key"], "dim_status": ["status_key"],
                  "fct_race_result": ["result_id"], "fct_sprint_result": ["result_id"]}
@@ -361,11 +364,11 @@ class StarPipeline:
                     save(src.withColumn("_ingested_at", F.current_timestamp()), name, mode="append")
                     out[name] = read(self.spark, name)
         with timer("silver"):
-            from ..sources import flatten_json
-            statuses = flatten_json(out["bronze_status"], STATUS.raw_schema)
             for entity, spec in self.SILVER.items():
                 raw = out["bronze_result" if entity.endswith("_result") else f"bronze_{entity}"]
-                extra = [InSetOf("statusname", statuses, "statusname")] if entity.endswith("_result") else []
+                # known statuses = the refreshed status table (same keys as its raw rows)
+                extra = [InSetOf("statusname", out["silver_status"], "status_name")] \
+                    if entity.endswith("_result") else []
                 table = silver_job(raw, spec, run_gate=self.run_gates, extra_rules=extra,
                                    incremental=True, num_buckets=num_buckets)
                 self.__dict__[f"silver_{entity}"] = table
@@ -380,3 +383,19 @@ class StarPipeline:
             self.__dict__["report"] = table
             out["gold_report_result"] = table
         return out
+
+    def refresh_results(self, changed_lineitems: DataFrame, num_buckets: int | None = None) -> dict:
+        """An incremental refresh of both result tables after :meth:`publish`:
+        new versions of some lineitems land in the raw table (stamped with
+        the ingestion time); each silver job then reads only those rows and
+        rewrites only the key buckets they touch."""
+        save(pack_results(changed_lineitems).withColumn("_ingested_at", F.current_timestamp()),
+             "bronze_result", mode="append")
+        raw = read(self.spark, "bronze_result")
+        statuses = read(self.spark, "silver_status")
+        out = {}
+        for entity in ("race_result", "sprint_result"):
+            out[entity] = silver_job(raw, self.SILVER[entity], run_gate=self.run_gates, incremental=True,
+                                     num_buckets=num_buckets,
+                                     extra_rules=[InSetOf("statusname", statuses, "status_name")])
+        return out

@@ -251,7 +251,7 @@ def load_or_upsert(df: DataFrame, name: str, keys: Sequence[str],
                    update_cols: Sequence[str] | None = None,
                    insert_cols: Sequence[str] | None = None,
                    expectations: Sequence = (), num_buckets: int | None = None,
-                   cursor: int | None = None) -> DataFrame:
+                   cursor: int | None = None, delete_keys: DataFrame | None = None) -> DataFrame:
     """Create the table on first load (with dense surrogate keys when
     ``key_col`` is given), otherwise upsert into the live version.  With
     ``num_buckets`` the table is stored in key buckets and an upsert
@@ -280,9 +280,10 @@ def load_or_upsert(df: DataFrame, name: str, keys: Sequence[str],
     if bucketing is None:
         target = read(spark, name)
         if key_col:
-            merged = upsert_with_key(target, df, keys, key_col)
+            merged = upsert_with_key(target, df, keys, key_col, delete_keys=delete_keys)
         else:
-            merged = upsert(target, df, keys, update_cols=update_cols, insert_cols=insert_cols)
+            merged = upsert(target, df, keys, update_cols=update_cols, insert_cols=insert_cols,
+                            delete_keys=delete_keys)
         save(merged, name, mode="overwrite", schema=schema, sort_by=list(keys),
              expectations=expectations, cursor=cursor)
         return read(spark, name)
@@ -290,16 +291,19 @@ def load_or_upsert(df: DataFrame, name: str, keys: Sequence[str],
     # bucketed: read and rewrite only the touched buckets
     n, bkeys = bucketing
     whole = read(spark, name)
-    touched = sorted(r[0] for r in df.select(bucket_of(bkeys, n).alias("b")).distinct().collect())  # <= n
+    changed_keys = df.select(*keys) if delete_keys is None else \
+        df.select(*keys).unionByName(delete_keys.select(*keys))
+    touched = sorted(r[0] for r in changed_keys.select(bucket_of(bkeys, n).alias("b")).distinct().collect())  # <= n
     folders = store.bucket_map()
     paths = [folders[b] for b in touched if b in folders]
     target = spark.read.parquet(*paths) if paths else spark.createDataFrame([], whole.schema)
     target = target.select(*whole.columns)
     if key_col:
         top = whole.agg(F.max(key_col).alias("m")).first()["m"] or 0
-        merged = upsert_with_key(target, df, keys, key_col, start=top + 1)
+        merged = upsert_with_key(target, df, keys, key_col, start=top + 1, delete_keys=delete_keys)
     else:
-        merged = upsert(target, df, keys, update_cols=update_cols, insert_cols=insert_cols)
+        merged = upsert(target, df, keys, update_cols=update_cols, insert_cols=insert_cols,
+                        delete_keys=delete_keys)
     save(merged, name, schema=schema, expectations=expectations, bucket_by=bkeys, num_buckets=n,
          cursor=cursor, _kind="part")
     return read(spark, name)

@@ -55,3 +55,10 @@ def test_composite_key_upsert(spark):
     s = spark.createDataFrame([(1, "sprint", 7), (2, "sprint", 8)], "k long, tag string, v int")
     out = sorted(tuple(r) for r in upsert(t, s, ["k", "tag"]).collect())
     assert out == [(1, "full_race", 6), (1, "sprint", 7), (2, "sprint", 8)]
+
+
+def test_delete_keys_remove_rows_absent_from_source(spark):
+    t = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "id int, name string")
+    s = spark.createDataFrame([(2, "b2")], "id int, name string")
+    gone = spark.createDataFrame([(2,), (3,)], "id int")
+    assert _rows(upsert(t, s, ["id"], delete_keys=gone)) == [(1, "a"), (2, "b2")]
