@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from ..functions import assemble_datetimes, rename, sentinel_to_null, try_cast_columns
 from ..operators import check, dense_keys, latest_per_key
-from ..operators.quality import Expectation, ExpectationError, observed_metrics
+from ..operators.quality import Expectation, ExpectationError, NotNull, observed_metrics
 from ..sources import RAW_COL, flatten_json, load_or_upsert
 
 
@@ -169,8 +169,11 @@ def silver_job(raw: DataFrame, spec: EntitySpec, table: str | None = None,
         # (e.g. a result that moved to the other result table) must leave it
         delete_keys = flatten(batch, spec).select(
             *[F.col(k).alias(spec.renames.get(k, k)) for k in spec.natural_key]).distinct()
+    # latest_per_key leaves one row per natural key and the gate rejected
+    # NULL keys: the batch needs no second uniqueness check
+    gated_keys = run_gate and {k for r in spec.rules if isinstance(r, NotNull) for k in [r.column]} >= set(spec.natural_key)
     return load_or_upsert(df, name, spec.key_order, key_col=spec.key_col, num_buckets=num_buckets,
-                          cursor=cursor, delete_keys=delete_keys)
+                          cursor=cursor, delete_keys=delete_keys, validate=not gated_keys)
 
 
 def _subset_rules(spec: EntitySpec) -> EntitySpec:

@@ -251,7 +251,8 @@ def load_or_upsert(df: DataFrame, name: str, keys: Sequence[str],
                    update_cols: Sequence[str] | None = None,
                    insert_cols: Sequence[str] | None = None,
                    expectations: Sequence = (), num_buckets: int | None = None,
-                   cursor: int | None = None, delete_keys: DataFrame | None = None) -> DataFrame:
+                   cursor: int | None = None, delete_keys: DataFrame | None = None,
+                   validate: bool = True) -> DataFrame:
     """Create the table on first load (with dense surrogate keys when
     ``key_col`` is given), otherwise upsert into the live version.  With
     ``num_buckets`` the table is stored in key buckets and an upsert
@@ -280,10 +281,10 @@ def load_or_upsert(df: DataFrame, name: str, keys: Sequence[str],
     if bucketing is None:
         target = read(spark, name)
         if key_col:
-            merged = upsert_with_key(target, df, keys, key_col, delete_keys=delete_keys)
+            merged = upsert_with_key(target, df, keys, key_col, delete_keys=delete_keys, validate=validate)
         else:
             merged = upsert(target, df, keys, update_cols=update_cols, insert_cols=insert_cols,
-                            delete_keys=delete_keys)
+                            delete_keys=delete_keys, validate=validate)
         save(merged, name, mode="overwrite", schema=schema, sort_by=list(keys),
              expectations=expectations, cursor=cursor)
         return read(spark, name)
@@ -300,10 +301,11 @@ def load_or_upsert(df: DataFrame, name: str, keys: Sequence[str],
     target = target.select(*whole.columns)
     if key_col:
         top = whole.agg(F.max(key_col).alias("m")).first()["m"] or 0
-        merged = upsert_with_key(target, df, keys, key_col, start=top + 1, delete_keys=delete_keys)
+        merged = upsert_with_key(target, df, keys, key_col, start=top + 1, delete_keys=delete_keys,
+                                 validate=validate)
     else:
         merged = upsert(target, df, keys, update_cols=update_cols, insert_cols=insert_cols,
-                        delete_keys=delete_keys)
+                        delete_keys=delete_keys, validate=validate)
     save(merged, name, schema=schema, expectations=expectations, bucket_by=bkeys, num_buckets=n,
          cursor=cursor, _kind="part")
     return read(spark, name)
