@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 from ..functions import NULL_SENTINEL, join_text, rename, to_day
 from ..operators import (DistinctEquals, InSetOf, NotNull, attach_dimensions, join_dimension,
                          lookup_keys, union_tagged)
-from ..sources import load_or_upsert, pack_json, read, save, scan
+from ..sources import TableStore, load_or_upsert, pack_json, read, save, scan
 from .entities import EntitySpec, silver_frame, silver_job
 
 # Fixed values of the raw rule.
@@ -324,7 +324,10 @@ class StarPipeline:
     # ---- report ----------------------------------------------------------
     @cached_property
     def report(self) -> DataFrame:
-        facts = union_tagged({"full_race": self.fct_race_result, "sprint": self.fct_sprint_result},
+        return self._report(self.fct_race_result, self.fct_sprint_result)
+
+    def _report(self, fct_race: DataFrame, fct_sprint: DataFrame) -> DataFrame:
+        facts = union_tagged({"full_race": fct_race, "sprint": fct_sprint},
                              "race_type", renames={"full_race": {"result_id": "result_key"},
                                                    "sprint": {"result_id": "result_key"}})
         rep = attach_dimensions(facts, [
@@ -375,11 +378,15 @@ class StarPipeline:
                 out[f"silver_{entity}"] = table
         with timer("gold"):
             for name, keys in self.GOLD_KEYS.items():
-                table = load_or_upsert(getattr(self, name), f"gold_{name}", keys)
+                # facts are bucketed like silver so that result changes rewrite
+                # only their buckets; dimensions are small next to them
+                buckets = num_buckets if name.startswith("fct_") else None
+                table = load_or_upsert(getattr(self, name), f"gold_{name}", keys, num_buckets=buckets)
                 self.__dict__[name] = table
                 out[f"gold_{name}"] = table
         with timer("report"):
-            table = load_or_upsert(self.report, "gold_report_result", ["result_key", "race_type"])
+            table = load_or_upsert(self.report, "gold_report_result", ["result_key", "race_type"],
+                                   num_buckets=num_buckets)
             self.__dict__["report"] = table
             out["gold_report_result"] = table
         return out
@@ -389,13 +396,31 @@ class StarPipeline:
         new versions of some lineitems land in the raw table (stamped with
         the ingestion time); each silver job then reads only those rows and
         rewrites only the key buckets they touch."""
+        from ..sources import flatten_json
         save(pack_results(changed_lineitems).withColumn("_ingested_at", F.current_timestamp()),
              "bronze_result", mode="append")
         raw = read(self.spark, "bronze_result")
+        # the result ids of this batch (read before the silver cursor moves on)
+        cursor = TableStore(self.spark, "silver_race_result").cursor()
+        new_raw = raw if cursor is None else raw.where(F.col("_ingested_at") > F.timestamp_micros(F.lit(cursor)))
+        touched = flatten_json(new_raw, _RESULT_SCHEMA).select(F.col("resultid").alias("result_id")) \
+            .distinct().checkpoint(eager=True)
         statuses = read(self.spark, "silver_status")
         out = {}
         for entity in ("race_result", "sprint_result"):
             out[entity] = silver_job(raw, self.SILVER[entity], run_gate=self.run_gates, incremental=True,
                                      num_buckets=num_buckets,
                                      extra_rules=[InSetOf("statusname", statuses, "status_name")])
+        # gold facts of the touched results only (a result that moved to the
+        # other table is deleted from this one), then their report rows
+        facts = {}
+        for entity, fact in (("race_result", "fct_race_result"), ("sprint_result", "fct_sprint_result")):
+            changed = self._fact(out[entity].join(touched, "result_id", "left_semi"))
+            facts[fact] = changed
+            out[fact] = load_or_upsert(changed, f"gold_{fact}", ["result_id"], delete_keys=touched)
+        rows = self._report(facts["fct_race_result"], facts["fct_sprint_result"])
+        gone = touched.select(F.col("result_id").alias("result_key"),
+                              F.explode(F.array(F.lit("full_race"), F.lit("sprint"))).alias("race_type"))
+        out["report_result"] = load_or_upsert(rows, "gold_report_result", ["result_key", "race_type"],
+                                              delete_keys=gone)
         return out

@@ -1,14 +1,20 @@
-"""Incremental refresh of the synthetic result tables equals a full rebuild."""
+"""Incremental refresh of the synthetic result tables, their facts and
+their report rows equals a full rebuild on all raw rows."""
 
 from pyspark.sql import functions as F
 
 from lakestar.plans.entities import silver_frame
 from lakestar.plans.star import RACE_RESULT, SPRINT_RESULT, StarPipeline, pack_results
 from lakestar.session import scratch_path
+from lakestar.sources import pack_json, read
 
 SF = "/root/testdata/sf0.001"
 
 
+def _same(a, b):
+    return a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
 def test_incremental_results_equal_full_rebuild(spark):
     spark.conf.set("lakestar.warehouse", scratch_path(spark, "wh-incr"))
     try:
@@ -21,14 +27,25 @@ def test_incremental_results_equal_full_rebuild(spark):
             .withColumn("l_linestatus", F.when(F.col("l_linestatus") == "F", "O").otherwise("F")) \
             .withColumn("l_quantity", F.col("l_quantity") + 1)
         out = p.refresh_results(changed, num_buckets=4)
-        everything = pack_results(li.unionByName(changed))
+        allrows = li.unionByName(changed)
+        everything = pack_results(allrows)
         for entity, spec in (("race_result", RACE_RESULT), ("sprint_result", SPRINT_RESULT)):
             want = silver_frame(everything, spec, run_gate=False)
             got = out[entity]
             cols = [c for c in want.columns if c != spec.key_col and c != "updated_at"]
-            g, w = got.select(*cols), want.select(*cols)
-            assert g.exceptAll(w).count() == 0 and w.exceptAll(g).count() == 0, entity
-            # keys of rows that existed before are unchanged; keys stay unique
+            assert _same(got.select(*cols), want.select(*cols)), entity
             assert got.select(spec.key_col).distinct().count() == got.count()
+
+        # the whole synthetic pipeline rebuilt lazily on all raw rows
+        full = StarPipeline(spark, SF)
+        full.__dict__["raw_result"] = everything
+        full.__dict__["raw_status"] = pack_json(allrows, {
+            "statusname": F.concat("l_returnflag", "l_linestatus"), "updated_at": "l_shipdate"})
+        cols = ["result_key", "race_type", "race_year", "race_date", "circuit_name", "circuit_country",
+                "driver_fullname", "constructor_name", "status_name", "position_order", "points"]
+        assert _same(read(spark, "gold_report_result").select(*cols), full.report.select(*cols))
+        fcols = ["result_id", "position_order", "points"]
+        assert _same(read(spark, "gold_fct_race_result").select(*fcols),
+                     full.fct_race_result.select(*fcols))
     finally:
         spark.conf.unset("lakestar.warehouse")
