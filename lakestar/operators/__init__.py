@@ -3,8 +3,8 @@
 from .keys import dense_keys, hash_key, hash_key64
 from .latest import latest_per_key
 from .ordered import global_number
-from .quality import (DistinctEquals, ExpectationError, InSetOf, LengthBetween, NotNull, Unique,
-                      ValueBetween, check, enforce, evaluate)
+from .quality import (DistinctEquals, ExpectationError, InSetOf, InValues, LengthBetween, NotNull,
+                      Unique, ValueBetween, check, enforce, evaluate)
 from .ranking import (champions, count_distinct_by, incident_counts, season_totals, standings,
                       top_k)
 from .report import attach_dimensions, union_tagged
@@ -13,7 +13,7 @@ from .upsert import UpsertKeyError, upsert, upsert_with_key
 
 __all__ = [
     "dense_keys", "hash_key", "hash_key64", "latest_per_key", "global_number",
-    "DistinctEquals", "ExpectationError", "InSetOf", "LengthBetween", "NotNull", "Unique",
+    "DistinctEquals", "ExpectationError", "InSetOf", "InValues", "LengthBetween", "NotNull", "Unique",
     "ValueBetween", "check", "enforce", "evaluate", "champions", "count_distinct_by",
     "incident_counts", "season_totals", "standings", "top_k", "attach_dimensions",
     "union_tagged", "join_dimension", "lookup_keys", "star_join", "UpsertKeyError", "upsert",

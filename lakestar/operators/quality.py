@@ -169,7 +169,7 @@ class InSetOf(Expectation):
         values = [r["_ref"] for r in ref.limit(max_values + 1).collect()]  # bounded
         if len(values) > max_values:
             return None
-        return _ObservedInSet(self.column, values)
+        return InValues(self.column, values, rule_name=self.rule_name)
 
     def evaluate(self, df: DataFrame) -> DataFrame:
         ref = self.other.select(F.col(self.other_column).alias("_ref")).distinct() \
@@ -179,12 +179,14 @@ class InSetOf(Expectation):
                      F.count_if(F.col("_ref").isNotNull() & F.col("_hit").isNull()).alias("n_bad"))
 
 
-class _ObservedInSet(Expectation):
+class InValues(Expectation):
+    """Every non-NULL value is one of the given values (a literal set, sized
+    by the caller: a rule parameter or a bounded probe of another table)."""
     row_level = True
 
-    def __init__(self, column: str, values: list):
-        self.column, self.values = column, values
-        self.rule_name = "in_set_of"
+    def __init__(self, column: str, values: Iterable, rule_name: str = "in_values"):
+        self.column, self.values = column, list(values)
+        self.rule_name = rule_name
 
     def bad(self) -> Column:
         c = F.col(self.column)

@@ -11,7 +11,7 @@ project, and assign dense surrogate keys.  The racing configuration
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -19,8 +19,9 @@ from pyspark.sql import types as T
 
 from ..functions import assemble_datetimes, rename, sentinel_to_null, try_cast_columns
 from ..operators import check, dense_keys, latest_per_key
-from ..operators.quality import Expectation, ExpectationError, NotNull, observed_metrics
-from ..sources import RAW_COL, flatten_json, load_or_upsert
+from ..operators.quality import (DistinctEquals, Expectation, ExpectationError, InValues, NotNull,
+                                observed_metrics)
+from ..sources import RAW_COL, TableStore, flatten_json, load_or_upsert, read
 
 
 @dataclass
@@ -57,12 +58,6 @@ def flatten(raw: DataFrame, spec: EntitySpec, payload_col: str = RAW_COL) -> Dat
                         payload_col, keep=[RAW_HASH])
 
 
-def gate(flat: DataFrame, spec: EntitySpec, extra: Sequence[Expectation] = ()) -> list[dict]:
-    """Quality gate on the raw rows, all rules in one evaluation."""
-    rules = list(spec.rules) + list(spec.set_rules(flat) if spec.set_rules else []) + list(extra)
-    return check(flat, rules)
-
-
 def refine(flat: DataFrame, spec: EntitySpec) -> DataFrame:
     """Latest version per key, then clean, type, rename and project."""
     tiebreak = list(spec.tiebreak) + ([RAW_HASH] if RAW_HASH in flat.columns else [])
@@ -144,9 +139,6 @@ def silver_job(raw: DataFrame, spec: EntitySpec, table: str | None = None,
     sync carry newer ``updated_at`` (the extract cursor), so the newest
     version still wins.  In this mode set-completeness rules (expected
     seasons) are checked on the batch as "no unexpected value" only."""
-    from ..operators.quality import DistinctEquals, _ObservedInSet
-    from ..sources.catalog import TableStore
-
     name = table or spec.name
     cursor = None
     batch = raw
@@ -156,12 +148,12 @@ def silver_job(raw: DataFrame, spec: EntitySpec, table: str | None = None,
             batch = raw.where(F.col(INGESTED) > F.timestamp_micros(F.lit(last)))
         top = batch.agg(F.max(F.unix_micros(F.col(INGESTED))).alias("c")).first()["c"]
         if top is None and last is not None:
-            return _read_table(raw.sparkSession, name)  # nothing new since the last refresh
+            return read(raw.sparkSession, name)  # nothing new since the last refresh
         cursor = top
         if last is not None:
-            spec = _subset_rules(spec)
-            extra_rules = [(_ObservedInSet(r.column, list(r.values)) if isinstance(r, DistinctEquals) else r)
-                           for r in extra_rules]
+            # a batch need not cover every expected value: only "no stranger"
+            spec = replace(spec, rules=[_subset(r) for r in spec.rules])
+            extra_rules = [_subset(r) for r in extra_rules]
     df = prepare(batch, spec, run_gate, extra_rules)
     delete_keys = None
     if incremental and spec.after_dedup is not None:
@@ -176,14 +168,7 @@ def silver_job(raw: DataFrame, spec: EntitySpec, table: str | None = None,
                           cursor=cursor, delete_keys=delete_keys, validate=not gated_keys)
 
 
-def _subset_rules(spec: EntitySpec) -> EntitySpec:
-    from dataclasses import replace
-
-    from ..operators.quality import DistinctEquals, _ObservedInSet
-    rules = [(_ObservedInSet(r.column, list(r.values)) if isinstance(r, DistinctEquals) else r) for r in spec.rules]
-    return replace(spec, rules=rules)
-
-
-def _read_table(spark, name: str) -> DataFrame:
-    from ..sources import read
-    return read(spark, name)
+def _subset(rule: Expectation) -> Expectation:
+    if isinstance(rule, DistinctEquals):
+        return InValues(rule.column, rule.values, rule_name=rule.rule_name)
+    return rule
