@@ -27,6 +27,7 @@ from ..functions import NULL_SENTINEL, join_text, rename, to_day
 from ..operators import (DistinctEquals, InSetOf, NotNull, attach_dimensions, join_dimension,
                          lookup_keys, union_tagged)
 from ..sources import TableStore, load_or_upsert, pack_json, read, save, scan
+from ..session import warehouse_root
 from .entities import EntitySpec, silver_frame, silver_job
 
 # Fixed values of the raw rule.
@@ -71,6 +72,17 @@ def pack_results(li: DataFrame) -> DataFrame:
         "updated_at": "l_shipdate"})
 
 
+def _in_parallel(tasks: dict, workers: int) -> dict:
+    """Run independent Spark jobs from a few driver threads; re-raise the
+    first failure (a failed gate stops the refresh)."""
+    from concurrent.futures import ThreadPoolExecutor
+    if workers <= 1:
+        return {k: f() for k, f in tasks.items()}
+    with ThreadPoolExecutor(max_workers=workers) as pool:
+        futures = {k: pool.submit(f) for k, f in tasks.items()}
+        return {k: fut.result() for k, fut in futures.items()}
+
+
 def _fingerprint(spark: SparkSession, folder: str) -> tuple:
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(folder)
@@ -349,39 +361,57 @@ class StarPipeline:
                  "dim_race": ["race_key"], "dim_status": ["status_key"],
                  "fct_race_result": ["result_id"], "fct_sprint_result": ["result_id"]}
 
-    def publish(self, timer=None, num_buckets: int | None = None) -> dict[str, DataFrame]:
+    def publish(self, timer=None, num_buckets: int | None = None, parallel: int = 4) -> dict[str, DataFrame]:
         """Sync raw tables, refresh silver (upsert with keys), rebuild gold
         and the report, each layer written as a published table and read
         back by the next one.  Raw rows are stamped with ``_ingested_at`` and
         silver tables are stored in key buckets, so a later refresh reads
-        only new raw rows and rewrites only touched buckets.  ``timer(stage)``
-        is a context manager used to time the stages."""
+        only new raw rows and rewrites only touched buckets.
+
+        Independent jobs of a layer are submitted from ``parallel`` driver
+        threads, so small tables do not leave the cluster idle while one job
+        waits on a single task (dependencies: status before the results,
+        silver before gold, gold before the report).  ``timer(stage)`` is a
+        context manager used to time the stages."""
         import contextlib
         timer = timer or (lambda _stage: contextlib.nullcontext())
         out: dict[str, DataFrame] = {}
+        warehouse_root(self.spark)  # resolve shared settings before threads start
+
+        def bronze_of(entity: str) -> str:
+            return "bronze_result" if entity.endswith("_result") else f"bronze_{entity}"
+
+        def sync(name: str) -> DataFrame:
+            src = self.raw_result if name == "bronze_result" else getattr(self, name.replace("bronze_", "raw_"))
+            save(src.withColumn("_ingested_at", F.current_timestamp()), name, mode="append")
+            return read(self.spark, name)
+
+        def silver(entity: str) -> DataFrame:
+            extra = [InSetOf("statusname", out["silver_status"], "status_name")] \
+                if entity.endswith("_result") else []
+            return silver_job(out[bronze_of(entity)], self.SILVER[entity], run_gate=self.run_gates,
+                              extra_rules=extra, incremental=True, num_buckets=num_buckets)
+
         with timer("sync_bronze"):
-            for entity in self.SILVER:
-                src = getattr(self, "raw_result" if entity.endswith("_result") else f"raw_{entity}")
-                name = "bronze_result" if entity.endswith("_result") else f"bronze_{entity}"
-                if name not in out:
-                    save(src.withColumn("_ingested_at", F.current_timestamp()), name, mode="append")
-                    out[name] = read(self.spark, name)
+            names = list(dict.fromkeys(bronze_of(e) for e in self.SILVER))
+            out.update(_in_parallel({n: (lambda n=n: sync(n)) for n in names}, parallel))
         with timer("silver"):
-            for entity, spec in self.SILVER.items():
-                raw = out["bronze_result" if entity.endswith("_result") else f"bronze_{entity}"]
-                # known statuses = the refreshed status table (same keys as its raw rows)
-                extra = [InSetOf("statusname", out["silver_status"], "status_name")] \
-                    if entity.endswith("_result") else []
-                table = silver_job(raw, spec, run_gate=self.run_gates, extra_rules=extra,
-                                   incremental=True, num_buckets=num_buckets)
-                self.__dict__[f"silver_{entity}"] = table
-                out[f"silver_{entity}"] = table
+            # known statuses = the refreshed status table (same keys as its raw rows)
+            out["silver_status"] = silver("status")
+            rest = [e for e in self.SILVER if e != "status"]
+            done = _in_parallel({e: (lambda e=e: silver(e)) for e in rest}, parallel)
+            out.update({f"silver_{e}": t for e, t in done.items()})
+            for e in self.SILVER:
+                self.__dict__[f"silver_{e}"] = out[f"silver_{e}"]
         with timer("gold"):
-            for name, keys in self.GOLD_KEYS.items():
+            def gold(name: str) -> DataFrame:
                 # facts are bucketed like silver so that result changes rewrite
                 # only their buckets; dimensions are small next to them
                 buckets = num_buckets if name.startswith("fct_") else None
-                table = load_or_upsert(getattr(self, name), f"gold_{name}", keys, num_buckets=buckets)
+                return load_or_upsert(getattr(self, name), f"gold_{name}", self.GOLD_KEYS[name],
+                                      num_buckets=buckets)
+            done = _in_parallel({n: (lambda n=n: gold(n)) for n in self.GOLD_KEYS}, parallel)
+            for name, table in done.items():
                 self.__dict__[name] = table
                 out[f"gold_{name}"] = table
         with timer("report"):
@@ -406,18 +436,16 @@ class StarPipeline:
         touched = flatten_json(new_raw, _RESULT_SCHEMA).select(F.col("resultid").alias("result_id")) \
             .distinct().checkpoint(eager=True)
         statuses = read(self.spark, "silver_status")
-        out = {}
-        for entity in ("race_result", "sprint_result"):
-            out[entity] = silver_job(raw, self.SILVER[entity], run_gate=self.run_gates, incremental=True,
-                                     num_buckets=num_buckets,
-                                     extra_rules=[InSetOf("statusname", statuses, "status_name")])
+        out = _in_parallel({entity: (lambda entity=entity: silver_job(
+            raw, self.SILVER[entity], run_gate=self.run_gates, incremental=True, num_buckets=num_buckets,
+            extra_rules=[InSetOf("statusname", statuses, "status_name")]))
+            for entity in ("race_result", "sprint_result")}, 2)
         # gold facts of the touched results only (a result that moved to the
         # other table is deleted from this one), then their report rows
-        facts = {}
-        for entity, fact in (("race_result", "fct_race_result"), ("sprint_result", "fct_sprint_result")):
-            changed = self._fact(out[entity].join(touched, "result_id", "left_semi"))
-            facts[fact] = changed
-            out[fact] = load_or_upsert(changed, f"gold_{fact}", ["result_id"], delete_keys=touched)
+        pairs = (("race_result", "fct_race_result"), ("sprint_result", "fct_sprint_result"))
+        facts = {fact: self._fact(out[entity].join(touched, "result_id", "left_semi")) for entity, fact in pairs}
+        out.update(_in_parallel({fact: (lambda fact=fact: load_or_upsert(
+            facts[fact], f"gold_{fact}", ["result_id"], delete_keys=touched)) for _, fact in pairs}, 2))
         rows = self._report(facts["fct_race_result"], facts["fct_sprint_result"])
         gone = touched.select(F.col("result_id").alias("result_key"),
                               F.explode(F.array(F.lit("full_race"), F.lit("sprint"))).alias("race_type"))

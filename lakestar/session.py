@@ -19,6 +19,8 @@ BASE_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # jobs submitted from several driver threads share the cores fairly
+    "spark.scheduler.mode": "FAIR",
     # remove checkpoint files once their DataFrames are garbage collected
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
