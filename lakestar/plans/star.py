@@ -83,6 +83,37 @@ def _in_parallel(tasks: dict, workers: int) -> dict:
         return {k: fut.result() for k, fut in futures.items()}
 
 
+def _driver_fields() -> dict[str, Column]:
+    k = F.col("c_custkey")
+    return {"driverid": k, "driverref": F.col("c_name"), "number": dirty(F.col("c_nationkey"), k),
+            "forename": F.col("c_mktsegment"), "surname": F.col("c_name")}
+
+
+def _constructor_fields() -> dict[str, Column]:
+    return {"constructorid": F.col("s_suppkey"), "constructorref": F.col("s_name"),
+            "name": F.col("s_name"), "nationality": F.col("s_nationkey")}
+
+
+def _dim_constructor(silver: DataFrame) -> DataFrame:
+    return rename(silver.select("constructor_key", "constructor_ref", "name", "nationality", "updated_at"),
+                  {"name": "constructor_name", "nationality": "constructor_nationality"})
+
+
+def _dim_driver(silver: DataFrame) -> DataFrame:
+    d = silver.withColumn("driver_fullname", join_text("forename", "surname"))
+    return rename(d.select("driver_key", "driver_ref", "number", "forename", "surname",
+                           "driver_fullname", "updated_at"),
+                  {"number": "driver_number", "forename": "driver_forename", "surname": "driver_surname"})
+
+
+# entity -> (source key, raw fields, bronze table, dimension builder, dimension, key column)
+_DIMENSIONS = {
+    "driver": ("c_custkey", _driver_fields, "bronze_driver", _dim_driver, "dim_driver", "driver_key"),
+    "constructor": ("s_suppkey", _constructor_fields, "bronze_constructor", _dim_constructor,
+                    "dim_constructor", "constructor_key"),
+}
+
+
 def _fingerprint(spark: SparkSession, folder: str) -> tuple:
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(folder)
@@ -209,18 +240,13 @@ class StarPipeline:
 
     @cached_property
     def raw_driver(self) -> DataFrame:
-        k = F.col("c_custkey")
-        return raw_with_history(self.table("customer"), "c_custkey", {
-            "driverid": k, "driverref": F.col("c_name"), "number": dirty(F.col("c_nationkey"), k),
-            "forename": F.col("c_mktsegment"), "surname": F.col("c_name")},
-            ["driverref", "number", "forename", "surname"])
+        return raw_with_history(self.table("customer"), "c_custkey", _driver_fields(),
+                                ["driverref", "number", "forename", "surname"])
 
     @cached_property
     def raw_constructor(self) -> DataFrame:
-        return raw_with_history(self.table("supplier"), "s_suppkey", {
-            "constructorid": F.col("s_suppkey"), "constructorref": F.col("s_name"),
-            "name": F.col("s_name"), "nationality": F.col("s_nationkey")},
-            ["constructorref", "name"])
+        return raw_with_history(self.table("supplier"), "s_suppkey", _constructor_fields(),
+                                ["constructorref", "name"])
 
     @cached_property
     def raw_race(self) -> DataFrame:
@@ -282,17 +308,11 @@ class StarPipeline:
     # ---- gold dimensions -------------------------------------------------
     @cached_property
     def dim_constructor(self) -> DataFrame:
-        return rename(self.silver_constructor.select("constructor_key", "constructor_ref", "name",
-                                                     "nationality", "updated_at"),
-                      {"name": "constructor_name", "nationality": "constructor_nationality"})
+        return _dim_constructor(self.silver_constructor)
 
     @cached_property
     def dim_driver(self) -> DataFrame:
-        d = self.silver_driver.withColumn("driver_fullname", join_text("forename", "surname"))
-        return rename(d.select("driver_key", "driver_ref", "number", "forename", "surname",
-                               "driver_fullname", "updated_at"),
-                      {"number": "driver_number", "forename": "driver_forename",
-                       "surname": "driver_surname"})
+        return _dim_driver(self.silver_driver)
 
     @cached_property
     def dim_race(self) -> DataFrame:
@@ -452,3 +472,35 @@ class StarPipeline:
         out["report_result"] = load_or_upsert(rows, "gold_report_result", ["result_key", "race_type"],
                                               delete_keys=gone)
         return out
+
+    def refresh_dimension(self, entity: str, changed_rows: DataFrame, num_buckets: int | None = None) -> dict:
+        """Carry changed source rows of a dimension (``driver`` or
+        ``constructor``; same columns as its source table) through silver,
+        the gold dimension and every report row that shows them: only the
+        facts of the touched surrogate keys are re-joined, and the report is
+        upserted on (result_key, race_type)."""
+        from ..sources import flatten_json
+        src_key, fields, bronze, build_dim, dim_name, key_col = _DIMENSIONS[entity]
+        spec = self.SILVER[entity]
+        raw = pack_json(changed_rows.select(*[c.alias(n) for n, c in fields().items()],
+                                            F.current_timestamp().cast(TS).alias("updated_at")))
+        save(raw.withColumn("_ingested_at", F.current_timestamp()), bronze, mode="append")
+        all_raw = read(self.spark, bronze)
+        cursor = TableStore(self.spark, spec.name).cursor()
+        new_raw = all_raw if cursor is None else \
+            all_raw.where(F.col("_ingested_at") > F.timestamp_micros(F.lit(cursor)))
+        natural = spec.key_order[0]
+        touched_ids = flatten_json(new_raw, spec.raw_schema) \
+            .select(F.col(spec.natural_key[0]).alias(natural)).distinct().checkpoint(eager=True)
+        out = {"silver": silver_job(all_raw, spec, run_gate=self.run_gates, incremental=True,
+                                    num_buckets=num_buckets)}
+        self.__dict__[f"silver_{entity}"] = out["silver"]
+        changed_silver = out["silver"].join(touched_ids, natural, "left_semi")
+        out["dim"] = load_or_upsert(build_dim(changed_silver), f"gold_{dim_name}", [key_col])
+        self.__dict__[dim_name] = out["dim"]
+        keys = changed_silver.select(key_col).distinct()
+        fr = self.fct_race_result.join(keys, key_col, "left_semi")
+        fs = self.fct_sprint_result.join(keys, key_col, "left_semi")
+        out["report"] = load_or_upsert(self._report(fr, fs), "gold_report_result", ["result_key", "race_type"])
+        self.__dict__["report"] = out["report"]
+        return out

@@ -49,3 +49,25 @@ def test_incremental_results_equal_full_rebuild(spark):
                      full.fct_race_result.select(*fcols))
     finally:
         spark.conf.unset("lakestar.warehouse")
+
+
+def test_dimension_change_reaches_every_report_row(spark):
+    from lakestar.plans.star import _driver_fields, raw_with_history
+    spark.conf.set("lakestar.warehouse", scratch_path(spark, "wh-dim"))
+    try:
+        p = StarPipeline(spark, SF)
+        p.publish(num_buckets=4)
+        cust = spark.read.parquet(f"{SF}/customer.parquet")
+        changed = cust.sample(fraction=0.1, seed=5).withColumn("c_name", F.concat("c_name", F.lit("_renamed")))
+        p.refresh_dimension("driver", changed)
+        updated = cust.join(changed.select("c_custkey"), "c_custkey", "left_anti").unionByName(changed)
+        full = StarPipeline(spark, SF)
+        full.__dict__["raw_driver"] = raw_with_history(updated, "c_custkey", _driver_fields(),
+                                                       ["driverref", "number", "forename", "surname"])
+        cols = ["result_key", "race_type", "driver_fullname", "constructor_name", "points"]
+        assert read(spark, "gold_report_result").where(F.col("driver_fullname").endswith("_renamed")).count() > 0
+        assert _same(read(spark, "gold_report_result").select(*cols), full.report.select(*cols))
+        dcols = ["driver_key", "driver_ref", "driver_fullname"]
+        assert _same(read(spark, "gold_dim_driver").select(*dcols), full.dim_driver.select(*dcols))
+    finally:
+        spark.conf.unset("lakestar.warehouse")
