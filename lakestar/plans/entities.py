@@ -172,3 +172,15 @@ def _subset(rule: Expectation) -> Expectation:
     if isinstance(rule, DistinctEquals):
         return InValues(rule.column, rule.values, rule_name=rule.rule_name)
     return rule
+
+
+def in_parallel(tasks: Mapping[str, Callable[[], DataFrame]], workers: int = 4) -> dict:
+    """Run independent Spark jobs from a few driver threads (Spark schedules
+    them side by side; FAIR mode shares the cores) and re-raise the first
+    failure, so a failed gate still stops the refresh."""
+    from concurrent.futures import ThreadPoolExecutor
+    if workers <= 1:
+        return {k: f() for k, f in tasks.items()}
+    with ThreadPoolExecutor(max_workers=workers) as pool:
+        futures = {k: pool.submit(f) for k, f in tasks.items()}
+        return {k: fut.result() for k, fut in futures.items()}

@@ -28,7 +28,7 @@ from ..operators import (DistinctEquals, InSetOf, NotNull, attach_dimensions, jo
                          lookup_keys, union_tagged)
 from ..sources import TableStore, load_or_upsert, pack_json, read, save, scan
 from ..session import warehouse_root
-from .entities import EntitySpec, silver_frame, silver_job
+from .entities import EntitySpec, in_parallel as _in_parallel, silver_frame, silver_job
 
 # Fixed values of the raw rule.
 FRESH_TS = "2024-01-02 00:00:00"
@@ -72,17 +72,6 @@ def pack_results(li: DataFrame) -> DataFrame:
         "updated_at": "l_shipdate"})
 
 
-def _in_parallel(tasks: dict, workers: int) -> dict:
-    """Run independent Spark jobs from a few driver threads; re-raise the
-    first failure (a failed gate stops the refresh)."""
-    from concurrent.futures import ThreadPoolExecutor
-    if workers <= 1:
-        return {k: f() for k, f in tasks.items()}
-    with ThreadPoolExecutor(max_workers=workers) as pool:
-        futures = {k: pool.submit(f) for k, f in tasks.items()}
-        return {k: fut.result() for k, fut in futures.items()}
-
-
 def _driver_fields() -> dict[str, Column]:
     k = F.col("c_custkey")
     return {"driverid": k, "driverref": F.col("c_name"), "number": dirty(F.col("c_nationkey"), k),
