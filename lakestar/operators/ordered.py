@@ -146,7 +146,9 @@ def with_range_bucket(df: DataFrame, order: Order, seed: int = 17) -> tuple[Data
         return df.withColumn(BUCKET, F.lit(0)), 1
     fraction = min(1.0, 20.0 * buckets / max(n, 1))
     cols = [c for c, _ in order]
-    sample = df.select(*cols).sample(fraction=fraction, seed=seed).orderBy(*sort_exprs(order)).collect()
+    # about 20 rows per bucket expected; the limit makes the bound hard
+    sample = df.select(*cols).sample(fraction=fraction, seed=seed).limit(100 * buckets) \
+               .orderBy(*sort_exprs(order)).collect()
     if not sample:
         return df.withColumn(BUCKET, F.lit(0)), 1
     step = len(sample) / buckets
