@@ -83,6 +83,19 @@ def _constructor_fields() -> dict[str, Column]:
             "name": F.col("s_name"), "nationality": F.col("s_nationkey")}
 
 
+def _circuit_fields() -> dict[str, Column]:
+    k = F.col("n_nationkey")
+    return {"circuitid": k, "name": F.col("n_name"), "country": F.col("r_name"),
+            "alt": dirty(F.col("n_regionkey"), k)}
+
+
+def _race_fields() -> dict[str, Column]:
+    k = F.col("o_orderkey")
+    return {"raceid": k, "circuitid": F.col("c_nationkey"), "driverid": F.col("o_custkey"),
+            "year": F.year("o_orderdate").cast("bigint"), "date": F.to_date("o_orderdate").cast("string"),
+            "time": F.when(k % 7 == 0, F.lit(NULL_SENTINEL)).otherwise(F.lit(RACE_TIME))}
+
+
 def _dim_constructor(silver: DataFrame) -> DataFrame:
     return rename(silver.select("constructor_key", "constructor_ref", "name", "nationality", "updated_at"),
                   {"name": "constructor_name", "nationality": "constructor_nationality"})
@@ -95,14 +108,6 @@ def _dim_driver(silver: DataFrame) -> DataFrame:
                   {"number": "driver_number", "forename": "driver_forename", "surname": "driver_surname"})
 
 
-# entity -> (source key, raw fields, bronze table, dimension builder, dimension, key column)
-_DIMENSIONS = {
-    "driver": ("c_custkey", _driver_fields, "bronze_driver", _dim_driver, "dim_driver", "driver_key"),
-    "constructor": ("s_suppkey", _constructor_fields, "bronze_constructor", _dim_constructor,
-                    "dim_constructor", "constructor_key"),
-}
-
-
 def _fingerprint(spark: SparkSession, folder: str) -> tuple:
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(folder)
@@ -221,11 +226,15 @@ class StarPipeline:
     # ---- raw (bronze) tables ------------------------------------------
     @cached_property
     def raw_circuit(self) -> DataFrame:
-        n = self.table("nation").join(self.table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
-        k = F.col("n_nationkey")
-        return raw_with_history(n, "n_nationkey", {
-            "circuitid": k, "name": F.col("n_name"), "country": F.col("r_name"),
-            "alt": dirty(F.col("n_regionkey"), k)}, ["name", "country", "alt"])
+        return raw_with_history(self._circuit_source(self.table("nation")), "n_nationkey",
+                                _circuit_fields(), ["name", "country", "alt"])
+
+    def _circuit_source(self, nation: DataFrame) -> DataFrame:
+        return nation.join(self.table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
+
+    def _race_source(self, orders: DataFrame) -> DataFrame:
+        return orders.join(self.table("customer").select("c_custkey", "c_nationkey"),
+                           F.col("o_custkey") == F.col("c_custkey"))
 
     @cached_property
     def raw_driver(self) -> DataFrame:
@@ -239,15 +248,8 @@ class StarPipeline:
 
     @cached_property
     def raw_race(self) -> DataFrame:
-        o = self.table("orders").join(self.table("customer").select("c_custkey", "c_nationkey"),
-                                      F.col("o_custkey") == F.col("c_custkey"))
-        k = F.col("o_orderkey")
-        return raw_with_history(o, "o_orderkey", {
-            "raceid": k, "circuitid": F.col("c_nationkey"), "driverid": F.col("o_custkey"),
-            "year": F.year("o_orderdate").cast("bigint"),
-            "date": F.to_date("o_orderdate").cast("string"),
-            "time": F.when(k % 7 == 0, F.lit(NULL_SENTINEL)).otherwise(F.lit(RACE_TIME))},
-            ["date", "time"])
+        return raw_with_history(self._race_source(self.table("orders")), "o_orderkey", _race_fields(),
+                                ["date", "time"])
 
     @cached_property
     def raw_result(self) -> DataFrame:
@@ -305,7 +307,10 @@ class StarPipeline:
 
     @cached_property
     def dim_race(self) -> DataFrame:
-        r = join_dimension(self.silver_race.drop("updated_at"), self.silver_circuit, "circuit_id",
+        return self._dim_race(self.silver_race)
+
+    def _dim_race(self, races: DataFrame) -> DataFrame:
+        r = join_dimension(races.drop("updated_at"), self.silver_circuit, "circuit_id",
                            ["circuit_name", "circuit_country", "circuit_alt"], how="inner")
         return r.withColumn("race_date", to_day("race_datetime")) \
                 .select("race_key", "circuit_name", "circuit_country", "circuit_alt", "race_year",
@@ -463,16 +468,29 @@ class StarPipeline:
         return out
 
     def refresh_dimension(self, entity: str, changed_rows: DataFrame, num_buckets: int | None = None) -> dict:
-        """Carry changed source rows of a dimension (``driver`` or
-        ``constructor``; same columns as its source table) through silver,
-        the gold dimension and every report row that shows them: only the
-        facts of the touched surrogate keys are re-joined, and the report is
-        upserted on (result_key, race_type)."""
+        """Carry changed source rows of a dimension through silver, the gold
+        dimension and every report row that shows them (attribute changes;
+        ``changed_rows`` has the columns of the entity's source table):
+
+        * ``driver`` / ``constructor``: the dimension rows of the touched
+          keys, then the report rows of their facts;
+        * ``race``: the race dimension rows, the facts of those races (a
+          result's driver comes through its race here), their report rows;
+        * ``circuit``: the race dimension rows of races at those circuits,
+          then their report rows.
+
+        Only facts of touched keys are re-joined; the report is upserted on
+        (result_key, race_type)."""
         from ..sources import flatten_json
-        src_key, fields, bronze, build_dim, dim_name, key_col = _DIMENSIONS[entity]
         spec = self.SILVER[entity]
-        raw = pack_json(changed_rows.select(*[c.alias(n) for n, c in fields().items()],
-                                            F.current_timestamp().cast(TS).alias("updated_at")))
+        sources = {"driver": (lambda d: d, _driver_fields, "bronze_driver"),
+                   "constructor": (lambda d: d, _constructor_fields, "bronze_constructor"),
+                   "race": (self._race_source, _race_fields, "bronze_race"),
+                   "circuit": (self._circuit_source, _circuit_fields, "bronze_circuit")}
+        prepare_src, fields, bronze = sources[entity]
+        src = prepare_src(changed_rows)
+        raw = pack_json(src.select(*[c.alias(n) for n, c in fields().items()],
+                                   F.current_timestamp().cast(TS).alias("updated_at")))
         save(raw.withColumn("_ingested_at", F.current_timestamp()), bronze, mode="append")
         all_raw = read(self.spark, bronze)
         cursor = TableStore(self.spark, spec.name).cursor()
@@ -485,9 +503,28 @@ class StarPipeline:
                                     num_buckets=num_buckets)}
         self.__dict__[f"silver_{entity}"] = out["silver"]
         changed_silver = out["silver"].join(touched_ids, natural, "left_semi")
-        out["dim"] = load_or_upsert(build_dim(changed_silver), f"gold_{dim_name}", [key_col])
-        self.__dict__[dim_name] = out["dim"]
-        keys = changed_silver.select(key_col).distinct()
+
+        if entity in ("driver", "constructor"):
+            build, dim_name, key_col = {"driver": (_dim_driver, "dim_driver", "driver_key"),
+                                        "constructor": (_dim_constructor, "dim_constructor",
+                                                        "constructor_key")}[entity]
+            out["dim"] = load_or_upsert(build(changed_silver), f"gold_{dim_name}", [key_col])
+            self.__dict__[dim_name] = out["dim"]
+            keys = changed_silver.select(key_col).distinct()
+        else:
+            races = changed_silver if entity == "race" else \
+                self.silver_race.join(touched_ids, "circuit_id", "left_semi")
+            out["dim"] = load_or_upsert(self._dim_race(races), "gold_dim_race", ["race_key"])
+            self.__dict__["dim_race"] = out["dim"]
+            key_col = "race_key"
+            keys = races.select(key_col).distinct().checkpoint(eager=True)
+            if entity == "race":
+                # facts of the touched races: their driver may have changed
+                race_ids = changed_silver.select("race_id")
+                for res, fact in (("race_result", "fct_race_result"), ("sprint_result", "fct_sprint_result")):
+                    results = getattr(self, f"silver_{res}").join(race_ids, "race_id", "left_semi")
+                    out[fact] = load_or_upsert(self._fact(results), f"gold_{fact}", ["result_id"])
+                    self.__dict__[fact] = out[fact]
         fr = self.fct_race_result.join(keys, key_col, "left_semi")
         fs = self.fct_sprint_result.join(keys, key_col, "left_semi")
         out["report"] = load_or_upsert(self._report(fr, fs), "gold_report_result", ["result_key", "race_type"])

@@ -71,3 +71,36 @@ def test_dimension_change_reaches_every_report_row(spark):
         assert _same(read(spark, "gold_dim_driver").select(*dcols), full.dim_driver.select(*dcols))
     finally:
         spark.conf.unset("lakestar.warehouse")
+
+
+def test_race_and_circuit_changes_reach_the_report(spark):
+    from lakestar.plans.star import _circuit_fields, _race_fields, raw_with_history
+    spark.conf.set("lakestar.warehouse", scratch_path(spark, "wh-race"))
+    try:
+        p = StarPipeline(spark, SF)
+        p.publish(num_buckets=4)
+        orders = spark.read.parquet(f"{SF}/orders.parquet")
+        nation = spark.read.parquet(f"{SF}/nation.parquet")
+        cust = spark.read.parquet(f"{SF}/customer.parquet").select("c_custkey")
+        # races move ten days later and change driver; two circuits are renamed
+        o_changed = orders.sample(fraction=0.1, seed=9) \
+            .withColumn("o_orderdate", F.col("o_orderdate") + F.expr("interval 10 days")) \
+            .join(cust.withColumnRenamed("c_custkey", "new_cust"), F.col("new_cust") == (F.col("o_custkey") % 150) + 1) \
+            .withColumn("o_custkey", F.col("new_cust")).drop("new_cust")
+        n_changed = nation.where(F.col("n_nationkey").isin(3, 7)).withColumn("n_name", F.concat("n_name", F.lit("_X")))
+        p.refresh_dimension("race", o_changed)
+        p.refresh_dimension("circuit", n_changed)
+        o_all = orders.join(o_changed.select("o_orderkey"), "o_orderkey", "left_anti").unionByName(o_changed)
+        n_all = nation.join(n_changed.select("n_nationkey"), "n_nationkey", "left_anti").unionByName(n_changed)
+        full = StarPipeline(spark, SF)
+        full.__dict__["raw_race"] = raw_with_history(full._race_source(o_all), "o_orderkey", _race_fields(),
+                                                     ["date", "time"])
+        full.__dict__["raw_circuit"] = raw_with_history(full._circuit_source(n_all), "n_nationkey",
+                                                        _circuit_fields(), ["name", "country", "alt"])
+        cols = ["result_key", "race_type", "race_year", "race_date", "circuit_name", "circuit_country",
+                "driver_fullname", "constructor_name", "status_name", "position_order", "points"]
+        got = read(spark, "gold_report_result").select(*cols)
+        assert got.where(F.col("circuit_name").endswith("_X")).count() > 0
+        assert _same(got, full.report.select(*cols))
+    finally:
+        spark.conf.unset("lakestar.warehouse")
