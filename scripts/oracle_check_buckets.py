@@ -1,0 +1,16 @@
+"""The oracle check with the range-bucket paths forced on (a low row
+threshold), so dense keys and season ranks run bucketed on real data.
+
+usage: python scripts/oracle_check_buckets.py [sf_dir] [query ...]
+"""
+
+import os
+import runpy
+import sys
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+import lakestar.operators.ordered as ordered  # noqa: E402
+
+ordered.MIN_ROWS_PER_BUCKET = 5000
+runpy.run_path(os.path.join(os.path.dirname(os.path.abspath(__file__)), "oracle_check.py"), run_name="__main__")
