@@ -187,6 +187,9 @@ def test_incremental_bucketed_refresh_equals_full(spark, warehouse):
                       {"driverid": 0, "driverref": "zero", "number": "1", "code": "ZER", "forename": "Zed",
                        "surname": "Zero", "dob": "1980-01-01", "nationality": "Z", "url": "d0",
                        "updated_at": T2}]
+    monza = dict(batch1()["circuit"][2], name="Monza Nuova", updated_at=T2)
+    news["circuit"] = [monza]
+    news["race_result"] = [dict(batch1()["race_result"][4], points=26.0, updated_at=T2)]
     second = {k: (first[k].unionByName(raw(spark, v).withColumn(
         "_ingested_at", F.lit("2024-02-02 00:00:00").cast("timestamp"))) if v else first[k])
         for k, v in news.items()}
@@ -200,3 +203,12 @@ def test_incremental_bucketed_refresh_equals_full(spark, warehouse):
     racing.run_silver(second, seasons=[2022, 2023], incremental=True)
     assert len(TableStore(spark, "silver_race")._versions()) == races_before
     assert out["report_result"].where("driver_fullname = 'Sir Lewis Hamilton'").count() == 5
+    # gold was refreshed for the changed keys only; it equals a rebuild from silver
+    sv = {k[len("silver_"):]: v for k, v in out.items() if k.startswith("silver_")}
+    full = racing.report(racing.fct_race_result(sv), racing.fct_sprint_result(sv),
+                         racing.dim_race(sv["race"], sv["circuit"]), racing.dim_driver(sv["driver"]),
+                         racing.dim_constructor(sv["constructor"]), racing.dim_status(sv["status"]))
+    got = read(spark, "gold_report_result")
+    assert got.exceptAll(full).count() == 0 and full.exceptAll(got).count() == 0
+    assert got.where("circuit_name = 'Monza Nuova'").count() == 5
+    assert got.where("points = 26.0").count() == 1
