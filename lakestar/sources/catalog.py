@@ -240,6 +240,17 @@ def save(df: DataFrame, name: str, mode: str = "overwrite",
     return path
 
 
+def compact(spark: SparkSession, name: str) -> str:
+    """Fold the live table (a snap plus its ``part``/``add`` versions) into
+    one new snapshot with the same bucketing and cursor, so readers list one
+    version again after many incremental refreshes."""
+    store = TableStore(spark, name)
+    bucketing = store.bucketing()
+    df = read(spark, name)  # old versions are never overwritten: safe to read while writing
+    n, keys = bucketing if bucketing else (None, [])
+    return save(df, name, mode="overwrite", bucket_by=keys, num_buckets=n, cursor=store.cursor())
+
+
 def ensure_table(spark: SparkSession, name: str, schema: T.StructType) -> None:
     """Create an empty table with a declared schema unless it exists."""
     if not table_exists(spark, name):

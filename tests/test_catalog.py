@@ -92,3 +92,18 @@ def test_ensure_table_and_declared_schema(spark, warehouse):
     save(spark.createDataFrame([(1, "a", 9)], "k int, name string, extra int"), "t5", schema=schema)
     df = read(spark, "t5")
     assert df.schema == schema and df.collect()[0]["k"] == 1
+
+
+def test_compact_folds_parts_into_one_snapshot(spark, warehouse):
+    from lakestar.sources import compact
+    from lakestar.sources.catalog import TableStore
+    base = spark.range(0, 100).select(F.col("id").cast("int").alias("id"), F.col("id").alias("v"))
+    load_or_upsert(base, "tc", ["id"], num_buckets=4)
+    for i in range(3):
+        load_or_upsert(spark.createDataFrame([(i, 1000 + i)], "id int, v long"), "tc", ["id"])
+    store = TableStore(spark, "tc")
+    before = sorted(tuple(r) for r in read(spark, "tc").collect())
+    assert len(store._since_snap()) == 4
+    compact(spark, "tc")
+    assert len(store._since_snap()) == 1 and store.bucketing() == (4, ["id"])
+    assert sorted(tuple(r) for r in read(spark, "tc").collect()) == before
