@@ -301,8 +301,8 @@ def q_dangerous_circuits(spark, sf_dir):
 
 
 def q_stream_refresh(spark, sf_dir):
-    from ..streaming.refresh import refresh_events_demo
-    return refresh_events_demo(spark, sf_dir)
+    from ..streaming.refresh import refresh_events_in_waves
+    return refresh_events_in_waves(spark, sf_dir)
 
 
 QUERIES: dict[str, Query] = {

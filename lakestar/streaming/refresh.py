@@ -71,7 +71,7 @@ def refresh_latest(spark: SparkSession, bronze_dir: str, schema: T.StructType, n
     return read(spark, name)
 
 
-def refresh_events_demo(spark: SparkSession, sf_dir: str) -> DataFrame:
+def refresh_events_in_waves(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events table lands in two waves (before / from 2024-01-15); after
     each wave the stream ingests and the refresh merges.  The result equals
     the latest event per (user, event type) over all events."""
