@@ -251,6 +251,29 @@ def compact(spark: SparkSession, name: str) -> str:
     return save(df, name, mode="overwrite", bucket_by=keys, num_buckets=n, cursor=store.cursor())
 
 
+def vacuum(spark: SparkSession, name: str, keep_snapshots: int = 2) -> list[str]:
+    """Delete version folders no reader of the last ``keep_snapshots``
+    snapshots can need: everything older than the oldest kept snap, plus
+    unpublished leftovers of failed writers older than the live snap.
+    Returns the removed paths.  Readers of the live table are unaffected."""
+    store = TableStore(spark, name)
+    root = store._Path(store.root)
+    if not store._fs.exists(root):
+        return []
+    published = store._versions()
+    snaps = [n for n, kind, _ in published if kind == "snap"]
+    if len(snaps) <= keep_snapshots:
+        return []
+    oldest_kept = snaps[-keep_snapshots]
+    removed = []
+    for st in store._fs.listStatus(root):
+        m = _VERSION_RE.match(st.getPath().getName())
+        if m and int(m.group(1)) < oldest_kept:
+            store._fs.delete(st.getPath(), True)
+            removed.append(st.getPath().toString())
+    return removed
+
+
 def ensure_table(spark: SparkSession, name: str, schema: T.StructType) -> None:
     """Create an empty table with a declared schema unless it exists."""
     if not table_exists(spark, name):

@@ -107,3 +107,15 @@ def test_compact_folds_parts_into_one_snapshot(spark, warehouse):
     compact(spark, "tc")
     assert len(store._since_snap()) == 1 and store.bucketing() == (4, ["id"])
     assert sorted(tuple(r) for r in read(spark, "tc").collect()) == before
+
+
+def test_vacuum_keeps_recent_snapshots(spark, warehouse):
+    from lakestar.sources import vacuum
+    from lakestar.sources.catalog import TableStore
+    for i in range(4):
+        save(spark.range(0, 10 + i), "tv", mode="overwrite")
+    save(spark.range(100, 101), "tv", mode="append")
+    removed = vacuum(spark, "tv", keep_snapshots=2)
+    assert len(removed) == 2
+    assert read(spark, "tv").count() == 14  # live: last snap (13 rows) + the appended row
+    assert [k for _, k, _ in TableStore(spark, "tv")._versions()] == ["snap", "snap", "add"]
