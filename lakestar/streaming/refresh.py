@@ -27,7 +27,8 @@ from pyspark.sql import types as T
 
 from ..operators import latest_per_key
 from ..session import scratch_path
-from ..sources import RAW_COL, flatten_json, pack_json, read, register, save, table_exists
+from ..sources import RAW_COL, TableStore, flatten_json, pack_json, read, register, save
+from ..sources.catalog import bucket_of
 
 INGESTED = "_ingested_at"
 
@@ -55,19 +56,34 @@ def upsert_latest(target: DataFrame, batch: DataFrame, keys: Sequence[str],
 
 
 def refresh_latest(spark: SparkSession, bronze_dir: str, schema: T.StructType, name: str,
-                   keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
-    """Fold the bronze rows ingested since the last refresh into table ``name``."""
+                   keys: Sequence[str], order: Sequence[Column | str],
+                   num_buckets: int | None = None) -> DataFrame:
+    """Fold the bronze rows ingested since the last refresh into table
+    ``name``.  With ``num_buckets`` the table is stored in key buckets and
+    a refresh reads and rewrites only the buckets its new rows touch."""
     bronze = spark.read.parquet(bronze_dir)  # reads through the sink's commit log
-    exists = table_exists(spark, name)
-    if exists:
-        target = read(spark, name)
-        cursor = target.agg(F.max(INGESTED).alias("c")).first()["c"]
-        if cursor is not None:
-            bronze = bronze.where(F.col(INGESTED) > F.lit(cursor))
-    rows = flatten_json(bronze, schema, keep=[INGESTED])
-    batch = latest_per_key(rows, keys, order)
-    merged = upsert_latest(target, batch, keys, order) if exists else batch
-    save(merged, name, mode="overwrite")
+    store = TableStore(spark, name)
+    if not store.exists():
+        batch = latest_per_key(flatten_json(bronze, schema, keep=[INGESTED]), keys, order)
+        save(batch, name, mode="overwrite", bucket_by=list(keys) if num_buckets else (),
+             num_buckets=num_buckets)
+        return read(spark, name)
+    whole = read(spark, name)
+    cursor = whole.agg(F.max(INGESTED).alias("c")).first()["c"]
+    if cursor is not None:
+        bronze = bronze.where(F.col(INGESTED) > F.lit(cursor))
+    batch = latest_per_key(flatten_json(bronze, schema, keep=[INGESTED]), keys, order).checkpoint(eager=True)
+    bucketing = store.bucketing()
+    if bucketing is None:
+        save(upsert_latest(whole, batch, keys, order), name, mode="overwrite")
+        return read(spark, name)
+    n, bkeys = bucketing
+    touched = [r[0] for r in batch.select(bucket_of(bkeys, n).alias("b")).distinct().collect()]  # <= n
+    folders = store.bucket_map()
+    paths = [folders[b] for b in touched if b in folders]
+    target = spark.read.parquet(*paths).select(*whole.columns) if paths else \
+        spark.createDataFrame([], whole.schema)
+    save(upsert_latest(target, batch, keys, order), name, bucket_by=bkeys, num_buckets=n, _kind="part")
     return read(spark, name)
 
 
@@ -92,5 +108,6 @@ def refresh_events_in_waves(spark: SparkSession, sf_dir: str) -> DataFrame:
     for wave in (events.where(F.col("ts") < cut), events.where(F.col("ts") >= cut)):
         pack_json(wave, cols, options=fmt).write.mode("append").parquet(landing)
         ingest(spark, landing, bronze, ckpt)
-        out = refresh_latest(spark, bronze, schema, name, keys, order)
+        out = refresh_latest(spark, bronze, schema, name, keys, order,
+                             num_buckets=int(spark.conf.get("spark.sql.shuffle.partitions")))
     return out.select("user_id", "event_type", "event_id", "value")

@@ -37,3 +37,22 @@ def test_replay_without_new_files_changes_nothing(spark):
     third = refresh_latest(spark, bronze, SCHEMA, "t_events", keys, order)
     assert third.where("event_id = -1").count() == 0
     assert third.count() == first.count()
+
+
+def test_bucketed_refresh_equals_plain(spark):
+    events = spark.read.parquet(f"{SF}/events.parquet")
+    cols = {c: c for c in ["event_id", "ts", "user_id", "event_type", "value"]}
+    keys, order = ["user_id", "event_type"], ["ts", "event_id"]
+    cut = F.lit("2024-01-15").cast("timestamp_ntz")
+    results = []
+    for buckets in (None, 4):
+        landing, bronze, ckpt = (scratch_path(spark, p) for p in ("b-landing", "b-bronze", "b-ckpt"))
+        name = f"t_events_b{buckets}"
+        register(spark, name, scratch_path(spark, "b-table"))
+        for wave in (events.where(F.col("ts") < cut), events.where(F.col("ts") >= cut)):
+            pack_json(wave, cols).write.mode("append").parquet(landing)
+            ingest(spark, landing, bronze, ckpt)
+            out = refresh_latest(spark, bronze, SCHEMA, name, keys, order, num_buckets=buckets)
+        results.append(out.select("user_id", "event_type", "event_id", "value"))
+    a, b = results
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
