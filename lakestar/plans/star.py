@@ -530,3 +530,21 @@ class StarPipeline:
         out["report"] = load_or_upsert(self._report(fr, fs), "gold_report_result", ["result_key", "race_type"])
         self.__dict__["report"] = out["report"]
         return out
+
+    # ---- the six questions over this configuration's report -----------------
+    def questions(self, incident_statuses=("RF", "RO"), top: int = 3) -> dict[str, DataFrame]:
+        """Q1-Q6 over the report (and the race dimension for race counts)."""
+        from ..operators import (champions, count_distinct_by, incident_counts, season_totals,
+                                 standings, top_k)
+        win = (F.col("position_order") == 1) & (F.col("race_type") == "full_race")
+        drivers = season_totals(self.report, "race_year", "driver_fullname", "points", win)
+        teams = season_totals(self.report, "race_year", "constructor_name", "points", win)
+        races = count_distinct_by(self.dim_race, "circuit_country", "race_key", "races")
+        return {
+            "champion_driver": champions(drivers), "champion_constructor": champions(teams),
+            "driver_standings": standings(drivers), "constructor_standings": standings(teams),
+            "races_per_country": races,
+            "top_countries": top_k(races, [F.col("races").desc(), F.col("circuit_country").asc()], top),
+            "dangerous_circuits": incident_counts(self.report, "circuit_name", "status_name",
+                                                  list(incident_statuses), with_rate=True),
+        }
