@@ -37,6 +37,7 @@ _VERSION_RE = re.compile(r"^v=(\d{8})_(snap|add|part)$")
 _MARKER = "_PUBLISHED"
 _BUCKETS_RE = re.compile(r"^_BUCKETS_(\d+)_(.+)$")
 _CURSOR_RE = re.compile(r"^_CURSOR_(-?\d+)$")
+_MAXKEY_RE = re.compile(r"^_MAXKEY_(-?\d+)$")
 BUCKET_COL = "_b"
 
 
@@ -115,18 +116,27 @@ class TableStore:
             return paths or [live[0][2]]
         return [p for _, _, p in live]
 
-    def cursor(self) -> int | None:
-        """Ingestion cursor (epoch microseconds) stored with the newest
-        published version, or None."""
+    def _marker(self, pattern: re.Pattern) -> int | None:
         versions = self._versions()
         if not versions:
             return None
         for st in self._fs.listStatus(self._Path(versions[-1][2])):
-            m = _CURSOR_RE.match(st.getPath().getName())
+            m = pattern.match(st.getPath().getName())
             if m:
                 return int(m.group(1))
         return None
 
+    def cursor(self) -> int | None:
+        """Ingestion cursor (epoch microseconds) stored with the newest
+        published version, or None."""
+        return self._marker(_CURSOR_RE)
+
+    def max_key(self) -> int | None:
+        """Largest surrogate key ever assigned, stored with the newest
+        published version (so an incremental upsert need not scan the key
+        column of the whole table), or None."""
+        return self._marker(_MAXKEY_RE)
+
     def mark(self, path: str, name: str) -> None:
         self._fs.create(self._Path(path, name), False).close()
 
@@ -190,7 +200,8 @@ def save(df: DataFrame, name: str, mode: str = "overwrite",
          schema: T.StructType | None = None, sort_by: Sequence[str] = (),
          expectations: Sequence = (), partition_by: Sequence[str] = (),
          bucket_by: Sequence[str] = (), num_buckets: int | None = None,
-         cursor: int | None = None, _kind: str | None = None) -> str:
+         cursor: int | None = None, track_max: str | None = None, max_key: int | None = None,
+         _kind: str | None = None) -> str:
     """Write ``df`` as a new version of ``name`` and publish it.
 
     ``mode='overwrite'`` makes a new snapshot, ``'append'`` adds files (on
@@ -222,6 +233,11 @@ def save(df: DataFrame, name: str, mode: str = "overwrite",
         observation = Observation(f"lakestar_{name}")
         metrics, finish = observed_metrics(expectations)
         out = out.observe(observation, *metrics)
+    key_obs = None
+    if track_max:
+        # the largest key is observed while writing, not found by a later scan
+        key_obs = Observation(f"lakestar_{name}_maxkey")
+        out = out.observe(key_obs, F.max(F.col(track_max)).alias("m"))
     path = store.next_path(kind)
     writer = out.write.mode("errorifexists")
     if partition_by:
@@ -236,6 +252,9 @@ def save(df: DataFrame, name: str, mode: str = "overwrite",
         store.mark(path, f"_BUCKETS_{n}_{','.join(bucket_by)}")
     if cursor is not None:
         store.mark(path, f"_CURSOR_{int(cursor)}")
+    tops = [v for v in (max_key, key_obs.get.get("m") if key_obs is not None else None) if v is not None]
+    if tops:
+        store.mark(path, f"_MAXKEY_{int(max(tops))}")
     store.publish(path)
     return path
 
@@ -248,7 +267,8 @@ def compact(spark: SparkSession, name: str) -> str:
     bucketing = store.bucketing()
     df = read(spark, name)  # old versions are never overwritten: safe to read while writing
     n, keys = bucketing if bucketing else (None, [])
-    return save(df, name, mode="overwrite", bucket_by=keys, num_buckets=n, cursor=store.cursor())
+    return save(df, name, mode="overwrite", bucket_by=keys, num_buckets=n, cursor=store.cursor(),
+                max_key=store.max_key())
 
 
 def vacuum(spark: SparkSession, name: str, keep_snapshots: int = 2) -> list[str]:
@@ -308,7 +328,8 @@ def load_or_upsert(df: DataFrame, name: str, keys: Sequence[str],
             out = out.select(key_col, *[c for c in out.columns if c != key_col])
             sort_by = []
         save(out, name, mode="overwrite", schema=schema, sort_by=sort_by,
-             expectations=expectations, bucket_by=bucket_by, num_buckets=num_buckets, cursor=cursor)
+             expectations=expectations, bucket_by=bucket_by, num_buckets=num_buckets, cursor=cursor,
+             track_max=key_col)
         return read(spark, name)
 
     bucketing = store.bucketing()
@@ -320,7 +341,7 @@ def load_or_upsert(df: DataFrame, name: str, keys: Sequence[str],
             merged = upsert(target, df, keys, update_cols=update_cols, insert_cols=insert_cols,
                             delete_keys=delete_keys, validate=validate)
         save(merged, name, mode="overwrite", schema=schema, sort_by=list(keys),
-             expectations=expectations, cursor=cursor)
+             expectations=expectations, cursor=cursor, track_max=key_col)
         return read(spark, name)
 
     # bucketed: read and rewrite only the touched buckets
@@ -333,13 +354,17 @@ def load_or_upsert(df: DataFrame, name: str, keys: Sequence[str],
     paths = [folders[b] for b in touched if b in folders]
     target = spark.read.parquet(*paths) if paths else spark.createDataFrame([], whole.schema)
     target = target.select(*whole.columns)
+    top = None
     if key_col:
-        top = whole.agg(F.max(key_col).alias("m")).first()["m"] or 0
+        top = store.max_key()
+        if top is None:  # a table written before keys were tracked
+            top = whole.agg(F.max(key_col).alias("m")).first()["m"] or 0
         merged = upsert_with_key(target, df, keys, key_col, start=top + 1, delete_keys=delete_keys,
                                  validate=validate)
     else:
         merged = upsert(target, df, keys, update_cols=update_cols, insert_cols=insert_cols,
                         delete_keys=delete_keys, validate=validate)
+    # the touched part's own maximum, or the table's previous one, whichever is larger
     save(merged, name, schema=schema, expectations=expectations, bucket_by=bkeys, num_buckets=n,
-         cursor=cursor, _kind="part")
+         cursor=cursor, track_max=key_col, max_key=top, _kind="part")
     return read(spark, name)

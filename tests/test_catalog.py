@@ -119,3 +119,18 @@ def test_vacuum_keeps_recent_snapshots(spark, warehouse):
     assert len(removed) == 2
     assert read(spark, "tv").count() == 14  # live: last snap (13 rows) + the appended row
     assert [k for _, k, _ in TableStore(spark, "tv")._versions()] == ["snap", "snap", "add"]
+
+
+def test_max_key_is_tracked_without_scanning(spark, warehouse):
+    from lakestar.sources.catalog import TableStore
+    base = spark.range(0, 50).select(F.col("id").cast("int").alias("id"))
+    load_or_upsert(base, "tk", ["id"], key_col="key", num_buckets=4)
+    store = TableStore(spark, "tk")
+    assert store.max_key() == 50
+    out = load_or_upsert(spark.createDataFrame([(7,), (500,), (600,)], "id int"), "tk", ["id"], key_col="key")
+    assert store.max_key() == 52
+    got = {r["id"]: r["key"] for r in out.collect()}
+    assert got[500] == 51 and got[600] == 52 and got[7] == 8
+    # a batch touching only old keys keeps the maximum
+    load_or_upsert(spark.createDataFrame([(3,)], "id int"), "tk", ["id"], key_col="key")
+    assert store.max_key() == 52
