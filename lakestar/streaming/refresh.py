@@ -63,19 +63,22 @@ def refresh_latest(spark: SparkSession, bronze_dir: str, schema: T.StructType, n
     a refresh reads and rewrites only the buckets its new rows touch."""
     bronze = spark.read.parquet(bronze_dir)  # reads through the sink's commit log
     store = TableStore(spark, name)
+    # the ingestion cursor lives with the table's newest version: no scan
+    cursor = store.cursor() if store.exists() else None
+    if cursor is not None:
+        bronze = bronze.where(F.col(INGESTED) > F.timestamp_micros(F.lit(cursor)))
+    batch = latest_per_key(flatten_json(bronze, schema, keep=[INGESTED]), keys, order).checkpoint(eager=True)
+    top = batch.agg(F.max(F.unix_micros(F.col(INGESTED))).alias("c")).first()["c"]
+    if top is None and cursor is not None:
+        return read(spark, name)  # nothing new
     if not store.exists():
-        batch = latest_per_key(flatten_json(bronze, schema, keep=[INGESTED]), keys, order)
         save(batch, name, mode="overwrite", bucket_by=list(keys) if num_buckets else (),
-             num_buckets=num_buckets)
+             num_buckets=num_buckets, cursor=top)
         return read(spark, name)
     whole = read(spark, name)
-    cursor = whole.agg(F.max(INGESTED).alias("c")).first()["c"]
-    if cursor is not None:
-        bronze = bronze.where(F.col(INGESTED) > F.lit(cursor))
-    batch = latest_per_key(flatten_json(bronze, schema, keep=[INGESTED]), keys, order).checkpoint(eager=True)
     bucketing = store.bucketing()
     if bucketing is None:
-        save(upsert_latest(whole, batch, keys, order), name, mode="overwrite")
+        save(upsert_latest(whole, batch, keys, order), name, mode="overwrite", cursor=top)
         return read(spark, name)
     n, bkeys = bucketing
     touched = [r[0] for r in batch.select(bucket_of(bkeys, n).alias("b")).distinct().collect()]  # <= n
@@ -83,7 +86,8 @@ def refresh_latest(spark: SparkSession, bronze_dir: str, schema: T.StructType, n
     paths = [folders[b] for b in touched if b in folders]
     target = spark.read.parquet(*paths).select(*whole.columns) if paths else \
         spark.createDataFrame([], whole.schema)
-    save(upsert_latest(target, batch, keys, order), name, bucket_by=bkeys, num_buckets=n, _kind="part")
+    save(upsert_latest(target, batch, keys, order), name, bucket_by=bkeys, num_buckets=n, cursor=top,
+         _kind="part")
     return read(spark, name)
 
 
