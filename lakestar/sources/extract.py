@@ -3,12 +3,14 @@ full refresh, and a partitioned JDBC reader for relational sources."""
 
 from __future__ import annotations
 
+import datetime
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .catalog import read, save, table_exists
+from .catalog import TableStore, read, save, table_exists
 
 
 def cursor_filter(src: DataFrame, cursor_col: str, last_cursor: Any) -> DataFrame:
@@ -31,18 +33,45 @@ def incremental_extract(src: DataFrame, cursor_col: str,
     return batch, (last_cursor if top is None else top)
 
 
+_EPOCH = datetime.datetime(1970, 1, 1)
+
+
+def _encode(value: Any) -> int | None:
+    """Cursor state as an integer marker (integral or naive-timestamp cursors)."""
+    if isinstance(value, bool) or value is None:
+        return None
+    if isinstance(value, int):
+        return value
+    if isinstance(value, datetime.datetime) and value.tzinfo is None:
+        return (value - _EPOCH) // datetime.timedelta(microseconds=1)
+    return None
+
+
+def _decode(marker: int, dtype: T.DataType) -> Any:
+    if isinstance(dtype, T.IntegralType):
+        return marker
+    if isinstance(dtype, T.TimestampNTZType):
+        return _EPOCH + datetime.timedelta(microseconds=marker)
+    return None
+
+
 def sync_incremental(spark: SparkSession, src: DataFrame, name: str,
                      cursor_col: str) -> tuple[int | None, Any]:
-    """Incremental-append sync into a raw table: the cursor state is the
-    target's own ``max(cursor)``, so a re-run after a crash resumes exactly
-    where the last published version ended."""
+    """Incremental-append sync into a raw table.  The cursor state is kept
+    with each published version (a marker), so a sync reads neither the
+    target nor old source rows, and a re-run after a crash resumes exactly
+    where the last published version ended.  Cursor types without a marker
+    form fall back to the target's ``max(cursor)``."""
     last = None
     if table_exists(spark, name):
-        last = read(spark, name).agg(F.max(cursor_col).alias("c")).first()["c"]
+        marker = TableStore(spark, name).cursor()
+        last = _decode(marker, src.schema[cursor_col].dataType) if marker is not None else None
+        if last is None:
+            last = read(spark, name).agg(F.max(cursor_col).alias("c")).first()["c"]
     batch, new_cursor = incremental_extract(src, cursor_col, last)
     if new_cursor == last and last is not None:
         return None, last
-    save(batch, name, mode="append")
+    save(batch, name, mode="append", cursor=_encode(new_cursor))
     return 1, new_cursor
 
 

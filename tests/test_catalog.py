@@ -134,3 +134,16 @@ def test_max_key_is_tracked_without_scanning(spark, warehouse):
     # a batch touching only old keys keeps the maximum
     load_or_upsert(spark.createDataFrame([(3,)], "id int"), "tk", ["id"], key_col="key")
     assert store.max_key() == 52
+
+
+def test_sync_keeps_its_cursor_as_state(spark, warehouse):
+    import datetime as dt
+    from lakestar.sources.catalog import TableStore
+    from lakestar.sources.extract import sync_incremental
+    src = spark.createDataFrame([(1, dt.datetime(2024, 1, 1, 0, 0, 0, 5)), (2, dt.datetime(2024, 1, 2))],
+                                "id int, ts timestamp_ntz")
+    sync_incremental(spark, src.where("id = 1"), "raw_ts", "ts")
+    assert TableStore(spark, "raw_ts").cursor() is not None
+    sync_incremental(spark, src, "raw_ts", "ts")
+    sync_incremental(spark, src, "raw_ts", "ts")  # nothing new
+    assert sorted(r["id"] for r in read(spark, "raw_ts").collect()) == [1, 2]
