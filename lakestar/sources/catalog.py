@@ -336,7 +336,9 @@ def load_or_upsert(df: DataFrame, name: str, keys: Sequence[str],
     if bucketing is None:
         target = read(spark, name)
         if key_col:
-            merged = upsert_with_key(target, df, keys, key_col, delete_keys=delete_keys, validate=validate)
+            top = store.max_key()
+            merged = upsert_with_key(target, df, keys, key_col, delete_keys=delete_keys, validate=validate,
+                                     start=None if top is None else top + 1)
         else:
             merged = upsert(target, df, keys, update_cols=update_cols, insert_cols=insert_cols,
                             delete_keys=delete_keys, validate=validate)
