@@ -37,3 +37,20 @@ def test_projection_reaches_the_scan(spark):
     df = QUERIES["rename_project"](spark, SF)
     p = df._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<c_custkey:bigint,c_name:string,c_mktsegment:string>" in p
+
+
+def test_bucketed_numbering_windows_are_partitioned(spark, monkeypatch):
+    import lakestar.operators.ordered as ordered
+    from lakestar.operators import dense_keys
+    monkeypatch.setattr(ordered, "MIN_ROWS_PER_BUCKET", 1)
+    spark.conf.set("lakestar.order.buckets", "4")
+    try:
+        df = spark.range(0, 4000).select((F.col("id") * 7 % 4001).alias("k"))
+        p = plan(dense_keys(df, ["k"], "key"))
+        windows = [line for line in p.splitlines() if "Window [" in line or "Window(" in line]
+        # the row window over the data is partitioned by the range bucket; only the
+        # bucket-offset table (one row per bucket) is numbered without a partition
+        assert any("_rb" in w and "row_number" in w for w in windows), windows
+        assert "BroadcastExchange" in p or "BroadcastHashJoin" in p
+    finally:
+        spark.conf.unset("lakestar.order.buckets")
