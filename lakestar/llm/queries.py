@@ -4,10 +4,12 @@ its whole table and derives the columns of its contract."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import byte_bpe
+from ..session import scratch_path
+from . import byte_bpe, repair_store
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,5 +23,12 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(byte_bpe.decode(encoded, ranks))
 
 
+def op2_repair_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "repair-store")
+    repair_store.write(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"))
+    return repair_store.read(spark, path).select("doc_id", "start", "n_tokens",
+                                                 F.crc32("ids").alias("ids_crc32"))
+
+
 QUERIES = {name: fn for name, fn in sorted(globals().items()) if name.startswith("op")}
 ORACLES: dict[str, str] = {}
