@@ -32,8 +32,8 @@ from pyspark.sql import types as T
 
 from .textops import flat_ranges, row_blocks, utf8
 
-BLOCK_BYTES = 12 << 20          # text whose new words are replayed together
-CACHED_WORDS = 600_000          # words a task remembers; beyond, it starts anew
+BLOCK_BYTES = 4 << 20           # text whose new words are replayed together
+CACHED_WORDS = 300_000          # words a task remembers; beyond, it starts anew
 
 
 class Ranks:
@@ -323,7 +323,7 @@ def _decoder(path: str, ids: str):
             at = batch.schema.get_field_index(ids)
             sizes = np.concatenate([[0], np.cumsum([0 if n is None else n for n in
                                                     pa.compute.list_value_length(batch.column(at)).to_pylist()])])
-            for a, b in row_blocks(sizes, BLOCK_BYTES // 4):
+            for a, b in row_blocks(sizes, BLOCK_BYTES // 16):
                 block = batch.slice(a, b - a)
                 column = block.column(at)
                 flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.int64)

@@ -12,7 +12,13 @@ from ..session import scratch_path
 from . import byte_bpe, repair_store
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most 4 MB, whatever the length of a row's text."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
