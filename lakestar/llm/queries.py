@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 from ..session import scratch_path
-from . import byte_bpe, repair_store
+from . import byte_bpe, decontaminate, repair_store
 
 
 def bounded_batches(spark: SparkSession) -> None:
@@ -36,5 +36,36 @@ def op2_repair_store(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                  F.crc32("ids").alias("ids_crc32"))
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontaminate.report(found)
+
+
 QUERIES = {name: fn for name, fn in sorted(globals().items()) if name.startswith("op")}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    # windows as text: n-grams of item words against n-grams of document words
+    "op7_decontaminate": r"""
+WITH w AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+               'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+iw AS (
+    SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+               'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+win AS (
+    SELECT DISTINCT item_id, least(13, len(ws)) AS n,
+           array_to_string(ws[i:i + least(13, len(ws)) - 1], ' ') AS gram
+    FROM (SELECT item_id, ws, unnest(range(1, greatest(len(ws) - 12, 1) + 1)) AS i FROM iw WHERE len(ws) > 0)),
+sizes AS (SELECT DISTINCT n FROM win),
+g AS (
+    SELECT doc_id, n, i, array_to_string(ws[i:i + n - 1], ' ') AS gram
+    FROM (SELECT doc_id, ws, n, unnest(range(1, len(ws) - n + 2)) AS i FROM w, sizes WHERE len(ws) >= n)),
+m AS (SELECT g.doc_id, g.n, g.i, win.item_id FROM g JOIN win ON g.n = win.n AND g.gram = win.gram),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit
+        FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM m) GROUP BY doc_id),
+it AS (SELECT doc_id, count(DISTINCT item_id) AS n_items,
+              string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids FROM m GROUP BY doc_id)
+SELECT w.doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+       coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
+FROM w LEFT JOIN hit USING (doc_id) LEFT JOIN it USING (doc_id)""",
+}
