@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 from ..session import scratch_path
-from . import byte_bpe, decontaminate, repair_store
+from . import byte_bpe, decontaminate, license_scan, repair_store, url_filter
 
 
 def bounded_batches(spark: SparkSession) -> None:
@@ -41,6 +41,29 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(found)
 
 
+# The rules of the contract, and terms of listed domains.
+URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
+             ("allow", "com", "/fr/"), ("block", "com", "/de/")]
+LISTED_TERMS = "casino|bets|pills|adult"
+
+
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    # listed: the domains whose first label has a listed term, without the
+    # prefixes of their subdomains
+    host, _ = url_filter.host_and_path(F.col("url"))
+    domain = F.regexp_replace(host, "^(www|m|blog)\\.", "")
+    listed = pages.select(domain.alias("key")).where(F.substring_index("key", ".", 1).rlike(LISTED_TERMS)).distinct()
+    return url_filter.judge(pages, listed, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.size("sentences").cast("long").alias("n_sentences"),
+                        F.array_join("sentences", ",").alias("sentence_ids"),
+                        F.array_join("licenses", ",").alias("licenses"))
+
+
 QUERIES = {name: fn for name, fn in sorted(globals().items()) if name.startswith("op")}
 ORACLES: dict[str, str] = {
     # windows as text: n-grams of item words against n-grams of document words
@@ -68,4 +91,25 @@ SELECT w.doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit
        coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
 FROM w LEFT JOIN hit USING (doc_id) LEFT JOIN it USING (doc_id)""",
+    # membership by comparing every host with every listed domain
+    "op9_url_filter": r"""
+WITH p AS (
+    SELECT page_id, translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+               'abcdefghijklmnopqrstuvwxyz') AS host,
+           regexp_extract(coalesce(url, ''), '://[^/?#]*([^?#]*)', 1) AS path FROM pages),
+listed AS (
+    SELECT DISTINCT key FROM (SELECT regexp_replace(host, '^(www|m|blog)\.', '') AS key FROM p)
+    WHERE regexp_matches(split_part(key, '.', 1), 'casino|bets|pills|adult')),
+r(verdict, h, pre) AS (VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'),
+    ('block', 'example.org', '/en/1'), ('allow', 'com', '/fr/'), ('block', 'com', '/de/')),
+best AS (
+    SELECT host, path, arg_max(h || pre, length(h || pre)) AS rule, arg_max(verdict, length(h || pre)) AS verdict
+    FROM (SELECT DISTINCT host, path FROM p), r
+    WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, pre) GROUP BY host, path),
+bad AS (SELECT DISTINCT host FROM (SELECT DISTINCT host FROM p), listed
+        WHERE host = key OR ends_with(host, '.' || key))
+SELECT page_id, p.host, p.path, rule,
+       coalesce(verdict, CASE WHEN bad.host IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict
+FROM p LEFT JOIN best ON p.host = best.host AND p.path = best.path LEFT JOIN bad ON p.host = bad.host""",
+    "op10_license_scan": license_scan.oracle(),
 }
