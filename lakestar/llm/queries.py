@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 from ..session import scratch_path
-from . import byte_bpe, decontaminate, license_scan, repair_store, url_filter
+from . import byte_bpe, decontaminate, license_scan, repair_store, toxicity, url_filter
 
 
 def bounded_batches(spark: SparkSession) -> None:
@@ -36,6 +36,14 @@ def op2_repair_store(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                  F.crc32("ids").alias("ids_crc32"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    machine = toxicity.train(documents, table(spark, sf_dir, "labels").where(~toxicity.held_out()))
+    return toxicity.score(documents, machine).select(
+        "doc_id", F.coalesce(toxicity.held_out(), F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return decontaminate.report(found)
