@@ -146,20 +146,30 @@ def compress(ids: np.ndarray, end_id: int, min_count: int = MIN_COUNT, min_share
     while len(seq) > 1:
         need = max(min_count, int(len(seq) * min_share))
         left, right = seq[:-1], seq[1:]
-        slot = ((left * np.uint32(0x9E3779B1)) ^ (right * np.uint32(0x85EBCA6B))) >> np.uint32(12)
-        often = np.bincount(slot, minlength=slots) >= need
-        at = np.flatnonzero(often[slot] & (left != end_id))
+        salt = np.uint32(0x85EBCA6B + 2 * len(rules))       # other pairs share a slot in the next round
+        slot = ((left * np.uint32(0x9E3779B1)) ^ (right * salt)) >> np.uint32(12)
+        often = np.flatnonzero(np.bincount(slot, minlength=slots) >= need)
+        number = np.full(slots, -1, np.int32)
+        number[often] = np.arange(len(often))
+        which = number[slot]
+        at = np.flatnonzero((which >= 0) & (left != end_id))
         if not len(at):
             break
-        pair, which, counts = np.unique(left[at].astype(np.uint64) << np.uint64(32) | right[at],
-                                        return_inverse=True, return_counts=True)
+        # of the pairs that share a slot, the first one is counted in this round
+        which = which[at]
+        pair = left[at].astype(np.uint64) << np.uint64(32) | right[at]
+        of_slot = np.zeros(len(often), np.uint64)
+        of_slot[which[::-1]] = pair[::-1]
+        same = pair == of_slot[which]
+        at, which = at[same], which[same]
+        counts = np.bincount(which, minlength=len(often))
         best = counts.max()
         if best < need:
             break
         chosen = counts >= max(need, best // 2)
-        number = np.cumsum(chosen) - 1 + first + len(rules)
+        symbols = np.cumsum(chosen) - 1 + first + len(rules)
         take = chosen[which]
-        at, symbol = at[take], number[which[take]]
+        at, symbol = at[take], symbols[which[take]]
         # of neighbours that overlap, every second stays
         linked = np.concatenate([[False], at[1:] == at[:-1] + 1])
         run = np.maximum.accumulate(np.where(linked, 0, np.arange(len(at))))
@@ -170,7 +180,7 @@ def compress(ids: np.ndarray, end_id: int, min_count: int = MIN_COUNT, min_share
         gone = np.ones(len(seq), bool)
         gone[at + 1] = False
         seq = seq[gone]
-        rules += [(int(p >> np.uint64(32)), int(p & np.uint64(0xFFFFFFFF))) for p in pair[chosen]]
+        rules += [(int(p >> np.uint64(32)), int(p & np.uint64(0xFFFFFFFF))) for p in of_slot[chosen]]
     return seq, rules, first
 
 
