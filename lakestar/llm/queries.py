@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 from ..session import scratch_path
-from . import byte_bpe, decontaminate, license_scan, repair_store, toxicity, url_filter
+from . import byte_bpe, decontaminate, license_scan, repair_store, toxicity, url_filter, vector_dedup
 
 
 def bounded_batches(spark: SparkSession) -> None:
@@ -44,6 +44,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op5_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return decontaminate.report(found)
@@ -74,6 +78,18 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {name: fn for name, fn in sorted(globals().items()) if name.startswith("op")}
 ORACLES: dict[str, str] = {
+    # every pair of a label by its cosine
+    "op5_vector_dedup": """
+WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+      AND len(a.e) = len(b.e) WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+r(a, b) AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+n AS (SELECT a, count(*) AS n FROM l GROUP BY a), c AS (SELECT a, min(b) AS m FROM r GROUP BY a)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, least(vec_id, coalesce(m, vec_id)) AS component_id,
+       vec_id = least(vec_id, coalesce(m, vec_id)) AS kept
+FROM embeddings LEFT JOIN n ON vec_id = n.a LEFT JOIN c ON vec_id = c.a""",
     # windows as text: n-grams of item words against n-grams of document words
     "op7_decontaminate": r"""
 WITH w AS (
