@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 from ..session import scratch_path
-from . import byte_bpe, decontaminate, license_scan, repair_store, toxicity, url_filter, vector_dedup
+from . import byte_bpe, decontaminate, license_scan, ngram_join, repair_store, toxicity, url_filter, vector_dedup
 
 
 def bounded_batches(spark: SparkSession) -> None:
@@ -36,6 +36,10 @@ def op2_repair_store(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                  F.crc32("ids").alias("ids_crc32"))
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.self_join(table(spark, sf_dir, "documents"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     machine = toxicity.train(documents, table(spark, sf_dir, "labels").where(~toxicity.held_out()))
@@ -78,6 +82,24 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {name: fn for name, fn in sorted(globals().items()) if name.startswith("op")}
 ORACLES: dict[str, str] = {
+    # all pairs that share a shingle, by their true similarity
+    "op3_ngram_join": r"""
+WITH RECURSIVE w AS (
+    SELECT doc_id, md5(text) AS k, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+               'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+f AS (SELECT k, min(doc_id) AS doc_id, count(*) AS copies, any_value(ws) AS ws FROM w WHERE len(ws) > 0 GROUP BY k),
+s AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + least(5, len(ws)) - 1], ' ') AS g
+      FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS i FROM f)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b USING (g)
+      WHERE a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id),
+l AS (SELECT a, b FROM p JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id WHERE c >= 0.8 * (x.n + y.n - c)),
+r(a, b) AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+m AS (SELECT a, min(b) AS m FROM r GROUP BY a),
+d AS (SELECT a, sum(copies)::BIGINT AS n FROM l JOIN f ON b = f.doc_id GROUP BY a)
+SELECT w.doc_id, least(f.doc_id, coalesce(m, f.doc_id), CASE WHEN f.doc_id IS NULL THEN w.doc_id END) AS class_id,
+       (coalesce(copies - 1, 0) + coalesce(d.n, 0))::BIGINT AS n_links
+FROM w LEFT JOIN f ON w.k = f.k LEFT JOIN m ON f.doc_id = m.a LEFT JOIN d ON f.doc_id = d.a""",
     # every pair of a label by its cosine
     "op5_vector_dedup": """
 WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
