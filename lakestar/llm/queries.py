@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 from ..session import scratch_path
-from . import byte_bpe, decontaminate, license_scan, ngram_join, repair_store, toxicity, url_filter, vector_dedup
+from . import byte_bpe, decontaminate, license_scan, ngram_join, repair_store, substring_dedup, toxicity, url_filter, vector_dedup
 
 
 def bounded_batches(spark: SparkSession) -> None:
@@ -52,6 +52,10 @@ def op5_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.digests(table(spark, sf_dir, "documents"))
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return decontaminate.report(found)
