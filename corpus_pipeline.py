@@ -8,20 +8,53 @@ import uuid
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lakestar.llm import byte_bpe
+from lakestar.llm import byte_bpe, decontaminate, ngram_join, secret_scan, toxicity
+from lakestar.llm.queries import bounded_batches, table
 from lakestar.session import ensure_checkpoint_dir
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Toxicity: documents that the factorization machine gives at least 0.5
+    go."""
+    bounded_batches(spark)
+    machine = toxicity.train(docs, table(spark, sf_dir, "labels").where(~toxicity.held_out()))
+    return toxicity.score(docs, machine).where("score < 0.5").select(*docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """N-gram Jaccard join: of each group of near-duplicates the document
+    with the smallest id stays."""
+    return ngram_join.deduplicate(docs)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Benchmark decontamination: documents of which benchmark passages cover
+    a twentieth of the words go."""
+    return decontaminate.remove(docs, table(spark, sf_dir, "benchmark"))
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secret scan: all documents stay, their secrets are replaced."""
+    return secret_scan.redact(docs)
+
+
 def encode_bytes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Byte-level BPE: the kept documents with their ids, checked by decoding
     them again."""
+    bounded_batches(spark)
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     encoded = byte_bpe.encode(docs.select("doc_id", "text"), ranks, public_tokenizers.PATTERN).drop("text")
     return byte_bpe.digests(byte_bpe.decode(encoded, ranks))
 
 
-STAGES = [("byte-level BPE", encode_bytes)]
-ORACLE_SQL = None
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("n-gram Jaccard join", drop_near_duplicates),
+    ("benchmark decontamination", drop_contaminated),
+    ("secret scan", redact_secrets),
+    ("byte-level BPE", encode_bytes),
+]
+ORACLE_SQL = None               # fitted models and tokenizers have no SQL
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

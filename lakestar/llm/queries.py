@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 from ..session import scratch_path
-from . import byte_bpe, decontaminate, license_scan, ngram_join, repair_store, substring_dedup, toxicity, url_filter, vector_dedup
+from . import byte_bpe, decontaminate, license_scan, ngram_join, repair_store, secret_scan, substring_dedup, toxicity, url_filter, vector_dedup
 
 
 def bounded_batches(spark: SparkSession) -> None:
@@ -61,6 +61,12 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(found)
 
 
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "number", F.length("candidate").alias("n_chars"),
+                        F.sha2("candidate", 256).alias("candidate_sha256"), "score", "secret")
+
+
 # The rules of the contract, and terms of listed domains.
 URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
              ("allow", "com", "/fr/"), ("block", "com", "/de/")]
