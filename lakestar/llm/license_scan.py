@@ -1,6 +1,6 @@
 """Licence scanning by sentence rules, in DataFrame operations only.
 
-A text is cut into sentences (at line ends and after ``.``, ``!``, ``?``) and
+A text is cut into sentences (at line ends and after ``. ! ? : ;``) and
 normalised.  Sentences that are known, also when wrapped over several lines,
 become identifiers.  Ordered rules are matched against a document's sequence
 of identifiers; what a rule matched is used up, so a long licence is not also
@@ -68,7 +68,7 @@ RULES = [
     ("CC-BY-4.0", ["cc-by-4-ref"]),
     ("LicenseRef-all-rights-reserved", ["all-rights"]),
 ]
-SENTENCE_END = r"[.!?]+[ \t\r\n]+|[\r\n]+"
+SENTENCE_END = r"[.!?:;]+[ \t\r\n]+|[\r\n]+"
 NOT_WORD = r"[^\p{L}\p{N}]+"
 
 

@@ -112,6 +112,13 @@ class Suffixes:
         first = np.where(differ.any(axis=1), differ.argmax(axis=1), self.width + 1)
         return np.minimum(first, limit)
 
+    def ascends(self, a: np.ndarray, b: np.ndarray) -> bool:
+        """Whether every a is before its b by its bytes."""
+        at = self.true_extension(a, b)
+        x = np.where(at < self.size[a], self.bytes[a, at].astype(np.int64) + 1, 0)
+        y = np.where(at < self.size[b], self.bytes[b, at].astype(np.int64) + 1, 0)
+        return bool(((self.group[a] < self.group[b]) | (self.group[a] == self.group[b]) & (x <= y)).all())
+
     def before(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Whether a sorts before b: group, contents, then number."""
         at = self.extension(a, b)
@@ -120,9 +127,10 @@ class Suffixes:
         x, y = np.where(x == y, a, x), np.where(x == y, b, y)
         return np.where(self.group[a] == self.group[b], x < y, self.group[a] < self.group[b])
 
-    def order(self) -> np.ndarray:
+    def order(self) -> np.ndarray | None:
         """Bottom-up mergesort; in every level each element finds its place
-        in the neighbouring run by binary search, all at once."""
+        in the neighbouring run by binary search, all at once.  None if the
+        comparisons contradict each other, which takes a collision."""
         m = len(self.size)
         order, width = np.arange(m), 1
         place = np.arange(m)
@@ -141,8 +149,10 @@ class Suffixes:
                 low[open_[less]] = mid[less] + 1
                 high[open_[~less]] = mid[~less]
             target = (run // 2) * 2 * width + (place - run * width) + (low - start)
-            merged = np.empty_like(order)
+            merged = np.full(m, -1)
             merged[target] = order
+            if merged.min(initial=0) < 0:
+                return None
             order, width = merged, width * 2
         return order
 
@@ -150,9 +160,10 @@ class Suffixes:
         """Order, and the common extension of each with the one before it
         (-1 across groups), verified."""
         order = self.order()
-        a, b = order[:-1], order[1:]
-        lcp = self.extension(a, b)
-        if (lcp != self.true_extension(a, b)).any():
+        if order is not None:
+            a, b = order[:-1], order[1:]
+            lcp = self.extension(a, b)
+        if order is None or (lcp != self.true_extension(a, b)).any() or not self.ascends(a, b):
             # two different strings had one hash: compare bytes
             keys = [(int(g), self.bytes[i, :n].tobytes()) for i, (g, n) in enumerate(zip(self.group, self.size))]
             order = np.array(sorted(range(len(keys)), key=keys.__getitem__))
