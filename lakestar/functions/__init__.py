@@ -2,9 +2,9 @@
 
 from .clean import (NULL_SENTINEL, assemble_datetime, assemble_datetimes, join_text,
                     sentinel_to_null, to_day, try_cast_columns)
-from .rename import drop_columns, project, rename
+from .rename import rename
 
 __all__ = [
     "NULL_SENTINEL", "assemble_datetime", "assemble_datetimes", "join_text",
-    "sentinel_to_null", "to_day", "try_cast_columns", "drop_columns", "project", "rename",
+    "sentinel_to_null", "to_day", "try_cast_columns", "rename",
 ]

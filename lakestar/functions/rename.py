@@ -1,8 +1,8 @@
-"""Projection helpers."""
+"""Renames (P1)."""
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,13 +19,3 @@ def rename(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
     if len(set(out)) != len(out):
         raise ValueError(f"rename: duplicate output names in {out}")
     return df.select(*[F.col(f"`{c}`").alias(mapping.get(c, c)) for c in df.columns])
-
-
-def project(df: DataFrame, columns: Iterable[str]) -> DataFrame:
-    """Business-column allow-list."""
-    return df.select(*columns)
-
-
-def drop_columns(df: DataFrame, columns: Iterable[str]) -> DataFrame:
-    """Remove helper / audit columns."""
-    return df.drop(*columns)

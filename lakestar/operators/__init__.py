@@ -1,6 +1,6 @@
 """User-level DataFrame operators."""
 
-from .keys import dense_keys, hash_key, hash_key64
+from .keys import dense_keys, hash_key
 from .latest import latest_per_key
 from .ordered import global_number
 from .quality import (DistinctEquals, ExpectationError, InSetOf, InValues, LengthBetween, NotNull,
@@ -8,14 +8,14 @@ from .quality import (DistinctEquals, ExpectationError, InSetOf, InValues, Lengt
 from .ranking import (champions, count_distinct_by, incident_counts, season_totals, standings,
                       top_k)
 from .report import attach_dimensions, union_tagged
-from .star import join_dimension, lookup_keys, star_join
+from .star import join_dimension, lookup_keys
 from .upsert import UpsertKeyError, upsert, upsert_with_key
 
 __all__ = [
-    "dense_keys", "hash_key", "hash_key64", "latest_per_key", "global_number",
+    "dense_keys", "hash_key", "latest_per_key", "global_number",
     "DistinctEquals", "ExpectationError", "InSetOf", "InValues", "LengthBetween", "NotNull", "Unique",
     "ValueBetween", "check", "enforce", "evaluate", "champions", "count_distinct_by",
     "incident_counts", "season_totals", "standings", "top_k", "attach_dimensions",
-    "union_tagged", "join_dimension", "lookup_keys", "star_join", "UpsertKeyError", "upsert",
+    "union_tagged", "join_dimension", "lookup_keys", "UpsertKeyError", "upsert",
     "upsert_with_key",
 ]

@@ -20,14 +20,11 @@ def dense_keys(df: DataFrame, order_by: Sequence, key_col: str, start: int = 1)
 
 
 def hash_key(*cols: Column | str) -> Column:
-    """K2: a deterministic content key: ``md5`` of the columns' text joined
-    by ``|`` (a single column is hashed as is, which equals DuckDB's
-    ``md5(cast(c as varchar))``)."""
+    """K2: a deterministic content key: ``md5`` of a single column's text, or
+    of several columns' texts, each after its length (``~`` for NULL), so
+    different tuples never give the same text."""
     parts = [(F.col(c) if isinstance(c, str) else c).cast("string") for c in cols]
-    text = parts[0] if len(parts) == 1 else F.concat_ws("|", *[F.coalesce(p, F.lit("")) for p in parts])
-    return F.md5(text)
-
-
-def hash_key64(*cols: Column | str) -> Column:
-    """A cheaper 64-bit variant for join keys and bucketing."""
-    return F.xxhash64(*[(F.col(c) if isinstance(c, str) else c) for c in cols])
+    if len(parts) == 1:
+        return F.md5(parts[0])
+    return F.md5(F.concat(*[F.coalesce(F.concat(F.length(p).cast("string"), F.lit(":"), p), F.lit("~"))
+                            for p in parts]))

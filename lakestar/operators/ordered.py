@@ -1,40 +1,29 @@
 """Global order without a single-partition sort.
 
 ``row_number() OVER (ORDER BY k)`` with no PARTITION BY moves every row to
-one task.  Instead we cut the order into contiguous *range buckets* whose
-bucket id is a pure function of the row's sort key (sampled boundaries
-become literals in the plan, so a retried task recomputes the same id),
-count rows per bucket, turn the counts into exclusive prefix offsets (a
-table with one row per bucket), and number rows inside each bucket with an
-ordinary partitioned window.  ``offset + row_number`` then equals the
-global row number, and ``offset + rank`` the global rank, for every row.
-
-Rows with equal sort keys always land in the same bucket, so ties never
-straddle a boundary.  A hot sort key still stays in one bucket: callers
-pass a total order (natural key, or score plus competitor) for big inputs.
+one task.  Instead the shuffle's own range partitioning cuts the order into
+contiguous partitions (sampled boundaries, as many partitions as the session's
+shuffles have, merged by AQE when they are small); each partition is sorted
+and its rows are numbered where they lie.  The numbered rows are written once
+to the shared checkpoint folder, so every later reader sees the same numbers
+and none repeats the sort.  Row counts per partition, one row per shuffle
+partition, become offsets: ``offset + position`` is the global row number.
+
+There is one path for every size.  A sort key that many rows share stays in
+one partition: callers number by a total order (a unique natural key).
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
+from itertools import accumulate
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 BUCKET = "_rb"
+POSITION = "_rb_pos"
 OFFSET = "_rb_off"
-SORT_KEY = "_rb_key"
-
-# Below this many rows (an exact, counted bound) one ordered window task is
-# cheaper than bucketing; above it the work is split into range buckets.
-MIN_ROWS_PER_BUCKET = 1_000_000
-# Binary CASE trees are used for non-numeric or multi-column orders; keep
-# them small enough for whole-stage codegen.
-MAX_TREE_BUCKETS = 256
-MAX_NUMERIC_BUCKETS = 100_000
 
 Order = Sequence[tuple[str, bool]]  # (column, ascending)
 
@@ -55,181 +44,63 @@ def sort_exprs(order: Order) -> list[Column]:
     return [F.col(c).asc() if asc else F.col(c).desc() for c, asc in order]
 
 
-def _target_buckets(spark, n: int, cap: int) -> int:
-    conf = spark.conf.get("lakestar.order.buckets", None)
-    want = int(conf) if conf else int(spark.conf.get("spark.sql.shuffle.partitions"))
-    want = min(want, math.ceil(n / MIN_ROWS_PER_BUCKET))
-    return max(1, min(want, cap))
-
-
-def _before(order: Order, bound: tuple) -> Column:
-    """Null-safe lexicographic ``row < bound`` under the given directions."""
-    terms = []
-    prefix_equal: list[Column] = []
-    for (c, asc), b in zip(order, bound):
-        col = F.col(c)
-        if b is None:
-            strictly = F.lit(False) if asc else col.isNotNull()
-        elif asc:
-            strictly = col.isNull() | F.coalesce(col < F.lit(b), F.lit(False))
-        else:
-            strictly = col.isNotNull() & F.coalesce(col > F.lit(b), F.lit(False))
-        term = strictly
-        for e in prefix_equal:
-            term = e & term
-        terms.append(term)
-        prefix_equal.append(col.eqNullSafe(F.lit(b)))
-    out = terms[0]
-    for t in terms[1:]:
-        out = out | t
-    return out
-
-
-def _sort_struct(order: Order, values: tuple | None = None) -> Column:
-    """For all-numeric orders: one struct whose plain ascending order is the
-    wanted order (a null flag per field puts NULLs first for ascending and
-    last for descending columns; descending values are negated).  One
-    struct comparison then replaces a chain of per-column tests."""
-    fields = []
-    for i, (c, asc) in enumerate(order):
-        v = F.col(c).cast("double") if values is None else F.lit(None if values[i] is None else float(values[i])).cast("double")
-        flag = v.isNotNull() if asc else v.isNull()
-        fields += [flag.alias(f"f{i}"), (v if asc else -v).alias(f"v{i}")]
-    return F.struct(*fields)
-
-
-def _tree(order: Order, bounds: list[tuple], lo: int, hi: int, numeric: bool = False) -> Column:
-    """Bucket index in [lo, hi]: bucket i holds rows in [bounds[i-1], bounds[i])."""
-    if lo == hi:
-        return F.lit(lo)
-    mid = (lo + hi + 1) // 2
-    before = (F.col(SORT_KEY) < _sort_struct(order, bounds[mid - 1])) if numeric \
-        else _before(order, bounds[mid - 1])
-    return F.when(before, _tree(order, bounds, lo, mid - 1, numeric)) \
-            .otherwise(_tree(order, bounds, mid, hi, numeric))
-
-
-def with_range_bucket(df: DataFrame, order: Order, seed: int = 17) -> tuple[DataFrame, int]:
-    """Add :data:`BUCKET` (int) monotone in ``order``.  Boundaries come from a
-    bounded sample: ``percentile_approx`` for one numeric column, else a
-    seeded sample of about 20 rows per bucket (both return at most a few
-    thousand values to the driver, independent of the data size)."""
-    spark = df.sparkSession
-    numeric = len(order) == 1 and isinstance(df.schema[order[0][0]].dataType, T.NumericType)
-    if numeric:
-        # one pass: row count and boundaries for the target bucket count
-        c, asc = order[0]
-        target = _target_buckets(spark, 10**18, MAX_NUMERIC_BUCKETS)
-        probs = [i / target for i in range(1, target)] or [0.5]
-        acc = max(10_000, 4 * target)
-        row = df.agg(F.count(F.lit(1)).alias("n"),
-                     F.percentile_approx(F.col(c).cast("double"), probs, acc).alias("q")).first()
-        n = row["n"]
-        if _target_buckets(spark, n, MAX_NUMERIC_BUCKETS) <= 1:
-            return df.withColumn(BUCKET, F.lit(0)), 1
-        bounds = sorted({float(v) for v in (row["q"] or []) if v is not None and not math.isnan(v)})
-        splits = [-math.inf] + bounds + [math.inf]
-        nb = len(splits) - 1
-        tmp = "_rb_in"
-        out = Bucketizer(splits=splits, inputCol=tmp, outputCol=BUCKET + "_d", handleInvalid="keep") \
-            .transform(df.withColumn(tmp, F.col(c).cast("double")))
-        idx = F.col(BUCKET + "_d").cast("int")
-        if not asc:
-            idx = F.lit(nb - 1) - idx
-        null_bucket = -1 if asc else nb
-        out = out.withColumn(BUCKET, F.when(F.col(c).isNull(), F.lit(null_bucket)).otherwise(idx)) \
-                 .drop(tmp, BUCKET + "_d")
-        return out, nb + 1
-    n = df.count()
-    buckets = _target_buckets(spark, n, MAX_TREE_BUCKETS)
-    if buckets <= 1:
-        return df.withColumn(BUCKET, F.lit(0)), 1
-    fraction = min(1.0, 20.0 * buckets / max(n, 1))
-    cols = [c for c, _ in order]
-    # about 20 rows per bucket expected; the limit makes the bound hard
-    sample = df.select(*cols).sample(fraction=fraction, seed=seed).limit(100 * buckets) \
-               .orderBy(*sort_exprs(order)).collect()
-    if not sample:
-        return df.withColumn(BUCKET, F.lit(0)), 1
-    step = len(sample) / buckets
-    bounds: list[tuple] = []
-    for i in range(1, buckets):
-        b = tuple(sample[min(len(sample) - 1, int(i * step))])
-        if not bounds or b != bounds[-1]:
-            bounds.append(b)
-    # Bucketing needs only a monotone function of the order: the cast to
-    # double is monotone (rounding never reverses two values), equal keys
-    # still share a bucket, and the window inside a bucket uses exact values.
-    all_numeric = all(isinstance(df.schema[c].dataType, T.NumericType) for c, _ in order)
-    if all_numeric:
-        out = df.withColumn(SORT_KEY, _sort_struct(order)) \
-                .withColumn(BUCKET, _tree(order, bounds, 0, len(bounds), True)).drop(SORT_KEY)
-        return out, len(bounds) + 1
-    return df.withColumn(BUCKET, _tree(order, bounds, 0, len(bounds))), len(bounds) + 1
-
-
-def bucket_offsets(dfb: DataFrame, partition_cols: Sequence[str] = (),
-                   weight_col: str | None = None) -> DataFrame:
-    """Exclusive prefix count of rows (or sum of ``weight_col``) per
-    (partition, bucket): what the same partition holds in earlier buckets.
-    One row per non-empty (bucket, partition) pair; its window runs over
-    this small table only."""
+def range_buckets(df: DataFrame, order: Order) -> DataFrame:
+    """Add :data:`BUCKET` (the range partition, ascending in ``order``) and
+    :data:`POSITION` (place within it, from 0); written to the checkpoint
+    folder.  ``monotonically_increasing_id`` holds the partition in its upper
+    31 bits and the place in its lower 33."""
+    by = sort_exprs(order)
+    placed = df.repartitionByRange(*by).sortWithinPartitions(*by) \
+        .withColumn(POSITION, F.monotonically_increasing_id()).checkpoint(eager=True)
+    return placed.withColumns({BUCKET: F.shiftright(POSITION, 33).cast("int"),
+                               POSITION: F.col(POSITION).bitwiseAND((1 << 33) - 1)})
+
+
+def _row_numbers(df: DataFrame, order: Order, out_col: str, start: int) -> DataFrame:
+    rows = range_buckets(df, order)
+    # one row per shuffle partition reaches the driver
+    counts = sorted(tuple(r) for r in rows.groupBy(BUCKET).count().collect())
+    before = accumulate((n for _, n in counts), initial=start)
+    offsets = df.sparkSession.createDataFrame([(b, o) for (b, _), o in zip(counts, before)],
+                                              f"{BUCKET} int, {OFFSET} long")
+    return rows.join(F.broadcast(offsets), BUCKET) \
+        .withColumn(out_col, F.col(OFFSET) + F.col(POSITION)).drop(BUCKET, POSITION, OFFSET)
+
+
+def bucket_offsets(rows: DataFrame, partition_cols: Sequence[str], weight_col: str | None) -> DataFrame:
+    """What the same partition holds in earlier buckets: an exclusive running
+    sum over one row per (bucket, partition)."""
     amount = F.sum(weight_col) if weight_col else F.count(F.lit(1))
-    counts = dfb.groupBy(BUCKET, *partition_cols).agg(amount.alias("_n"))
-    w = Window.partitionBy(*partition_cols).orderBy(BUCKET) \
-              .rowsBetween(Window.unboundedPreceding, -1)
+    counts = rows.groupBy(BUCKET, *partition_cols).agg(amount.alias("_n"))
+    w = Window.partitionBy(*partition_cols).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     return counts.withColumn(OFFSET, F.coalesce(F.sum("_n").over(w), F.lit(0)).cast("bigint")).drop("_n")
 
 
-def _numbering(method: str, weight_col: str | None):
-    """Window function per method; ``prefix`` is the exclusive running sum
-    of ``weight_col`` (rows strictly before)."""
-    if method == "prefix":
-        def prefix(w):
-            return F.coalesce(F.sum(weight_col).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-        return prefix
-    fn = {"row_number": F.row_number, "rank": F.rank}[method]
-    return lambda w: fn().over(w)
-
-
 def global_number(df: DataFrame, order_by, out_col: str, start: int = 1,
                   partition_cols: Sequence[str] = (), method: str = "row_number",
-                  materialize: bool = False, weight_col: str | None = None) -> DataFrame:
+                  weight_col: str | None = None) -> DataFrame:
     """``start - 1 + row_number()/rank() OVER (PARTITION BY partition_cols
-    ORDER BY order_by)`` computed with range buckets, never in one task for
-    large inputs.  ``partition_cols`` are prepended to the bucketing order so
-    each bucket covers a contiguous run of partitions.  ``method='prefix'``
-    gives ``start - 1 +`` the sum of ``weight_col`` over the rows strictly
-    before (the order must then be a total order)."""
+    ORDER BY order_by)``, never in one task.  ``partition_cols`` are put
+    before the order, so each bucket covers a contiguous run of partitions
+    and a large partition is spread over many.  ``method='prefix'`` gives
+    ``start - 1 +`` the sum of ``weight_col`` over the rows strictly before
+    (the order must then be a total order)."""
     order = normalize_order(order_by)
+    if method == "row_number" and not partition_cols:
+        return _row_numbers(df, order, out_col, start)
     full = [(c, True) for c in partition_cols] + [o for o in order if o[0] not in partition_cols]
-    over = _numbering(method, weight_col)
-    if materialize:
-        # the input is read by the count/sample pass and twice by the final
-        # job: compute it once (reliable checkpoint, lineage cut)
-        df = df.checkpoint(eager=True)
-    if partition_cols:
-        # a plain partitioned window is fine while every partition is small:
-        # check the largest one (partial aggregate, one number back)
-        biggest = df.groupBy(*partition_cols).count().agg(F.max("count").alias("m")).first()["m"] or 0
-        if biggest <= MIN_ROWS_PER_BUCKET:
-            w = Window.partitionBy(*partition_cols).orderBy(*sort_exprs(order))
-            return df.withColumn(out_col, (over(w) + F.lit(start - 1)).cast("bigint"))
-    dfb, nb = with_range_bucket(df, full)
-    if nb == 1:
-        w = Window.partitionBy(*partition_cols).orderBy(*sort_exprs(order)) if partition_cols \
-            else Window.orderBy(*sort_exprs(order))
-        return dfb.withColumn(out_col, (over(w) + F.lit(start - 1)).cast("bigint")).drop(BUCKET)
-    offsets = bucket_offsets(dfb, partition_cols, weight_col if method == "prefix" else None)
-    if not partition_cols:
-        # one row per bucket: a size bound we chose ourselves
-        offsets = F.broadcast(offsets)
+    rows = range_buckets(df, full).drop(POSITION)
+    offsets = bucket_offsets(rows, partition_cols, weight_col if method == "prefix" else None)
     # null-safe on the partition columns: a NULL season is a partition too
     renamed = offsets.select(F.col(BUCKET).alias("_o" + BUCKET), F.col(OFFSET),
                              *[F.col(c).alias("_o_" + c) for c in partition_cols])
     cond = [F.col(BUCKET) == F.col("_o" + BUCKET)] + \
            [F.col(c).eqNullSafe(F.col("_o_" + c)) for c in partition_cols]
     w = Window.partitionBy(BUCKET, *partition_cols).orderBy(*sort_exprs(order))
-    out = dfb.join(renamed, cond, "inner") \
-             .withColumn(out_col, (F.col(OFFSET) + over(w) + F.lit(start - 1)).cast("bigint"))
+    if method == "prefix":
+        over = F.coalesce(F.sum(weight_col).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    else:
+        over = {"row_number": F.row_number, "rank": F.rank}[method]().over(w)
+    out = rows.join(renamed, cond, "inner") \
+              .withColumn(out_col, (F.col(OFFSET) + over + F.lit(start - 1)).cast("bigint"))
     return out.drop(BUCKET, OFFSET, "_o" + BUCKET, *["_o_" + c for c in partition_cols])

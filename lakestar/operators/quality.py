@@ -105,38 +105,13 @@ class LengthBetween(Expectation):
 
 
 class DistinctEquals(Expectation):
-    """E5/A2: the set of distinct non-NULL values equals ``values``.
-    ``n_bad`` = values seen but not expected + values expected but absent."""
+    """E5/A2: the set of distinct non-NULL values equals ``values``, as one
+    aggregate.  ``n_bad`` = rows with a value that is not expected + expected
+    values that are absent."""
     values: tuple = ()
-
-    def __init__(self, column: str, values: Iterable):
-        self.column, self.values = column, tuple(values)
-        self.rule_name = "distinct_equals"
-
-    def evaluate(self, df: DataFrame) -> DataFrame:
-        spark = df.sparkSession
-        dtype = df.schema[self.column].dataType
-        seen = df.select(F.col(self.column).alias("v")).where(F.col("v").isNotNull()).distinct() \
-                 .withColumn("_seen", F.lit(True))
-        # the expected set is a parameter of the rule: its size is the caller's
-        expected = spark.createDataFrame([(v,) for v in self.values], T.StructType([T.StructField("v", dtype)])) \
-                        .withColumn("_exp", F.lit(True))
-        both = seen.join(F.broadcast(expected), "v", "full")
-        return both.agg(F.count_if(F.col("_seen").isNotNull()).alias("n_rows"),
-                        F.count_if(F.col("_seen").isNull() | F.col("_exp").isNull()).alias("n_bad"))
-
-    def observable(self) -> "Expectation":
-        return _ObservedDistinctEquals(self.column, self.values)
-
-
-class _ObservedDistinctEquals(Expectation):
-    """DistinctEquals as one aggregate: rows outside the set, plus expected
-    values never seen.  The collected set only ever holds expected values,
-    so its size is bounded by the rule itself.  ``n_bad`` counts offending
-    rows (not distinct values); it is zero exactly when the rule holds."""
     row_level = True
 
-    def __init__(self, column: str, values: tuple):
+    def __init__(self, column: str, values: Iterable):
         self.column, self.values = column, tuple(values)
         self.rule_name = "distinct_equals"
 
@@ -145,6 +120,7 @@ class _ObservedDistinctEquals(Expectation):
         return c.isNotNull() & ~c.isin(list(self.values))
 
     def metric(self) -> Column:
+        # the collected set only holds expected values: bounded by the rule
         c = F.col(self.column)
         seen = F.size(F.collect_set(F.when(c.isin(list(self.values)), c)))
         return F.count_if(self.bad()) + (F.lit(len(set(self.values))) - seen)
@@ -161,16 +137,6 @@ class InSetOf(Expectation):
         self.column, self.other, self.other_column = column, other, other_column or column
         self.rule_name = "in_set_of"
 
-    def observable(self, max_values: int = 10_000) -> "Expectation | None":
-        """When the referenced side has at most ``max_values`` distinct
-        values (checked with a count first), check membership against them
-        as a literal set in the same pass; beyond that keep the join."""
-        ref = self.other.select(F.col(self.other_column).alias("_ref")).where(F.col("_ref").isNotNull()).distinct()
-        values = [r["_ref"] for r in ref.limit(max_values + 1).collect()]  # bounded
-        if len(values) > max_values:
-            return None
-        return InValues(self.column, values, rule_name=self.rule_name)
-
     def evaluate(self, df: DataFrame) -> DataFrame:
         ref = self.other.select(F.col(self.other_column).alias("_ref")).distinct() \
                   .withColumn("_hit", F.lit(True))

@@ -33,10 +33,11 @@ def standings(totals: DataFrame) -> DataFrame:
     the result joins back on (season, points, wins), many-to-one (AQE
     broadcasts the histogram when small, else splits a hot score's
     partition)."""
+    totals = totals.checkpoint(eager=True)      # small next to the facts, read twice
     hist = totals.groupBy("race_year", "total_points", "wins").agg(F.count(F.lit(1)).alias("_n"))
     ranked = global_number(hist, [("total_points", False), ("wins", False)], "season_rank",
                            partition_cols=["race_year"], method="prefix", weight_col="_n",
-                           materialize=True, start=2).drop("_n")
+                           start=2).drop("_n")
     r = ranked.select(*[F.col(c).alias(f"_h_{c}") for c in ["race_year", "total_points", "wins"]],
                       "season_rank")
     cond = [totals[c].eqNullSafe(r[f"_h_{c}"]) for c in ["race_year", "total_points", "wins"]]

@@ -20,15 +20,6 @@ def lookup_keys(fact: DataFrame, dim: DataFrame, fact_col: str, dim_col: str, ke
     return out if keep_natural else out.drop(fact_col)
 
 
-def star_join(fact: DataFrame, lookups: Sequence[tuple[DataFrame, str, str, str]],
-              how: str = "inner") -> DataFrame:
-    """Chain of key lookups ``(dim, fact_col, dim_col, key_col)``."""
-    out = fact
-    for dim, fact_col, dim_col, key_col in lookups:
-        out = lookup_keys(out, dim, fact_col, dim_col, key_col, how=how)
-    return out
-
-
 def join_dimension(left: DataFrame, dim: DataFrame, on: str | Sequence[str],
                    columns: Sequence[str] | Mapping[str, str], how: str = "inner",
                    dim_on: str | Sequence[str] | None = None) -> DataFrame:

@@ -5,18 +5,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import NULL_SENTINEL, assemble_datetime, rename, sentinel_to_null, try_cast_columns
-from ..operators import (DistinctEquals, InSetOf, LengthBetween, NotNull, Unique, ValueBetween,
+from ..operators import (DistinctEquals, ExpectationError, InSetOf, LengthBetween, NotNull, Unique, ValueBetween,
                          champions, count_distinct_by, dense_keys, evaluate, hash_key,
                          incident_counts, latest_per_key, season_totals, standings, top_k,
                          upsert, upsert_with_key)
 from ..session import scratch_path
-from ..sources import scan, flatten_json, full_refresh, incremental_extract, load_or_upsert, pack_json, read, register, save
-from .star import RACE_TIME, StarPipeline, dirty
+from ..sources import (ensure_table, flatten_json, full_refresh, incremental_extract, load_or_upsert, pack_json, read,
+                       register, save, scan, sql_with_registry)
+from ..sources.extract import sync_incremental
+from .entities import silver_job
+from .star import DRIVER, RACE_TIME, StarPipeline, dirty, driver_fields, raw_with_history
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -125,10 +128,9 @@ def q_expect_distinct_equal_set(spark, sf_dir):
 
 
 def q_expect_fk_in_set(spark, sf_dir):
-    cust = _t(spark, sf_dir, "customer").where(F.col("c_nationkey") < 10)
-    ref = _t(spark, sf_dir, "orders").join(cust, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey")
-    r = evaluate(_t(spark, sf_dir, "lineitem"), [InSetOf("l_orderkey", ref, "o_orderkey")])
-    return r.select("n_bad")
+    # customers without an order
+    r = evaluate(_t(spark, sf_dir, "customer"), [InSetOf("c_custkey", _t(spark, sf_dir, "orders"), "o_custkey")])
+    return r.select("n_rows", "n_bad")
 
 
 def q_expect_unique(spark, sf_dir):
@@ -154,7 +156,9 @@ def q_hash_key(spark, sf_dir):
 def _upsert_inputs(spark, sf_dir):
     c = _t(spark, sf_dir, "customer")
     target = c.where(F.col("c_custkey") % 3 != 0).select("c_custkey", "c_name", "c_acctbal")
-    source = c.where(F.col("c_custkey") % 2 == 0).select(
+    # together they hold every customer: two thirds are stored, the batch
+    # updates half of these and brings the missing third
+    source = c.where((F.col("c_custkey") % 2 == 0) | (F.col("c_custkey") % 3 == 0)).select(
         "c_custkey", F.concat("c_name", F.lit("_v2")).alias("c_name"),
         F.when(F.col("c_custkey") % 5 == 0, F.lit(None)).otherwise(F.col("c_acctbal")).alias("c_acctbal"))
     return target, source
@@ -300,6 +304,179 @@ def q_dangerous_circuits(spark, sf_dir):
     return incident_counts(_p(spark, sf_dir).report, "circuit_name", "status_name", ["RF", "RO"])
 
 
+# ---- a second batch through published tables ---------------------------------------
+
+def _own_warehouse(spark, run):
+    """Run against tables of its own; the frame returned stays bound to their
+    files."""
+    before = spark.conf.get("lakestar.warehouse", None)
+    spark.conf.set("lakestar.warehouse", scratch_path(spark, "warehouse"))
+    try:
+        return run()
+    finally:
+        if before is None:
+            spark.conf.unset("lakestar.warehouse")
+        else:
+            spark.conf.set("lakestar.warehouse", before)
+
+
+def q_silver_late_version(spark, sf_dir):
+    """The second batch holds older versions of even customers and newer ones
+    of every third: the newest of all wins and keys stay."""
+    cust = _t(spark, sf_dir, "customer")
+
+    def raw(rows, name, updated_at, ingested):
+        fields = {"driverid": "c_custkey", "driverref": name, "number": F.col("c_nationkey").cast("string"),
+                  "forename": "c_mktsegment", "surname": "c_name", "updated_at": F.lit(updated_at).cast("timestamp_ntz")}
+        return pack_json(rows, fields).withColumn("_ingested_at", F.lit(ingested).cast("timestamp"))
+
+    def run():
+        first = raw(cust, F.col("c_name"), "2024-01-02 00:00:00", "2024-02-01 00:00:00")
+        silver_job(first, DRIVER, incremental=True, num_buckets=8)
+        older = raw(cust.where(F.col("c_custkey") % 2 == 0), F.lit("stale"), "2023-01-01 00:00:00", "2024-02-02 00:00:00")
+        newer = raw(cust.where(F.col("c_custkey") % 3 == 0), F.concat("c_name", F.lit("_new")), "2025-01-01 00:00:00",
+                    "2024-02-02 00:00:00")
+        both = first.unionByName(older).unionByName(newer)
+        silver_job(both, DRIVER, incremental=True, num_buckets=8)
+        # a third batch with nothing but older versions changes nothing
+        again = raw(cust, F.lit("stale"), "2022-01-01 00:00:00", "2024-02-03 00:00:00")
+        return silver_job(both.unionByName(again), DRIVER, incremental=True, num_buckets=8) \
+            .select("driver_key", "driver_id", "driver_ref")
+    return _own_warehouse(spark, run)
+
+
+def _latest_lines(spark, sf_dir):
+    return latest_per_key(_t(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"], ["l_shipdate"],
+                          ["l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_discount", "l_tax"])
+
+
+def q_pipeline_two_batches(spark, sf_dir):
+    """Publish twice, then results, drivers, constructors and results again:
+    the report of a full rebuild."""
+    lines = _latest_lines(spark, sf_dir)
+
+    def changed(number, points, day):
+        return lines.where(F.col("l_linenumber") == number).withColumns({
+            "l_quantity": F.col("l_quantity") + points, "l_shipdate": F.lit(day).cast("timestamp_ntz")})
+
+    def run():
+        p = StarPipeline(spark, sf_dir)
+        p.publish(num_buckets=8)
+        p.publish(num_buckets=8)
+        p.refresh_results(changed(1, 1000, "2030-01-01"), num_buckets=8)
+        p.refresh_dimension("driver", _t(spark, sf_dir, "customer").where(F.col("c_custkey") % 5 == 0)
+                            .withColumn("c_name", F.concat("c_name", F.lit("_x"))), num_buckets=8)
+        p.refresh_dimension("constructor", _t(spark, sf_dir, "supplier").where(F.col("s_suppkey") % 2 == 0)
+                            .withColumn("s_name", F.concat("s_name", F.lit("_y"))), num_buckets=8)
+        p.refresh_results(changed(2, 500, "2031-01-01"), num_buckets=8)
+        # an older version of line 1 arrives last and changes nothing
+        p.refresh_results(changed(1, 7, "1980-01-01"), num_buckets=8)
+        return p.report.select("result_key", "race_type", "race_year", "race_date", "driver_fullname",
+                               "constructor_name", "status_name", "position_order", "points")
+    return _own_warehouse(spark, run)
+
+
+def q_fact_late_dimension(spark, sf_dir):
+    """A third of the drivers arrive after their results: the facts are
+    complete once they are there."""
+    cust = _t(spark, sf_dir, "customer")
+    late = F.col("c_custkey") % 3 == 0
+
+    def run():
+        p = StarPipeline(spark, sf_dir)
+        p.frames["raw_driver"] = raw_with_history(cust.where(~late), "c_custkey", driver_fields(),
+                                                  ["driverref", "number", "forename", "surname"])
+        p.publish(num_buckets=8)
+        p.refresh_dimension("driver", cust.where(late), num_buckets=8)
+        drivers = p.dim_driver.select("driver_key", "driver_ref")
+        return p.fct_race_result.join(drivers, "driver_key").select("result_id", "race_key", "driver_ref",
+                                                                    "constructor_key", "points")
+    return _own_warehouse(spark, run)
+
+
+def q_incremental_ties(spark, sf_dir):
+    """Two syncs whose cursor, a day, many rows share: rows of the last day
+    that arrive later are not lost."""
+    name = _fresh_table(spark, "events_by_day")
+    days = _t(spark, sf_dir, "events").select("event_id", "ts", F.date_trunc("day", "ts").cast("timestamp_ntz").alias("day"))
+    cut = F.lit("2024-01-15").cast("timestamp_ntz")
+    early = days.where((F.col("day") < cut) | ((F.col("day") == cut) & (F.col("event_id") % 2 == 0)))
+    sync_incremental(spark, early, name, "day")
+    sync_incremental(spark, days, name, "day")
+    sync_incremental(spark, days, name, "day")
+    return read(spark, name).select("event_id", "ts")
+
+
+def q_hash_key_multi(spark, sf_dir):
+    c = _t(spark, sf_dir, "customer")
+    segment = F.when(F.col("c_custkey") % 3 == 0, F.lit(None)).when(F.col("c_custkey") % 3 == 1, F.lit("")) \
+        .otherwise(F.col("c_mktsegment"))
+    return c.select("c_custkey", hash_key(F.col("c_name"), segment, F.col("c_nationkey")).alias("hash_key"))
+
+
+def q_cast_long_float(spark, sf_dir):
+    """F3/F4 on dirty text."""
+    o = _t(spark, sf_dir, "orders")
+    text = o.select("o_orderkey", dirty(F.col("o_custkey"), F.col("o_orderkey")).alias("milliseconds"),
+                    dirty(F.col("o_totalprice"), F.col("o_orderkey")).alias("speed"))
+    return try_cast_columns(sentinel_to_null(text, ["milliseconds", "speed"]),
+                            {"milliseconds": "bigint", "speed": "double"})
+
+
+def q_expect_not_null_fk(spark, sf_dir):
+    """E1/E2 where NULLs do occur: the sentinel of a foreign key."""
+    c = _t(spark, sf_dir, "customer").select("c_custkey", dirty(F.col("c_nationkey"), F.col("c_custkey")).alias("nation_id"))
+    r = evaluate(sentinel_to_null(c, ["nation_id"]), [NotNull("c_custkey"), NotNull("nation_id")])
+    return r.select(F.col("column").alias("col"), "n_rows", "n_bad")
+
+
+def q_gate_stops_load(spark, sf_dir):
+    """A load that breaks its rules leaves the published table as it was."""
+    name = _fresh_table(spark, "gated")
+    c = _t(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
+    save(c, name, expectations=[NotNull("c_custkey")])
+    try:
+        save(c.withColumn("c_name", F.lit("wrong")), name, expectations=[ValueBetween("c_acctbal", 0, 1)])
+    except ExpectationError:
+        return read(spark, name).select("c_custkey", "c_name")
+    raise AssertionError("the gate let a bad load pass")
+
+
+def q_incident_rate(spark, sf_dir):
+    return incident_counts(_p(spark, sf_dir).report, "circuit_name", "status_name", ["RF", "RO"], with_rate=True)
+
+
+def q_declared_schema(spark, sf_dir):
+    """An empty table with a declared schema, then a load that is cast to it."""
+    name = _fresh_table(spark, "part_declared")
+    schema = T.StructType([T.StructField("p_partkey", T.LongType()), T.StructField("p_size", T.LongType()),
+                           T.StructField("p_retailprice", T.DecimalType(12, 2))])
+    ensure_table(spark, name, schema)
+    save(_t(spark, sf_dir, "part"), name, mode="append", schema=schema)
+    return read(spark, name)
+
+
+def q_sorted_load(spark, sf_dir):
+    """O1: rows per table and neighbours within a file that are out of order."""
+    name = _fresh_table(spark, "orders_sorted")
+    save(_t(spark, sf_dir, "orders").select("o_totalprice", "o_orderkey"), name, sort_by=["o_totalprice", "o_orderkey"])
+    rows = read(spark, name).select("o_totalprice", "o_orderkey", F.input_file_name().alias("f"),
+                                    F.monotonically_increasing_id().alias("i"))
+    last = F.lag(F.struct("o_totalprice", "o_orderkey")).over(Window.partitionBy("f").orderBy("i"))
+    return rows.withColumn("last", last).agg(
+        F.count("*").alias("n_rows"),
+        F.count_if(F.col("last") > F.struct("o_totalprice", "o_orderkey")).alias("n_out_of_order"))
+
+
+def q_sql_year_totals(spark, sf_dir):
+    """A statement with a CTE over registered names."""
+    save(_t(spark, sf_dir, "orders"), _fresh_table(spark, "all_orders"))
+    return sql_with_registry(spark, """
+        WITH priced AS (SELECT year(o_orderdate) AS y, o_orderstatus AS status, o_totalprice AS price FROM ${all_orders})
+        SELECT y, count(*) AS n_orders, count_if(status = 'F') AS n_filled, max(price) AS top_price
+        FROM priced GROUP BY y""")
+
+
 def q_stream_refresh(spark, sf_dir):
     from ..streaming.refresh import refresh_events_in_waves
     return refresh_events_in_waves(spark, sf_dir)

@@ -13,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,7 +21,7 @@ from ..functions import assemble_datetimes, rename, sentinel_to_null, try_cast_c
 from ..operators import check, dense_keys, latest_per_key
 from ..operators.quality import (DistinctEquals, Expectation, ExpectationError, InValues, NotNull,
                                 observed_metrics)
-from ..sources import RAW_COL, TableStore, flatten_json, load_or_upsert, read
+from ..sources import RAW_COL, TableStore, flatten_json, load_or_upsert, read, read_touched, table_exists
 
 
 @dataclass
@@ -58,12 +58,15 @@ def flatten(raw: DataFrame, spec: EntitySpec, payload_col: str = RAW_COL) -> Dat
                         payload_col, keep=[RAW_HASH])
 
 
-def refine(flat: DataFrame, spec: EntitySpec) -> DataFrame:
-    """Latest version per key, then clean, type, rename and project."""
+def newest(flat: DataFrame, spec: EntitySpec) -> DataFrame:
+    """Latest version per natural key."""
     tiebreak = list(spec.tiebreak) + ([RAW_HASH] if RAW_HASH in flat.columns else [])
-    df = latest_per_key(flat, list(spec.natural_key), [spec.cursor], tiebreak)
-    if spec.after_dedup is not None:
-        df = spec.after_dedup(df)
+    return latest_per_key(flat, list(spec.natural_key), [spec.cursor], tiebreak)
+
+
+def clean(latest: DataFrame, spec: EntitySpec) -> DataFrame:
+    """Filter, clean, type, rename and project the latest versions."""
+    df = latest if spec.after_dedup is None else spec.after_dedup(latest)
     if spec.sentinel_cols:
         df = sentinel_to_null(df, spec.sentinel_cols)
     if spec.casts:
@@ -77,30 +80,32 @@ def refine(flat: DataFrame, spec: EntitySpec) -> DataFrame:
     return df.drop(RAW_HASH)
 
 
-def prepare(raw: DataFrame, spec: EntitySpec, run_gate: bool = True,
-            extra_rules: Sequence[Expectation] = ()) -> DataFrame:
-    """Gate and refine the raw rows; the result is checkpointed.
+def refine(flat: DataFrame, spec: EntitySpec) -> DataFrame:
+    """Latest version per key, then clean, type, rename and project."""
+    return clean(newest(flat, spec), spec)
+
+
+def gated_newest(raw: DataFrame, spec: EntitySpec, run_gate: bool = True,
+                 extra_rules: Sequence[Expectation] = ()) -> DataFrame:
+    """Gate the raw rows and reduce them to the latest versions; the result
+    is checkpointed.
 
     One scan of the raw rows does three things: row-level rules are
     *observed* on the parsed rows, duplicates are reduced to the latest
-    version, and the refined result is checkpointed to the shared checkpoint
-    folder (lineage cut: later passes read the refined copy, not the raw
-    JSON again).  Set-level rules run as their own joins.  The gate raises
-    before anything is returned, so nothing unchecked is ever published."""
+    version, and the result is checkpointed to the shared checkpoint folder
+    (lineage cut: later passes do not read the raw JSON again).  Set-level
+    rules run as their own joins.  The gate raises before anything is
+    returned, so nothing unchecked is ever published."""
     flat = flatten(raw, spec)
     rules = list(spec.rules) + list(spec.set_rules(flat) if spec.set_rules else []) + list(extra_rules)
-    row_rules: list[Expectation] = []
-    set_rules: list[Expectation] = []
-    if run_gate:
-        for r in rules:
-            single_pass = r.observable()
-            (row_rules if single_pass is not None else set_rules).append(single_pass or r)
+    row_rules = [r for r in rules if r.row_level] if run_gate else []
+    set_rules = [r for r in rules if not r.row_level] if run_gate else []
     observation = None
     if row_rules:
         observation = Observation(f"gate_{spec.name}")
         metrics, finish = observed_metrics(row_rules)
         flat = flat.observe(observation, *metrics)
-    df = refine(flat, spec).checkpoint(eager=True)
+    df = newest(flat, spec).checkpoint(eager=True)
     if observation is not None:
         report = finish(observation.get)
         failed = [r for r in report if not r["success"]]
@@ -111,6 +116,12 @@ def prepare(raw: DataFrame, spec: EntitySpec, run_gate: bool = True,
     return df
 
 
+def prepare(raw: DataFrame, spec: EntitySpec, run_gate: bool = True,
+            extra_rules: Sequence[Expectation] = ()) -> DataFrame:
+    """Gate and refine the raw rows."""
+    return clean(gated_newest(raw, spec, run_gate, extra_rules), spec)
+
+
 def silver_frame(raw: DataFrame, spec: EntitySpec, run_gate: bool = True,
                  extra_rules: Sequence[Expectation] = ()) -> DataFrame:
     """The silver table as of a first load: refined rows with surrogate keys
@@ -123,11 +134,34 @@ def silver_frame(raw: DataFrame, spec: EntitySpec, run_gate: bool = True,
 
 
 INGESTED = "_ingested_at"
+VERSION = "_version"
+
+
+def versions_table(name: str) -> str:
+    """Table of the newest version seen of every natural key, also of keys
+    that this silver table's filter left out."""
+    return f"{name}__versions"
+
+
+def _newer_only(latest: DataFrame, spec: EntitySpec, name: str, num_buckets: int | None) -> DataFrame:
+    """The rows that are at least as new as what was seen of their key
+    before; their versions are stored first, so a run that died after that
+    accepts the same rows again."""
+    keys = list(spec.natural_key)
+    version = F.struct(spec.cursor, *spec.tiebreak, RAW_HASH)
+    rows = latest.withColumn(VERSION, version)
+    store = versions_table(name)
+    if table_exists(latest.sparkSession, store):
+        known = read_touched(latest.sparkSession, store, rows, keys).withColumnRenamed(VERSION, "_known")
+        rows = rows.join(known, keys, "left").where(F.col("_known").isNull() | (F.col(VERSION) >= F.col("_known"))) \
+            .drop("_known").checkpoint(eager=True)
+    load_or_upsert(rows.select(*keys, VERSION), store, keys, num_buckets=num_buckets, validate=False)
+    return rows.drop(VERSION)
 
 
 def silver_job(raw: DataFrame, spec: EntitySpec, table: str | None = None,
                run_gate: bool = True, extra_rules: Sequence[Expectation] = (),
-               incremental: bool = False, num_buckets: int | None = None) -> DataFrame:
+               incremental: bool = False, num_buckets: int | None = None, ingest_lag_s: int = 0) -> DataFrame:
     """One refresh of a silver table: gate and refine, then create on the
     first load or upsert keeping surrogate keys (S10 + M4).  Returns the
     published table.
@@ -135,32 +169,46 @@ def silver_job(raw: DataFrame, spec: EntitySpec, table: str | None = None,
     ``incremental=True`` reads only raw rows whose ``_ingested_at`` is after
     the cursor stored with the table's last version (a pushed-down Parquet
     filter, no JSON parsed for old rows), and with ``num_buckets`` the
-    upsert rewrites only the key buckets those rows touch.  Rows of a later
-    sync carry newer ``updated_at`` (the extract cursor), so the newest
-    version still wins.  In this mode set-completeness rules (expected
-    seasons) are checked on the batch as "no unexpected value" only."""
+    upsert rewrites only the key buckets those rows touch.  A batch may hold
+    older versions than the table: per key, the newest of all versions seen
+    wins, whatever the order they arrive in, and an older version neither
+    updates nor deletes.  If writers can publish raw rows later than they
+    stamp them, ``ingest_lag_s`` reads that much further back; rows seen
+    before change nothing.  Completeness rules (expected seasons) are checked
+    on the table together with the batch."""
     name = table or spec.name
-    cursor = None
+    spark = raw.sparkSession
+    cursor = last = None
     batch = raw
+    completeness: list[DistinctEquals] = []
     if incremental and INGESTED in raw.columns:
-        last = TableStore(raw.sparkSession, name).cursor()
+        last = TableStore(spark, name).cursor()
         if last is not None:
-            batch = raw.where(F.col(INGESTED) > F.timestamp_micros(F.lit(last)))
+            batch = raw.where(F.col(INGESTED) > F.timestamp_micros(F.lit(last - ingest_lag_s * 1_000_000)))
         top = batch.agg(F.max(F.unix_micros(F.col(INGESTED))).alias("c")).first()["c"]
         if top is None and last is not None:
-            return read(raw.sparkSession, name)  # nothing new since the last refresh
-        cursor = top
+            return read(spark, name)  # nothing new since the last refresh
+        cursor = top if last is None else max(top, last)
         if last is not None:
+            completeness = [r for r in [*spec.rules, *extra_rules] if isinstance(r, DistinctEquals)]
             # a batch need not cover every expected value: only "no stranger"
             spec = replace(spec, rules=[_subset(r) for r in spec.rules])
             extra_rules = [_subset(r) for r in extra_rules]
-    df = prepare(batch, spec, run_gate, extra_rules)
+    latest = gated_newest(batch, spec, run_gate, extra_rules)
     delete_keys = None
-    if incremental and spec.after_dedup is not None:
-        # a key whose newest version no longer passes this table's filter
-        # (e.g. a result that moved to the other result table) must leave it
-        delete_keys = flatten(batch, spec).select(
-            *[F.col(k).alias(spec.renames.get(k, k)) for k in spec.natural_key]).distinct()
+    if incremental:
+        latest = _newer_only(latest, spec, name, num_buckets)
+        if spec.after_dedup is not None:
+            # a key whose newest version no longer passes this table's filter
+            # (e.g. a result that moved to the other result table) must leave it
+            delete_keys = latest.select(*[F.col(k).alias(spec.renames.get(k, k)) for k in spec.natural_key])
+    df = clean(latest, spec)
+    if run_gate and completeness:
+        held = read(spark, name)
+        for r in completeness:
+            column = spec.renames.get(r.column, r.column)
+            both = held.select(column).unionByName(df.select(column))
+            check(both.withColumnRenamed(column, r.column), [r])
     # latest_per_key leaves one row per natural key and the gate rejected
     # NULL keys: the batch needs no second uniqueness check
     gated_keys = run_gate and {k for r in spec.rules if isinstance(r, NotNull) for k in [r.column]} >= set(spec.natural_key)
@@ -181,6 +229,13 @@ def in_parallel(tasks: Mapping[str, Callable[[], DataFrame]], workers: int = 4)
     from concurrent.futures import ThreadPoolExecutor
     if workers <= 1:
         return {k: f() for k, f in tasks.items()}
+
+    def in_pool(name: str, task: Callable[[], DataFrame]) -> DataFrame:
+        # a scheduler pool of its own: FAIR shares the cores between pools
+        spark = SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", name)
+        return task()
+
     with ThreadPoolExecutor(max_workers=workers) as pool:
-        futures = {k: pool.submit(f) for k, f in tasks.items()}
+        futures = {k: pool.submit(in_pool, k, f) for k, f in tasks.items()}
         return {k: fut.result() for k, fut in futures.items()}

@@ -21,7 +21,7 @@ FRAGMENTS = {
     "TSN": "timestamp",
 }
 
-_UPSERT_CTE = "with t as (select c_custkey, c_name, c_acctbal from customer where c_custkey % 3 <> 0), n as (select c_custkey, concat(c_name, '_v2') as c_name, case when c_custkey % 5 = 0 then null else c_acctbal end as c_acctbal from customer where c_custkey % 2 = 0)"
+_UPSERT_CTE = "with t as (select c_custkey, c_name, c_acctbal from customer where c_custkey % 3 <> 0), n as (select c_custkey, concat(c_name, '_v2') as c_name, case when c_custkey % 5 = 0 then null else c_acctbal end as c_acctbal from customer where c_custkey % 2 = 0 or c_custkey % 3 = 0)"
 _EV_OLD = "(select user_id, event_type, event_id, value from (select *, row_number() over (partition by user_id, event_type order by ts desc, event_id desc) as rn from events where ts < timestamp '2024-01-29 00:00:00') q where rn = 1)"
 _EV_NEW = "(select user_id, event_type, event_id, value from (select *, row_number() over (partition by user_id, event_type order by ts desc, event_id desc) as rn from events where ts >= timestamp '2024-01-29 00:00:00') q where rn = 1)"
 _COUNTRY_RACES = "select r_name as circuit_country, count(distinct o_orderkey) as races from orders join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey group by r_name"
@@ -40,8 +40,8 @@ RAW = {
     "expect_not_null": "select 'c_custkey' as col, count(*) as n_rows, cast(sum(case when c_custkey is null then 1 else 0 end) as bigint) as n_bad from customer",
     "expect_length_between": "select count(*) as n_rows, cast(sum(case when length(p_name) not between 1 and 10 then 1 else 0 end) as bigint) as n_bad from part",
     "expect_value_between": "select count(*) as n_rows, cast(sum(case when c_acctbal not between 0 and 9000 then 1 else 0 end) as bigint) as n_bad from customer",
-    "expect_distinct_equal_set": "select count(*) as n_mismatch from (select distinct cast(year(o_orderdate) as bigint) as y from orders) g full outer join (select 1996 as e union all select 1997 union all select 1998 union all select 1999 union all select 2000 union all select 2001 union all select 2002) w on g.y = w.e where g.y is null or w.e is null",
-    "expect_fk_in_set": "select count(*) as n_bad from lineitem l left join (select o_orderkey from orders join customer on o_custkey = c_custkey where c_nationkey < 10) o on l.l_orderkey = o.o_orderkey where o.o_orderkey is null",
+    "expect_distinct_equal_set": "select (select count(*) from orders where year(o_orderdate) not between 1996 and 2002) + (7 - (select count(distinct year(o_orderdate)) from orders where year(o_orderdate) between 1996 and 2002)) as n_mismatch",
+    "expect_fk_in_set": "select count(*) as n_rows, cast(sum(case when o_custkey is null then 1 else 0 end) as bigint) as n_bad from customer left join (select distinct o_custkey from orders) o on c_custkey = o_custkey",
     "expect_unique": "select count(*) as n_dup_keys from (select l_orderkey, l_linenumber from lineitem group by l_orderkey, l_linenumber having count(*) > 1) t",
     "quality_report": "select 'not_null' as rule_name, cast(sum(case when c_custkey is null then 1 else 0 end) as bigint) as n_bad from customer union all select 'value_between' as rule_name, cast(sum(case when c_acctbal not between 0 and 9000 then 1 else 0 end) as bigint) as n_bad from customer",
     "surrogate_key": "select o_orderkey, race_key from {RACEKEY} t",
@@ -61,7 +61,7 @@ RAW = {
     "star_dim_driver": "select row_number() over (order by c_custkey) as driver_key, concat(c_mktsegment, ' ', c_name) as driver_fullname from customer",
     "star_dim_race": "select k.race_key, n.n_name as circuit_name, r.r_name as circuit_country, cast(year(o.o_orderdate) as bigint) as race_year, cast(o.o_orderdate as date) as race_date from orders o join {RACEKEY} k on o.o_orderkey = k.o_orderkey join customer c on o.o_custkey = c.c_custkey join nation n on c.c_nationkey = n.n_nationkey join region r on n.n_regionkey = r.r_regionkey",
     "star_dim_status": "select status_key, status_name from {STATUSKEY} t",
-    "star_dim_circuit": "select n_nationkey as circuit_id, n_name as circuit_name, n_regionkey as circuit_country_id from nation",
+    "star_dim_circuit": "select row_number() over (order by n_nationkey) as circuit_key, n_nationkey as circuit_id, n_name as circuit_name, r_name as circuit_country, case when n_nationkey % 7 = 0 then null else n_regionkey end as circuit_alt from nation join region on n_regionkey = r_regionkey",
     "star_fct_race": "select f.result_id, k.race_key, d.driver_key, s.constructor_key, st.status_key, f.position_order, f.points from {RESULT} f join {RACEKEY} k on f.race_id = k.o_orderkey join {DRIVERKEY} d on k.o_custkey = d.c_custkey join {CONSKEY} s on f.constructor_id = s.s_suppkey join {STATUSKEY} st on f.status_name = st.status_name where f.l_linestatus = 'F'",
     "star_fct_sprint": "select f.result_id, k.race_key, d.driver_key, s.constructor_key, st.status_key, f.position_order, f.points from {RESULT} f join {RACEKEY} k on f.race_id = k.o_orderkey join {DRIVERKEY} d on k.o_custkey = d.c_custkey join {CONSKEY} s on f.constructor_id = s.s_suppkey join {STATUSKEY} st on f.status_name = st.status_name where f.l_linestatus = 'O'",
     "report_result": "select result_key, race_type, race_year, race_date, circuit_name, circuit_country, driver_fullname, constructor_name, status_name, position_order, points from {REPORT} p",
@@ -72,6 +72,19 @@ RAW = {
     "races_per_country": _COUNTRY_RACES,
     "top_countries": _COUNTRY_RACES + " order by races desc, circuit_country limit 3",
     "dangerous_circuits": "select circuit_name, count(*) as starts, cast(sum(case when status_name in ('RF', 'RO') then 1 else 0 end) as bigint) as incidents from {REPORT} p group by circuit_name",
+    # second batches through published tables
+    "silver_late_version": "select row_number() over (order by c_custkey) as driver_key, c_custkey as driver_id, case when c_custkey % 3 = 0 then concat(c_name, '_new') else c_name end as driver_ref from customer",
+    "pipeline_two_batches": "select result_key, race_type, race_year, race_date, case when o_custkey % 5 = 0 then concat(driver_fullname, '_x') else driver_fullname end as driver_fullname, case when l_suppkey % 2 = 0 then concat(constructor_name, '_y') else constructor_name end as constructor_name, status_name, position_order, points + case position_order when 1 then 1000 when 2 then 500 else 0 end as points from {REPORT} p join (select o_orderkey, o_custkey from orders) o on o_orderkey = race_id join (select l_orderkey, l_linenumber, l_suppkey from {LATEST} x) l on l_orderkey = race_id and l_linenumber = position_order",
+    "fact_late_dimension": "select f.result_id, k.race_key, c.c_name as driver_ref, s.constructor_key, f.points from {RESULT} f join {RACEKEY} k on f.race_id = k.o_orderkey join customer c on k.o_custkey = c.c_custkey join {CONSKEY} s on f.constructor_id = s.s_suppkey where f.l_linestatus = 'F'",
+    "incremental_ties": "select event_id, ts from events",
+    "hash_key_multi": "select c_custkey, md5(concat(length(c_name), ':', c_name, case c_custkey % 3 when 0 then '~' when 1 then '0:' else concat(length(c_mktsegment), ':', c_mktsegment) end, coalesce(concat(length(cast(c_nationkey as varchar)), ':', c_nationkey), '~'))) as hash_key from customer",
+    "cast_long_float": "select o_orderkey, case when o_orderkey % 7 = 0 then null else o_custkey end as milliseconds, case when o_orderkey % 7 = 0 then null else o_totalprice end as speed from orders",
+    "expect_not_null_fk": "select 'c_custkey' as col, count(*) as n_rows, cast(0 as bigint) as n_bad from customer union all select 'nation_id' as col, count(*) as n_rows, cast(sum(case when c_custkey % 7 = 0 then 1 else 0 end) as bigint) as n_bad from customer",
+    "gate_stops_load": "select c_custkey, c_name from customer",
+    "incident_rate": "select *, incidents / starts as incident_rate from (select circuit_name, count(*) as starts, cast(sum(case when status_name in ('RF', 'RO') then 1 else 0 end) as bigint) as incidents from {REPORT} p group by circuit_name) q",
+    "declared_schema": "select p_partkey, cast(p_size as bigint) as p_size, cast(p_retailprice as decimal(12, 2)) as p_retailprice from part",
+    "sorted_load": "select count(*) as n_rows, cast(0 as bigint) as n_out_of_order from orders",
+    "sql_year_totals": "select year(o_orderdate) as y, count(*) as n_orders, sum(case when o_orderstatus = 'F' then 1 else 0 end)::bigint as n_filled, max(o_totalprice) as top_price from orders group by year(o_orderdate)",
     # The refreshed table must equal the latest event per (user, type)
     "stream_refresh": "select user_id, event_type, event_id, value from (select *, row_number() over (partition by user_id, event_type order by ts desc, event_id desc) as rn from events) q where rn = 1",
 }

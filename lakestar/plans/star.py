@@ -17,8 +17,6 @@ several versions per key.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import cached_property
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,7 +24,8 @@ from pyspark.sql import types as T
 from ..functions import NULL_SENTINEL, join_text, rename, to_day
 from ..operators import (DistinctEquals, InSetOf, NotNull, attach_dimensions, join_dimension,
                          lookup_keys, union_tagged)
-from ..sources import TableStore, load_or_upsert, pack_json, read, save, scan
+from ..sources import (RAW_COL, TableStore, load_or_upsert, pack_json, read, replace_table, save, scan,
+                       table_exists)
 from ..session import warehouse_root
 from .entities import EntitySpec, in_parallel as _in_parallel, silver_frame, silver_job
 
@@ -72,7 +71,7 @@ def pack_results(li: DataFrame) -> DataFrame:
         "updated_at": "l_shipdate"})
 
 
-def _driver_fields() -> dict[str, Column]:
+def driver_fields() -> dict[str, Column]:
     k = F.col("c_custkey")
     return {"driverid": k, "driverref": F.col("c_name"), "number": dirty(F.col("c_nationkey"), k),
             "forename": F.col("c_mktsegment"), "surname": F.col("c_name")}
@@ -114,8 +113,11 @@ def _fingerprint(spark: SparkSession, folder: str) -> tuple:
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.exists(path):
         return ()
-    return tuple(sorted((st.getPath().getName(), st.getLen(), st.getModificationTime())
-                        for st in fs.listStatus(path)))
+    out, files = [], fs.listFiles(path, True)       # a table may be a folder of files
+    while files.hasNext():
+        st = files.next()
+        out.append((st.getPath().toString(), st.getLen(), st.getModificationTime()))
+    return tuple(sorted(out))
 
 
 # ---- entity specs -------------------------------------------------------
@@ -198,6 +200,26 @@ STATUS = EntitySpec(
 )
 
 
+class _Frame:
+    """A lazily built frame of a pipeline.  Once its layer is published it is
+    read from the registry on every access, so no answer or refresh ever works
+    on a frame of an earlier state."""
+
+    def __init__(self, build):
+        self.build, self.name, self.__doc__ = build, build.__name__, build.__doc__
+        prefix = "" if self.name.startswith("silver_") else "gold_"
+        self.table = "gold_report_result" if self.name == "report" else prefix + self.name
+
+    def __get__(self, pipeline, owner=None):
+        if pipeline is None:
+            return self
+        if self.name in pipeline.live:
+            return read(pipeline.spark, self.table)
+        if self.name not in pipeline.frames:
+            pipeline.frames[self.name] = self.build(pipeline)
+        return pipeline.frames[self.name]
+
+
 class StarPipeline:
     """Lazily built frames of the whole synthetic pipeline for one data
     folder.  Every frame is derived from the given tables by Spark."""
@@ -208,6 +230,8 @@ class StarPipeline:
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
         self.run_gates = run_gates
+        self.frames: dict[str, DataFrame] = {}      # of layers not published yet
+        self.live: set[str] = set()                 # published layers
 
     @classmethod
     def shared(cls, spark: SparkSession, sf_dir: str) -> "StarPipeline":
@@ -217,6 +241,8 @@ class StarPipeline:
         change of any source file (size or modification time) starts over."""
         key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), _fingerprint(spark, sf_dir))
         if key not in cls._shared:
+            for old in [k for k in cls._shared if k[:2] == key[:2]]:
+                del cls._shared[old]                # the folder's earlier contents
             cls._shared[key] = cls(spark, sf_dir)
         return cls._shared[key]
 
@@ -224,7 +250,7 @@ class StarPipeline:
         return scan(self.spark, f"{self.sf_dir}/{name}.parquet")
 
     # ---- raw (bronze) tables ------------------------------------------
-    @cached_property
+    @_Frame
     def raw_circuit(self) -> DataFrame:
         return raw_with_history(self._circuit_source(self.table("nation")), "n_nationkey",
                                 _circuit_fields(), ["name", "country", "alt"])
@@ -236,26 +262,26 @@ class StarPipeline:
         return orders.join(self.table("customer").select("c_custkey", "c_nationkey"),
                            F.col("o_custkey") == F.col("c_custkey"))
 
-    @cached_property
+    @_Frame
     def raw_driver(self) -> DataFrame:
-        return raw_with_history(self.table("customer"), "c_custkey", _driver_fields(),
+        return raw_with_history(self.table("customer"), "c_custkey", driver_fields(),
                                 ["driverref", "number", "forename", "surname"])
 
-    @cached_property
+    @_Frame
     def raw_constructor(self) -> DataFrame:
         return raw_with_history(self.table("supplier"), "s_suppkey", _constructor_fields(),
                                 ["constructorref", "name"])
 
-    @cached_property
+    @_Frame
     def raw_race(self) -> DataFrame:
         return raw_with_history(self._race_source(self.table("orders")), "o_orderkey", _race_fields(),
                                 ["date", "time"])
 
-    @cached_property
+    @_Frame
     def raw_result(self) -> DataFrame:
         return pack_results(self.table("lineitem"))
 
-    @cached_property
+    @_Frame
     def raw_status(self) -> DataFrame:
         return pack_json(self.table("lineitem"), {
             "statusname": F.concat("l_returnflag", "l_linestatus"), "updated_at": "l_shipdate"})
@@ -264,19 +290,19 @@ class StarPipeline:
     def _silver(self, raw: DataFrame, spec: EntitySpec, extra=()) -> DataFrame:
         return silver_frame(raw, spec, run_gate=self.run_gates, extra_rules=extra)
 
-    @cached_property
+    @_Frame
     def silver_circuit(self) -> DataFrame:
         return self._silver(self.raw_circuit, CIRCUIT)
 
-    @cached_property
+    @_Frame
     def silver_driver(self) -> DataFrame:
         return self._silver(self.raw_driver, DRIVER)
 
-    @cached_property
+    @_Frame
     def silver_constructor(self) -> DataFrame:
         return self._silver(self.raw_constructor, CONSTRUCTOR)
 
-    @cached_property
+    @_Frame
     def silver_race(self) -> DataFrame:
         return self._silver(self.raw_race, RACE)
 
@@ -284,28 +310,28 @@ class StarPipeline:
         # every result's status must be a known status (a key of the status table)
         return [InSetOf("statusname", self.silver_status, "status_name")]
 
-    @cached_property
+    @_Frame
     def silver_race_result(self) -> DataFrame:
         return self._silver(self.raw_result, RACE_RESULT, self._status_rule())
 
-    @cached_property
+    @_Frame
     def silver_sprint_result(self) -> DataFrame:
         return self._silver(self.raw_result, SPRINT_RESULT, self._status_rule())
 
-    @cached_property
+    @_Frame
     def silver_status(self) -> DataFrame:
         return self._silver(self.raw_status, STATUS)
 
     # ---- gold dimensions -------------------------------------------------
-    @cached_property
+    @_Frame
     def dim_constructor(self) -> DataFrame:
         return _dim_constructor(self.silver_constructor)
 
-    @cached_property
+    @_Frame
     def dim_driver(self) -> DataFrame:
         return _dim_driver(self.silver_driver)
 
-    @cached_property
+    @_Frame
     def dim_race(self) -> DataFrame:
         return self._dim_race(self.silver_race)
 
@@ -316,15 +342,15 @@ class StarPipeline:
                 .select("race_key", "circuit_name", "circuit_country", "circuit_alt", "race_year",
                         "race_date", "race_datetime", "driver_id")
 
-    @cached_property
+    @_Frame
     def dim_status(self) -> DataFrame:
         return self.silver_status.select("status_key", "status_name", "updated_at")
 
     def dim_circuit(self) -> DataFrame:
         """P5: the registered but never built circuit dimension, a plain
-        projection of the circuit source."""
-        return rename(self.table("nation"), {"n_nationkey": "circuit_id", "n_name": "circuit_name",
-                                             "n_regionkey": "circuit_country_id"})
+        projection of silver."""
+        return self.silver_circuit.select("circuit_key", "circuit_id", "circuit_name", "circuit_country",
+                                          "circuit_alt")
 
     # ---- gold facts ------------------------------------------------------
     def _fact(self, results: DataFrame) -> DataFrame:
@@ -339,16 +365,16 @@ class StarPipeline:
         return f.select("result_id", "race_key", "driver_key", "constructor_key", "status_key",
                         "position_order", "points")
 
-    @cached_property
+    @_Frame
     def fct_race_result(self) -> DataFrame:
         return self._fact(self.silver_race_result)
 
-    @cached_property
+    @_Frame
     def fct_sprint_result(self) -> DataFrame:
         return self._fact(self.silver_sprint_result)
 
     # ---- report ----------------------------------------------------------
-    @cached_property
+    @_Frame
     def report(self) -> DataFrame:
         return self._report(self.fct_race_result, self.fct_sprint_result)
 
@@ -397,6 +423,10 @@ class StarPipeline:
 
         def sync(name: str) -> DataFrame:
             src = self.raw_result if name == "bronze_result" else getattr(self, name.replace("bronze_", "raw_"))
+            if table_exists(self.spark, name):      # raw rows that are there already are not synced again
+                src = src.join(read(self.spark, name).select(RAW_COL), RAW_COL, "left_anti").checkpoint()
+                if src.isEmpty():
+                    return read(self.spark, name)
             save(src.withColumn("_ingested_at", F.current_timestamp()), name, mode="append")
             return read(self.spark, name)
 
@@ -415,24 +445,22 @@ class StarPipeline:
             rest = [e for e in self.SILVER if e != "status"]
             done = _in_parallel({e: (lambda e=e: silver(e)) for e in rest}, parallel)
             out.update({f"silver_{e}": t for e, t in done.items()})
-            for e in self.SILVER:
-                self.__dict__[f"silver_{e}"] = out[f"silver_{e}"]
+            self.live |= {f"silver_{e}" for e in self.SILVER}
         with timer("gold"):
             def gold(name: str) -> DataFrame:
-                # facts are bucketed like silver so that result changes rewrite
-                # only their buckets; dimensions are small next to them
-                buckets = num_buckets if name.startswith("fct_") else None
-                return load_or_upsert(getattr(self, name), f"gold_{name}", self.GOLD_KEYS[name],
-                                      num_buckets=buckets)
+                # a full rebuild replaces; tables are bucketed like silver so that
+                # a refresh rewrites only the buckets of its keys
+                return replace_table(type(self).__dict__[name].build(self), f"gold_{name}", self.GOLD_KEYS[name],
+                                     num_buckets)
             done = _in_parallel({n: (lambda n=n: gold(n)) for n in self.GOLD_KEYS}, parallel)
-            for name, table in done.items():
-                self.__dict__[name] = table
-                out[f"gold_{name}"] = table
+            self.live |= set(self.GOLD_KEYS)
+            out.update({f"gold_{name}": table for name, table in done.items()})
         with timer("report"):
-            table = load_or_upsert(self.report, "gold_report_result", ["result_key", "race_type"],
-                                   num_buckets=num_buckets)
-            self.__dict__["report"] = table
-            out["gold_report_result"] = table
+            rows = self._report(self.fct_race_result, self.fct_sprint_result)
+            out["gold_report_result"] = replace_table(rows, "gold_report_result", ["result_key", "race_type"],
+                                                      num_buckets)
+            self.live.add("report")
+        self.frames.clear()
         return out
 
     def refresh_results(self, changed_lineitems: DataFrame, num_buckets: int | None = None) -> dict:
@@ -473,7 +501,8 @@ class StarPipeline:
         ``changed_rows`` has the columns of the entity's source table):
 
         * ``driver`` / ``constructor``: the dimension rows of the touched
-          keys, then the report rows of their facts;
+          keys, the facts that refer to them (members that arrive after their
+          results bring these back), then the report rows of their facts;
         * ``race``: the race dimension rows, the facts of those races (a
           result's driver comes through its race here), their report rows;
         * ``circuit``: the race dimension rows of races at those circuits,
@@ -483,7 +512,7 @@ class StarPipeline:
         (result_key, race_type)."""
         from ..sources import flatten_json
         spec = self.SILVER[entity]
-        sources = {"driver": (lambda d: d, _driver_fields, "bronze_driver"),
+        sources = {"driver": (lambda d: d, driver_fields, "bronze_driver"),
                    "constructor": (lambda d: d, _constructor_fields, "bronze_constructor"),
                    "race": (self._race_source, _race_fields, "bronze_race"),
                    "circuit": (self._circuit_source, _circuit_fields, "bronze_circuit")}
@@ -501,34 +530,35 @@ class StarPipeline:
             .select(F.col(spec.natural_key[0]).alias(natural)).distinct().checkpoint(eager=True)
         out = {"silver": silver_job(all_raw, spec, run_gate=self.run_gates, incremental=True,
                                     num_buckets=num_buckets)}
-        self.__dict__[f"silver_{entity}"] = out["silver"]
         changed_silver = out["silver"].join(touched_ids, natural, "left_semi")
 
+        race_ids = constructors = None          # whose facts are built anew
         if entity in ("driver", "constructor"):
             build, dim_name, key_col = {"driver": (_dim_driver, "dim_driver", "driver_key"),
                                         "constructor": (_dim_constructor, "dim_constructor",
                                                         "constructor_key")}[entity]
             out["dim"] = load_or_upsert(build(changed_silver), f"gold_{dim_name}", [key_col])
-            self.__dict__[dim_name] = out["dim"]
             keys = changed_silver.select(key_col).distinct()
+            if entity == "driver":
+                race_ids = self.silver_race.join(touched_ids, "driver_id", "left_semi").select("race_id")
+            else:
+                constructors = touched_ids
         else:
             races = changed_silver if entity == "race" else \
                 self.silver_race.join(touched_ids, "circuit_id", "left_semi")
             out["dim"] = load_or_upsert(self._dim_race(races), "gold_dim_race", ["race_key"])
-            self.__dict__["dim_race"] = out["dim"]
             key_col = "race_key"
             keys = races.select(key_col).distinct().checkpoint(eager=True)
             if entity == "race":
-                # facts of the touched races: their driver may have changed
                 race_ids = changed_silver.select("race_id")
-                for res, fact in (("race_result", "fct_race_result"), ("sprint_result", "fct_sprint_result")):
-                    results = getattr(self, f"silver_{res}").join(race_ids, "race_id", "left_semi")
-                    out[fact] = load_or_upsert(self._fact(results), f"gold_{fact}", ["result_id"])
-                    self.__dict__[fact] = out[fact]
+        if race_ids is not None or constructors is not None:
+            on, ids = ("race_id", race_ids) if race_ids is not None else ("constructor_id", constructors)
+            for res, fact in (("race_result", "fct_race_result"), ("sprint_result", "fct_sprint_result")):
+                results = getattr(self, f"silver_{res}").join(ids, on, "left_semi")
+                out[fact] = load_or_upsert(self._fact(results), f"gold_{fact}", ["result_id"])
         fr = self.fct_race_result.join(keys, key_col, "left_semi")
         fs = self.fct_sprint_result.join(keys, key_col, "left_semi")
         out["report"] = load_or_upsert(self._report(fr, fs), "gold_report_result", ["result_key", "race_type"])
-        self.__dict__["report"] = out["report"]
         return out
 
     # ---- the six questions over this configuration's report -----------------

@@ -43,8 +43,9 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names in
-    ``spark.checkpoint.dir``; only when it is unset (tests, local runs)
-    create one of our own."""
+    ``spark.checkpoint.dir``.  When it is unset, a local master (tests, one
+    machine) gets a folder of its own; on a cluster that is an error, since
+    checkpoints, intermediates and tables would land on single machines."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
@@ -53,11 +54,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
+    master = sc.master or ""
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="lakestar-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local
 
 
+def prepare(spark: SparkSession) -> None:
+    """Settings that the library relies on, for a session made elsewhere."""
+    spark.conf.set("spark.sql.session.timeZone", BASE_CONF["spark.sql.session.timeZone"])
+    ensure_checkpoint_dir(spark)
+
+
 def scratch_path(spark: SparkSession, purpose: str) -> str:
     """A fresh folder under the shared checkpoint dir (never machine-local on
     a cluster: the checkpoint dir is the cluster's shared store)."""

@@ -180,6 +180,37 @@ def read(spark: SparkSession, name: str, schema: T.StructType | None = None) ->
     return df
 
 
+def read_touched(spark: SparkSession, name: str, batch: DataFrame, keys: Sequence[str],
+                 batch_keys: Sequence[str] | None = None) -> DataFrame:
+    """The live rows of a table in the key buckets that a batch touches (the
+    whole table if it is not stored in buckets of these keys).  The touched
+    bucket numbers, at most as many as there are buckets, reach the driver."""
+    store = TableStore(spark, name)
+    bucketing = store.bucketing()
+    whole = read(spark, name)
+    if bucketing is None or bucketing[1] != list(keys):
+        return whole
+    return _buckets(store, whole, _touched(batch, batch_keys or keys, bucketing[0]))
+
+
+def _touched(batch: DataFrame, keys: Sequence[str], n: int) -> list[int]:
+    return sorted(r.b for r in batch.select(bucket_of(keys, n).alias("b")).distinct().collect())
+
+
+def _buckets(store: TableStore, whole: DataFrame, buckets: Sequence[int]) -> DataFrame:
+    folders = store.bucket_map()
+    paths = [folders[b] for b in buckets if b in folders]
+    return store.spark.read.schema(whole.schema).parquet(*paths) if paths else whole.limit(0)
+
+
+def replace_table(df: DataFrame, name: str, keys: Sequence[str], num_buckets: int | None = None) -> DataFrame:
+    """A full rebuild: ``df`` becomes the whole table, without comparing it
+    with the old one."""
+    save(df, name, mode="overwrite", sort_by=[] if num_buckets else list(keys),
+         bucket_by=list(keys) if num_buckets else [], num_buckets=num_buckets)
+    return read(df.sparkSession, name)
+
+
 def sql_with_registry(spark: SparkSession, text: str, **args) -> DataFrame:
     """``spark.sql`` over registered names; each ``${name}`` in the text
     is resolved through the registry to the live table."""
@@ -201,7 +232,7 @@ def save(df: DataFrame, name: str, mode: str = "overwrite",
          expectations: Sequence = (), partition_by: Sequence[str] = (),
          bucket_by: Sequence[str] = (), num_buckets: int | None = None,
          cursor: int | None = None, track_max: str | None = None, max_key: int | None = None,
-         _kind: str | None = None) -> str:
+         _kind: str | None = None, _touched: Sequence[int] = ()) -> str:
     """Write ``df`` as a new version of ``name`` and publish it.
 
     ``mode='overwrite'`` makes a new snapshot, ``'append'`` adds files (on
@@ -248,6 +279,8 @@ def save(df: DataFrame, name: str, mode: str = "overwrite",
         failed = [r for r in report if not r["success"]]
         if failed:
             raise ExpectationError(failed)
+    for b in _touched:          # a bucket that lost all its rows is an empty folder
+        store._fs.mkdirs(store._Path(path, f"{BUCKET_COL}={b}"))
     if bucket_by and kind == "snap":
         store.mark(path, f"_BUCKETS_{n}_{','.join(bucket_by)}")
     if cursor is not None:
@@ -351,11 +384,8 @@ def load_or_upsert(df: DataFrame, name: str, keys: Sequence[str],
     whole = read(spark, name)
     changed_keys = df.select(*keys) if delete_keys is None else \
         df.select(*keys).unionByName(delete_keys.select(*keys))
-    touched = sorted(r[0] for r in changed_keys.select(bucket_of(bkeys, n).alias("b")).distinct().collect())  # <= n
-    folders = store.bucket_map()
-    paths = [folders[b] for b in touched if b in folders]
-    target = spark.read.parquet(*paths) if paths else spark.createDataFrame([], whole.schema)
-    target = target.select(*whole.columns)
+    touched = _touched(changed_keys, bkeys, n)
+    target = _buckets(store, whole, touched).select(*whole.columns)
     top = None
     if key_col:
         top = store.max_key()
@@ -368,5 +398,5 @@ def load_or_upsert(df: DataFrame, name: str, keys: Sequence[str],
                         delete_keys=delete_keys, validate=validate)
     # the touched part's own maximum, or the table's previous one, whichever is larger
     save(merged, name, schema=schema, expectations=expectations, bucket_by=bkeys, num_buckets=n,
-         cursor=cursor, track_max=key_col, max_key=top, _kind="part")
+         cursor=cursor, track_max=key_col, max_key=top, _kind="part", _touched=touched)
     return read(spark, name)

@@ -16,13 +16,22 @@ from .catalog import TableStore, read, save, table_exists
 def cursor_filter(src: DataFrame, cursor_col: str, last_cursor: Any) -> DataFrame:
     """Rows strictly after the last synced cursor.  The literal is cast to
     the column type so the predicate reaches the Parquet scan
-    (``PushedFilters: GreaterThan``)."""
+    (``PushedFilters: GreaterThan``).  Rows that share the last cursor value
+    and arrived later are the business of :func:`tied_rows`."""
     if last_cursor is None:
         return src
     dtype = src.schema[cursor_col].dataType
     return src.filter(F.col(cursor_col) > F.lit(last_cursor).cast(dtype))
 
 
+def tied_rows(src: DataFrame, target: DataFrame, cursor_col: str, last_cursor: Any) -> DataFrame:
+    """Source rows at the last cursor value that the target does not hold yet
+    (a multiset difference over that one value; both sides are pushed-down
+    equality filters).  A null cursor never changes and is synced first."""
+    at = F.lit(last_cursor).cast(src.schema[cursor_col].dataType)
+    return src.filter(F.col(cursor_col) == at).exceptAll(target.select(*src.columns).filter(F.col(cursor_col) == at))
+
+
 def incremental_extract(src: DataFrame, cursor_col: str,
                         last_cursor: Any = None) -> tuple[DataFrame, Any]:
     """The new batch (lazy) and the cursor to store after it is loaded:
@@ -58,9 +67,10 @@ def _decode(marker: int, dtype: T.DataType) -> Any:
 def sync_incremental(spark: SparkSession, src: DataFrame, name: str,
                      cursor_col: str) -> tuple[int | None, Any]:
     """Incremental-append sync into a raw table.  The cursor state is kept
-    with each published version (a marker), so a sync reads neither the
-    target nor old source rows, and a re-run after a crash resumes exactly
-    where the last published version ended.  Cursor types without a marker
+    with each published version (a marker), so a sync reads of the target and
+    of the old source rows only those at the last cursor value (later rows
+    that tie with it are not lost), and a re-run after a crash resumes
+    exactly where the last published version ended.  Cursor types without a marker
     form fall back to the target's ``max(cursor)``."""
     last = None
     if table_exists(spark, name):
@@ -69,8 +79,11 @@ def sync_incremental(spark: SparkSession, src: DataFrame, name: str,
         if last is None:
             last = read(spark, name).agg(F.max(cursor_col).alias("c")).first()["c"]
     batch, new_cursor = incremental_extract(src, cursor_col, last)
-    if new_cursor == last and last is not None:
-        return None, last
+    if last is not None:
+        late = tied_rows(src, read(spark, name), cursor_col, last).checkpoint(eager=True)
+        if new_cursor == last and late.isEmpty():
+            return None, last
+        batch = batch.unionByName(late)
     save(batch, name, mode="append", cursor=_encode(new_cursor))
     return 1, new_cursor
 

@@ -52,7 +52,7 @@ def test_incremental_results_equal_full_rebuild(spark):
 
 
 def test_dimension_change_reaches_every_report_row(spark):
-    from lakestar.plans.star import _driver_fields, raw_with_history
+    from lakestar.plans.star import driver_fields, raw_with_history
     spark.conf.set("lakestar.warehouse", scratch_path(spark, "wh-dim"))
     try:
         p = StarPipeline(spark, SF)
@@ -62,7 +62,7 @@ def test_dimension_change_reaches_every_report_row(spark):
         p.refresh_dimension("driver", changed)
         updated = cust.join(changed.select("c_custkey"), "c_custkey", "left_anti").unionByName(changed)
         full = StarPipeline(spark, SF)
-        full.__dict__["raw_driver"] = raw_with_history(updated, "c_custkey", _driver_fields(),
+        full.__dict__["raw_driver"] = raw_with_history(updated, "c_custkey", driver_fields(),
                                                        ["driverref", "number", "forename", "surname"])
         cols = ["result_key", "race_type", "driver_fullname", "constructor_name", "points"]
         assert read(spark, "gold_report_result").where(F.col("driver_fullname").endswith("_renamed")).count() > 0

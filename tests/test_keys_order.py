@@ -6,16 +6,14 @@ from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-import lakestar.operators.ordered as ordered
 from lakestar.operators import dense_keys, global_number, hash_key
 
 
 @pytest.fixture()
-def many_buckets(spark, monkeypatch):
-    monkeypatch.setattr(ordered, "MIN_ROWS_PER_BUCKET", 1)
-    spark.conf.set("lakestar.order.buckets", "7")
+def many_buckets(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     yield
-    spark.conf.unset("lakestar.order.buckets")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
 
 
 def test_dense_keys_numeric_equals_row_number(spark, many_buckets):
@@ -55,15 +53,9 @@ def test_rank_partitioned_equals_window_rank(spark, many_buckets):
 @settings(max_examples=8, deadline=None)
 @given(st.lists(st.integers(min_value=-10**12, max_value=10**12), min_size=1, max_size=300, unique=True))
 def test_dense_keys_property(spark, values):
-    ordered.MIN_ROWS_PER_BUCKET, old = 1, ordered.MIN_ROWS_PER_BUCKET
-    spark.conf.set("lakestar.order.buckets", "5")
-    try:
-        df = spark.createDataFrame([(v,) for v in values], "k long")
-        got = {r["k"]: r["key"] for r in dense_keys(df, ["k"], "key").collect()}
-        assert got == {v: i + 1 for i, v in enumerate(sorted(values))}
-    finally:
-        ordered.MIN_ROWS_PER_BUCKET = old
-        spark.conf.unset("lakestar.order.buckets")
+    df = spark.createDataFrame([(v,) for v in values], "k long").repartition(5)
+    got = {r["k"]: r["key"] for r in dense_keys(df, ["k"], "key").collect()}
+    assert got == {v: i + 1 for i, v in enumerate(sorted(values))}
 
 
 def test_hash_key_matches_md5_text(spark):
@@ -85,3 +77,9 @@ def test_standings_with_hot_tied_score_equals_window_rank(spark, many_buckets):
     want = df.withColumn("season_rank", F.rank().over(w).cast("bigint"))
     assert got.count() == 3000
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_hash_key_of_several_columns_is_injective(spark):
+    rows = [("a|b", "c"), ("a", "b|c"), (None, "c"), ("", "c"), ("~", "c"), ("1:a", None), ("1", "a"), ("", None), (None, "")]
+    df = spark.createDataFrame(rows, "x string, y string")
+    assert df.select(hash_key("x", "y").alias("h")).distinct().count() == len(rows)

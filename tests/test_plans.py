@@ -1,5 +1,8 @@
 """Plan assertions: the shapes we rely on at scale."""
 
+import re
+
+import pytest
 from pyspark.sql import functions as F
 
 from lakestar.operators import latest_per_key, upsert
@@ -39,18 +42,22 @@ def test_projection_reaches_the_scan(spark):
     assert "ReadSchema: struct<c_custkey:bigint,c_name:string,c_mktsegment:string>" in p
 
 
-def test_bucketed_numbering_windows_are_partitioned(spark, monkeypatch):
-    import lakestar.operators.ordered as ordered
-    from lakestar.operators import dense_keys
-    monkeypatch.setattr(ordered, "MIN_ROWS_PER_BUCKET", 1)
-    spark.conf.set("lakestar.order.buckets", "4")
-    try:
-        df = spark.range(0, 4000).select((F.col("id") * 7 % 4001).alias("k"))
-        p = plan(dense_keys(df, ["k"], "key"))
-        windows = [line for line in p.splitlines() if "Window [" in line or "Window(" in line]
-        # the row window over the data is partitioned by the range bucket; only the
-        # bucket-offset table (one row per bucket) is numbered without a partition
-        assert any("_rb" in w and "row_number" in w for w in windows), windows
-        assert "BroadcastExchange" in p or "BroadcastHashJoin" in p
-    finally:
-        spark.conf.unset("lakestar.order.buckets")
+def test_numbering_has_no_single_partition(spark):
+    from lakestar.operators import dense_keys, standings
+    df = spark.range(0, 4000).select((F.col("id") * 7 % 4001).alias("k"))
+    p = plan(dense_keys(df, ["k"], "key"))
+    assert "SinglePartition" not in p and "Window" not in p
+    totals = df.select((F.col("k") % 3).alias("race_year"), F.col("k").alias("competitor"),
+                       (F.col("k") % 50).cast("decimal(18,2)").alias("total_points"), (F.col("k") % 2).alias("wins"))
+    assert "SinglePartition" not in plan(standings(totals))
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) & {
+    "surrogate_key", "upsert_with_key", "silver_race", "silver_race_result", "star_fct_race", "star_dim_race",
+    "report_result", "driver_standings", "champion_driver", "races_per_country", "dangerous_circuits"}))
+def test_queries_have_no_window_over_one_partition(spark, name):
+    p = plan(QUERIES[name](spark, SF)).splitlines()
+    for i, line in enumerate(p):
+        if re.search(r"\bWindow\b", line):
+            below = next((x for x in p[i + 1:] if "Exchange" in x), "")
+            assert "SinglePartition" not in below, (name, below)

@@ -108,10 +108,6 @@ def test_racing_pipeline_two_refreshes(spark, warehouse):
 
     rep = out["report_result"]
     assert rep.count() == 9
-    # the SQL form of the report (CTE over registered gold tables) agrees
-    via_sql = racing.report_sql(spark)
-    assert via_sql.columns == rep.columns
-    assert via_sql.exceptAll(rep).count() == 0 and rep.exceptAll(via_sql).count() == 0
     # same result key in both facts gives two rows
     assert rep.where("result_key = 1").count() == 2
 
