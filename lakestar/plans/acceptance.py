@@ -18,7 +18,8 @@ from ..session import scratch_path
 from ..sources import (ensure_table, flatten_json, full_refresh, incremental_extract, load_or_upsert, pack_json, read,
                        register, save, scan, sql_with_registry)
 from ..sources.extract import sync_incremental
-from .entities import silver_job
+from . import racing
+from .entities import silver_frame, silver_job
 from .star import DRIVER, RACE_TIME, StarPipeline, dirty, driver_fields, raw_with_history
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -394,6 +395,84 @@ def q_fact_late_dimension(spark, sf_dir):
     return _own_warehouse(spark, run)
 
 
+# ---- the racing configuration on the given tables ----------------------------------
+
+def _racing_bronze(spark, sf_dir) -> dict[str, DataFrame]:
+    """Raw rows with the racing fields: nation = circuit, customer = driver,
+    supplier = constructor, order = race, latest line = result."""
+    at = F.lit("2024-01-02 00:00:00").cast("timestamp")
+    nation = _t(spark, sf_dir, "nation").join(_t(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    cust, orders = _t(spark, sf_dir, "customer"), _t(spark, sf_dir, "orders")
+    lines = _latest_lines(spark, sf_dir).join(orders.select("o_orderkey", "o_custkey"),
+                                              F.col("l_orderkey") == F.col("o_orderkey"))
+    key = F.col("o_orderkey")
+    clock = dirty(F.lit(RACE_TIME), key)
+    day = F.to_date("o_orderdate")
+    sessions = {}
+    for k, s in enumerate(racing.SESSIONS):
+        # every other session, by race, was not held
+        sessions[f"{s}_date"] = F.when((key + k) % 2 == 0, F.date_sub(day, k).cast("string")).otherwise(NULL_SENTINEL)
+        sessions[f"{s}_time"] = clock
+    rid = F.col("l_orderkey") * 10 + F.col("l_linenumber")
+    status = F.when(F.col("l_returnflag") == "A", 1).when(F.col("l_returnflag") == "N", 2).otherwise(3)
+    result = {"raceid": "l_orderkey", "driverid": "o_custkey", "constructorid": "l_suppkey",
+              "number": dirty(F.col("l_linenumber"), rid), "grid": "l_linenumber",
+              "position": dirty(F.col("l_linenumber"), rid), "positiontext": F.col("l_linenumber").cast("string"),
+              "positionorder": "l_linenumber", "points": "l_quantity", "laps": F.col("l_quantity").cast("int"),
+              "time": F.lit(RACE_TIME), "milliseconds": dirty(F.col("l_partkey") * 10_000_000_000, rid),
+              "fastestlap": dirty(F.col("l_linenumber"), rid), "fastestlaptime": F.lit("1:23.456"),
+              "statusid": status, "updated_at": at}
+    race_result = {"resultid": rid, **result, "rank": dirty(F.col("l_linenumber"), rid),
+                   "fastestlapspeed": dirty(F.col("l_extendedprice"), rid)}
+    return {
+        "circuit": pack_json(nation, {
+            "circuitid": F.col("n_nationkey") + 1, "circuitref": "n_name", "name": "n_name", "location": "r_name",
+            "country": "r_name", "lat": F.col("n_nationkey") - 10.5, "lng": F.col("n_nationkey") * 7.0,
+            "alt": dirty(F.col("n_regionkey"), F.col("n_nationkey")), "url": "n_name", "updated_at": at}),
+        "driver": pack_json(cust, {
+            "driverid": "c_custkey", "driverref": "c_name", "number": dirty(F.col("c_nationkey"), F.col("c_custkey")),
+            "code": F.col("c_mktsegment").substr(1, 3), "forename": "c_mktsegment", "surname": "c_name",
+            "dob": F.lit("1990-01-01"), "nationality": "c_mktsegment", "url": "c_name", "updated_at": at}),
+        "constructor": pack_json(_t(spark, sf_dir, "supplier"), {
+            "constructorid": "s_suppkey", "constructorref": "s_name", "name": "s_name",
+            "nationality": F.col("s_nationkey").cast("string"), "url": "s_name", "updated_at": at}),
+        "race": pack_json(orders.join(cust.select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey")), {
+            "raceid": key, "year": F.year("o_orderdate"), "round": key % 20, "circuitid": F.col("c_nationkey") + 1,
+            "name": "o_orderpriority", "date": day.cast("string"), "time": clock, "url": "o_orderstatus", **sessions,
+            "updated_at": at}),
+        "race_result": pack_json(lines.where("l_linestatus = 'F'"), race_result),
+        "sprint_result": pack_json(lines.where("l_linestatus = 'O'"), {"sprintresultid": rid, **result}),
+        "status": pack_json(lines.select(status.alias("statusid")).distinct(), {
+            "statusid": "statusid", "status": F.concat(F.lit("status "), "statusid"), "updated_at": at}),
+    }
+
+
+_SEASONS = range(1995, 2002)
+
+
+def q_racing_silver_race(spark, sf_dir):
+    """Six session datetimes, some with a date or a time missing."""
+    spec = racing.specs(_SEASONS)["race"]
+    return silver_frame(_racing_bronze(spark, sf_dir)["race"], spec).select(
+        "race_key", "race_id", "circuit_id", "year", "round", "datetime", "fp1_datetime", "fp2_datetime",
+        "fp3_datetime", "quali_datetime", "sprint_datetime")
+
+
+def q_racing_silver_result(spark, sf_dir):
+    spec = racing.specs(_SEASONS)["race_result"]
+    return silver_frame(_racing_bronze(spark, sf_dir)["race_result"], spec).select(
+        "race_result_key", "race_result_id", "car_number", "position", "laps", "milliseconds", "fastest_lap_rank",
+        "fastest_lap_speed")
+
+
+def q_racing_report(spark, sf_dir):
+    """The whole racing run, from raw rows to the published report."""
+    return _own_warehouse(spark, lambda: racing.run(spark, _racing_bronze(spark, sf_dir), _SEASONS)["report_result"].select(
+        "result_key", "race_type", "race_name", "race_year", "race_date", "circuit_name", "circuit_country", "circuit_lat",
+        "circuit_alt", "driver_ref", "driver_number", "driver_fullname", "constructor_name", "status_name",
+        "position_order", "points", "laps", "milliseconds"))
+
+
 def q_incremental_ties(spark, sf_dir):
     """Two syncs whose cursor, a day, many rows share: rows of the last day
     that arrive later are not lost."""
