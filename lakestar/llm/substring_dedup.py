@@ -203,7 +203,7 @@ def _partners(left_order, left_lcp, rank) -> list[tuple[int, int]]:
 def repeats(left: list[bytes], right: list[bytes], group: np.ndarray, length: int
             ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Contexts (by number) with the bytes left and right of their anchor
-    that a repeat covers.  ``left`` is reversed; groups ascend."""
+    that repeats cover.  ``left`` is reversed; groups ascend."""
     lefts, rights = Suffixes(left, group, length - GRAM), Suffixes(right, group, length)
     left_order, left_lcp = lefts.sorted()
     right_order, _ = rights.sorted()
@@ -222,8 +222,13 @@ def repeats(left: list[bytes], right: list[bytes], group: np.ndarray, length: in
     a, b = pair[:, 0], pair[:, 1]
     before, after = lefts.extension(a, b), rights.extension(a, b)
     hit = before + after >= length
-    a, b, before, after = a[hit], b[hit], before[hit], after[hit]
-    return np.concatenate([a, b]), np.concatenate([before, before]), np.concatenate([after, after])
+    # every repeat holds its anchor, so together they cover one range
+    most = np.zeros((2, len(group)), np.int64)
+    for side, found in zip(most, (before[hit], after[hit])):
+        np.maximum.at(side, a[hit], found)
+        np.maximum.at(side, b[hit], found)
+    at = np.flatnonzero(most[1])
+    return at, most[0, at], most[1, at]
 
 
 _TEXT = ("k1", "k2")            # identity of a text: two 64-bit hashes with different seeds
@@ -366,8 +371,9 @@ def changed_texts(documents: DataFrame, length: int = 400, doc_id: str = "doc_id
         "h", F.least("own", "other").alias("bi"), F.greatest("own", "other").alias("bj"), "c", "left", "right")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     partial = dealt.repartition(parts, "h", "bi", "bj").sortWithinPartitions("h", "bi", "bj") \
-        .mapInArrow(_sorter(length), "c binary, before long, after long").distinct()
-    pieces = contexts.select("c", *_TEXT, "pos").join(equal.unionByName(partial), "c") \
+        .mapInArrow(_sorter(length), "c binary, before long, after long")
+    covered = equal.unionByName(partial).groupBy("c").agg(F.max("before").alias("before"), F.max("after").alias("after"))
+    pieces = contexts.select("c", *_TEXT, "pos").join(covered, "c") \
         .groupBy(*_TEXT).agg(F.collect_set(F.struct((F.col("pos") - F.col("before")).alias("start"),
                                                     (F.col("pos") + F.col("after")).alias("end"))).alias("pieces"))
     cut = texts.where("copies = 1").select(*_TEXT, "text").join(pieces, list(_TEXT)) \
