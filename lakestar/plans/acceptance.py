@@ -352,8 +352,8 @@ def _latest_lines(spark, sf_dir):
 
 
 def q_pipeline_two_batches(spark, sf_dir):
-    """Publish twice, then results, drivers, constructors and results again:
-    the report of a full rebuild."""
+    """Publish, then results, drivers, races and results again, the last with
+    versions older than those stored: the report of a full rebuild."""
     lines = _latest_lines(spark, sf_dir)
 
     def changed(number, points, day):
@@ -362,16 +362,14 @@ def q_pipeline_two_batches(spark, sf_dir):
 
     def run():
         p = StarPipeline(spark, sf_dir)
-        p.publish(num_buckets=8)
-        p.publish(num_buckets=8)
-        p.refresh_results(changed(1, 1000, "2030-01-01"), num_buckets=8)
+        p.publish(num_buckets=4)
+        p.refresh_results(changed(1, 1000, "2030-01-01"), num_buckets=4)
         p.refresh_dimension("driver", _t(spark, sf_dir, "customer").where(F.col("c_custkey") % 5 == 0)
-                            .withColumn("c_name", F.concat("c_name", F.lit("_x"))), num_buckets=8)
-        p.refresh_dimension("constructor", _t(spark, sf_dir, "supplier").where(F.col("s_suppkey") % 2 == 0)
-                            .withColumn("s_name", F.concat("s_name", F.lit("_y"))), num_buckets=8)
-        p.refresh_results(changed(2, 500, "2031-01-01"), num_buckets=8)
-        # an older version of line 1 arrives last and changes nothing
-        p.refresh_results(changed(1, 7, "1980-01-01"), num_buckets=8)
+                            .withColumn("c_name", F.concat("c_name", F.lit("_x"))), num_buckets=4)
+        p.refresh_dimension("race", _t(spark, sf_dir, "orders").where(F.col("o_orderkey") % 7 == 1).withColumn(
+            "o_orderdate", F.date_add(F.trunc("o_orderdate", "year"), 165).cast("timestamp_ntz")), num_buckets=4)
+        # newer versions of line 2 and, in the same batch, older ones of line 1
+        p.refresh_results(changed(2, 500, "2031-01-01").unionByName(changed(1, 7, "1980-01-01")), num_buckets=4)
         return p.report.select("result_key", "race_type", "race_year", "race_date", "driver_fullname",
                                "constructor_name", "status_name", "position_order", "points")
     return _own_warehouse(spark, run)

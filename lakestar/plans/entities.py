@@ -10,6 +10,7 @@ project, and assign dense surrogate keys.  The racing configuration
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field, replace
 
@@ -116,6 +117,21 @@ def gated_newest(raw: DataFrame, spec: EntitySpec, run_gate: bool = True,
     return df
 
 
+class SharedNewest:
+    """Newest versions that several silver jobs take from one raw table: the
+    first job parses, gates and deduplicates, the others wait and reuse it."""
+
+    def __init__(self) -> None:
+        self._lock = threading.Lock()
+        self._found: dict = {}
+
+    def get(self, key, make: Callable[[], DataFrame]) -> DataFrame:
+        with self._lock:
+            if key not in self._found:
+                self._found[key] = make()
+            return self._found[key]
+
+
 def prepare(raw: DataFrame, spec: EntitySpec, run_gate: bool = True,
             extra_rules: Sequence[Expectation] = ()) -> DataFrame:
     """Gate and refine the raw rows."""
@@ -161,7 +177,8 @@ def _newer_only(latest: DataFrame, spec: EntitySpec, name: str, num_buckets: int
 
 def silver_job(raw: DataFrame, spec: EntitySpec, table: str | None = None,
                run_gate: bool = True, extra_rules: Sequence[Expectation] = (),
-               incremental: bool = False, num_buckets: int | None = None, ingest_lag_s: int = 0) -> DataFrame:
+               incremental: bool = False, num_buckets: int | None = None, ingest_lag_s: int = 0,
+               shared: SharedNewest | None = None) -> DataFrame:
     """One refresh of a silver table: gate and refine, then create on the
     first load or upsert keeping surrogate keys (S10 + M4).  Returns the
     published table.
@@ -175,7 +192,8 @@ def silver_job(raw: DataFrame, spec: EntitySpec, table: str | None = None,
     updates nor deletes.  If writers can publish raw rows later than they
     stamp them, ``ingest_lag_s`` reads that much further back; rows seen
     before change nothing.  Completeness rules (expected seasons) are checked
-    on the table together with the batch."""
+    on the table together with the batch.  Jobs that split one raw table
+    (same schema and rules) pass the same ``shared``."""
     name = table or spec.name
     spark = raw.sparkSession
     cursor = last = None
@@ -194,7 +212,11 @@ def silver_job(raw: DataFrame, spec: EntitySpec, table: str | None = None,
             # a batch need not cover every expected value: only "no stranger"
             spec = replace(spec, rules=[_subset(r) for r in spec.rules])
             extra_rules = [_subset(r) for r in extra_rules]
-    latest = gated_newest(batch, spec, run_gate, extra_rules)
+    def make() -> DataFrame:
+        return gated_newest(batch, spec, run_gate, extra_rules)
+
+    # jobs with the same cursor read the same rows
+    latest = make() if shared is None else shared.get((last, cursor), make)
     delete_keys = None
     if incremental:
         latest = _newer_only(latest, spec, name, num_buckets)

@@ -74,7 +74,7 @@ RAW = {
     "dangerous_circuits": "select circuit_name, count(*) as starts, cast(sum(case when status_name in ('RF', 'RO') then 1 else 0 end) as bigint) as incidents from {REPORT} p group by circuit_name",
     # second batches through published tables
     "silver_late_version": "select row_number() over (order by c_custkey) as driver_key, c_custkey as driver_id, case when c_custkey % 3 = 0 then concat(c_name, '_new') else c_name end as driver_ref from customer",
-    "pipeline_two_batches": "select result_key, race_type, race_year, race_date, case when o_custkey % 5 = 0 then concat(driver_fullname, '_x') else driver_fullname end as driver_fullname, case when l_suppkey % 2 = 0 then concat(constructor_name, '_y') else constructor_name end as constructor_name, status_name, position_order, points + case position_order when 1 then 1000 when 2 then 500 else 0 end as points from {REPORT} p join (select o_orderkey, o_custkey from orders) o on o_orderkey = race_id join (select l_orderkey, l_linenumber, l_suppkey from {LATEST} x) l on l_orderkey = race_id and l_linenumber = position_order",
+    "pipeline_two_batches": "select result_key, race_type, race_year, case when race_id % 7 = 1 then cast(date_trunc('year', race_date) as date) + 165 else race_date end as race_date, case when o_custkey % 5 = 0 then concat(driver_fullname, '_x') else driver_fullname end as driver_fullname, constructor_name, status_name, position_order, points + case position_order when 1 then 1000 when 2 then 500 else 0 end as points from {REPORT} p join (select o_orderkey, o_custkey from orders) o on o_orderkey = race_id",
     "fact_late_dimension": "select f.result_id, k.race_key, c.c_name as driver_ref, s.constructor_key, f.points from {RESULT} f join {RACEKEY} k on f.race_id = k.o_orderkey join customer c on k.o_custkey = c.c_custkey join {CONSKEY} s on f.constructor_id = s.s_suppkey where f.l_linestatus = 'F'",
     "incremental_ties": "select event_id, ts from events",
     "hash_key_multi": "select c_custkey, md5(concat(length(c_name), ':', c_name, case c_custkey % 3 when 0 then '~' when 1 then '0:' else concat(length(c_mktsegment), ':', c_mktsegment) end, coalesce(concat(length(cast(c_nationkey as varchar)), ':', c_nationkey), '~'))) as hash_key from customer",

@@ -27,7 +27,7 @@ from ..operators import (DistinctEquals, InSetOf, NotNull, attach_dimensions, jo
 from ..sources import (RAW_COL, TableStore, load_or_upsert, pack_json, read, replace_table, save, scan,
                        table_exists)
 from ..session import warehouse_root
-from .entities import EntitySpec, in_parallel as _in_parallel, silver_frame, silver_job
+from .entities import EntitySpec, SharedNewest, in_parallel as _in_parallel, silver_frame, silver_job
 
 # Fixed values of the raw rule.
 FRESH_TS = "2024-01-02 00:00:00"
@@ -430,11 +430,15 @@ class StarPipeline:
             save(src.withColumn("_ingested_at", F.current_timestamp()), name, mode="append")
             return read(self.spark, name)
 
+        results = SharedNewest()
+
         def silver(entity: str) -> DataFrame:
+            of_results = entity.endswith("_result")
             extra = [InSetOf("statusname", out["silver_status"], "status_name")] \
-                if entity.endswith("_result") else []
+                if of_results else []
             return silver_job(out[bronze_of(entity)], self.SILVER[entity], run_gate=self.run_gates,
-                              extra_rules=extra, incremental=True, num_buckets=num_buckets)
+                              extra_rules=extra, incremental=True, num_buckets=num_buckets,
+                              shared=results if of_results else None)
 
         with timer("sync_bronze"):
             names = list(dict.fromkeys(bronze_of(e) for e in self.SILVER))
@@ -478,9 +482,10 @@ class StarPipeline:
         touched = flatten_json(new_raw, _RESULT_SCHEMA).select(F.col("resultid").alias("result_id")) \
             .distinct().checkpoint(eager=True)
         statuses = read(self.spark, "silver_status")
+        results = SharedNewest()
         out = _in_parallel({entity: (lambda entity=entity: silver_job(
             raw, self.SILVER[entity], run_gate=self.run_gates, incremental=True, num_buckets=num_buckets,
-            extra_rules=[InSetOf("statusname", statuses, "status_name")]))
+            shared=results, extra_rules=[InSetOf("statusname", statuses, "status_name")]))
             for entity in ("race_result", "sprint_result")}, 2)
         # gold facts of the touched results only (a result that moved to the
         # other table is deleted from this one), then their report rows

@@ -104,3 +104,15 @@ def test_race_and_circuit_changes_reach_the_report(spark):
         assert _same(got, full.report.select(*cols))
     finally:
         spark.conf.unset("lakestar.warehouse")
+
+
+def test_publishing_again_changes_nothing(spark):
+    spark.conf.set("lakestar.warehouse", scratch_path(spark, "wh-again"))
+    try:
+        p = StarPipeline(spark, SF)
+        first = {k: v.count() for k, v in p.publish(num_buckets=2).items()}
+        report = p.report.checkpoint()
+        again = {k: v.count() for k, v in p.publish(num_buckets=2).items()}
+        assert again == first and _same(p.report, report)
+    finally:
+        spark.conf.unset("lakestar.warehouse")
