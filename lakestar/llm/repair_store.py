@@ -32,7 +32,7 @@ from __future__ import annotations
 
 import json
 from functools import lru_cache
-from itertools import count
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
@@ -53,6 +53,30 @@ SCHEMA = ("part int, shard int, first_doc long, start long, n_ids long, doc_ids
           "first_rule int, width int, symbols binary")
 
 
+class _Ids:
+    """Strings with a sequence of ids each."""
+
+    def __init__(self):
+        self.index: dict[str, int] = {}
+        self.flat = np.zeros(0, np.uint32)
+        self.start = np.zeros(0, np.int64)
+        self.count = np.zeros(0, np.int64)
+
+    def add(self, strings: list[str], sizes: np.ndarray, flat: np.ndarray) -> None:
+        self.index.update(zip(strings, count(len(self.index))))
+        self.start = np.concatenate([self.start, len(self.flat) + np.cumsum(sizes) - sizes])
+        self.count = np.concatenate([self.count, sizes])
+        self.flat = np.concatenate([self.flat, flat])
+
+    def at(self, strings: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.index.__getitem__, strings), np.int64, len(strings))
+
+    def take(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Concatenated ids of the strings, and how many each has."""
+        sizes = self.count[at]
+        return self.flat[flat_ranges(self.start[at], sizes)], sizes
+
+
 class WordEncoder:
     """Ids of whitespace-separated words by the tokenizers library, each
     distinct word once per task.
@@ -70,7 +94,8 @@ class WordEncoder:
         self.tokenizer.encode_special_tokens = True     # their strings are ordinary text
         with open(path, encoding="utf-8") as f:
             split = json.load(f)["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
-        self.pieces = compile_pattern(split, 0x24F).findall
+        # pieces of many words at once, with the line ends between them
+        self.pieces = compile_pattern(split + "|\n", 0x24F).findall
         self.plain = compile_pattern("[\x00-\u017f]*").fullmatch
         # the byte-level alphabet: printable bytes stand for themselves, the
         # others follow from U+0100 on
@@ -80,23 +105,34 @@ class WordEncoder:
         self.clear()
 
     def clear(self) -> None:
-        self.index: dict[str, int] = {}
-        self.of_piece: dict[str, list[int]] = {}
-        self.flat = np.zeros(0, np.uint32)
-        self.start = np.zeros(0, np.int64)
-        self.count = np.zeros(0, np.int64)
-
-    def _piece(self, piece: str) -> list[int]:
-        ids = self.of_piece.get(piece)
-        if ids is None:
-            mapped = piece.encode().decode("latin-1").translate(self.alphabet)
-            ids = self.of_piece[piece] = [t.id for t in self.tokenizer.model.tokenize(mapped)]
-        return ids
-
-    def _word(self, word: str) -> list[int]:
-        if self.plain(word):
-            return [i for p in self.pieces(word.lower()) for i in self._piece(p)]
-        return self.tokenizer.encode(word, add_special_tokens=False).ids
+        self.words_seen, self.pieces_seen = _Ids(), _Ids()
+
+    def _tokenize(self, piece: str) -> list[int]:
+        # ASCII letters and digits stand for themselves in the byte alphabet
+        mapped = piece if piece.isascii() and piece.isalnum() else \
+            piece.encode().decode("latin-1").translate(self.alphabet)
+        return [t.id for t in self.tokenizer.model.tokenize(mapped)]
+
+    def _learn(self, new: list[str]) -> None:
+        """Ids of words met for the first time."""
+        plain = new if self.plain("".join(new)) else [w for w in new if self.plain(w)]
+        if len(plain) < len(new):
+            rest = [w for w in new if not self.plain(w)]
+            found = [self.tokenizer.encode(w, add_special_tokens=False).ids for w in rest]
+            self.words_seen.add(rest, np.fromiter(map(len, found), np.int64, len(found)),
+                                np.fromiter(chain.from_iterable(found), np.uint32))
+        if plain:
+            pieces = self.pieces("\n".join(plain).lower())
+            seen = self.pieces_seen
+            fresh = [p for p in dict.fromkeys(pieces) if p not in seen.index]
+            found = [self._tokenize(p) if p != "\n" else [] for p in fresh]
+            seen.add(fresh, np.fromiter(map(len, found), np.int64, len(found)),
+                     np.fromiter(chain.from_iterable(found), np.uint32))
+            at = seen.at(pieces)
+            ids, sizes = seen.take(at)
+            ends = np.concatenate([np.flatnonzero(at == seen.index.get("\n", -1)), [len(at)]])
+            before = np.concatenate([[0], np.cumsum(sizes)])[ends]
+            self.words_seen.add(plain, np.diff(np.concatenate([[0], before])), ids)
 
     def words(self, text: str) -> list[str]:
         """Maximal runs without white space.  The separators U+001C-U+001F
@@ -107,27 +143,19 @@ class WordEncoder:
 
     def encode(self, texts: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each followed by ``end_id``; ids of each."""
-        if len(self.index) > CACHED_WORDS:
+        if len(self.words_seen.index) > CACHED_WORDS:
             self.clear()
-        index, known = self.index, len(self.index)
+        seen = self.words_seen
         words: list[str] = []
         ends = np.empty(len(texts), np.int64)
         for i, text in enumerate(texts):
             if text:
                 words += self.words(text)
             ends[i] = len(words)
-        new = [w for w in dict.fromkeys(words) if w not in index]
-        index.update(zip(new, count(known)))
+        new = [w for w in dict.fromkeys(words) if w not in seen.index]
         if new:
-            found = [self._word(w) for w in new]
-            sizes = np.fromiter(map(len, found), np.int64, len(found))
-            flat = np.fromiter((i for ids in found for i in ids), np.uint32, int(sizes.sum()))
-            self.start = np.concatenate([self.start, len(self.flat) + np.cumsum(sizes) - sizes])
-            self.count = np.concatenate([self.count, sizes])
-            self.flat = np.concatenate([self.flat, flat])
-        at = np.fromiter(map(index.__getitem__, words), np.int64, len(words))
-        sizes = self.count[at]
-        ids = self.flat[flat_ranges(self.start[at], sizes)]
+            self._learn(new)
+        ids, sizes = seen.take(seen.at(words))
         before = np.concatenate([[0], np.cumsum(sizes)])[ends]
         out = np.full(len(ids) + len(texts), end_id, np.uint32)
         keep = np.ones(len(out), bool)
@@ -141,13 +169,13 @@ def compress(ids: np.ndarray, end_id: int, min_count: int = MIN_COUNT, min_share
     """Batch Re-Pair: symbols, rules as pairs of symbols, and the symbol of
     the first rule."""
     first = max(int(ids.max()) if len(ids) else 0, end_id) + 1
-    seq, rules = ids.astype(np.uint32), []
+    seq, rules = ids.astype(np.uint32), []      # a copy
     slots = 1 << 20
     while len(seq) > 1:
         need = max(min_count, int(len(seq) * min_share))
         left, right = seq[:-1], seq[1:]
         salt = np.uint32(0x85EBCA6B + 2 * len(rules))       # other pairs share a slot in the next round
-        slot = ((left * np.uint32(0x9E3779B1)) ^ (right * salt)) >> np.uint32(12)
+        slot = (((left * np.uint32(0x9E3779B1)) ^ (right * salt)) >> np.uint32(12)).astype(np.intp)
         often = np.flatnonzero(np.bincount(slot, minlength=slots) >= need)
         number = np.full(slots, -1, np.int32)
         number[often] = np.arange(len(often))
@@ -175,7 +203,6 @@ def compress(ids: np.ndarray, end_id: int, min_count: int = MIN_COUNT, min_share
         run = np.maximum.accumulate(np.where(linked, 0, np.arange(len(at))))
         keep = (np.arange(len(at)) - run) % 2 == 0
         at = at[keep]
-        seq = seq.copy()
         seq[at] = symbol[keep]
         gone = np.ones(len(seq), bool)
         gone[at + 1] = False
