@@ -298,26 +298,35 @@ def write(documents: DataFrame, path: str, tokenizer_path: str, end_id: int = 1,
     ordered.mapInArrow(_writer(tokenizer_path, end_id), SCHEMA).write.parquet(path)
 
 
-def _reader(batches):
+def _reader(wanted: set[int] | None):
     schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()),
                         ("ids", pa.binary())])
-    for batch in batches:
-        for row in batch.to_pylist():
-            symbols = np.frombuffer(row["symbols"], f"<u{row['width']}").astype(np.int64)
-            ids, lengths = expand(symbols, row["rule_left"], row["rule_right"], row["first_rule"])
-            cut = np.concatenate([[0], np.cumsum(lengths)])[np.array(row["doc_symbols"])]
-            raw = pa.py_buffer(ids.astype("<u4").tobytes())
-            n = len(row["doc_ids"])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(row["doc_ids"], pa.int64()), pa.array(np.array(row["doc_starts"]) + row["start"], pa.int64()),
-                 pa.array(np.diff(cut), pa.int64()),
-                 pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer((4 * cut).astype(np.int32).tobytes()), raw])],
-                schema=schema)
-
-
-def read(spark: SparkSession, path: str) -> DataFrame:
+
+    def decode(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                docs = np.array([i for i, d in enumerate(row["doc_ids"]) if wanted is None or d in wanted], np.int64)
+                bounds = np.array(row["doc_symbols"])
+                sizes = bounds[docs + 1] - bounds[docs]
+                symbols = np.frombuffer(row["symbols"], f"<u{row['width']}")
+                # only the symbols of the wanted documents are expanded
+                ids, lengths = expand(symbols[flat_ranges(bounds[docs], sizes)].astype(np.int64), row["rule_left"],
+                                      row["rule_right"], row["first_rule"])
+                cut = np.concatenate([[0], np.cumsum(lengths)])[np.concatenate([[0], np.cumsum(sizes)])]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([row["doc_ids"][i] for i in docs.tolist()], pa.int64()),
+                     pa.array(np.array(row["doc_starts"])[docs] + row["start"], pa.int64()),
+                     pa.array(np.diff(cut), pa.int64()),
+                     pa.Array.from_buffers(pa.binary(), len(docs), [
+                         None, pa.py_buffer((4 * cut).astype(np.int32).tobytes()),
+                         pa.py_buffer(ids.astype("<u4").tobytes())])], schema=schema)
+    return decode
+
+
+def read(spark: SparkSession, path: str, doc_ids: list[int] | None = None) -> DataFrame:
     """Documents of written shards: ``doc_id, start`` (ids of all documents
-    before it), ``n_tokens`` and ``ids`` (little-endian unsigned 32-bit)."""
+    before it), ``n_tokens`` and ``ids`` (little-endian unsigned 32-bit).
+    With ``doc_ids`` only these, from the shards that hold them."""
     shards = spark.read.schema(SCHEMA).parquet(path)
     # one row per writing partition reaches the driver
     parts = shards.groupBy("part").agg(F.min(F.struct("first_doc", "part")).alias("key"), F.sum("n_ids").alias("n")) \
@@ -327,5 +336,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
         base.append((p.part, before))
         before += p.n
     offsets = F.broadcast(spark.createDataFrame(base, "part int, base long"))
+    if doc_ids is not None:
+        shards = shards.where(F.arrays_overlap("doc_ids", F.array(*[F.lit(d).cast("long") for d in doc_ids])))
     placed = shards.join(offsets, "part").withColumn("start", F.col("start") + F.col("base")).drop("base", "part")
-    return placed.mapInArrow(_reader, "doc_id long, start long, n_tokens long, ids binary")
+    return placed.mapInArrow(_reader(None if doc_ids is None else set(doc_ids)), "doc_id long, start long, n_tokens long, ids binary")

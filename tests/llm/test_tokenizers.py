@@ -66,6 +66,8 @@ def test_store_round_trip(spark, make):
     want = sorted((d is not None, d or 0, np.array(lib.encode(t or "", add_special_tokens=False).ids + [1], "<u4").tobytes())
                   for d, t, _ in rows)
     assert sorted((d is not None, d or 0, bytes(ids)) for d, _, _, ids in out) == want
+    some = {(r.doc_id, r.start, bytes(r.ids)) for r in repair_store.read(spark, path, [3, 7, 10**9]).collect()}
+    assert some == {(d, start, bytes(ids)) for d, start, _, ids in out if d in (3, 7)}
     before = 0
     for d, start, n, ids in sorted(out, key=lambda r: r[1]):        # starts add up in ascending order of id
         assert start == before and n == len(ids) // 4
