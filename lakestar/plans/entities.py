@@ -175,13 +175,20 @@ def _newer_only(latest: DataFrame, spec: EntitySpec, name: str, num_buckets: int
     return rows.drop(VERSION)
 
 
-def silver_job(raw: DataFrame, spec: EntitySpec, table: str | None = None,
-               run_gate: bool = True, extra_rules: Sequence[Expectation] = (),
-               incremental: bool = False, num_buckets: int | None = None, ingest_lag_s: int = 0,
-               shared: SharedNewest | None = None) -> DataFrame:
-    """One refresh of a silver table: gate and refine, then create on the
-    first load or upsert keeping surrogate keys (S10 + M4).  Returns the
-    published table.
+def silver_job(raw: DataFrame, spec: EntitySpec, *args, **options) -> DataFrame:
+    """One refresh of a silver table: :func:`stage_silver`, then its publishing
+    step.  Returns the published table."""
+    return stage_silver(raw, spec, *args, **options)()
+
+
+def stage_silver(raw: DataFrame, spec: EntitySpec, table: str | None = None,
+                 run_gate: bool = True, extra_rules: Sequence[Expectation] = (),
+                 incremental: bool = False, num_buckets: int | None = None, ingest_lag_s: int = 0,
+                 shared: SharedNewest | None = None) -> Callable[[], DataFrame]:
+    """Gate and refine a silver refresh.  The step that is returned publishes
+    it: create on the first load or upsert keeping surrogate keys (S10 + M4);
+    a layer whose jobs are all staged before any is published keeps its old
+    versions if one gate fails.
 
     ``incremental=True`` reads only raw rows whose ``_ingested_at`` is after
     the cursor stored with the table's last version (a pushed-down Parquet
@@ -205,7 +212,7 @@ def silver_job(raw: DataFrame, spec: EntitySpec, table: str | None = None,
             batch = raw.where(F.col(INGESTED) > F.timestamp_micros(F.lit(last - ingest_lag_s * 1_000_000)))
         top = batch.agg(F.max(F.unix_micros(F.col(INGESTED))).alias("c")).first()["c"]
         if top is None and last is not None:
-            return read(spark, name)  # nothing new since the last refresh
+            return lambda: read(spark, name)  # nothing new since the last refresh
         cursor = top if last is None else max(top, last)
         if last is not None:
             completeness = [r for r in [*spec.rules, *extra_rules] if isinstance(r, DistinctEquals)]
@@ -217,25 +224,28 @@ def silver_job(raw: DataFrame, spec: EntitySpec, table: str | None = None,
 
     # jobs with the same cursor read the same rows
     latest = make() if shared is None else shared.get((last, cursor), make)
-    delete_keys = None
-    if incremental:
-        latest = _newer_only(latest, spec, name, num_buckets)
-        if spec.after_dedup is not None:
-            # a key whose newest version no longer passes this table's filter
-            # (e.g. a result that moved to the other result table) must leave it
-            delete_keys = latest.select(*[F.col(k).alias(spec.renames.get(k, k)) for k in spec.natural_key])
-    df = clean(latest, spec)
     if run_gate and completeness:
         held = read(spark, name)
         for r in completeness:
             column = spec.renames.get(r.column, r.column)
-            both = held.select(column).unionByName(df.select(column))
+            both = held.select(column).unionByName(clean(latest, spec).select(column))
             check(both.withColumnRenamed(column, r.column), [r])
     # latest_per_key leaves one row per natural key and the gate rejected
     # NULL keys: the batch needs no second uniqueness check
     gated_keys = run_gate and {k for r in spec.rules if isinstance(r, NotNull) for k in [r.column]} >= set(spec.natural_key)
-    return load_or_upsert(df, name, spec.key_order, key_col=spec.key_col, num_buckets=num_buckets,
-                          cursor=cursor, delete_keys=delete_keys, validate=not gated_keys)
+
+    def publish() -> DataFrame:
+        accepted, delete_keys = latest, None
+        if incremental:
+            accepted = _newer_only(latest, spec, name, num_buckets)
+            if spec.after_dedup is not None:
+                # a key whose newest version no longer passes this table's filter
+                # (e.g. a result that moved to the other result table) must leave it
+                delete_keys = accepted.select(*[F.col(k).alias(spec.renames.get(k, k)) for k in spec.natural_key])
+        return load_or_upsert(clean(accepted, spec), name, spec.key_order, key_col=spec.key_col,
+                              num_buckets=num_buckets, cursor=cursor, delete_keys=delete_keys,
+                              validate=not gated_keys)
+    return publish
 
 
 def _subset(rule: Expectation) -> Expectation:

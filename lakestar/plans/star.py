@@ -27,7 +27,7 @@ from ..operators import (DistinctEquals, InSetOf, NotNull, attach_dimensions, jo
 from ..sources import (RAW_COL, TableStore, load_or_upsert, pack_json, read, replace_table, save, scan,
                        table_exists)
 from ..session import warehouse_root
-from .entities import EntitySpec, SharedNewest, in_parallel as _in_parallel, silver_frame, silver_job
+from .entities import EntitySpec, SharedNewest, in_parallel as _in_parallel, silver_frame, silver_job, stage_silver
 
 # Fixed values of the raw rule.
 FRESH_TS = "2024-01-02 00:00:00"
@@ -432,22 +432,24 @@ class StarPipeline:
 
         results = SharedNewest()
 
-        def silver(entity: str) -> DataFrame:
+        def stage(entity: str):
             of_results = entity.endswith("_result")
             extra = [InSetOf("statusname", out["silver_status"], "status_name")] \
                 if of_results else []
-            return silver_job(out[bronze_of(entity)], self.SILVER[entity], run_gate=self.run_gates,
-                              extra_rules=extra, incremental=True, num_buckets=num_buckets,
-                              shared=results if of_results else None)
+            return stage_silver(out[bronze_of(entity)], self.SILVER[entity], run_gate=self.run_gates,
+                                extra_rules=extra, incremental=True, num_buckets=num_buckets,
+                                shared=results if of_results else None)
 
         with timer("sync_bronze"):
             names = list(dict.fromkeys(bronze_of(e) for e in self.SILVER))
             out.update(_in_parallel({n: (lambda n=n: sync(n)) for n in names}, parallel))
         with timer("silver"):
             # known statuses = the refreshed status table (same keys as its raw rows)
-            out["silver_status"] = silver("status")
+            out["silver_status"] = stage("status")()
             rest = [e for e in self.SILVER if e != "status"]
-            done = _in_parallel({e: (lambda e=e: silver(e)) for e in rest}, parallel)
+            # nothing is published before all gates of the layer passed
+            staged = _in_parallel({e: (lambda e=e: stage(e)) for e in rest}, parallel)
+            done = _in_parallel(staged, parallel)
             out.update({f"silver_{e}": t for e, t in done.items()})
             self.live |= {f"silver_{e}" for e in self.SILVER}
         with timer("gold"):
