@@ -14,6 +14,7 @@ text is read: nothing is shuffled.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from hashlib import md5
 
 import numpy as np
 import pyarrow as pa
@@ -99,7 +100,7 @@ def _distinct_rows(terms: np.ndarray, cuts: np.ndarray, label: np.ndarray) -> np
     say no more than one of them."""
     seen: dict[tuple, int] = {}
     for i in range(len(label)):
-        seen.setdefault((terms[cuts[i]:cuts[i + 1]].tobytes(), label[i]), i)
+        seen.setdefault((md5(terms[cuts[i]:cuts[i + 1]].tobytes()).digest(), label[i]), i)
     return np.array(sorted(seen.values()), np.int64)
 
 
@@ -125,18 +126,24 @@ def fit(terms: np.ndarray, cuts: np.ndarray, label: np.ndarray, factors: int = 4
     every score is 0."""
     rows = _distinct_rows(terms, cuts, label)
     sizes = cuts[rows + 1] - cuts[rows]
-    terms, label = terms[flat_ranges(cuts[rows], sizes)], label[rows]
+    if len(rows) < len(label):
+        terms, label = terms[flat_ranges(cuts[rows], sizes)], label[rows]
     ordered = np.sort(terms)
     edge = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1], [True]])) if len(terms) else np.zeros(1)
     kept = ordered[edge[:-1][np.diff(edge) >= min_rows].astype(np.int64)]
+    del ordered, edge
     n, d = len(label), len(kept)
     weight, factor = np.zeros(d), np.zeros((d, factors))
     if not n:
         return Machine(-30.0, kept, weight, factor)
     share = float(np.clip(label.mean(), 1e-3, 1 - 1e-3))
     bias = float(np.log(share / (1 - share)))
-    of, row = _slots(kept, terms), np.repeat(np.arange(n), sizes)
-    of, row = of[of >= 0].astype(np.int64), row[of >= 0]
+    # a million terms at a time, so no array of them all is wider than needed
+    row = np.repeat(np.arange(n, dtype=np.int32), sizes)
+    parts = [_slots(kept, terms[k:k + (1 << 20)]).astype(np.int32) for k in range(0, len(terms), 1 << 20)]
+    of = np.concatenate(parts) if parts else np.zeros(0, np.int32)
+    del parts, terms
+    of, row = of[of >= 0], row[of >= 0]
     first = np.searchsorted(row, np.arange(n + 1))
 
     count = np.bincount(of, minlength=d)
@@ -159,6 +166,7 @@ def fit(terms: np.ndarray, cuts: np.ndarray, label: np.ndarray, factors: int = 4
     rng = np.random.default_rng(seed)
     linear = bias + _row_sum(weight[of], row, n)
     test = np.arange(n) % 10 == 0
+    of_test, row_test = of[test[row]], (np.cumsum(test) - 1)[row[test[row]]]
     trial = rng.normal(0, 0.01, (d, factors))
     seen_factor = np.full((d, factors), 1e-6)
     best = _loss(linear[test], label[test])
@@ -177,8 +185,8 @@ def fit(terms: np.ndarray, cuts: np.ndarray, label: np.ndarray, factors: int = 4
                               for f in range(factors)], axis=1) + 1e-2 * trial[touched]
             seen_factor[touched] += slope ** 2
             trial[touched] -= rate * slope / np.sqrt(seen_factor[touched])
-        pairs, *_ = _forward(0.0, np.zeros(d), trial, of, row, n)
-        loss = _loss((linear + pairs)[test], label[test])
+        pairs, *_ = _forward(0.0, np.zeros(d), trial, of_test, row_test, int(test.sum()))
+        loss = _loss(linear[test] + pairs, label[test])
         if loss < best:
             best, factor = loss, trial.copy()
     used = (weight != 0) | (factor != 0).any(axis=1)
@@ -203,7 +211,9 @@ def _trainer(options: dict):
         rows.sort(key=lambda x: (x[0], x[1], len(x[2])))    # the order that rows arrive in has no effect
         cuts = np.concatenate([[0], np.cumsum([len(t) for _, _, t in rows])]).astype(np.int64)
         terms = np.concatenate([t for _, _, t in rows]) if rows else np.zeros(0, np.int64)
-        m = fit(terms, cuts, np.array([y for _, y, _ in rows], float), **options)
+        label = np.array([y for _, y, _ in rows], float)
+        rows.clear()
+        m = fit(terms, cuts, label, **options)
         yield pa.RecordBatch.from_pydict(
             {"bias": [m.bias], "factors": pa.array([m.factor.shape[1]], pa.int32()),
              "term": pa.array([m.term.astype("<i8").tobytes()], pa.binary()),
