@@ -22,8 +22,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """N-gram Jaccard join: of each group of near-duplicates the document
-    with the smallest id stays."""
+    """N-gram Jaccard join: of each group of near-duplicates one document with
+    the smallest id stays."""
     return ngram_join.deduplicate(docs)
 
 
@@ -34,8 +34,9 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secret scan: all documents stay, their secrets are replaced."""
-    return secret_scan.redact(docs)
+    """Secret scan: all documents stay, their secrets are replaced, whatever
+    their id."""
+    return secret_scan.redact(docs, null_ids=True)
 
 
 def encode_bytes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

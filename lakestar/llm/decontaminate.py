@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from .textops import prefix_hash, range_hash, row_blocks, utf8, words
 
@@ -239,15 +240,22 @@ def scan(documents: DataFrame, benchmark: DataFrame, window: int = 13, doc_id: s
     also of a repeated doc_id; repeated rows then agree.  Other columns are
     not read.  With an empty benchmark nothing is hit.
     """
-    out = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"),
-                           F.array().cast(_SPAN_TYPE).alias("spans"), F.array().cast("array<long>").alias("items"))
-    schema = (f"doc_id long, text string, spans {_SPAN_TYPE}, items array<long>, n_words long, "
-              f"new_spans {_SPAN_TYPE}, new_items array<long>")
+    rows = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    return _scan(rows, benchmark, window, item_id, item_text, block_items).select("doc_id", "n_words", "spans", "items")
+
+
+def _scan(rows: DataFrame, benchmark: DataFrame, window: int, item_id: str = "item_id", item_text: str = "text",
+          block_items: int = BLOCK_ITEMS) -> DataFrame:
+    """The rows, which have a ``text``, with ``n_words, spans, items``."""
+    columns = rows.columns
+    out = rows.withColumns({"spans": F.array().cast(_SPAN_TYPE), "items": F.array().cast("array<long>")})
+    schema = StructType([*out.schema.fields, StructField("n_words", LongType()),
+                         *StructType.fromDDL(f"new_spans {_SPAN_TYPE}, new_items array<long>").fields])
     for block in list(item_blocks(benchmark, item_id, item_text, block_items)) or [[]]:
-        out = out.select("doc_id", "text", "spans", "items").mapInArrow(_scanner(block, window), schema) \
+        out = out.select(*columns, "spans", "items").mapInArrow(_scanner(block, window), schema) \
             .withColumn("spans", _union_spans(F.concat("spans", "new_spans"))) \
             .withColumn("items", F.array_sort(F.array_distinct(F.concat("items", "new_items"))))
-    return out.select("doc_id", "n_words", "spans", "items")
+    return out.select(*columns, "n_words", "spans", "items")
 
 
 def _union_spans(spans):
@@ -267,17 +275,27 @@ def _union_spans(spans):
         lambda acc: F.coalesce(acc, F.array().cast(_SPAN_TYPE)))
 
 
+def _n_hit():
+    return F.aggregate("spans", F.lit(0).cast("long"), lambda acc, s: acc + s["words"])
+
+
+def _contaminated(n_hit, n_words):
+    return (n_hit > 0) & (20 * n_hit >= n_words)
+
+
 def report(scanned: DataFrame) -> DataFrame:
     """The digest per document, with the coverage rule: contaminated if at
     least a twentieth of the words is hit."""
-    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda acc, s: acc + s["words"])
     names = F.array_sort(F.col("items").cast("array<string>"))
-    return scanned.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+    return scanned.select("doc_id", "n_words", _n_hit().alias("n_hit"), F.size("items").cast("long").alias("n_items"),
                           F.sha2(F.concat_ws(",", names), 256).alias("items_sha256")) \
-        .withColumn("contaminated", F.expr("n_hit > 0 and 20 * n_hit >= n_words"))
+        .withColumn("contaminated", _contaminated(F.col("n_hit"), F.col("n_words")))
 
 
 def remove(documents: DataFrame, benchmark: DataFrame, window: int = 13) -> DataFrame:
-    """Documents that are not contaminated, unchanged."""
-    bad = report(scan(documents, benchmark, window)).where("contaminated").select("doc_id").distinct()
-    return documents.join(bad, "doc_id", "left_anti")
+    """Rows that are not contaminated, unchanged.  Each is judged by its own
+    text, whatever its id; all columns pass through the scan."""
+    names = {c: "text" if c == "text" else f"_c{k}" for k, c in enumerate(documents.columns)}
+    scanned = _scan(documents.withColumnsRenamed(names), benchmark, window)
+    return scanned.where(~_contaminated(_n_hit(), F.col("n_words"))) \
+        .select(*[F.col(own).alias(c) for c, own in names.items()])

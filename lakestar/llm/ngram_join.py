@@ -23,7 +23,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import graph
@@ -171,6 +171,24 @@ def _verifier(n: int, threshold: float):
     return verify
 
 
+def _linked(rows: DataFrame, classes: DataFrame, threshold: float, n: int, runs: int, levels: int
+            ) -> tuple[DataFrame, DataFrame]:
+    """``node, linked`` and ``node, component`` of the classes that links
+    reach, from rows ``doc_id, key, text`` and their classes ``key, least_id,
+    node, copies, minima``."""
+    near = graph.components(candidate_edges(classes, runs, levels))
+    members = near.join(classes.select("node", "key", "copies", "least_id"), "node")
+    # each class once, by its smallest id; the length decides the blocks
+    texts = rows.select("doc_id", F.col("key").alias("_key"), "text")
+    members = members.join(texts, F.expr("key = _key and doc_id <=> least_id")).dropDuplicates(["key"])
+    sizes = members.groupBy("component").agg(F.greatest(
+        F.ceil(F.count("*") / BLOCK_ROWS), F.ceil(F.sum(F.octet_length("text")) / BLOCK_BYTES)).alias("blocks"))
+    dealt = graph.block_pairs(members.select("component", "node", "copies", "text")
+                              .join(sizes, "component"), "component", "blocks", "node")
+    linked = dealt.groupBy("component", "bi", "bj").applyInArrow(_verifier(n, threshold), graph.LINK_SCHEMA)
+    return graph.summary(linked)
+
+
 def self_join(documents: DataFrame, threshold: float = 0.8, n: int = 5, doc_id: str = "doc_id",
               text: str = "text", runs: int = RUNS, levels: int = LEVELS) -> DataFrame:
     """Per document: ``doc_id, class_id`` (smallest doc_id that links reach)
@@ -188,18 +206,8 @@ def self_join(documents: DataFrame, threshold: float = 0.8, n: int = 5, doc_id:
     full = (F.size("minima") > 0) & F.col("doc_id").isNotNull()
     classes = signed.where(full).groupBy("key") \
         .agg(F.min("doc_id").alias("node"), F.count("*").alias("copies"), F.first("minima").alias("minima")) \
-        .checkpoint()
-    near = graph.components(candidate_edges(classes, runs, levels))
-    members = near.join(classes.select("node", "key", "copies"), "node")
-    # each class once, by its smallest id; the length decides the blocks
-    texts = rows.select(F.col("doc_id").alias("node"), "key", "text")
-    members = members.join(texts, ["node", "key"]).dropDuplicates(["key"])
-    sizes = members.groupBy("component").agg(F.greatest(
-        F.ceil(F.count("*") / BLOCK_ROWS), F.ceil(F.sum(F.octet_length("text")) / BLOCK_BYTES)).alias("blocks"))
-    dealt = graph.block_pairs(members.select("component", "node", "copies", "text")
-                              .join(sizes, "component"), "component", "blocks", "node")
-    linked = dealt.groupBy("component", "bi", "bj").applyInArrow(_verifier(n, threshold), graph.LINK_SCHEMA)
-    count, component = graph.summary(linked)
+        .withColumn("least_id", F.col("node")).checkpoint()
+    count, component = _linked(rows, classes, threshold, n, runs, levels)
     classes = classes.select("key", "node", "copies").join(count, "node", "left").join(component, "node", "left") \
         .select("key", (F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"),
                 F.coalesce("component", "node").alias("class_id"))
@@ -210,6 +218,35 @@ def self_join(documents: DataFrame, threshold: float = 0.8, n: int = 5, doc_id:
 
 
 def deduplicate(documents: DataFrame, threshold: float = 0.8, n: int = 5) -> DataFrame:
-    """One document of each class: the one whose id is the class's."""
-    gone = self_join(documents, threshold, n).where("doc_id <> class_id").select("doc_id").distinct()
-    return documents.join(gone, "doc_id", "left_anti")
+    """One row of each class of linked texts: one with the smallest id in the
+    class (null ids last).  What a row's class is depends on its text alone,
+    so rows that share an id are judged apart, and rows with a null id too.
+    Null, empty and wordless texts link with nothing and all stay.
+    """
+    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.md5("text").alias("key"), "text")
+    signed = rows.mapInArrow(_signer(n, RUNS * LEVELS), "doc_id long, key string, minima array<int>").checkpoint()
+    # a class is a text; ids do not tell classes apart, so they are numbered
+    classes = signed.where(F.size("minima") > 0).groupBy("key") \
+        .agg(F.min("doc_id").alias("least_id"), F.count("*").alias("copies"), F.first("minima").alias("minima")) \
+        .withColumn("node", F.monotonically_increasing_id()).checkpoint()
+    _, component = _linked(rows, classes, threshold, n, RUNS, LEVELS)
+    first = F.struct(F.col("least_id").isNull().alias("no_id"), "least_id", F.col("key").alias("_kept"))
+    grouped = classes.select("key", "least_id", "node").join(component, "node")
+    kept = grouped.groupBy("component").agg(F.min(first)["_kept"].alias("_kept"))
+    # what happens to the rows of an id and a text: none, one or (no entry) all of them stay
+    least = grouped.join(kept, "component").select("key", "least_id", (F.col("key") == F.col("_kept")).alias("stays")) \
+        .unionByName(classes.where("copies > 1").join(component, "node", "left_anti")
+                     .select("key", "least_id", F.lit(True).alias("stays")))
+    stays = F.col("stays") & F.col("doc_id").eqNullSafe(F.col("least_id"))
+    decided = signed.groupBy("doc_id", "key").agg(F.count("*").alias("n")).join(least, "key") \
+        .select(_row_key(F.col("doc_id"), F.col("key")).alias("_row_key"), stays.alias("_stays"), "n") \
+        .where("not _stays or n > 1").drop("n")
+    # the join and the numbering share one shuffle of the texts
+    number = F.row_number().over(Window.partitionBy("_row_key").orderBy("_row_key"))
+    return documents.withColumn("_row_key", _row_key(F.col("doc_id").cast("long"), F.md5("text"))) \
+        .join(decided, "_row_key", "left").withColumn("_number", number) \
+        .where("_stays is null or _stays and _number = 1").select(*documents.columns)
+
+
+def _row_key(doc_id, key):
+    return F.concat(F.coalesce(key, F.lit("")), F.lit(":"), F.coalesce(doc_id.cast("string"), F.lit("")))

@@ -122,16 +122,23 @@ def scan(documents: DataFrame, findings: DataFrame | None = None, doc_id: str =
     return scored.select("doc_id", "number", "candidate", "score", (F.col("score") >= threshold).alias("secret"))
 
 
-def redact(documents: DataFrame, findings: DataFrame | None = None, mark: str = "[SECRET]") -> DataFrame:
+def redact(documents: DataFrame, findings: DataFrame | None = None, mark: str = "[SECRET]",
+           null_ids: bool = False) -> DataFrame:
     """All documents with their secrets replaced; n_chars, if there is such a
-    column, follows the text.  Rows with a null id are left as they are."""
-    secrets = scan(documents, findings).where("secret and doc_id is not null").groupBy("doc_id") \
-        .agg(F.array_sort(F.collect_set("candidate")).alias("_secrets"))
+    column, follows the text.  Each row loses the secrets of its own text,
+    whatever other rows share its id.  Rows with a null id are left as they
+    are unless ``null_ids``."""
+    # what is found in a row depends on its text alone
+    keyed = documents.withColumn("_text_key", F.sha2("text", 256))
+    if not null_ids:
+        keyed = keyed.withColumn("_text_key", F.when(F.col("doc_id").isNotNull(), F.col("_text_key")))
+    secrets = scan(keyed, findings, doc_id="_text_key").where("secret and doc_id is not null").groupBy("doc_id") \
+        .agg(F.array_sort(F.collect_set("candidate")).alias("_secrets")).withColumnRenamed("doc_id", "_text_key")
     # longer ones first, so none is left in part by a shorter one within it
     ordered = F.reverse(F.array_sort(F.transform("_secrets", lambda s: F.struct(F.length(s).alias("n"), s.alias("s")))))
     clean = F.aggregate(ordered, F.col("text"), lambda t, s: F.replace(t, s["s"], F.lit(mark)))
     text = F.when(F.col("_secrets").isNull(), F.col("text")).otherwise(clean)
-    out = documents.join(secrets, "doc_id", "left").withColumn("text", text)
+    out = keyed.join(secrets, "_text_key", "left").withColumn("text", text)
     if "n_chars" in documents.columns:
         out = out.withColumn("n_chars", F.when(F.col("_secrets").isNull(), F.col("n_chars"))
                              .otherwise(F.length("text").cast(dict(documents.dtypes)["n_chars"])))

@@ -78,6 +78,15 @@ def test_deduplicate_keeps_one_of_each_class(make):
     assert sorted(r.doc_id for r in ngram_join.deduplicate(make("doc_id long, text string", rows)).collect()) == [3, 4, 6]
 
 
+def test_deduplicate_judges_rows_and_not_ids(make):
+    a, b = "a b c d e f g", "p q r s t u v w"
+    rows = [(1, a, "x"), (1, a, "x"), (1, b, "own"), (None, a.upper(), "x"), (None, "k l m n o p", "null"),
+            (None, "k l m n o p", "null"), (7, b, "later"), (None, "", "e"), (None, None, "e"), (2, "", "e"), (1, "other", "o")]
+    out = ngram_join.deduplicate(make("doc_id long, text string, copies string", rows)).collect()
+    assert sorted(r.copies for r in out) == ["e", "e", "e", "null", "o", "own", "x"]
+    assert {(r.doc_id, r.text) for r in out if r.copies in ("x", "own")} == {(1, a), (1, b)}
+
+
 def test_components_of_paths_and_hubs(make):
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, k) for k in range(101, 160)] + [(7, 7), (300, 301), (301, 300)]
     got = {r.node: r.component for r in graph.components(make("a long, b long", edges)).collect()}

@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import textwrap
 
 import pytest
 from pyspark.sql import functions as F
@@ -79,6 +80,13 @@ def test_decontamination_edge_tables(make):
     assert decontaminate.remove(docs, make("item_id long, text string", [(1, "a")])).collect()[0].doc_id == 2
 
 
+def test_decontamination_removes_rows_and_not_ids(make):
+    rows = [(1, "x v1 v2", "bad"), (1, "clean", "good"), (None, "v1 v2", "bad"), (None, "also clean", "good"), (2, None, "good")]
+    out = decontaminate.remove(make("doc_id long, text string, spans string", rows), make("item_id long, text string", [(1, "v1 v2")]))
+    assert out.columns == ["doc_id", "text", "spans"]
+    assert sorted((r.doc_id or 0, r.text or "") for r in out.collect()) == [(0, "also clean"), (1, "clean"), (2, "")]
+
+
 # ---- toxicity -------------------------------------------------------------------
 
 def toxic_table(n=600, seed=1):
@@ -163,6 +171,15 @@ def test_secrets_found_and_redacted(make):
         {(d, t) for d, t, _ in docs if not truth.get(d)}
 
 
+def test_secrets_are_redacted_row_by_row(make):
+    docs, truth = secret_docs()
+    other = docs[5][1].split('"')[1]
+    rows = [d[:2] for d in docs] + [(None, docs[0][1]), (None, "plain"), (5, f"see commit {other} y"), (None, None)]
+    clean = secret_scan.redact(make("doc_id long, text string", rows), null_ids=True).collect()
+    assert sorted(r.text or "" for r in clean if r.doc_id is None) == ["", "plain", 'x token = "[SECRET]" y']
+    assert sorted(r.text for r in clean if r.doc_id == 5) == [f"see commit {other} y", 'x token = "[SECRET]" y']
+
+
 def test_secrets_given_findings_and_edge_tables(make):
     docs, truth = secret_docs()
     df = make("doc_id long, text string", [d[:2] for d in docs])
