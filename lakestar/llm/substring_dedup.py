@@ -342,7 +342,9 @@ def changed_texts(documents: DataFrame, length: int = 400, doc_id: str = "doc_id
     again = found.groupBy("h").agg(F.min(place).alias("a"), F.max(place).alias("b")).where("a <> b").select("h")
     places = found.join(again, "h", "left_semi").groupBy(*_TEXT) \
         .agg(F.collect_set(F.struct("pos", "h")).alias("positions")).join(classes.drop("n_bytes"), list(_TEXT))
-    one = rows.join(places.withColumnRenamed("node", "doc_id"), [*_TEXT, "doc_id"]).dropDuplicates(list(_TEXT))
+    # one row of each text; its smallest id is null if all of them are
+    one = rows.join(places.withColumnsRenamed({"k1": "p1", "k2": "p2"}), F.expr("k1 = p1 and k2 = p2 and doc_id <=> node")) \
+        .dropDuplicates(list(_TEXT))
     path = scratch_path(spark, "repeat-texts")
     one.select(*_TEXT, "positions", "text", "copies").write.option("compression", "zstd").parquet(path)
     texts = spark.read.parquet(path)

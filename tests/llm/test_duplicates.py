@@ -188,6 +188,22 @@ def test_repeats_equal_brute_force(make, monkeypatch):
         assert d.kept_sha256 == hashlib.sha256(kept).hexdigest()
 
 
+def test_repeats_shared_with_rows_without_id(make):
+    rng = random.Random(8)
+
+    def text(n):
+        return "".join(rng.choice("abcdefgh") for _ in range(n))
+    passage, again = text(500), text(450)
+    rows = [(1, text(300) + passage), (None, passage + text(200)), (None, again + text(90)), (None, text(80) + again),
+            (2, text(600)), (None, rows_twice := text(500)), (None, rows_twice)]
+    out = substring_dedup.remove_repeats(make("doc_id long, text string", rows)).collect()
+    want = brute_repeats([t.encode() for _, t in rows], 400)
+    got = sorted((len(r.kept), r.n_bytes, sorted((s.start, s.end) for s in r.spans)) for r in out)
+    assert got == sorted((len(t) - sum(b - a for a, b in want[i]), len(t), [tuple(s) for s in want[i]])
+                         for i, (_, t) in enumerate(rows))
+    assert [sorted((s.start, s.end) for s in r.spans) for r in out if r.doc_id == 1] == [[(300, 800)]]
+
+
 def test_repeats_empty_table(make):
     assert substring_dedup.remove_repeats(make("doc_id long, text string", [])).count() == 0
 
