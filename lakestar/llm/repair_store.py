@@ -31,6 +31,7 @@ symbols               little-endian symbols
 from __future__ import annotations
 
 import json
+import re
 from functools import lru_cache
 from itertools import chain, count
 
@@ -84,16 +85,20 @@ class WordEncoder:
     Normalisation, pre-tokenization and merges of this kind of tokenizer do
     not look across white space, so a text's ids are its words' ids.  Words
     of Latin letters are lower-cased here and cut by the tokenizer's own
-    pattern; all others pass the library's normaliser and pre-tokenizer.
+    pattern; all others, and words that hold the string of an added token,
+    are encoded by the library as a whole.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True     # their strings are ordinary text
         with open(path, encoding="utf-8") as f:
-            split = json.load(f)["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
+            settings = json.load(f)
+        split = settings["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
+        # words that may hold an added token, which the library looks for first
+        added = [re.escape(t["content"]) for t in settings.get("added_tokens", [])]
+        self.added = re.compile("|".join(added) or "(?!)", re.IGNORECASE).search
         # pieces of many words at once, with the line ends between them
         self.pieces = compile_pattern(split + "|\n", 0x24F).findall
         self.plain = compile_pattern("[\x00-\u017f]*").fullmatch
@@ -115,9 +120,11 @@ class WordEncoder:
 
     def _learn(self, new: list[str]) -> None:
         """Ids of words met for the first time."""
-        plain = new if self.plain("".join(new)) else [w for w in new if self.plain(w)]
+        joined = "".join(new)
+        whole = {w for w in new if self.added(w)} if self.added(joined) else ()
+        plain = new if self.plain(joined) and not whole else [w for w in new if self.plain(w) and w not in whole]
         if len(plain) < len(new):
-            rest = [w for w in new if not self.plain(w)]
+            rest = [w for w in new if not self.plain(w) or w in whole]
             found = [self.tokenizer.encode(w, add_special_tokens=False).ids for w in rest]
             self.words_seen.add(rest, np.fromiter(map(len, found), np.int64, len(found)),
                                 np.fromiter(chain.from_iterable(found), np.uint32))

@@ -76,6 +76,17 @@ def test_store_round_trip(spark, make):
     assert order == sorted(order, key=lambda d: (d is not None, d or 0))
 
 
+def test_store_encodes_added_tokens_as_the_library(spark, make):
+    some = ["the end<|endoftext|> again", "<|startoftext|>a b<|endoftext|>", "É<|endoftext|>é 中<|startoftext|>", "<|ENDOFTEXT|> x",
+            "<|endoftext|><|endoftext|>", "<|endof text|> <|endoftext| >", "a\x1c<|endoftext|>\x1cb", "the end again"]
+    path = scratch_path(spark, "test-store")
+    repair_store.write(make("doc_id long, text string", list(enumerate(some))), path, WORDS)
+    lib = Tokenizer.from_file(WORDS)
+    got = {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in repair_store.read(spark, path).collect()}
+    assert got == {i: lib.encode(t, add_special_tokens=False).ids + [1] for i, t in enumerate(some)}
+    assert 49407 in got[0]
+
+
 def test_store_empty_table(spark, make):
     path = scratch_path(spark, "test-store")
     repair_store.write(make("doc_id long, text string", []), path, WORDS)
