@@ -1,8 +1,8 @@
 """Licence scanning by sentence rules, in DataFrame operations only.
 
 A text is cut into sentences (at line ends and after ``. ! ? : ;``) and
-normalised.  Sentences that are known, also when wrapped over several lines,
-become identifiers.  Ordered rules are matched against a document's sequence
+normalised.  Sentences that are known, also when wrapped over any number of
+lines, become identifiers.  Ordered rules are matched against a document's sequence
 of identifiers; what a rule matched is used up, so a long licence is not also
 reported as the shorter one it contains.
 """
@@ -14,7 +14,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-WRAP = 8                        # lines that one known sentence may be wrapped over
+WRAP = 8                        # segments that the SQL of oracle() tries for one sentence; scan() has no such limit
 
 # Sentences of public licences and of common references to them.
 SENTENCES = {
@@ -94,11 +94,20 @@ def sentence_ids(text: Column, sentences: dict[str, str] = SENTENCES) -> Column:
     parts = F.filter(F.transform(F.split(low, SENTENCE_END), lambda s: F.trim(F.regexp_replace(s, NOT_WORD, " "))),
                      lambda s: s != "")
 
+    # a segment has a word at least, so no sentence takes more than its words
+    most = max(len(s.split()) for s in known)
+    # shorter sentences first: of those that begin here, the first to end
+    patterns = [("^" + "[ \n]".join(s.split()) + "\n", k) for s, k in sorted(known.items(), key=lambda x: len(x[0].split()))]
+
+    def wrapped(lines: Column) -> Column:
+        return F.coalesce(*[F.when(lines.rlike(p), F.lit(k)) for p, k in patterns])
+
     def at(segments: Column, i: Column) -> Column:
         head = F.element_at(segments, i)
-        wrapped = [F.element_at(table, F.array_join(F.slice(segments, i, k), " ")) for k in range(2, WRAP + 1)]
+        # a line end after each segment; bound once, by a transform over one element
+        lines = F.array(F.concat(F.array_join(F.slice(segments, i, most), "\n"), F.lit("\n")))
         return F.when(F.array_contains(first_words, F.substring_index(head, " ", 1)),
-                      F.coalesce(F.element_at(table, head), *wrapped))
+                      F.coalesce(F.element_at(table, head), F.element_at(F.transform(lines, wrapped), 1)))
 
     def scan(segments: Column) -> Column:
         return F.filter(F.transform(F.sequence(F.lit(1), F.size(segments)), lambda i: at(segments, i)),
@@ -131,7 +140,8 @@ def scan(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", sente
 
 
 def oracle(sentences: dict[str, str] = SENTENCES, rules: list[tuple[str, list[str]]] = RULES) -> str:
-    """The same report as DuckDB SQL."""
+    """The same report as DuckDB SQL, for sentences of at most ``WRAP``
+    segments."""
     known = ", ".join(f"'{s}': '{k}'" for s, k in _known(sentences).items())
     tries = ", ".join(f"known[array_to_string(segs[i:i + {k}], ' ')]" for k in range(WRAP))
     steps, names = [], []

@@ -254,6 +254,17 @@ def test_licences_by_ordered_sentences(make):
     assert [r["sentences"] for r in out if r.doc_id == 3] == [["bsd-binary", "bsd-redistribution", "bsd-source"]]
 
 
+def test_licences_wrapped_over_any_number_of_lines(make):
+    s = license_scan.SENTENCES
+    rows = []
+    for key in ("mit-grant", "gpl-free", "bsd-binary", "apache-2-ref"):
+        for width in (55, 40, 30, 25, 1):
+            rows.append((len(rows), key, "x y\n# " + "\n#   ".join(textwrap.wrap(s[key], width, break_long_words=False)) + "\nz"))
+    rows += [(100, "", s["mit-grant"].replace("to deal in", "to\n\nnot deal in")), (101, "", s["mit-grant"][:-1] + " more")]
+    out = license_scan.scan(make("doc_id long, key string, text string", rows)).collect()
+    assert {r.doc_id: r["sentences"] for r in out} == {i: [k] if k else [] for i, k, _ in rows}
+
+
 def test_licences_empty_table(make):
     assert license_scan.scan(make("doc_id long, text string", [])).count() == 0
 
