@@ -6,10 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import public_tokenizers
-
 from ..session import scratch_path
-from . import byte_bpe, decontaminate, license_scan, ngram_join, repair_store, secret_scan, substring_dedup, toxicity, url_filter, vector_dedup
+from . import byte_bpe, decontaminate, license_scan, ngram_join, repair_store, secret_scan, substring_dedup, token_counts, toxicity, url_filter, vector_dedup
 
 
 def bounded_batches(spark: SparkSession) -> None:
@@ -23,6 +21,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     encoded = byte_bpe.encode(documents, ranks, public_tokenizers.PATTERN).drop("text")
@@ -30,6 +30,8 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_repair_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
     path = scratch_path(spark, "repair-store")
     repair_store.write(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"))
     return repair_store.read(spark, path).select("doc_id", "start", "n_tokens",
@@ -90,6 +92,12 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.array_join("licenses", ",").alias("licenses"))
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_counts.report(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES = {name: fn for name, fn in sorted(globals().items()) if name.startswith("op")}
 ORACLES: dict[str, str] = {
     # all pairs that share a shingle, by their true similarity
