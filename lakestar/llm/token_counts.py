@@ -126,7 +126,7 @@ def frequent_segments(documents: DataFrame, text: str = "text") -> list[str]:
     summaries = rows.mapInArrow(_summarise, _SUMMARY)
     while parts > 1:
         parts = -(-parts // FAN)
-        summaries = summaries.groupBy(F.pmod("part", F.lit(parts)).alias("part")).applyInArrow(_merge, _SUMMARY)
+        summaries = summaries.groupBy(F.pmod("part", F.lit(parts)).alias("to")).applyInArrow(_merge, _SUMMARY)
     found = summaries.select("segments").first()
     return found.segments if found else []
 
