@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import byte_bpe, decontaminate, license_scan, ngram_join, ranked_search, repair_store, secret_scan, substring_dedup, token_counts, toxicity, url_filter, vector_dedup
+from . import byte_bpe, decontaminate, license_scan, ngram_join, ranked_search, repair_store, secret_scan, substring_dedup, token_alignment, token_counts, toxicity, url_filter, vector_dedup
 
 
 def bounded_batches(spark: SparkSession) -> None:
@@ -102,6 +102,13 @@ def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_alignment.report(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                                  public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES = {name: fn for name, fn in sorted(globals().items()) if name.startswith("op")}
 ORACLES: dict[str, str] = {
     # all pairs that share a shingle, by their true similarity
