@@ -45,6 +45,13 @@ def load_model(path: str):
     return sentencepiece.SentencePieceProcessor(model_file=path)
 
 
+def piece_bytes(piece: str) -> bytes:
+    """The bytes that a piece stands for."""
+    if m := re.fullmatch("<0x([0-9A-F]{2})>", piece):
+        return bytes([int(m[1], 16)])
+    return piece.replace(SPACE, " ").encode()
+
+
 @lru_cache(maxsize=2)
 def divisible(path: str) -> bool:
     """Whether the model keeps texts as they are, and none of its pieces
@@ -52,9 +59,10 @@ def divisible(path: str) -> bool:
     model = load_model(path)
     pieces = [model.id_to_piece(i) for i in range(model.get_piece_size())]
     crossing = re.compile(f"[^{SPACE}]{SPACE}|.\n|\n.", re.DOTALL).search
-    probe = "ﬁ ①  Å　x   é"
-    kept = "".join(model.id_to_piece(i) for i in model.encode(probe)).replace(SPACE, " ")
-    return not any(map(crossing, pieces)) and kept == " " + probe
+    # characters that a normaliser would change
+    probe = "\ufb01 \u2460  \u212b\u3000x \u00a0 e\u0301"
+    kept = b"".join(piece_bytes(pieces[i]) for i in model.encode(probe))
+    return not any(map(crossing, pieces)) and kept == (" " + probe).encode()
 
 
 class Lengths(dict):

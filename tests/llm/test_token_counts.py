@@ -19,6 +19,7 @@ def texts(n=300):
 
 
 def test_counts_equal_the_library(make):
+    assert token_counts.divisible(MODEL)
     rows = [(i, t, 1) for i, t in enumerate(texts())] + [(None, "the cat", 2), (3, "\n", 3), (3, "\n", 3)]
     table = make("doc_id long, text string, n_tokens int", rows)           # a clashing column
     library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
