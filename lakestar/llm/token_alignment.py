@@ -35,10 +35,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import scratch_path
-from .textops import row_blocks, utf8
+from .textops import flat_ranges, row_blocks, utf8
+from .token_counts import piece_bytes
 
 BLOCK_BYTES = 1 << 20           # text that is aligned together
-PART_CHARS = 1 << 20            # of a longer text that are tokenised together, about
+CACHED_PARTS, CACHED_IDS = 300_000, 4_000_000       # that a worker remembers; beyond, it starts anew
 BROADCAST_PAIRS = 4_000_000     # pairs of ids with their counts: 64 MB
 
 
@@ -59,7 +60,7 @@ class Tokens:
         hidden = [b for b in range(256) if b not in shown]
         byte = {chr(b): b for b in shown} | {chr(0x100 + i): b for i, b in enumerate(hidden)}
         self.a_bytes = [self._a_bytes(i, byte) for i in range(self.a.get_vocab_size())]
-        self.b_bytes = [self._b_bytes(self.b.id_to_piece(i)) for i in range(self.b.get_piece_size())]
+        self.b_bytes = [piece_bytes(self.b.id_to_piece(i)) for i in range(self.b.get_piece_size())]
         self.a_length = np.array([len(x) for x in self.a_bytes], np.int64)
         self.b_length = np.array([len(x) for x in self.b_bytes], np.int64)
         # an id within a group, and at the end of its side of the group
@@ -70,45 +71,74 @@ class Tokens:
         token = self.a.id_to_token(i)
         return bytes(byte[c] for c in token) if all(c in byte for c in token) else token.encode()
 
-    @staticmethod
-    def _b_bytes(piece: str) -> bytes:
-        if m := re.fullmatch("<0x([0-9A-F]{2})>", piece):
-            return bytes([int(m[1], 16)])
-        return piece.replace("▁", " ").encode()
-
-    def encode(self, texts: list[str]) -> list[tuple[list[int], list[int]]]:
-        """Ids of A and of B of each text, none where the bytes of either are
-        not those of the text behind a space."""
-        parts = [_parts(t) for t in texts]
-        flat = list(chain.from_iterable(parts))
-        a = [e.ids for e in self.a.encode_batch_fast([" " + p for p in flat], add_special_tokens=False)]
-        b = self.b.encode(flat, num_threads=1)
-        out, first = [], 0
-        for text, own in zip(texts, parts):
-            last = first + len(own)
-            x, y = list(chain.from_iterable(a[first:last])), list(chain.from_iterable(b[first:last]))
-            raw, first = (" " + text).encode(), last
-            same = text and b"".join(map(self.a_bytes.__getitem__, x)) == raw == b"".join(map(self.b_bytes.__getitem__, y))
-            out.append((x, y) if same else ([], []))
+    def encode(self, parts: list[str]) -> list[tuple[list[int], list[int]]]:
+        """Ids of A and of B of each part of a text."""
+        a = self.a.encode_batch_fast([" " + p for p in parts], add_special_tokens=False)
+        return list(zip((e.ids for e in a), self.b.encode(parts, num_threads=1)))
+
+
+# neither kind of tokenizer joins a space to what stands before it, so a text's
+# tokens are those of its parts, each behind a space
+cut_parts = re.compile(r"(?<=\S) (?=\S)").split
+
+
+class Parts:
+    """Parts of texts that a worker has met, with their ids of A and of B."""
+
+    def __init__(self, tokens: Tokens):
+        self.tokens = tokens
+        self.clear()
+
+    def clear(self) -> None:
+        self.index: dict[str, int] = {}
+        self.same = np.zeros(0, bool)               # both sides give its bytes back
+        self.flat, self.start, self.count = ([np.zeros(0, np.int64)] * 2 for _ in range(3))
+
+    def _learn(self, new: list[str]) -> None:
+        tokens = self.tokens
+        self.index.update(zip(new, range(len(self.index), len(self.index) + len(new))))
+        encoded = tokens.encode(new)
+        same = [b"".join(map(tokens.a_bytes.__getitem__, a)) == b"".join(map(tokens.b_bytes.__getitem__, b)) == (" " + p).encode()
+                for p, (a, b) in zip(new, encoded)]
+        self.same = np.concatenate([self.same, np.array(same, bool)])
+        for side in (0, 1):
+            sizes = np.array([len(e[side]) for e in encoded], np.int64)
+            ids = np.fromiter(chain.from_iterable(e[side] for e in encoded), np.int64, int(sizes.sum()))
+            self.start[side] = np.concatenate([self.start[side], len(self.flat[side]) + np.cumsum(sizes) - sizes])
+            self.count[side] = np.concatenate([self.count[side], sizes])
+            self.flat[side] = np.concatenate([self.flat[side], ids])
+
+    def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For A and for B the ids of all texts, and how many each has: none
+        where the bytes of either side are not those of the text behind a
+        space."""
+        if len(self.index) > CACHED_PARTS or len(self.flat[1]) > CACHED_IDS:
+            self.clear()
+        parts: list[str] = []
+        ends = []
+        for text in texts:
+            if text:
+                parts += cut_parts(text)
+            ends.append(len(parts))
+        if new := [p for p in dict.fromkeys(parts) if p not in self.index]:
+            self._learn(new)
+        at = np.fromiter(map(self.index.__getitem__, parts), np.int64, len(parts))
+        cut = np.concatenate([[0], ends]).astype(np.int64)
+        wrong = np.concatenate([[0], np.cumsum(~self.same[at])])[cut]
+        lost = np.diff(wrong) > 0
+        at = at[~np.repeat(lost, np.diff(cut))]
+        held = np.concatenate([[0], np.cumsum(np.where(lost, 0, np.diff(cut)))])
+        out = []
+        for side in (0, 1):
+            sizes = self.count[side][at]
+            ids = self.flat[side][flat_ranges(self.start[side][at], sizes)]
+            out.append((ids, np.diff(np.concatenate([[0], np.cumsum(sizes)])[held])))
         return out
 
 
-_cut = re.compile(r"(?<=\S) (?=\S)").search
-
-
-def _parts(text: str, size: int = PART_CHARS) -> list[str]:
-    """Parts of a long text, each without the space before it: neither kind of
-    tokenizer joins a space to what stands before it."""
-    parts = []
-    while len(text) > size and (m := _cut(text, size)):
-        parts.append(text[:m.start()])
-        text = text[m.end():]
-    return [*parts, text]
-
-
 @lru_cache(maxsize=2)
-def load(a_path: str, b_path: str) -> Tokens:
-    return Tokens(a_path, b_path)
+def load(a_path: str, b_path: str) -> Parts:
+    return Parts(Tokens(a_path, b_path))
 
 
 def overlaps(a: pd.DataFrame, b: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -122,16 +152,13 @@ def overlaps(a: pd.DataFrame, b: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
             np.concatenate([starts_a["b"].to_numpy(), starts_b["b"].to_numpy()]).astype(np.int64))
 
 
-def align_block(tokens: Tokens, texts: list[str]) -> dict[str, list]:
+def align_block(known: Parts, texts: list[str]) -> dict[str, list]:
     """Per text: numbers of tokens, groups and links, the groups as a string,
     and its distinct linked pairs of ids (``a * ids of B + b``) with their
     numbers of links."""
-    encoded = tokens.encode(texts)
-    n_docs, wide = len(texts), len(tokens.b_bytes)
-    sides = []
-    for side, length in ((0, tokens.a_length), (1, tokens.b_length)):
-        sizes = np.array([len(e[side]) for e in encoded], np.int64)
-        ids = np.fromiter(chain.from_iterable(e[side] for e in encoded), np.int64, int(sizes.sum()))
+    tokens, n_docs, sides = known.tokens, len(texts), []
+    wide = len(tokens.b_bytes)
+    for (ids, sizes), length in zip(known.encode(texts), (tokens.a_length, tokens.b_length)):
         end = np.cumsum(length[ids])                # both sides have the same bytes, document by document
         sides.append((ids, sizes, np.repeat(np.arange(n_docs), sizes), end - length[ids], end))
     (a, n_a, a_doc, a_at, a_end), (b, n_b, b_doc, b_at, b_end) = sides
@@ -163,12 +190,12 @@ _LONGS = ("n_a", "n_b", "n_groups", "n_links")
 
 def _aligner(a_path: str, b_path: str, with_groups: bool):
     def run(batches):
-        tokens, row = load(a_path, b_path), TaskContext.get().partitionId() << 40
+        known, row = load(a_path, b_path), TaskContext.get().partitionId() << 40
         for batch in batches:
             _, offsets = utf8(batch.column(1))
             for first, last in row_blocks(offsets, BLOCK_BYTES):
                 n = last - first
-                found = align_block(tokens, [t or "" for t in batch.column(1).slice(first, n).to_pylist()])
+                found = align_block(known, [t or "" for t in batch.column(1).slice(first, n).to_pylist()])
                 cut = pa.array(found["cut"], pa.int32())
                 digests = [sha256(g.encode()).hexdigest() if g else "" for g in found["groups"]]
                 columns = [batch.column(0).slice(first, n), *(pa.array(found[c], pa.int64()) for c in _LONGS),
@@ -191,7 +218,7 @@ def align(documents: DataFrame, a_path: str, b_path: str, doc_id: str = "doc_id"
     Null and empty texts, and texts that either side does not give back byte
     by byte behind one space, have no tokens: zeros and empty strings.
     Repeated rows are aligned each, whatever their id; texts of any length are
-    tokenised in parts.  Other columns are not read.  An empty table gives an
+    tokenised in parts, a part that was met before is not tokenised again.  Other columns are not read.  An empty table gives an
     empty one.
     """
     rows = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
@@ -232,7 +259,7 @@ def report(documents: DataFrame, a_path: str, b_path: str, doc_id: str = "doc_id
     align(documents, a_path, b_path, doc_id, text, with_groups=False).drop("groups") \
         .write.option("compression", "zstd").parquet(path + "/documents")
     aligned = spark.read.parquet(path + "/documents")
-    pair_counts(aligned, len(load(a_path, b_path).b_bytes)).write.parquet(path + "/pairs")
+    pair_counts(aligned, len(load(a_path, b_path).tokens.b_bytes)).write.parquet(path + "/pairs")
     counted = spark.read.parquet(path + "/pairs")
     if counted.count() <= broadcast_pairs:
         table = counted.toArrow()

@@ -94,14 +94,13 @@ def test_empty_table_and_texts_without_tokens(make):
     assert [tuple(r)[1:] for r in got] == [(0, 0, 0, 0, 0, 0, "")] * 2
 
 
-def test_long_texts_are_tokenised_in_parts(monkeypatch):
-    tokens = token_alignment.load(A, B)
-    for text in [t for t in texts() if t] + ["the cat sat  on \n the mat " * 50]:
-        whole = tokens.encode([text])
-        with monkeypatch.context() as m:
-            m.setattr(token_alignment._parts, "__defaults__", (5,))
-            assert tokens.encode([text]) == whole
-            assert " ".join(token_alignment._parts(text)) == text
+def test_parts_give_the_tokens_of_whole_texts():
+    known = token_alignment.load(A, B)
+    some = [t for t in texts() if t] + ["the cat sat  on \n the mat " * 50]
+    (a, n_a), (b, n_b) = known.encode(some)
+    want = [spans(t) for t in some]
+    assert n_a.tolist() == [len(x) for x, _ in want] and n_b.tolist() == [len(y) for _, y in want]
+    assert a.tolist() == [i for x, _ in want for i, *_ in x] and b.tolist() == [i for _, y in want for i, *_ in y]
 
 
 def test_overlaps_equal_brute_force():
