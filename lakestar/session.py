@@ -3,6 +3,7 @@ scratch folder (``spark.checkpoint.dir``) that every job writes to."""
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -26,6 +27,18 @@ BASE_CONF = {
 }
 
 
+def package_on_workers(spark: SparkSession | None = None) -> None:
+    """Python workers find this package wherever the driver was started from:
+    before a session, through the environment that its workers inherit; in a
+    session made elsewhere, through the environment its tasks are given.  A
+    cluster without a shared file system gets the package with ``--py-files``."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    environment = os.environ if spark is None else spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
                   app_name: str = "lakestar", extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.master(master).appName(app_name)
@@ -35,7 +48,9 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
+    package_on_workers()
     spark = builder.getOrCreate()
+    package_on_workers(spark)
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
