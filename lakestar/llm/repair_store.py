@@ -5,8 +5,10 @@ shards of some megabytes of text.  Within a shard, batch Re-Pair replaces
 frequent pairs of ids by nonterminals: each round counts all adjacent pairs
 of the whole shard, takes those within half of the most frequent count, and
 replaces their occurrences from left to right, until the best pair no longer
-pays.  No pair begins with the end id, so no rule crosses a document and each
-document is a slice of symbols that is decoded alone.
+pays.  While it works, each document ends with a mark that no pair may hold on
+either side, so no rule crosses a document, whatever ids its text has.  The
+marks are not stored: a document is a slice of symbols that is decoded alone,
+and its end id is put behind it when it is read.
 
 File format: a Parquet table with one row per shard, in ascending order of
 doc_id (nulls first):
@@ -23,6 +25,7 @@ rule_left, rule_right symbols that rule r stands for; its symbol is
                       first_rule + r, and it refers to earlier rules only
 rule_length           ids that rule r expands to (for random access)
 first_rule            smallest nonterminal (one above the largest id)
+end_id                id behind every document
 width                 bytes per symbol, 2 or 4
 symbols               little-endian symbols
 ====================  ======================================================
@@ -49,9 +52,11 @@ CACHED_WORDS = 600_000
 MIN_SHARE = 1 / 4096          # a pair pays if it is this share of the symbols ...
 MIN_COUNT = 8                   # ... and occurs so often at least
 
+_MARK = np.uint32(0xFFFFFFFF)   # ends a document in compress
+
 SCHEMA = ("part int, shard int, first_doc long, start long, n_ids long, doc_ids array<long>, doc_starts array<long>, "
           "doc_symbols array<long>, rule_left array<int>, rule_right array<int>, rule_length array<long>, "
-          "first_rule int, width int, symbols binary")
+          "first_rule int, end_id int, width int, symbols binary")
 
 
 class _Ids:
@@ -148,8 +153,8 @@ class WordEncoder:
             return compile_pattern(r"[^\s]+").findall(text)
         return text.split()
 
-    def encode(self, texts: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts, each followed by ``end_id``; ids of each."""
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts; ids of each."""
         if len(self.words_seen.index) > CACHED_WORDS:
             self.clear()
         seen = self.words_seen
@@ -164,19 +169,20 @@ class WordEncoder:
             self._learn(new)
         ids, sizes = seen.take(seen.at(words))
         before = np.concatenate([[0], np.cumsum(sizes)])[ends]
-        out = np.full(len(ids) + len(texts), end_id, np.uint32)
-        keep = np.ones(len(out), bool)
-        keep[before + np.arange(len(texts))] = False
-        out[keep] = ids
-        return out, np.diff(np.concatenate([[0], before])) + 1
-
-
-def compress(ids: np.ndarray, end_id: int, min_count: int = MIN_COUNT, min_share: float = MIN_SHARE
-             ) -> tuple[np.ndarray, list[tuple[int, int]], int]:
-    """Batch Re-Pair: symbols, rules as pairs of symbols, and the symbol of
-    the first rule."""
-    first = max(int(ids.max()) if len(ids) else 0, end_id) + 1
-    seq, rules = ids.astype(np.uint32), []      # a copy
+        return ids, np.diff(np.concatenate([[0], before]))
+
+
+def compress(ids: np.ndarray, sizes: np.ndarray, min_count: int = MIN_COUNT, min_share: float = MIN_SHARE
+             ) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int]], int]:
+    """Batch Re-Pair over documents of ``sizes`` ids: symbols, how many each
+    document has, rules as pairs of symbols, and the symbol of the first
+    rule."""
+    first = int(ids.max()) + 1 if len(ids) else 1
+    seq = np.full(len(ids) + len(sizes), _MARK, np.uint32)
+    inner = np.ones(len(seq), bool)
+    inner[np.cumsum(sizes + 1) - 1] = False
+    seq[inner] = ids
+    rules: list[tuple[int, int]] = []
     slots = 1 << 20
     while len(seq) > 1:
         need = max(min_count, int(len(seq) * min_share))
@@ -187,7 +193,7 @@ def compress(ids: np.ndarray, end_id: int, min_count: int = MIN_COUNT, min_share
         number = np.full(slots, -1, np.int32)
         number[often] = np.arange(len(often))
         which = number[slot]
-        at = np.flatnonzero((which >= 0) & (left != end_id))
+        at = np.flatnonzero((which >= 0) & (left != _MARK) & (right != _MARK))
         if not len(at):
             break
         # of the pairs that share a slot, the first one is counted in this round
@@ -215,7 +221,8 @@ def compress(ids: np.ndarray, end_id: int, min_count: int = MIN_COUNT, min_share
         gone[at + 1] = False
         seq = seq[gone]
         rules += [(int(p >> np.uint64(32)), int(p & np.uint64(0xFFFFFFFF))) for p in of_slot[chosen]]
-    return seq, rules, first
+    ends = np.flatnonzero(seq == _MARK)
+    return seq[seq != _MARK], np.diff(np.concatenate([[-1], ends])) - 1, rules, first
 
 
 def expand(symbols: np.ndarray, left, right, first_rule: int) -> tuple[np.ndarray, np.ndarray]:
@@ -243,24 +250,20 @@ def _writer(path: str, end_id: int):
 
         def flush(held):
             nonlocal shard, before
-            ids, sizes = encoder.encode([t for _, t in held], end_id)
-            symbols, rules, first = compress(ids, end_id)
-            # a document ends with the only symbol that is its end id
-            doc_symbols = np.concatenate([[0], np.flatnonzero(symbols == end_id) + 1]) if len(held) else np.zeros(1)
-            if len(doc_symbols) != len(held) + 1:       # the text itself holds the end id
-                symbols, rules, first = ids, [], int(ids.max()) + 1
-                doc_symbols = np.concatenate([[0], np.cumsum(sizes)])
+            ids, sizes = encoder.encode([t for _, t in held])
+            symbols, own, rules, first = compress(ids, sizes)
+            with_end = sizes + 1
             length: list[int] = []
             for a, b in rules:
                 length.append(sum(1 if x < first else length[x - first] for x in (a, b)))
             width = 2 if first + len(rules) <= 1 << 16 else 4
-            row = {"part": part, "shard": shard, "first_doc": held[0][0], "start": before, "n_ids": len(ids),
-                   "doc_ids": [d for d, _ in held], "doc_starts": np.cumsum(sizes) - sizes,
-                   "doc_symbols": doc_symbols, "rule_left": [a for a, _ in rules],
+            row = {"part": part, "shard": shard, "first_doc": held[0][0], "start": before, "n_ids": int(with_end.sum()),
+                   "doc_ids": [d for d, _ in held], "doc_starts": np.cumsum(with_end) - with_end,
+                   "doc_symbols": np.concatenate([[0], np.cumsum(own)]), "rule_left": [a for a, _ in rules],
                    "rule_right": [b for _, b in rules], "rule_length": length, "first_rule": first,
-                   "width": width, "symbols": symbols.astype(f"<u{width}").tobytes()}
+                   "end_id": end_id, "width": width, "symbols": symbols.astype(f"<u{width}").tobytes()}
             shard += 1
-            before += len(ids)
+            before += row["n_ids"]
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row.values(), schema.types)],
                                               schema=schema)
 
@@ -268,7 +271,7 @@ def _writer(path: str, end_id: int):
                             ("start", pa.int64()), ("n_ids", pa.int64()), ("doc_ids", pa.list_(pa.int64())),
                             ("doc_starts", pa.list_(pa.int64())), ("doc_symbols", pa.list_(pa.int64())),
                             ("rule_left", pa.list_(pa.int32())), ("rule_right", pa.list_(pa.int32())),
-                            ("rule_length", pa.list_(pa.int64())), ("first_rule", pa.int32()),
+                            ("rule_length", pa.list_(pa.int64())), ("first_rule", pa.int32()), ("end_id", pa.int32()),
                             ("width", pa.int32()), ("symbols", pa.binary())])
         held: list[tuple[int | None, str]] = []
         size = 0
@@ -319,14 +322,19 @@ def _reader(wanted: set[int] | None):
                 # only the symbols of the wanted documents are expanded
                 ids, lengths = expand(symbols[flat_ranges(bounds[docs], sizes)].astype(np.int64), row["rule_left"],
                                       row["rule_right"], row["first_rule"])
-                cut = np.concatenate([[0], np.cumsum(lengths)])[np.concatenate([[0], np.cumsum(sizes)])]
+                bare = np.concatenate([[0], np.cumsum(lengths)])[np.concatenate([[0], np.cumsum(sizes)])]
+                cut = bare + np.arange(len(bare))
+                out = np.full(int(cut[-1]), row["end_id"], "<u4")
+                inner = np.ones(len(out), bool)
+                inner[cut[1:] - 1] = False
+                out[inner] = ids
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([row["doc_ids"][i] for i in docs.tolist()], pa.int64()),
                      pa.array(np.array(row["doc_starts"])[docs] + row["start"], pa.int64()),
                      pa.array(np.diff(cut), pa.int64()),
                      pa.Array.from_buffers(pa.binary(), len(docs), [
                          None, pa.py_buffer((4 * cut).astype(np.int32).tobytes()),
-                         pa.py_buffer(ids.astype("<u4").tobytes())])], schema=schema)
+                         pa.py_buffer(out.tobytes())])], schema=schema)
     return decode
 
 

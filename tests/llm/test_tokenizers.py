@@ -95,12 +95,36 @@ def test_store_empty_table(spark, make):
 
 def test_grammar_replaces_frequent_pairs_and_expands():
     rng = np.random.default_rng(3)
-    ids = np.concatenate([np.tile([5, 6, 7, 8], 400), rng.integers(2, 50, 2000), np.full(301, 9)]).astype(np.uint32)
-    symbols, rules, first = repair_store.compress(ids, 1, min_count=4, min_share=0)
-    assert len(symbols) < len(ids) / 2 and rules
+    ids = np.concatenate([np.tile([5, 6, 7, 8], 400), rng.integers(1, 50, 2000), np.full(301, 9)]).astype(np.uint32)
+    sizes = np.array([0, 1601, 0, 1999, 300, 1])
+    symbols, own, rules, first = repair_store.compress(ids, sizes, min_count=4, min_share=0)
+    assert len(symbols) < len(ids) / 2 and rules and own.sum() == len(symbols) and len(own) == len(sizes)
     back, lengths = repair_store.expand(symbols.astype(np.int64), [a for a, _ in rules], [b for _, b in rules], first)
     assert (back == ids).all() and lengths.sum() == len(ids)
-    assert 1 not in {s for r in rules for s in r[:1]}
+    # every document is whole symbols of its own
+    ends = np.concatenate([[0], np.cumsum(lengths)])[np.cumsum(own)]
+    assert ends.tolist() == np.cumsum(sizes).tolist()
+    nothing = repair_store.compress(np.zeros(0, np.uint32), np.array([0, 0]))
+    assert len(nothing[0]) == 0 and nothing[1].tolist() == [0, 0] and nothing[2] == []
+
+
+def test_written_shards_hold_a_grammar(spark, make):
+    # the texts hold the end id as a token of their own, and pairs before every end
+    rng = random.Random(4)
+    words = ["the", "cat", '"', "sat on", "a mat", "again%", "!"]
+    rows = [(i, " ".join(rng.choice(words) for _ in range(rng.randrange(60))) + ' "% the end') for i in range(600)] + [(900, None)]
+    path = scratch_path(spark, "test-store")
+    repair_store.write(make("doc_id long, text string", rows), path, WORDS)
+    lib = Tokenizer.from_file(WORDS)
+    want = {d: lib.encode(t or "", add_special_tokens=False).ids + [1] for d, t in rows}
+    assert any(1 in ids[:-1] for ids in want.values())
+    shards = spark.read.schema(repair_store.SCHEMA).parquet(path).collect()
+    for s in shards:
+        assert len(s.rule_left) > 10 and len(s.symbols) // s.width < 0.6 * s.n_ids
+        assert s.n_ids == sum(len(want[d]) for d in s.doc_ids)
+    assert {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in repair_store.read(spark, path).collect()} == want
+    some = {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in repair_store.read(spark, path, [5, 900]).collect()}
+    assert some == {d: want[d] for d in (5, 900)}
 
 
 def test_store_query_digest(spark, make):
