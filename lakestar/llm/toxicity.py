@@ -5,10 +5,11 @@ words that 1, 2 or 4 of its distinct words share (inflected and compound
 forms of a stem), hashed to ``HASH_BITS`` bits.  The machine adds to the
 linear weight of each term the product of the factors of each pair of terms,
 so a pair can weigh more than its members; the pair sum is divided by the
-number of terms, which keeps long documents comparable.  It is fitted in one
-task on a bounded sample of labelled rows (``max_rows``) and keeps only terms
-with a weight.  Terms and scores of all documents are computed where their
-text is read: nothing is shuffled.
+number of known terms, which keeps long documents comparable.  It is fitted in
+one task on a bounded sample of labelled rows (``max_rows``): terms are chosen
+by a sparse linear model, then the weights and factors of ``pair_terms`` of
+them are trained together.  Terms and scores of all documents are computed
+where their text is read: nothing is shuffled.
 """
 
 from __future__ import annotations
@@ -114,16 +115,20 @@ def _loss(logit: np.ndarray, label: np.ndarray) -> float:
 
 
 def fit(terms: np.ndarray, cuts: np.ndarray, label: np.ndarray, factors: int = 4, rounds: int = 120,
-        epochs: int = 6, batch: int = 256, rate: float = 0.05, evidence: float = 3.5, min_rows: int = 4,
-        seed: int = 7) -> Machine:
-    """Logistic loss.  First the linear weights, by proximal AdaGrad: a term's
+        epochs: int = 120, rate: float = 0.05, decay: float = 3e-4, evidence: float = 3.5, min_rows: int = 4,
+        pair_rows: int = 20, pair_terms: int = 256, seed: int = 7) -> Machine:
+    """Logistic loss.  First linear weights, by proximal AdaGrad: a term's
     weight leaves zero only if its rows' errors sum to ``evidence`` standard
     deviations of chance, so labels without a reason are not memorised by the
     rare words of their text; half of the rounds choose the terms, the others
-    set their weights with a tenth of that penalty.  Then the factors, by AdaGrad over mini-batches,
-    keeping the epoch (or no factors) with the least loss on a tenth of the
-    rows.  Terms of fewer than ``min_rows`` rows are left out.  Without rows
-    every score is 0."""
+    set their weights with a tenth of that penalty.
+
+    Then factors: the chosen terms and, up to ``pair_terms``, those of at least
+    ``pair_rows`` rows that tell the labels apart best by themselves take part.
+    Their weights and factors are trained together by Adam on nine tenths of
+    the rows with weight decay, and the epoch with the least loss on the other
+    tenth stays.  Terms of fewer than ``min_rows`` rows are left out.  Without
+    rows every score is 0."""
     rows = _distinct_rows(terms, cuts, label)
     sizes = cuts[rows + 1] - cuts[rows]
     if len(rows) < len(label):
@@ -144,7 +149,6 @@ def fit(terms: np.ndarray, cuts: np.ndarray, label: np.ndarray, factors: int = 4
     of = np.concatenate(parts) if parts else np.zeros(0, np.int32)
     del parts, terms
     of, row = of[of >= 0], row[of >= 0]
-    first = np.searchsorted(row, np.arange(n + 1))
 
     count = np.bincount(of, minlength=d)
     penalty = evidence * np.sqrt(count * share * (1 - share))
@@ -163,34 +167,52 @@ def fit(terms: np.ndarray, cuts: np.ndarray, label: np.ndarray, factors: int = 4
         seen_bias += error.sum() ** 2
         bias -= 0.5 * float(error.sum()) / seen_bias ** 0.5
 
-    rng = np.random.default_rng(seed)
-    linear = bias + _row_sum(weight[of], row, n)
+    error = share - label
+    z = np.abs(np.bincount(of, weights=error[row], minlength=d)) / np.sqrt(np.maximum(count, 1) * share * (1 - share))
+    able = np.flatnonzero((weight != 0) | (count >= pair_rows))
+    able = able[np.lexsort((-z[able], weight[able] == 0))]
+    used = np.sort(able[:max(pair_terms, int((weight != 0).sum()))])
+    if not len(used):
+        return Machine(bias, kept[:0], weight[:0], factor[:0])
+    place = np.full(d, -1, np.int32)
+    place[used] = np.arange(len(used), dtype=np.int32)
+    some = place[of] >= 0
+    held = np.zeros((n, len(used)), np.float32)         # rows x terms: 8 MB by default
+    held[row[some], place[of[some]]] = 1
+    del of, row, some
     test = np.arange(n) % 10 == 0
-    of_test, row_test = of[test[row]], (np.cumsum(test) - 1)[row[test[row]]]
-    trial = rng.normal(0, 0.01, (d, factors))
-    seen_factor = np.full((d, factors), 1e-6)
-    best = _loss(linear[test], label[test])
-    train_rows = np.flatnonzero(~test)
-    for _ in range(epochs):
-        order = rng.permutation(train_rows)
-        for k in range(0, len(order), batch):
-            chosen = order[k:k + batch]
-            length = first[chosen + 1] - first[chosen]
-            s = of[flat_ranges(first[chosen], length)]
-            r = np.repeat(np.arange(len(chosen)), length)
-            pairs, v, total, size = _forward(0.0, np.zeros(d), trial, s, r, len(chosen))
-            scale = ((_sigmoid(linear[chosen] + pairs) - label[chosen]) / size)[r]
-            touched, at = np.unique(s, return_inverse=True)
-            slope = np.stack([np.bincount(at, weights=scale * (total[r, f] - v[:, f]), minlength=len(touched))
-                              for f in range(factors)], axis=1) + 1e-2 * trial[touched]
-            seen_factor[touched] += slope ** 2
-            trial[touched] -= rate * slope / np.sqrt(seen_factor[touched])
-        pairs, *_ = _forward(0.0, np.zeros(d), trial, of_test, row_test, int(test.sum()))
-        loss = _loss(linear[test] + pairs, label[test])
+    state = _train_pairs(held[~test], label[~test], held[test], label[test], bias, weight[used], factors, epochs, rate,
+                         decay, np.random.default_rng(seed))
+    return Machine(float(state[0][0]), kept[used], state[1], state[2])
+
+
+def _dense(held: np.ndarray, size: np.ndarray, bias, weight, factor) -> tuple[np.ndarray, np.ndarray]:
+    """Logits of rows of ones and zeros, and the sum of each row's factors."""
+    total = held @ factor.astype(np.float32)
+    squares = held @ (factor * factor).sum(axis=1).astype(np.float32)
+    return bias[0] + held @ weight.astype(np.float32) + ((total * total).sum(axis=1) - squares) / (2 * size), total
+
+
+def _train_pairs(held, label, held_test, label_test, bias, weight, factors, epochs, rate, decay, rng) -> list[np.ndarray]:
+    """Bias, weights and factors together, by Adam over all rows."""
+    size, size_test = (np.maximum(x.sum(axis=1), 1) for x in (held, held_test))
+    state = [np.array([bias]), weight.copy(), rng.normal(0, 0.1, (len(weight), factors))]
+    mean, square = ([np.zeros_like(x) for x in state] for _ in range(2))
+    best, kept = np.inf, [x.copy() for x in state]
+    for epoch in range(1, epochs + 1):
+        logit, total = _dense(held, size, *state)
+        error = (_sigmoid(logit) - label) / len(label)
+        scaled = (error / size).astype(np.float32)
+        slopes = [np.array([error.sum()]), held.T @ error.astype(np.float32) + decay * (state[1] - weight),
+                  held.T @ (scaled[:, None] * total) - (held.T @ scaled)[:, None] * state[2] + decay * state[2]]
+        for x, slope, m, q in zip(state, slopes, mean, square):
+            m += 0.1 * (slope - m)
+            q += 0.001 * (slope * slope - q)
+            x -= rate * (m / (1 - 0.9 ** epoch)) / (np.sqrt(q / (1 - 0.999 ** epoch)) + 1e-8)
+        loss = _loss(_dense(held_test, size_test, *state)[0], label_test)
         if loss < best:
-            best, factor = loss, trial.copy()
-    used = (weight != 0) | (factor != 0).any(axis=1)
-    return Machine(bias, kept[used], weight[used], factor[used])
+            best, kept = loss, [x.copy() for x in state]
+    return kept
 
 
 def _featurise(batches):

@@ -3,6 +3,7 @@ import random
 import re
 import textwrap
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -127,10 +128,25 @@ def test_toxicity_learns_pairs_that_no_single_term_shows(make):
         docs.append((i, " ".join(w) + f" u{i}"))
         labels.append((i, int(a == b)))                   # only the combination tells
     df = make("doc_id long, text string", docs)
-    machine = toxicity.train(df, make("doc_id long, toxic int", labels), epochs=60, rate=0.3)
+    machine = toxicity.train(df, make("doc_id long, toxic int", labels))               # the query's settings
     label = dict(labels)
     out = toxicity.score(df, machine).collect()
     assert sum((r.score >= 0.5) == bool(label[r.doc_id]) for r in out) / len(out) > 0.9
+    linear = toxicity.Machine(machine.bias, machine.term, machine.weight, machine.factor * 0)
+    out = toxicity.score(df, linear).collect()
+    assert sum((r.score >= 0.5) == bool(label[r.doc_id]) for r in out) / len(out) < 0.8
+
+
+def test_scores_are_the_formula_of_the_machine():
+    rng = np.random.default_rng(8)
+    machine = toxicity.Machine(-0.3, np.sort(rng.choice(60, 25, replace=False)), rng.normal(size=25), rng.normal(size=(25, 3)))
+    rows = [np.sort(rng.choice(60, k, replace=False)) for k in (0, 1, 2, 7, 30)]
+    cuts = np.concatenate([[0], np.cumsum([len(r) for r in rows])])
+    for row, got in zip(rows, machine.scores(np.concatenate(rows), cuts)):
+        known = [i for i, t in enumerate(machine.term) if t in row]
+        pairs = sum(machine.factor[i] @ machine.factor[j] for i in known for j in known if i < j)
+        logit = machine.bias + sum(machine.weight[i] for i in known) + pairs / max(len(known), 1)
+        assert abs(got - 1 / (1 + np.exp(-logit))) < 1e-9
 
 
 def test_toxicity_without_labels(make):
