@@ -17,15 +17,16 @@ def components(edges: DataFrame) -> DataFrame:
 
     Alternating large and small stars: every round links the neighbours of a
     node to the smallest of them, so the number of rounds grows with the
-    logarithm of the nodes.  A hub is a skewed join key, which AQE splits; all
-    groups are minima with partial aggregation.
+    logarithm of the nodes.  All groups are minima with partial aggregation.
+    The minima are checkpointed before they are joined, so that side is a plain
+    shuffle and AQE splits a hub, which is a skewed join key.
     """
     e = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct() \
         .checkpoint()
     last = None
     while True:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")).checkpoint()
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))

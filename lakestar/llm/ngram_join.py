@@ -111,7 +111,8 @@ def candidate_edges(classes: DataFrame, runs: int = RUNS, levels: int = LEVELS)
                 F.xxhash64("w.run", F.element_at("w.tokens", 1)).alias("path"))
     edges, groups = None, None
     for level in range(1, levels + 1):
-        sizes = walks.groupBy("path").count().where("count > 1")
+        # checkpointed: a plain side of the join, so a hot path is split
+        sizes = walks.groupBy("path").count().where("count > 1").checkpoint()
         met = walks.join(sizes, "path")
         small = met.where(F.col("count") <= BUCKET).groupBy("path") \
             .agg(F.array_sort(F.collect_list("node")).alias("nodes")).select("nodes")

@@ -337,9 +337,13 @@ def changed_texts(documents: DataFrame, length: int = 400, doc_id: str = "doc_id
         *_TEXT, "n_bytes", F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("n_bytes").alias("end")))
         .alias("spans"), F.lit(b"").alias("kept"))
 
-    found = rows.select(*_TEXT, "text").mapInArrow(_anchor_rows(length), "k1 long, k2 long, pos long, h long")
+    path = scratch_path(spark, "repeat-anchors")
+    rows.select(*_TEXT, "text").mapInArrow(_anchor_rows(length), "k1 long, k2 long, pos long, h long") \
+        .write.option("compression", "zstd").parquet(path)
+    found = spark.read.parquet(path)
     place = F.xxhash64("k1", "k2", "pos")       # copies of a text have the same places
-    again = found.groupBy("h").agg(F.min(place).alias("a"), F.max(place).alias("b")).where("a <> b").select("h")
+    again = found.groupBy("h").agg(F.min(place).alias("a"), F.max(place).alias("b")).where("a <> b").select("h") \
+        .checkpoint()               # a plain side of the join, so a hot hash is split
     places = found.join(again, "h", "left_semi").groupBy(*_TEXT) \
         .agg(F.collect_set(F.struct("pos", "h")).alias("positions")).join(classes.drop("n_bytes"), list(_TEXT))
     # one row of each text; its smallest id is null if all of them are
@@ -400,8 +404,9 @@ def remove_repeats(documents: DataFrame, length: int = 400, doc_id: str = "doc_i
 
 
 def digests(documents: DataFrame, length: int = 400, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``remove_repeats`` as counts and hashes; unchanged texts are hashed
-    where they are read and are not shuffled."""
+    """``remove_repeats`` as counts and hashes, with the bytes kept and
+    whether anything was removed; unchanged texts are hashed where they are
+    read and are not shuffled."""
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda acc, s: acc + s["end"] - s["start"])
     changed = changed_texts(documents, length, doc_id, text).select(
         *_TEXT, removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
@@ -412,4 +417,6 @@ def digests(documents: DataFrame, length: int = 400, doc_id: str = "doc_id", tex
     return rows.join(changed, list(_TEXT), "left").select(
         "doc_id", "n_bytes", F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"),
         F.coalesce("n_spans", F.lit(0).cast("long")).alias("n_spans"),
-        F.coalesce("kept", "sha").alias("kept_sha256"))
+        F.coalesce("kept", "sha").alias("kept_sha256"),
+        (F.col("n_bytes") - F.coalesce("n_removed", F.lit(0))).alias("n_kept"),
+        F.col("n_removed").isNotNull().alias("has_repeat"))
