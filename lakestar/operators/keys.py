@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,12 +10,14 @@ from pyspark.sql import functions as F
 from .ordered import global_number
 
 
-def dense_keys(df: DataFrame, order_by: Sequence, key_col: str, start: int = 1) -> DataFrame:
+def dense_keys(df: DataFrame, order_by: Sequence, key_col: str,
+               start: int | Callable[[int], int] = 1) -> DataFrame:
     """K1: ``key_col = start - 1 + row_number() OVER (ORDER BY order_by)``
     as BIGINT, equal to the global row number but computed with range
     buckets (see :mod:`lakestar.operators.ordered`).  ``order_by`` must be a
     total order (a unique natural key) so that keys are stable across task
-    retries and runs."""
+    retries and runs.  ``start`` may be a function that is told the number of
+    rows and gives the first key (a reservation)."""
     return global_number(df, order_by, key_col, start=start)
 
 

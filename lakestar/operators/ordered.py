@@ -15,7 +15,7 @@ one partition: callers number by a total order (a unique natural key).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
@@ -56,10 +56,12 @@ def range_buckets(df: DataFrame, order: Order) -> DataFrame:
                                POSITION: F.col(POSITION).bitwiseAND((1 << 33) - 1)})
 
 
-def _row_numbers(df: DataFrame, order: Order, out_col: str, start: int) -> DataFrame:
+def _row_numbers(df: DataFrame, order: Order, out_col: str, start: int | Callable[[int], int]) -> DataFrame:
     rows = range_buckets(df, order)
     # one row per shuffle partition reaches the driver
     counts = sorted(tuple(r) for r in rows.groupBy(BUCKET).count().collect())
+    if callable(start):             # told the number of rows
+        start = start(sum(n for _, n in counts))
     before = accumulate((n for _, n in counts), initial=start)
     offsets = df.sparkSession.createDataFrame([(b, o) for (b, _), o in zip(counts, before)],
                                               f"{BUCKET} int, {OFFSET} long")
@@ -76,7 +78,7 @@ def bucket_offsets(rows: DataFrame, partition_cols: Sequence[str], weight_col: s
     return counts.withColumn(OFFSET, F.coalesce(F.sum("_n").over(w), F.lit(0)).cast("bigint")).drop("_n")
 
 
-def global_number(df: DataFrame, order_by, out_col: str, start: int = 1,
+def global_number(df: DataFrame, order_by, out_col: str, start: int | Callable[[int], int] = 1,
                   partition_cols: Sequence[str] = (), method: str = "row_number",
                   weight_col: str | None = None) -> DataFrame:
     """``start - 1 + row_number()/rank() OVER (PARTITION BY partition_cols

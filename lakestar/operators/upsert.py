@@ -16,7 +16,7 @@ same plan becomes sort-merge joins.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -84,12 +84,13 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
 
 
 def upsert_with_key(target: DataFrame, source: DataFrame, keys: Sequence[str], key_col: str,
-                    validate: bool = True, start: int | None = None,
+                    validate: bool = True, start: int | Callable[[int], int] | None = None,
                     delete_keys: DataFrame | None = None) -> DataFrame:
     """M4: upsert that preserves surrogate keys.  Matched rows keep their
     key, new natural keys get ``max(key) + 1, ...`` in natural-key order
     (``start`` overrides the first new key, e.g. when ``target`` is only
-    the touched part of a bucketed table)."""
+    the touched part of a table; as a function it is told how many are new and
+    reserves them)."""
     keys = list(keys)
     cols = target.columns
     data_cols = [c for c in cols if c != key_col]

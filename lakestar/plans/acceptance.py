@@ -15,7 +15,7 @@ from ..operators import (DistinctEquals, ExpectationError, InSetOf, LengthBetwee
                          incident_counts, latest_per_key, season_totals, standings, top_k,
                          upsert, upsert_with_key)
 from ..session import scratch_path
-from ..sources import (ensure_table, flatten_json, full_refresh, incremental_extract, load_or_upsert, pack_json, read,
+from ..sources import (TableStore, ensure_table, flatten_json, full_refresh, incremental_extract, load_or_upsert, pack_json, read,
                        register, save, scan, sql_with_registry)
 from ..sources.extract import sync_incremental
 from . import racing
@@ -484,6 +484,53 @@ def q_incremental_ties(spark, sf_dir):
     return read(spark, name).select("event_id", "ts")
 
 
+def q_incremental_late_commit(spark, sf_dir):
+    """A second sync re-reads two weeks below its cursor: every tenth event was
+    committed late, below the cursor, and arrives once, as do all others; a
+    sync that died before it stored its cursor, and a third one, add nothing."""
+    name = _fresh_table(spark, "events_late")
+    events = _t(spark, sf_dir, "events").select("event_id", "ts", "user_id")
+    cut = F.lit("2024-01-15 00:00:00").cast("timestamp_ntz")
+    late = F.pmod(F.xxhash64("event_id"), F.lit(10)) == 0
+    near = F.col("ts") >= cut - F.expr("interval 10 days")
+    sync_incremental(spark, events.where((F.col("ts") < cut) & ~(late & near)), name, "ts")
+    day = events.where((F.col("ts") >= cut) & (F.col("ts") < cut + F.expr("interval 1 day")))
+    save(day, name, mode="append")              # appended, but the cursor was not stored
+    for _ in range(2):
+        sync_incremental(spark, events, name, "ts", lag=14 * 86_400)
+    return read(spark, name)
+
+
+def q_upsert_two_writers(spark, sf_dir):
+    """Two refreshes read the same table, number their new suppliers, then
+    write one after the other: keys are reserved, so none is given twice."""
+    sup = _t(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
+    name = _fresh_table(spark, "supplier_keys")
+    old = F.col("s_suppkey") % 3 == 0
+    load_or_upsert(sup.where(old), name, ["s_suppkey"], key_col="k", num_buckets=4)
+    store, target = TableStore(spark, name), read(spark, name).checkpoint()
+    batches = [sup.where(~old & (F.col("s_suppkey") % 2 == r)) for r in (0, 1)]
+    numbered = [upsert_with_key(target, b, ["s_suppkey"], "k", start=store.reserve) for b in batches]
+    for rows, batch in zip(numbered, batches):
+        load_or_upsert(rows.join(batch.select("s_suppkey"), "s_suppkey", "left_semi"), name, ["s_suppkey"])
+    return read(spark, name).agg(F.count("*").alias("n_rows"), F.count_distinct("k").alias("n_keys"),
+                                 F.min("k").alias("low"), F.max("k").alias("high"),
+                                 F.count_if(F.col("s_suppkey") % 3 == 0).alias("n_old"))
+
+
+def q_upsert_partitions(spark, sf_dir):
+    """An upsert of a few orders into 64 key buckets: the rows of all buckets
+    afterwards, and how many partitions the batch wrote."""
+    name = _fresh_table(spark, "orders_in_buckets")
+    orders = _t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    load_or_upsert(orders, name, ["o_orderkey"], num_buckets=64)
+    before = TableStore(spark, name).rows().select("_metadata.file_path").distinct().checkpoint()
+    batch = orders.where(F.col("o_orderkey") <= 8).withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    out = load_or_upsert(batch, name, ["o_orderkey"])
+    new = TableStore(spark, name).rows().select("_metadata.file_path").distinct().join(before, "file_path", "left_anti")
+    return out.withColumn("few_written", F.lit(new.count() <= batch.count()))
+
+
 def q_hash_key_multi(spark, sf_dir):
     c = _t(spark, sf_dir, "customer")
     segment = F.when(F.col("c_custkey") % 3 == 0, F.lit(None)).when(F.col("c_custkey") % 3 == 1, F.lit("")) \

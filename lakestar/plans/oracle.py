@@ -32,6 +32,9 @@ RAW = {
     "full_refresh": "select n_nationkey, n_name, n_regionkey from nation",
     "save_roundtrip": "select p_partkey, p_name, p_size from part",
     "load_or_upsert": "select s_suppkey, s_name from supplier",
+    "incremental_late_commit": "select event_id, ts, user_id from events",
+    "upsert_two_writers": "select count(*) as n_rows, count(*) as n_keys, 1 as low, count(*) as high, cast(sum(case when s_suppkey % 3 = 0 then 1 else 0 end) as bigint) as n_old from supplier",
+    "upsert_partitions": "select o_orderkey, o_custkey, case when o_orderkey <= 8 then o_totalprice + 1 else o_totalprice end as o_totalprice, true as few_written from orders",
     "rename_project": "select c_custkey as driver_id, c_name as driver_ref, c_mktsegment as driver_team from customer",
     "dedup_latest": "select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate from {LATEST} t",
     "dedup_latest_events": "select event_id, user_id, ts, event_type from (select *, row_number() over (partition by user_id order by ts desc, event_id desc) as rn from events) t where rn = 1",

@@ -1,44 +1,48 @@
-"""Table registry and a versioned Parquet table store.
-
-Plain Parquet has no MERGE and Spark refuses to overwrite a table it is
-reading, so every write goes to a new version folder and is *published*
-only afterwards by an empty ``_PUBLISHED`` marker: readers see the old or
-the new version, never half of one.  Layout of a table root::
-
-    <root>/v=00000001_snap/part-*.parquet  _SUCCESS  _PUBLISHED
-    <root>/v=00000002_add/...                (append: new files only)
-    <root>/v=00000003_snap/...               (overwrite / upsert result)
-
-The live table is the newest published ``snap`` plus every published
-``add`` after it.  A *bucketed* table (``bucket_by`` + ``num_buckets``)
-stores rows under ``_b=<pmod(xxhash64(keys), N)>`` folders; an upsert
-rewrites only the buckets its batch touches into a ``part`` version, and
-the live table takes, per bucket, the newest folder since the last snap::
-
-    <root>/v=00000004_part/_b=17/...  _b=503/...  _PUBLISHED
-
-so a small batch never rewrites the whole table.  Logical names map to roots through session conf keys
-``lakestar.table.<name>`` (the reference's conf-driven registry); unset
-names live under :func:`lakestar.session.warehouse_root`.
+"""Table registry and Parquet tables kept by Spark's partition overwrite (S1,
+S2, S7-S10).
+
+A table is a Parquet folder that Spark partitions by ``_b``, the bucket of a
+row's key (one bucket, 0, if the table has none)::
+
+    <root>/rows-<id>/_b=17/part-*.parquet       the rows
+    <root>/state/00000003.json                  newest state wins
+
+An upsert reads the partitions that its batch touches (a partition filter, so
+Spark prunes the others) and writes them back with ``partitionOverwriteMode =
+dynamic``: Spark replaces exactly these partitions when the job commits.  A
+whole overwrite goes to a folder of its own, and the next state names it.  Rows
+that must pass a gate first are staged and published from there.
+
+The state of a table is a few values: the folder, its columns, key and buckets,
+the cursor of its last sync and the next surrogate key.  Each change is a new
+file, created exclusively, so of two writers one sees the other's and tries
+again.  Surrogate keys are *reserved* that way before their rows are written:
+two refreshes never give the same key, and one that dies leaves a gap only.
+
+Logical names map to roots through session conf keys ``lakestar.table.<name>``
+(the reference's conf-driven registry); unset names live under
+:func:`lakestar.session.warehouse_root`.  A frame that was read before a table
+changed must be read anew: its files may be gone.
 """
 
 from __future__ import annotations
 
+import json
 import re
-from collections.abc import Sequence
+import time
+import uuid
+from collections.abc import Callable, Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import warehouse_root
 
-_VERSION_RE = re.compile(r"^v=(\d{8})_(snap|add|part)$")
-_MARKER = "_PUBLISHED"
-_BUCKETS_RE = re.compile(r"^_BUCKETS_(\d+)_(.+)$")
-_CURSOR_RE = re.compile(r"^_CURSOR_(-?\d+)$")
-_MAXKEY_RE = re.compile(r"^_MAXKEY_(-?\d+)$")
 BUCKET_COL = "_b"
+GRACE_S = 10                    # after which an empty state counts as abandoned
+_STATE_RE = re.compile(r"^(\d{8})\.json$")
 
 
 def bucket_of(keys: Sequence[str], num_buckets: int):
@@ -57,106 +61,92 @@ def _root(spark: SparkSession, name: str) -> str:
 
 
 class TableStore:
-    """Filesystem view of one table root, through Hadoop's FileSystem (works
-    the same on local disk, HDFS or an object store)."""
+    """The state of one table and its folder, through Hadoop's FileSystem
+    (works the same on local disk, HDFS or an object store)."""
 
     def __init__(self, spark: SparkSession, name: str):
-        self.spark = spark
-        self.name = name
-        self.root = _root(spark, name)
+        self.spark, self.name, self.root = spark, name, _root(spark, name)
         jvm = spark.sparkContext._jvm
-        self._Path = jvm.org.apache.hadoop.fs.Path
-        hconf = spark.sparkContext._jsc.hadoopConfiguration()
-        self._fs = self._Path(self.root).getFileSystem(hconf)
-
-    def _versions(self) -> list[tuple[int, str, str]]:
-        root = self._Path(self.root)
-        if not self._fs.exists(root):
-            return []
-        out = []
-        for st in self._fs.listStatus(root):
-            name = st.getPath().getName()
-            m = _VERSION_RE.match(name)
-            if m and self._fs.exists(self._Path(st.getPath(), _MARKER)):
-                out.append((int(m.group(1)), m.group(2), st.getPath().toString()))
-        return sorted(out)
-
-    def _since_snap(self) -> list[tuple[int, str, str]]:
-        versions = self._versions()
-        snaps = [i for i, (_, kind, _) in enumerate(versions) if kind == "snap"]
-        return versions[snaps[-1]:] if snaps else []
+        self._path = jvm.org.apache.hadoop.fs.Path
+        self._fs = self._path(self.root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _list(self, *parts: str) -> list[str]:
+        folder = self._path("/".join([self.root, *parts]))
+        return [s.getPath().getName() for s in self._fs.listStatus(folder)] if self._fs.exists(folder) else []
+
+    def _states(self) -> list[int]:
+        """Numbers of the states, newest first."""
+        return sorted((int(m[1]) for m in map(_STATE_RE.match, self._list("state")) if m), reverse=True)
+
+    def state(self) -> dict:
+        """The newest state; empty before the first write."""
+        for number in self._states():
+            path = self._path(f"{self.root}/state/{number:08d}.json")
+            while True:
+                stream = self._fs.open(path)
+                try:
+                    text = bytes(stream.readAllBytes()).decode()
+                finally:
+                    stream.close()
+                if text:
+                    return json.loads(text)
+                # its writer is about to fill it, or died before it did
+                if time.time() - self._fs.getFileStatus(path).getModificationTime() / 1000 > GRACE_S:
+                    break
+                time.sleep(0.05)
+        return {}
+
+    def update(self, change: Callable[[dict], dict]) -> dict:
+        """Apply ``change`` to the newest state.  Another writer's state that
+        came first is taken into account."""
+        while True:
+            newest = max(self._states(), default=0)
+            state = change(self.state())
+            try:
+                stream = self._fs.create(self._path(f"{self.root}/state/{newest + 1:08d}.json"), False)
+            except Py4JJavaError as e:
+                if "FileAlreadyExists" in str(e.java_exception):
+                    continue
+                raise
+            stream.write(bytearray(json.dumps(state).encode()))
+            stream.close()
+            return state
+
+    def reserve(self, n: int) -> int:
+        """The first of ``n`` surrogate keys that no other writer gets."""
+        return self.update(lambda s: s | {"next_key": s.get("next_key", 1) + n})["next_key"] - n
 
-    def bucketing(self) -> tuple[int, list[str]] | None:
-        """(N, key columns) of a bucketed table, from the snap's marker."""
-        live = self._since_snap()
-        if not live:
-            return None
-        for st in self._fs.listStatus(self._Path(live[0][2])):
-            m = _BUCKETS_RE.match(st.getPath().getName())
-            if m:
-                return int(m.group(1)), m.group(2).split(",")
-        return None
-
-    def bucket_map(self) -> dict[int, str]:
-        """Bucket -> folder holding its live rows (newest version wins)."""
-        out: dict[int, str] = {}
-        for _, _, path in self._since_snap():
-            for st in self._fs.listStatus(self._Path(path)):
-                name = st.getPath().getName()
-                if st.isDirectory() and name.startswith(BUCKET_COL + "="):
-                    out[int(name.split("=", 1)[1])] = st.getPath().toString()
-        return out
-
-    def live_paths(self) -> list[str]:
-        live = self._since_snap()
-        if not live:
-            return []
-        if self.bucketing() is not None:
-            paths = list(self.bucket_map().values())
-            return paths or [live[0][2]]
-        return [p for _, _, p in live]
-
-    def _marker(self, pattern: re.Pattern) -> int | None:
-        versions = self._versions()
-        if not versions:
-            return None
-        for st in self._fs.listStatus(self._Path(versions[-1][2])):
-            m = pattern.match(st.getPath().getName())
-            if m:
-                return int(m.group(1))
-        return None
+    def exists(self) -> bool:
+        return "folder" in self.state()
 
     def cursor(self) -> int | None:
-        """Ingestion cursor (epoch microseconds) stored with the newest
-        published version, or None."""
-        return self._marker(_CURSOR_RE)
+        """Cursor (integer) stored with the last sync, or None."""
+        return self.state().get("cursor")
 
     def max_key(self) -> int | None:
-        """Largest surrogate key ever assigned, stored with the newest
-        published version (so an incremental upsert need not scan the key
-        column of the whole table), or None."""
-        return self._marker(_MAXKEY_RE)
+        """Largest surrogate key ever given, or None."""
+        top = self.state().get("next_key")
+        return None if top is None else top - 1
 
-    def mark(self, path: str, name: str) -> None:
-        self._fs.create(self._Path(path, name), False).close()
+    def bucketing(self) -> tuple[int, list[str]] | None:
+        """(N, key columns) of a table in key buckets."""
+        state = self.state()
+        return (state["buckets"], state["keys"]) if state.get("keys") else None
 
-    def exists(self) -> bool:
-        return bool(self.live_paths())
+    def folder(self) -> str:
+        return f"{self.root}/{self.state()['folder']}"
 
-    def next_path(self, kind: str) -> str:
-        # Any folder, published or not, blocks its number: a failed
-        # writer's leftovers are never reused.
-        root = self._Path(self.root)
-        top = 0
-        if self._fs.exists(root):
-            for st in self._fs.listStatus(root):
-                m = _VERSION_RE.match(st.getPath().getName())
-                if m:
-                    top = max(top, int(m.group(1)))
-        return f"{self.root}/v={top + 1:08d}_{kind}"
+    def rows(self) -> DataFrame:
+        """All rows with their bucket; a filter on it prunes partitions."""
+        state = self.state()
+        schema = T.StructType.fromJson(state["schema"]).add(BUCKET_COL, T.IntegerType())
+        return self.spark.read.schema(schema).parquet(f"{self.root}/{state['folder']}")
 
-    def publish(self, path: str) -> None:
-        self.mark(path, _MARKER)
+    def partitions(self, folder: str) -> set[int]:
+        return {int(n.split("=")[1]) for n in self._list(folder) if n.startswith(BUCKET_COL + "=")}
+
+    def drop(self, folder: str) -> None:
+        self._fs.delete(self._path(f"{self.root}/{folder}"), True)
 
 
 def table_exists(spark: SparkSession, name: str) -> bool:
@@ -165,42 +155,36 @@ def table_exists(spark: SparkSession, name: str) -> bool:
 
 
 def read(spark: SparkSession, name: str, schema: T.StructType | None = None) -> DataFrame:
-    """Scan the live version of a registered table and expose it as a temp
-    view of the same name (S1/S2)."""
-    paths = TableStore(spark, name).live_paths()
-    if not paths:
-        raise FileNotFoundError(f"table {name!r} has no published version")
-    reader = spark.read
+    """Scan a registered table and expose it as a temp view of the same name
+    (S1/S2)."""
+    store = TableStore(spark, name)
+    if not store.exists():
+        raise FileNotFoundError(f"table {name!r} has no published rows")
+    df = store.rows().drop(BUCKET_COL)
     if schema is not None:
-        reader = reader.schema(schema)
-    df = reader.parquet(*paths)
-    if BUCKET_COL in df.columns:  # an empty snap read through its root
-        df = df.drop(BUCKET_COL)
+        df = df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
     df.createOrReplaceTempView(name)
     return df
 
 
+def _touched(batch: DataFrame, keys: Sequence[str], n: int) -> list[int]:
+    return sorted(r.b for r in batch.select(bucket_of(keys, n).alias("b")).distinct().collect())
+
+
+def _in_buckets(store: TableStore, touched: Sequence[int]) -> DataFrame:
+    return store.rows().where(F.col(BUCKET_COL).isin(list(touched))).drop(BUCKET_COL)
+
+
 def read_touched(spark: SparkSession, name: str, batch: DataFrame, keys: Sequence[str],
                  batch_keys: Sequence[str] | None = None) -> DataFrame:
-    """The live rows of a table in the key buckets that a batch touches (the
-    whole table if it is not stored in buckets of these keys).  The touched
-    bucket numbers, at most as many as there are buckets, reach the driver."""
+    """The rows of a table in the key buckets that a batch touches (the whole
+    table if it is not stored in buckets of these keys).  The touched bucket
+    numbers, at most as many as there are buckets, reach the driver."""
     store = TableStore(spark, name)
     bucketing = store.bucketing()
-    whole = read(spark, name)
     if bucketing is None or bucketing[1] != list(keys):
-        return whole
-    return _buckets(store, whole, _touched(batch, batch_keys or keys, bucketing[0]))
-
-
-def _touched(batch: DataFrame, keys: Sequence[str], n: int) -> list[int]:
-    return sorted(r.b for r in batch.select(bucket_of(keys, n).alias("b")).distinct().collect())
-
-
-def _buckets(store: TableStore, whole: DataFrame, buckets: Sequence[int]) -> DataFrame:
-    folders = store.bucket_map()
-    paths = [folders[b] for b in buckets if b in folders]
-    return store.spark.read.schema(whole.schema).parquet(*paths) if paths else whole.limit(0)
+        return read(spark, name)
+    return _in_buckets(store, _touched(batch, batch_keys or keys, bucketing[0]))
 
 
 def replace_table(df: DataFrame, name: str, keys: Sequence[str], num_buckets: int | None = None) -> DataFrame:
@@ -213,7 +197,7 @@ def replace_table(df: DataFrame, name: str, keys: Sequence[str], num_buckets: in
 
 def sql_with_registry(spark: SparkSession, text: str, **args) -> DataFrame:
     """``spark.sql`` over registered names; each ``${name}`` in the text
-    is resolved through the registry to the live table."""
+    is resolved through the registry to the table."""
     for name in set(re.findall(r"\$\{([A-Za-z0-9_]+)\}", text)):
         read(spark, name)
         text = text.replace("${" + name + "}", name)
@@ -227,104 +211,94 @@ def _conform(df: DataFrame, schema: T.StructType | None) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-def save(df: DataFrame, name: str, mode: str = "overwrite",
-         schema: T.StructType | None = None, sort_by: Sequence[str] = (),
-         expectations: Sequence = (), partition_by: Sequence[str] = (),
-         bucket_by: Sequence[str] = (), num_buckets: int | None = None,
-         cursor: int | None = None, track_max: str | None = None, max_key: int | None = None,
-         _kind: str | None = None, _touched: Sequence[int] = ()) -> str:
-    """Write ``df`` as a new version of ``name`` and publish it.
-
-    ``mode='overwrite'`` makes a new snapshot, ``'append'`` adds files (on
-    the first load both create the table).  ``sort_by`` range-partitions and
-    sorts inside partitions (file locality without a single-task sort).
-    ``bucket_by``/``num_buckets`` store the table in hash buckets of its key
-    (one shuffle, one file group per bucket, sorted by key inside).
-    Row-level ``expectations`` (not-null, between, length) are collected
-    with ``observe`` during the write itself; if one fails the version is
-    left unpublished and :class:`~lakestar.operators.quality.ExpectationError`
-    is raised: stage -> validate -> publish in a single pass."""
+def _dealt(df: DataFrame, keys: Sequence[str], n: int, touched: Sequence[int] | None = None) -> DataFrame:
+    """Rows with their bucket, one task for each bucket (of those touched)."""
+    out = df.withColumn(BUCKET_COL, bucket_of(keys, n))
+    task = F.col(BUCKET_COL)
+    if touched is not None:
+        n, task = max(len(touched), 1), F.array_position(F.lit(list(touched)).cast("array<int>"), task).cast("int") - 1
+    return out.repartitionById(n, task).sortWithinPartitions(BUCKET_COL, *keys)
+
+
+def _write(df: DataFrame, path: str, expectations: Sequence = (), mode: str = "append", **options) -> None:
+    """Write rows with their bucket.  Row-level expectations are observed on
+    the way; if one fails, the error names it."""
     from ..operators.quality import ExpectationError, observed_metrics
 
-    spark = df.sparkSession
-    store = TableStore(spark, name)
-    kind = _kind or ("add" if (mode == "append" and store.exists()) else "snap")
-    if kind == "add" and store.bucketing() is not None:
-        raise ValueError(f"{name} is stored in key buckets: use load_or_upsert, not append")
-    out = _conform(df, schema)
-    if bucket_by:
-        n = int(num_buckets or spark.conf.get("spark.sql.shuffle.partitions"))
-        out = out.withColumn(BUCKET_COL, bucket_of(bucket_by, n)) \
-                 .repartition(n, BUCKET_COL).sortWithinPartitions(BUCKET_COL, *bucket_by)
-        partition_by = [BUCKET_COL]
-    elif sort_by:
-        out = out.repartitionByRange(*sort_by).sortWithinPartitions(*sort_by)
-    observation, finish = None, None
+    observation = None
     if expectations:
-        observation = Observation(f"lakestar_{name}")
+        observation = Observation(f"lakestar_{uuid.uuid4().hex[:8]}")
         metrics, finish = observed_metrics(expectations)
-        out = out.observe(observation, *metrics)
-    key_obs = None
-    if track_max:
-        # the largest key is observed while writing, not found by a later scan
-        key_obs = Observation(f"lakestar_{name}_maxkey")
-        out = out.observe(key_obs, F.max(F.col(track_max)).alias("m"))
-    path = store.next_path(kind)
-    writer = out.write.mode("errorifexists")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+        df = df.observe(observation, *metrics)
+    df.write.mode(mode).options(**options).partitionBy(BUCKET_COL).parquet(path)
     if observation is not None:
-        report = finish(observation.get)
-        failed = [r for r in report if not r["success"]]
+        failed = [r for r in finish(observation.get) if not r["success"]]
         if failed:
             raise ExpectationError(failed)
-    for b in _touched:          # a bucket that lost all its rows is an empty folder
-        store._fs.mkdirs(store._Path(path, f"{BUCKET_COL}={b}"))
-    if bucket_by and kind == "snap":
-        store.mark(path, f"_BUCKETS_{n}_{','.join(bucket_by)}")
-    if cursor is not None:
-        store.mark(path, f"_CURSOR_{int(cursor)}")
-    tops = [v for v in (max_key, key_obs.get.get("m") if key_obs is not None else None) if v is not None]
-    if tops:
-        store.mark(path, f"_MAXKEY_{int(max(tops))}")
-    store.publish(path)
-    return path
 
 
-def compact(spark: SparkSession, name: str) -> str:
-    """Fold the live table (a snap plus its ``part``/``add`` versions) into
-    one new snapshot with the same bucketing and cursor, so readers list one
-    version again after many incremental refreshes."""
+def save(df: DataFrame, name: str, mode: str = "overwrite", schema: T.StructType | None = None,
+         sort_by: Sequence[str] = (), expectations: Sequence = (), bucket_by: Sequence[str] = (),
+         num_buckets: int | None = None, cursor: int | None = None) -> str:
+    """Write ``df`` as table ``name``.
+
+    ``mode='overwrite'`` writes a new folder and makes it the table's;
+    ``'append'`` adds files (on the first load both create the table).
+    ``sort_by`` range-partitions and sorts inside partitions (file locality
+    without a single-task sort).  ``bucket_by``/``num_buckets`` store the table
+    in hash buckets of its key (one shuffle, one task per bucket, sorted by key
+    inside).  Row-level ``expectations`` (not-null, between, length) are
+    observed during the write; if one fails nothing is published and
+    :class:`~lakestar.operators.quality.ExpectationError` is raised."""
+    spark = df.sparkSession
     store = TableStore(spark, name)
-    bucketing = store.bucketing()
-    df = read(spark, name)  # old versions are never overwritten: safe to read while writing
-    n, keys = bucketing if bucketing else (None, [])
-    return save(df, name, mode="overwrite", bucket_by=keys, num_buckets=n, cursor=store.cursor(),
-                max_key=store.max_key())
+    add = mode == "append" and store.exists()
+    if add and store.bucketing() is not None:
+        raise ValueError(f"{name} is stored in key buckets: use load_or_upsert, not append")
+    out = _conform(df, schema)
+    columns = out.schema
+    if add:
+        out = out.select(*[F.col(c) for c in T.StructType.fromJson(store.state()["schema"]).names])
+    n = int(num_buckets or spark.conf.get("spark.sql.shuffle.partitions")) if bucket_by else 1
+    if bucket_by:
+        out = _dealt(out, bucket_by, n)
+    else:
+        if sort_by:
+            out = out.repartitionByRange(*sort_by).sortWithinPartitions(*sort_by)
+        out = out.withColumn(BUCKET_COL, F.lit(0))
+    folder = store.state()["folder"] if add and not expectations else f"rows-{uuid.uuid4().hex[:12]}"
+    _write(out, f"{store.root}/{folder}", expectations)
+    if add:
+        if expectations:            # staged: passed, so append it
+            live = store.state()["folder"]
+            spark.read.schema(out.schema).parquet(f"{store.root}/{folder}").write.mode("append") \
+                .partitionBy(BUCKET_COL).parquet(f"{store.root}/{live}")
+            store.drop(folder)
+        if cursor is not None:
+            store.update(lambda s: s | {"cursor": int(cursor)})
+        return store.folder()
+    kept = {} if cursor is None else {"cursor": int(cursor)}
+    store.update(lambda s: s | kept | {"folder": folder, "previous": s.get("folder"), "buckets": n, "keys": list(bucket_by),
+                                       "schema": T.StructType([f for f in columns]).jsonValue()})
+    return store.folder()
+
+
+def compact(spark: SparkSession, name: str) -> str:
+    """Write the table anew with the same buckets and cursor: many small
+    appended files become few."""
+    n, keys = TableStore(spark, name).bucketing() or (None, [])
+    return save(read(spark, name), name, mode="overwrite", bucket_by=keys, num_buckets=n)
 
 
-def vacuum(spark: SparkSession, name: str, keep_snapshots: int = 2) -> list[str]:
-    """Delete version folders no reader of the last ``keep_snapshots``
-    snapshots can need: everything older than the oldest kept snap, plus
-    unpublished leftovers of failed writers older than the live snap.
-    Returns the removed paths.  Readers of the live table are unaffected."""
+def vacuum(spark: SparkSession, name: str) -> list[str]:
+    """Delete the folders that are neither the table's nor the one before it:
+    older ones, and what failed writers left.  Returns their names."""
     store = TableStore(spark, name)
-    root = store._Path(store.root)
-    if not store._fs.exists(root):
-        return []
-    published = store._versions()
-    snaps = [n for n, kind, _ in published if kind == "snap"]
-    if len(snaps) <= keep_snapshots:
-        return []
-    oldest_kept = snaps[-keep_snapshots]
-    removed = []
-    for st in store._fs.listStatus(root):
-        m = _VERSION_RE.match(st.getPath().getName())
-        if m and int(m.group(1)) < oldest_kept:
-            store._fs.delete(st.getPath(), True)
-            removed.append(st.getPath().toString())
-    return removed
+    state = store.state()
+    old = [f for f in store._list() if f.startswith(("rows-", "staged-")) and f not in (state.get("folder"), state.get("previous"))]
+    for folder in old:
+        store.drop(folder)
+    return old
 
 
 def ensure_table(spark: SparkSession, name: str, schema: T.StructType) -> None:
@@ -333,6 +307,37 @@ def ensure_table(spark: SparkSession, name: str, schema: T.StructType) -> None:
         save(spark.createDataFrame([], schema), name, mode="overwrite")
 
 
+def replace_buckets(df: DataFrame, name: str, touched: Sequence[int], cursor: int | None = None,
+                    expectations: Sequence = (), may_empty: bool = False) -> DataFrame:
+    """``df`` becomes the whole content of the touched buckets; it may be
+    computed from them.  Spark's dynamic partition overwrite replaces them when
+    the job commits.  Rows are staged first if there are ``expectations``, or if
+    a bucket may lose all its rows (``may_empty``): such a partition is
+    dropped."""
+    spark = df.sparkSession
+    store = TableStore(spark, name)
+    state = store.state()
+    out = df.select(*T.StructType.fromJson(state["schema"]).names)
+    out = _dealt(out, state["keys"], state["buckets"], touched) if state["keys"] else out.withColumn(BUCKET_COL, F.lit(0))
+    if expectations or may_empty:
+        staged = f"staged-{uuid.uuid4().hex[:12]}"
+        _write(out, f"{store.root}/{staged}", expectations)
+        held = store.partitions(staged)
+        out = spark.read.schema(out.schema).parquet(f"{store.root}/{staged}")
+        if state["keys"]:
+            out = out.repartitionById(max(len(touched), 1), F.array_position(
+                F.lit(list(touched)).cast("array<int>"), F.col(BUCKET_COL)).cast("int") - 1) \
+                .sortWithinPartitions(BUCKET_COL, *state["keys"])
+    _write(out, f"{store.root}/{state['folder']}", mode="overwrite", partitionOverwriteMode="dynamic")
+    if expectations or may_empty:
+        for b in set(touched) - held:
+            store.drop(f"{state['folder']}/{BUCKET_COL}={b}")
+        store.drop(staged)
+    if cursor is not None:
+        store.update(lambda s: s | {"cursor": int(cursor)})
+    return read(spark, name)
+
+
 def load_or_upsert(df: DataFrame, name: str, keys: Sequence[str],
                    key_col: str | None = None, schema: T.StructType | None = None,
                    update_cols: Sequence[str] | None = None,
@@ -341,62 +346,42 @@ def load_or_upsert(df: DataFrame, name: str, keys: Sequence[str],
                    cursor: int | None = None, delete_keys: DataFrame | None = None,
                    validate: bool = True) -> DataFrame:
     """Create the table on first load (with dense surrogate keys when
-    ``key_col`` is given), otherwise upsert into the live version.  With
-    ``num_buckets`` the table is stored in key buckets and an upsert
-    rewrites only the buckets the batch touches.  Returns the published
-    table."""
+    ``key_col`` is given), otherwise upsert into it.  With ``num_buckets`` the
+    table is stored in key buckets, and an upsert reads and rewrites only the
+    buckets the batch touches.  New surrogate keys are reserved before anything
+    is written.  Returns the published table."""
     from ..operators.keys import dense_keys
     from ..operators.upsert import upsert, upsert_with_key
 
     spark = df.sparkSession
     store = TableStore(spark, name)
-    bucket_by = list(keys) if num_buckets else []
     if not store.exists():
-        out = df
-        sort_by = list(keys)
+        out, sort_by = df, list(keys)
         if key_col:
             # the key window already clusters rows by key range and sorts
             # them inside each partition: no second range shuffle needed
-            out = dense_keys(df, list(keys), key_col)
+            out = dense_keys(df, list(keys), key_col, start=store.reserve)
             out = out.select(key_col, *[c for c in out.columns if c != key_col])
             sort_by = []
-        save(out, name, mode="overwrite", schema=schema, sort_by=sort_by,
-             expectations=expectations, bucket_by=bucket_by, num_buckets=num_buckets, cursor=cursor,
-             track_max=key_col)
+        save(out, name, mode="overwrite", schema=schema, sort_by=sort_by, expectations=expectations,
+             bucket_by=list(keys) if num_buckets else [], num_buckets=num_buckets, cursor=cursor)
         return read(spark, name)
 
     bucketing = store.bucketing()
     if bucketing is None:
-        target = read(spark, name)
-        if key_col:
-            top = store.max_key()
-            merged = upsert_with_key(target, df, keys, key_col, delete_keys=delete_keys, validate=validate,
-                                     start=None if top is None else top + 1)
-        else:
-            merged = upsert(target, df, keys, update_cols=update_cols, insert_cols=insert_cols,
-                            delete_keys=delete_keys, validate=validate)
-        save(merged, name, mode="overwrite", schema=schema, sort_by=list(keys),
-             expectations=expectations, cursor=cursor, track_max=key_col)
-        return read(spark, name)
-
-    # bucketed: read and rewrite only the touched buckets
-    n, bkeys = bucketing
-    whole = read(spark, name)
-    changed_keys = df.select(*keys) if delete_keys is None else \
-        df.select(*keys).unionByName(delete_keys.select(*keys))
-    touched = _touched(changed_keys, bkeys, n)
-    target = _buckets(store, whole, touched).select(*whole.columns)
-    top = None
+        touched, target = [0], read(spark, name)
+    else:
+        n, bkeys = bucketing
+        gone = df.select(*keys) if delete_keys is None else df.select(*keys).unionByName(delete_keys.select(*keys))
+        touched = _touched(gone, bkeys, n)
+        target = _in_buckets(store, touched)
     if key_col:
-        top = store.max_key()
-        if top is None:  # a table written before keys were tracked
-            top = whole.agg(F.max(key_col).alias("m")).first()["m"] or 0
-        merged = upsert_with_key(target, df, keys, key_col, start=top + 1, delete_keys=delete_keys,
-                                 validate=validate)
+        merged = upsert_with_key(target, df, keys, key_col, delete_keys=delete_keys, validate=validate, start=store.reserve)
     else:
         merged = upsert(target, df, keys, update_cols=update_cols, insert_cols=insert_cols,
                         delete_keys=delete_keys, validate=validate)
-    # the touched part's own maximum, or the table's previous one, whichever is larger
-    save(merged, name, schema=schema, expectations=expectations, bucket_by=bkeys, num_buckets=n,
-         cursor=cursor, track_max=key_col, max_key=top, _kind="part", _touched=touched)
-    return read(spark, name)
+    merged = _conform(merged, schema)
+    if bucketing is None:           # the whole table is written anew, in key order
+        save(merged, name, mode="overwrite", sort_by=list(keys), expectations=expectations, cursor=cursor)
+        return read(spark, name)
+    return replace_buckets(merged, name, touched, cursor, expectations, may_empty=delete_keys is not None)

@@ -16,30 +16,38 @@ from .catalog import TableStore, read, save, table_exists
 def cursor_filter(src: DataFrame, cursor_col: str, last_cursor: Any) -> DataFrame:
     """Rows strictly after the last synced cursor.  The literal is cast to
     the column type so the predicate reaches the Parquet scan
-    (``PushedFilters: GreaterThan``).  Rows that share the last cursor value
-    and arrived later are the business of :func:`tied_rows`."""
+    (``PushedFilters: GreaterThan``).  Rows that were committed later with this
+    cursor value or an earlier one are the business of :func:`late_rows`."""
     if last_cursor is None:
         return src
     dtype = src.schema[cursor_col].dataType
     return src.filter(F.col(cursor_col) > F.lit(last_cursor).cast(dtype))
 
 
-def tied_rows(src: DataFrame, target: DataFrame, cursor_col: str, last_cursor: Any) -> DataFrame:
-    """Source rows at the last cursor value that the target does not hold yet
-    (a multiset difference over that one value; both sides are pushed-down
-    equality filters).  A null cursor never changes and is synced first."""
-    at = F.lit(last_cursor).cast(src.schema[cursor_col].dataType)
-    return src.filter(F.col(cursor_col) == at).exceptAll(target.select(*src.columns).filter(F.col(cursor_col) == at))
+def late_rows(src: DataFrame, target: DataFrame, cursor_col: str, since: Any, until: Any) -> DataFrame:
+    """Source rows with a cursor from ``since`` to ``until``, both included,
+    that the target does not hold: a multiset difference over that window, so
+    repeated rows arrive as often as the source has them.  Both sides are
+    pushed-down range filters.  A null cursor never changes and is synced
+    first."""
+    kind = src.schema[cursor_col].dataType
+    inside = F.col(cursor_col).between(F.lit(since).cast(kind), F.lit(until).cast(kind))
+    return src.filter(inside).exceptAll(target.select(*src.columns).filter(inside))
 
 
 def incremental_extract(src: DataFrame, cursor_col: str,
                         last_cursor: Any = None) -> tuple[DataFrame, Any]:
     """The new batch (lazy) and the cursor to store after it is loaded:
     ``max(cursor)`` of the batch, or the old cursor when nothing is new.
-    The max is one partial/final aggregate, never a collect of rows."""
+    The max is one partial/final aggregate, never a collect of rows.  The batch
+    ends at that cursor, so rows that reach a live source between the two jobs
+    are left to the next batch."""
     batch = cursor_filter(src, cursor_col, last_cursor)
     top = batch.agg(F.max(cursor_col).alias("c")).first()["c"]
-    return batch, (last_cursor if top is None else top)
+    if top is None:
+        return batch.filter(F.col(cursor_col).isNull()) if last_cursor is None else batch.limit(0), last_cursor
+    closed = F.col(cursor_col) <= F.lit(top).cast(src.schema[cursor_col].dataType)
+    return batch.filter(closed if last_cursor is not None else closed | F.col(cursor_col).isNull()), top
 
 
 _EPOCH = datetime.datetime(1970, 1, 1)
@@ -64,26 +72,34 @@ def _decode(marker: int, dtype: T.DataType) -> Any:
     return None
 
 
-def sync_incremental(spark: SparkSession, src: DataFrame, name: str,
-                     cursor_col: str) -> tuple[int | None, Any]:
-    """Incremental-append sync into a raw table.  The cursor state is kept
-    with each published version (a marker), so a sync reads of the target and
-    of the old source rows only those at the last cursor value (later rows
-    that tie with it are not lost), and a re-run after a crash resumes
-    exactly where the last published version ended.  Cursor types without a marker
-    form fall back to the target's ``max(cursor)``."""
-    last = None
-    if table_exists(spark, name):
-        marker = TableStore(spark, name).cursor()
-        last = _decode(marker, src.schema[cursor_col].dataType) if marker is not None else None
-        if last is None:
-            last = read(spark, name).agg(F.max(cursor_col).alias("c")).first()["c"]
-    batch, new_cursor = incremental_extract(src, cursor_col, last)
-    if last is not None:
-        late = tied_rows(src, read(spark, name), cursor_col, last).checkpoint(eager=True)
-        if new_cursor == last and late.isEmpty():
-            return None, last
-        batch = batch.unionByName(late)
+def sync_incremental(spark: SparkSession, src: DataFrame, name: str, cursor_col: str,
+                     lag: Any = 0) -> tuple[int | None, Any]:
+    """Incremental-append sync into a raw table, whose cursor is kept with the
+    table.  A sync takes the closed window from the last cursor less ``lag`` (a
+    number, or seconds for a timestamp) to the newest cursor, and leaves out
+    what the target already holds of it.  So rows that tie with the last cursor
+    and rows that were committed up to ``lag`` below it arrive once, and a sync
+    that died after its rows were appended, but before its cursor was stored,
+    repeats nothing.  Of either side only that window is read.  Cursor types
+    without an integer form fall back to the target's ``max(cursor)``."""
+    if not table_exists(spark, name):
+        batch, new_cursor = incremental_extract(src, cursor_col)
+        save(batch, name, mode="append", cursor=_encode(new_cursor))
+        return 1, new_cursor
+    target = read(spark, name)
+    marker = TableStore(spark, name).cursor()
+    last = _decode(marker, src.schema[cursor_col].dataType) if marker is not None else None
+    if last is None:
+        last = target.agg(F.max(cursor_col).alias("c")).first()["c"]
+    _, new_cursor = incremental_extract(src, cursor_col, last)
+    if new_cursor is None:
+        return None, None
+    since = last if last is not None else src.agg(F.min(cursor_col).alias("c")).first()["c"]
+    if lag:
+        since -= datetime.timedelta(seconds=lag) if isinstance(since, datetime.datetime) else lag
+    batch = late_rows(src, target, cursor_col, since, new_cursor).checkpoint(eager=True)
+    if new_cursor == last and batch.isEmpty():
+        return None, last
     save(batch, name, mode="append", cursor=_encode(new_cursor))
     return 1, new_cursor
 

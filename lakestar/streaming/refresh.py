@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 
 from ..operators import latest_per_key
 from ..session import scratch_path
-from ..sources import RAW_COL, TableStore, flatten_json, pack_json, read, register, save
+from ..sources import RAW_COL, TableStore, flatten_json, pack_json, read, read_touched, register, replace_buckets, save
 from ..sources.catalog import bucket_of
 
 INGESTED = "_ingested_at"
@@ -75,20 +75,14 @@ def refresh_latest(spark: SparkSession, bronze_dir: str, schema: T.StructType, n
         save(batch, name, mode="overwrite", bucket_by=list(keys) if num_buckets else (),
              num_buckets=num_buckets, cursor=top)
         return read(spark, name)
-    whole = read(spark, name)
     bucketing = store.bucketing()
     if bucketing is None:
-        save(upsert_latest(whole, batch, keys, order), name, mode="overwrite", cursor=top)
+        save(upsert_latest(read(spark, name), batch, keys, order), name, mode="overwrite", cursor=top)
         return read(spark, name)
     n, bkeys = bucketing
-    touched = [r[0] for r in batch.select(bucket_of(bkeys, n).alias("b")).distinct().collect()]  # <= n
-    folders = store.bucket_map()
-    paths = [folders[b] for b in touched if b in folders]
-    target = spark.read.parquet(*paths).select(*whole.columns) if paths else \
-        spark.createDataFrame([], whole.schema)
-    save(upsert_latest(target, batch, keys, order), name, bucket_by=bkeys, num_buckets=n, cursor=top,
-         _kind="part")
-    return read(spark, name)
+    touched = sorted(r[0] for r in batch.select(bucket_of(bkeys, n).alias("b")).distinct().collect())  # <= n
+    target = read_touched(spark, name, batch, bkeys)
+    return replace_buckets(upsert_latest(target, batch, keys, order), name, touched, cursor=top)
 
 
 def refresh_events_in_waves(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,7 +15,6 @@ def test_versions_publish_and_append(spark, warehouse):
     assert read(spark, "t1").count() == 15
     save(df, "t1", mode="overwrite")
     assert read(spark, "t1").count() == 10
-    assert len(TableStore(spark, "t1").live_paths()) == 1
     assert sql_with_registry(spark, "select count(*) as n from ${t1}").collect()[0]["n"] == 10
 
 
@@ -64,14 +63,18 @@ def test_bucketed_upsert_rewrites_only_touched_buckets(spark, warehouse):
     base = spark.range(0, 400).select(F.col("id").cast("int").alias("id"), (F.col("id") * 10).alias("v"))
     load_or_upsert(base, "tb", ["id"], key_col="key", num_buckets=16)
     store = TableStore(spark, "tb")
-    assert store.bucketing() == (16, ["id"]) and len(store.bucket_map()) == 16
+    folder = store.state()["folder"]
+    assert store.bucketing() == (16, ["id"]) and len(store.partitions(folder)) == 16
+
+    def files():
+        return {r[0] for r in spark.read.parquet(store.folder()).select("_metadata.file_path").distinct().collect()}
+
+    before = files()
     batch = spark.createDataFrame([(5, 1), (7, 2), (1000, 3)], "id int, v long")
     out = load_or_upsert(batch, "tb", ["id"], key_col="key")
-    versions = store._versions()
-    assert versions[-1][1] == "part"
-    rewritten = [st.getPath().getName() for st in store._fs.listStatus(store._Path(versions[-1][2]))
-                 if st.isDirectory()]
-    assert 1 <= len(rewritten) <= 3  # only the buckets of ids 5, 7, 1000
+    assert store.state()["folder"] == folder
+    new = {f.split("_b=")[1].split("/")[0] for f in files() - before}
+    assert 1 <= len(new) <= 3 and len(before & files()) == 16 - len(new)    # only the buckets of ids 5, 7, 1000
     got = {r["id"]: (r["key"], r["v"]) for r in out.collect()}
     assert len(got) == 401 and got[5] == (6, 1) and got[7] == (8, 2) and got[1000] == (401, 3)
     assert got[6] == (7, 60)
@@ -94,31 +97,70 @@ def test_ensure_table_and_declared_schema(spark, warehouse):
     assert df.schema == schema and df.collect()[0]["k"] == 1
 
 
-def test_compact_folds_parts_into_one_snapshot(spark, warehouse):
-    from lakestar.sources import compact
-    from lakestar.sources.catalog import TableStore
-    base = spark.range(0, 100).select(F.col("id").cast("int").alias("id"), F.col("id").alias("v"))
-    load_or_upsert(base, "tc", ["id"], num_buckets=4)
+def test_upsert_reads_only_touched_partitions(spark, warehouse):
+    from lakestar.sources import read_touched
+    load_or_upsert(spark.range(0, 400).select("id", (F.col("id") * 10).alias("v")), "tp", ["id"], num_buckets=16)
+    batch = spark.createDataFrame([(5, 1), (7, 2)], "id long, v long")
+    touched = read_touched(spark, "tp", batch, ["id"])
+    plan = touched._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [_b" in plan
+    assert len(touched.inputFiles()) == 16      # of the relation; the scan prunes them:
+    scanned = {r[0] for r in touched.select("_metadata.file_path").distinct().collect()}
+    assert 1 <= len(scanned) <= 2
+
+
+def test_deleted_keys_may_empty_a_bucket(spark, warehouse):
+    rows = spark.range(0, 40).select("id", F.col("id").alias("v"))
+    load_or_upsert(rows, "td", ["id"], num_buckets=8)
+    store = TableStore(spark, "td")
+    from lakestar.sources.catalog import bucket_of
+    gone = rows.where(bucket_of(["id"], 8) == 3).select("id")
+    left = load_or_upsert(rows.where("id < 0"), "td", ["id"], delete_keys=gone)
+    assert store.partitions(store.state()["folder"]) == set(range(8)) - {3}
+    assert left.count() == 40 - gone.count()
+    assert load_or_upsert(rows, "td", ["id"]).count() == 40
+
+
+def test_failed_gate_leaves_buckets_as_they_were(spark, warehouse):
+    load_or_upsert(spark.createDataFrame([(1, 1), (2, 2)], "id int, v int"), "tg", ["id"], num_buckets=2)
+    with pytest.raises(ExpectationError):
+        load_or_upsert(spark.createDataFrame([(1, None)], "id int, v int"), "tg", ["id"], expectations=[NotNull("v")])
+    assert sorted(map(tuple, read(spark, "tg").collect())) == [(1, 1), (2, 2)]
+
+
+def test_two_writers_never_give_the_same_key(spark, warehouse):
+    from lakestar.operators import upsert_with_key
+    load_or_upsert(spark.range(0, 10).select("id"), "tw", ["id"], key_col="key", num_buckets=4)
+    store, target = TableStore(spark, "tw"), read(spark, "tw")
+    # both read the same table and number their rows before either writes
+    one = upsert_with_key(target, spark.range(100, 103).select("id"), ["id"], "key", start=store.reserve)
+    two = upsert_with_key(target, spark.range(200, 205).select("id"), ["id"], "key", start=store.reserve)
+    new = [r["key"] for df in (two, one) for r in df.where("id >= 100").collect()]
+    assert sorted(new) == list(range(11, 19))
+    # a writer that died after its reservation leaves a gap only
+    out = load_or_upsert(spark.range(300, 301).select("id"), "tw", ["id"], key_col="key")
+    assert {r["id"]: r["key"] for r in out.collect()}[300] == 19
+
+
+def test_a_state_that_was_never_written_is_passed_over(spark, warehouse, monkeypatch):
+    monkeypatch.setattr("lakestar.sources.catalog.GRACE_S", 0.2)
+    save(spark.range(3), "ts")
+    store = TableStore(spark, "ts")
+    store._fs.create(store._path(f"{store.root}/state/{max(store._states()) + 1:08d}.json"), False).close()
+    assert read(spark, "ts").count() == 3
+    assert store.reserve(2) == 1 and store.reserve(1) == 3 and read(spark, "ts").count() == 3
+
+
+def test_compact_and_vacuum(spark, warehouse):
+    from lakestar.sources import compact, vacuum
+    save(spark.range(0, 10), "tc", mode="append", cursor=7)
     for i in range(3):
-        load_or_upsert(spark.createDataFrame([(i, 1000 + i)], "id int, v long"), "tc", ["id"])
-    store = TableStore(spark, "tc")
-    before = sorted(tuple(r) for r in read(spark, "tc").collect())
-    assert len(store._since_snap()) == 4
+        save(spark.range(100 + i, 101 + i), "tc", mode="append")
+    first = TableStore(spark, "tc").state()["folder"]
     compact(spark, "tc")
-    assert len(store._since_snap()) == 1 and store.bucketing() == (4, ["id"])
-    assert sorted(tuple(r) for r in read(spark, "tc").collect()) == before
-
-
-def test_vacuum_keeps_recent_snapshots(spark, warehouse):
-    from lakestar.sources import vacuum
-    from lakestar.sources.catalog import TableStore
-    for i in range(4):
-        save(spark.range(0, 10 + i), "tv", mode="overwrite")
-    save(spark.range(100, 101), "tv", mode="append")
-    removed = vacuum(spark, "tv", keep_snapshots=2)
-    assert len(removed) == 2
-    assert read(spark, "tv").count() == 14  # live: last snap (13 rows) + the appended row
-    assert [k for _, k, _ in TableStore(spark, "tv")._versions()] == ["snap", "snap", "add"]
+    compact(spark, "tc")
+    assert vacuum(spark, "tc") == [first]
+    assert read(spark, "tc").count() == 13 and TableStore(spark, "tc").cursor() == 7
 
 
 def test_max_key_is_tracked_without_scanning(spark, warehouse):
@@ -147,3 +189,32 @@ def test_sync_keeps_its_cursor_as_state(spark, warehouse):
     sync_incremental(spark, src, "raw_ts", "ts")
     sync_incremental(spark, src, "raw_ts", "ts")  # nothing new
     assert sorted(r["id"] for r in read(spark, "raw_ts").collect()) == [1, 2]
+
+
+def test_late_commits_and_rows_that_arrive_meanwhile_come_once(spark, warehouse, tmp_path):
+    path = str(tmp_path / "src")
+
+    def commit(rows):
+        spark.createDataFrame(rows, "id int, ts int").write.mode("append").parquet(path)
+
+    def source():
+        return spark.read.parquet(path)
+
+    commit([(1, 10), (2, 20), (2, 20), (9, None)])
+    sync_incremental(spark, source(), "raw_l", "ts", lag=15)
+    commit([(3, 12), (4, 20), (5, 30)])                     # below, at and above the cursor
+    sync_incremental(spark, source(), "raw_l", "ts", lag=15)
+    batch, top = incremental_extract(source(), "ts", 30)
+    assert batch.count() == 0 and top == 30
+    commit([(6, 40)])
+    batch, top = incremental_extract(source(), "ts", 30)
+    commit([(7, 50)])                                       # after the cursor was taken
+    assert top == 40 and [r.id for r in incremental_extract(source().where("ts <= 40"), "ts", 30)[0].collect()] == [6]
+    assert "ts#" in batch._jdf.queryExecution().executedPlan().toString() and "LessThanOrEqual(ts,40)" in \
+        batch._jdf.queryExecution().executedPlan().toString()
+    # the rows were appended, but the sync died before it stored its cursor
+    save(source().where("ts = 40"), "raw_l", mode="append")
+    sync_incremental(spark, source(), "raw_l", "ts", lag=15)
+    sync_incremental(spark, source(), "raw_l", "ts", lag=15)
+    assert sorted(((r.id, r.ts) for r in read(spark, "raw_l").collect()), key=str) == sorted(
+        [(1, 10), (2, 20), (2, 20), (9, None), (3, 12), (4, 20), (5, 30), (6, 40), (7, 50)], key=str)
