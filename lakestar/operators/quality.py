@@ -145,6 +145,26 @@ class InSetOf(Expectation):
                      F.count_if(F.col("_ref").isNotNull() & F.col("_hit").isNull()).alias("n_bad"))
 
 
+    def joined(self, df: DataFrame, flag: str) -> tuple[DataFrame, "Expectation"]:
+        """The rows with a flag whether their value is known, and this rule as
+        a row-level one on that flag: it can then be observed in the job that
+        computes the rows, which are scanned once."""
+        ref = self.other.select(F.col(self.other_column).alias(f"{flag}_ref")).distinct().withColumn(flag, F.lit(True))
+        out = df.join(ref, F.col(self.column) == F.col(f"{flag}_ref"), "left").drop(f"{flag}_ref")
+        return out, _Flagged(self, flag)
+
+
+class _Flagged(Expectation):
+    """A reference rule on rows that carry its flag."""
+    row_level = True
+
+    def __init__(self, rule: InSetOf, flag: str):
+        self.rule_name, self.column, self.flag = rule.rule_name, rule.column, flag
+
+    def bad(self) -> Column:
+        return F.col(self.column).isNotNull() & F.col(self.flag).isNull()
+
+
 class InValues(Expectation):
     """Every non-NULL value is one of the given values (a literal set, sized
     by the caller: a rule parameter or a bounded probe of another table)."""

@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from ..functions import assemble_datetimes, rename, sentinel_to_null, try_cast_columns
 from ..operators import check, dense_keys, latest_per_key
-from ..operators.quality import (DistinctEquals, Expectation, ExpectationError, InValues, NotNull,
+from ..operators.quality import (DistinctEquals, Expectation, ExpectationError, InSetOf, InValues, NotNull,
                                 observed_metrics)
 from ..sources import RAW_COL, TableStore, flatten_json, load_or_upsert, read, read_touched, table_exists
 
@@ -91,29 +91,36 @@ def gated_newest(raw: DataFrame, spec: EntitySpec, run_gate: bool = True,
     """Gate the raw rows and reduce them to the latest versions; the result
     is checkpointed.
 
-    One scan of the raw rows does three things: row-level rules are
-    *observed* on the parsed rows, duplicates are reduced to the latest
-    version, and the result is checkpointed to the shared checkpoint folder
-    (lineage cut: later passes do not read the raw JSON again).  Set-level
-    rules run as their own joins.  The gate raises before anything is
-    returned, so nothing unchecked is ever published."""
+    One scan of the raw rows does all of it: reference rules join the known
+    keys to the parsed rows, these and the row-level rules are *observed*,
+    duplicates are reduced to the latest version, and the result is
+    checkpointed to the shared checkpoint folder (lineage cut: later passes do
+    not read the raw JSON again).  Only rules on whole groups (uniqueness) run
+    as jobs of their own.  The gate raises before anything is returned, so
+    nothing unchecked is ever published."""
     flat = flatten(raw, spec)
+    columns = flat.columns
     rules = list(spec.rules) + list(spec.set_rules(flat) if spec.set_rules else []) + list(extra_rules)
-    row_rules = [r for r in rules if r.row_level] if run_gate else []
-    set_rules = [r for r in rules if not r.row_level] if run_gate else []
+    if not run_gate:
+        rules = []
+    for i, rule in enumerate(rules):
+        if isinstance(rule, InSetOf):
+            flat, rules[i] = rule.joined(flat, f"_known{i}")
+    row_rules = [r for r in rules if r.row_level]
+    group_rules = [r for r in rules if not r.row_level]
     observation = None
     if row_rules:
         observation = Observation(f"gate_{spec.name}")
         metrics, finish = observed_metrics(row_rules)
         flat = flat.observe(observation, *metrics)
-    df = newest(flat, spec).checkpoint(eager=True)
+    df = newest(flat.select(*columns), spec).checkpoint(eager=True)
     if observation is not None:
         report = finish(observation.get)
         failed = [r for r in report if not r["success"]]
         if failed:
             raise ExpectationError(failed)
-    if set_rules:
-        check(flatten(raw, spec), set_rules)
+    if group_rules:
+        check(flatten(raw, spec), group_rules)
     return df
 
 

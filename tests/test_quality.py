@@ -42,3 +42,29 @@ def test_enforce_passes_clean_data(spark):
     df = spark.createDataFrame([(1,)], "id int")
     report = check(df, [NotNull("id")])
     assert report[0]["success"] is True
+
+
+def test_a_gated_silver_job_scans_its_raw_rows_once(spark):
+    from pyspark.sql import types as T
+    from lakestar.operators import ExpectationError, InSetOf, NotNull
+    from lakestar.plans.entities import EntitySpec, gated_newest
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("status", T.StringType()),
+                           T.StructField("updated_at", T.LongType())])
+    rows = [f'{{"id": {i % 40}, "status": "s{i % 3}", "updated_at": {i}}}' for i in range(120)] + ['{"id": 99, "updated_at": 1}']
+    scanned = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            scanned.add(len(batch))
+            yield batch
+
+    raw = spark.createDataFrame([(r,) for r in rows], "_raw string").mapInPandas(count, "_raw string")
+    spec = EntitySpec("t_once", schema, ["id"], rules=[NotNull("id")])
+    known = spark.createDataFrame([("s0",), ("s1",), ("s2",), ("s2",), (None,)], "name string")
+    out = gated_newest(raw, spec, extra_rules=[InSetOf("status", known, "name")])
+    assert sorted(r.id for r in out.collect()) == [*range(40), 99] and scanned.value == len(rows)
+    assert set(out.columns) == {"id", "status", "updated_at", "_raw_hash"}
+    with pytest.raises(ExpectationError) as e:
+        gated_newest(raw, spec, extra_rules=[InSetOf("status", known.where("name <> 's1'"), "name")])
+    assert [(f["rule_name"], f["column"], f["n_bad"], f["n_rows"]) for f in e.value.failed] == [("in_set_of", "status", 40, 121)]
+    assert scanned.value == 2 * len(rows)
