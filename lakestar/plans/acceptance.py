@@ -15,7 +15,7 @@ from ..operators import (DistinctEquals, ExpectationError, InSetOf, LengthBetwee
                          incident_counts, latest_per_key, season_totals, standings, top_k,
                          upsert, upsert_with_key)
 from ..session import scratch_path
-from ..sources import (TableStore, ensure_table, flatten_json, full_refresh, incremental_extract, load_or_upsert, pack_json, read,
+from ..sources import (TableStore, ensure_table, flatten_json, full_refresh, incremental_extract, load_checked, load_or_upsert, pack_json, read,
                        register, save, scan, sql_with_registry)
 from ..sources.extract import sync_incremental
 from . import racing
@@ -531,6 +531,22 @@ def q_upsert_partitions(spark, sf_dir):
     return out.withColumn("few_written", F.lit(new.count() <= batch.count()))
 
 
+def q_bronze_quarantine(spark, sf_dir):
+    """Every eleventh payload is cut off, every thirteenth has a price that is
+    no number, every seventeenth is missing: both tables of one parse."""
+    key = F.col("o_orderkey")
+    schema = T.StructType([T.StructField("o_orderkey", T.LongType()), T.StructField("o_custkey", T.LongType()),
+                           T.StructField("o_totalprice", T.DoubleType())])
+    text = F.col("_raw")
+    raw = pack_json(_t(spark, sf_dir, "orders"), {c: c for c in schema.names}, keep=["o_orderkey"]).withColumn(
+        "_raw", F.when(key % 11 == 0, F.substring(text, 1, 14)).when(
+            key % 13 == 0, F.regexp_replace(text, '"o_totalprice":[^}]*', '"o_totalprice":"n/a"'))
+        .when(key % 17 != 0, text))
+    typed, bad = load_checked(raw, schema, _fresh_table(spark, "orders_checked"), max_share=0.3)
+    return typed.withColumns({"reason": F.lit(None).cast("string"), "n": F.lit(1).cast("long")}).unionByName(
+        bad.groupBy("reason").agg(F.sum("n").alias("n")), allowMissingColumns=True)
+
+
 def q_hash_key_multi(spark, sf_dir):
     c = _t(spark, sf_dir, "customer")
     segment = F.when(F.col("c_custkey") % 3 == 0, F.lit(None)).when(F.col("c_custkey") % 3 == 1, F.lit("")) \

@@ -32,6 +32,7 @@ RAW = {
     "full_refresh": "select n_nationkey, n_name, n_regionkey from nation",
     "save_roundtrip": "select p_partkey, p_name, p_size from part",
     "load_or_upsert": "select s_suppkey, s_name from supplier",
+    "bronze_quarantine": "select o_orderkey, o_custkey, o_totalprice, cast(null as {STR}) as reason, 1::bigint as n from orders where o_orderkey % 11 <> 0 and o_orderkey % 13 <> 0 and o_orderkey % 17 <> 0 union all select null, null, null, reason, count(*) from (select case when o_orderkey % 11 = 0 then 'malformed' when o_orderkey % 13 = 0 then 'mistyped' else 'missing' end as reason from orders where o_orderkey % 11 = 0 or o_orderkey % 13 = 0 or o_orderkey % 17 = 0) group by reason",
     "incremental_late_commit": "select event_id, ts, user_id from events",
     "upsert_two_writers": "select count(*) as n_rows, count(*) as n_keys, 1 as low, count(*) as high, cast(sum(case when s_suppkey % 3 = 0 then 1 else 0 end) as bigint) as n_old from supplier",
     "upsert_partitions": "select o_orderkey, o_custkey, case when o_orderkey <= 8 then o_totalprice + 1 else o_totalprice end as o_totalprice, true as few_written from orders",
