@@ -292,3 +292,54 @@ def test_native_plans_have_no_python(make):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert not re.search("Python|Pandas|Arrow", plan)
         assert F is not None
+
+
+# ---- secrets: candidates, planted findings, the forest against the pattern ----------
+
+def test_values_of_secret_names_are_candidates_of_any_length_and_alphabet(make):
+    rows = [(1, 'password = "hunter2"'), (2, "api_key: 'Tr0ub4dor&3.x!' end"), (3, 'secret: "P@ssw0rd!2024#abcdefghij"'),
+            (4, "the password was reset"), (5, "pwd=a1;user=x"), (6, "x 0123456789abcdef0 y"), (7, None), (8, "")]
+    got = {r.doc_id: (r.candidate, r.before[-4:], r.after[:1]) for r in
+           secret_scan.candidates(make("doc_id long, text string", rows)).collect()}
+    assert got == {1: ("hunter2", '= "', '"')[:1] + (' = "', '"'), 2: ("Tr0ub4dor&3.x!", "y: '", "'"),
+                   3: ("P@ssw0rd!2024#abcdefghij", 't: "', '"'), 5: ("a1", "pwd=", ";"), 6: ("0123456789abcdef0", "x ", " ")}
+
+
+def test_forest_beats_the_pattern_on_held_out_findings(make):
+    rng = random.Random(9)
+    vocabulary = ["the", "garden", "königlich", "report", "niñosque", "ouverture", "windows", "trans", "mission", "alpha"]
+    df = make("doc_id long, text string", [(i, " ".join(rng.choices(vocabulary, k=30)) + f" {i}") for i in range(200)])
+    described = secret_scan.features(secret_scan.planted(df)).checkpoint()
+    assert described.count() > 5_000 and described.select("label").distinct().count() == 2
+    held_out = F.pmod(F.xxhash64("candidate", "before"), F.lit(5)) == 0
+    forest = secret_scan.train(described.where(~held_out))
+    judged = secret_scan.judge(described.where(held_out), forest).select(
+        "label", "candidate", (F.col("score") >= 0.5).alias("forest"), secret_scan.by_pattern(described).alias("pattern")).collect()
+
+    def figures(which):
+        hit = sum(r[which] and r.label == 1 for r in judged)
+        return hit / max(1, sum(r[which] for r in judged)), hit / sum(r.label for r in judged)
+
+    (precision, recall), (pattern_precision, _) = figures("forest"), figures("pattern")
+    print("forest", precision, recall, "pattern", figures("pattern"))
+    assert precision > 0.95 and recall > 0.9 and pattern_precision < 0.9
+    # values set to a secret's name that the forest overrules
+    assert any(r.pattern and not r.forest and "your-" in r.candidate for r in judged)
+    docs = [(1, 'token = "your-garden-token-here"'), (2, f'token = "{"4f9ac1d07be2" * 3}a1"'), (3, f"commit {'4f9ac1d07be2' * 3}a1")]
+    found = {r.doc_id: r.secret for r in secret_scan.scan(make("doc_id long, text string", docs), described.select(
+        "candidate", "before", "after", "label")).collect()}
+    assert found == {1: False, 2: True, 3: False}
+
+
+def test_features_equal_brute_force(make):
+    rows = [("aB3-xyz/the9", "my token = \"", "\" x"), ("4444444444444444", "commit ", ""), ("the/and/ing", "see /", "")]
+    got = secret_scan.features(make("candidate string, before string, after string", rows)).collect()
+    for r, (c, before, after) in zip(got, rows):
+        n = len(c)
+        assert r.length == n and abs(r.digits - sum(x.isdigit() for x in c) / n) < 1e-12
+        assert abs(r.letters - sum(x.isalpha() for x in c) / n) < 1e-12 and abs(r.uppers - sum(x.isupper() for x in c) / n) < 1e-12
+        kinds = ["d" if x.isdigit() else "u" if x.isupper() else "l" if x.isalpha() else " " for x in c]
+        assert abs(r.transitions - sum(a != b and " " not in (a, b) for a, b in zip(kinds, kinds[1:])) / n) < 1e-12
+        assert abs(r.distinct - len(set(c.lower())) / min(n, 36)) < 1 / 12 and r.slashes == c.count("/")
+        assert r.quoted == (before[-1:] == '"' and after[:1] == '"') and r.path_before == before.endswith("/")
+        assert r.secret_word == ("token" in before) and r.harmless_word == ("commit" in before)
