@@ -15,8 +15,8 @@ from ..operators import (DistinctEquals, ExpectationError, InSetOf, LengthBetwee
                          incident_counts, latest_per_key, season_totals, standings, top_k,
                          upsert, upsert_with_key)
 from ..session import scratch_path
-from ..sources import (TableStore, ensure_table, flatten_json, full_refresh, incremental_extract, load_checked, load_or_upsert, pack_json, read,
-                       register, save, scan, sql_with_registry)
+from ..sources import (RAW_COL, TableStore, ensure_table, flatten_json, full_refresh, incremental_extract, load_checked, load_or_upsert, pack_json, read,
+                       register, save, scan, sql_with_registry, touched_buckets)
 from ..sources.extract import sync_incremental
 from . import racing
 from .entities import silver_frame, silver_job
@@ -471,6 +471,40 @@ def q_racing_report(spark, sf_dir):
         "position_order", "points", "laps", "milliseconds"))
 
 
+def q_racing_refresh(spark, sf_dir):
+    """C12-C14, a refresh in proportion to its batch: the first run lacks the
+    last orders' results, every 40th customer, and has an old name of a nation;
+    the second brings them.  Rows of the report, and how many of the results'
+    blocks the new results alone touch."""
+    bronze = _racing_bronze(spark, sf_dir)
+    top = _t(spark, sf_dir, "orders").agg(F.max("o_orderkey")).first()[0]
+    block = max(top * 10 // 64, 1)          # result ids are order and line
+    payload = {"race_result": "bigint", "sprint_result": "bigint", "driver": "int", "circuit": "int"}
+    ids = {e: F.get_json_object(RAW_COL, f"$.{k}").cast(payload[e]) for e, k in
+           {"race_result": "resultid", "sprint_result": "sprintresultid", "driver": "driverid", "circuit": "circuitid"}.items()}
+    late = {"race_result": ids["race_result"] > top * 9.9, "sprint_result": ids["sprint_result"] > top * 9.9,
+            "driver": ids["driver"] % 40 == 0, "circuit": F.lit(False)}
+
+    def stamped(df, when):
+        return df.withColumn("_ingested_at", F.lit(when).cast("timestamp"))
+
+    first = {e: stamped(df.where(~late[e]) if e in late else df, "2024-02-01 00:00:00") for e, df in bronze.items()}
+    old = F.when(ids["circuit"] == 3, F.regexp_replace(F.regexp_replace(RAW_COL, '"name":"[^"]*"', '"name":"old"'),
+                                                       "2024-01-02", "2023-01-02")).otherwise(F.col(RAW_COL))
+    first["circuit"] = first["circuit"].withColumn(RAW_COL, old)
+    second = {e: df.unionByName(stamped(bronze[e].where(late[e] if e != "circuit" else ids[e] == 3), "2024-02-02 00:00:00"))
+              if e in late else df for e, df in first.items()}
+
+    def run():
+        racing.run(spark, first, _SEASONS, incremental=True, num_buckets=8, block_rows=block)
+        news = second["race_result"].where(late["race_result"]).select(ids["race_result"].alias("id"))
+        share = len(touched_buckets(spark, "silver_race_result", news, ["id"])) / 64
+        return racing.run(spark, second, _SEASONS, incremental=True)["report_result"].select(
+            "result_key", "race_type", "race_name", "circuit_name", "driver_fullname", "constructor_name", "status_name",
+            "points", F.lit(share < 0.1).alias("few_blocks"))
+    return _own_warehouse(spark, run)
+
+
 def q_incremental_ties(spark, sf_dir):
     """Two syncs whose cursor, a day, many rows share: rows of the last day
     that arrive later are not lost."""

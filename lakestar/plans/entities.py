@@ -166,7 +166,8 @@ def versions_table(name: str) -> str:
     return f"{name}__versions"
 
 
-def _newer_only(latest: DataFrame, spec: EntitySpec, name: str, num_buckets: int | None) -> DataFrame:
+def _newer_only(latest: DataFrame, spec: EntitySpec, name: str, num_buckets: int | None,
+                block_rows: int | None = None) -> DataFrame:
     """The rows that are at least as new as what was seen of their key
     before; their versions are stored first, so a run that died after that
     accepts the same rows again."""
@@ -178,7 +179,8 @@ def _newer_only(latest: DataFrame, spec: EntitySpec, name: str, num_buckets: int
         known = read_touched(latest.sparkSession, store, rows, keys).withColumnRenamed(VERSION, "_known")
         rows = rows.join(known, keys, "left").where(F.col("_known").isNull() | (F.col(VERSION) >= F.col("_known"))) \
             .drop("_known").checkpoint(eager=True)
-    load_or_upsert(rows.select(*keys, VERSION), store, keys, num_buckets=num_buckets, validate=False)
+    load_or_upsert(rows.select(*keys, VERSION), store, keys, num_buckets=num_buckets, validate=False,
+                   block_rows=block_rows)
     return rows.drop(VERSION)
 
 
@@ -191,7 +193,7 @@ def silver_job(raw: DataFrame, spec: EntitySpec, *args, **options) -> DataFrame:
 def stage_silver(raw: DataFrame, spec: EntitySpec, table: str | None = None,
                  run_gate: bool = True, extra_rules: Sequence[Expectation] = (),
                  incremental: bool = False, num_buckets: int | None = None, ingest_lag_s: int = 0,
-                 shared: SharedNewest | None = None) -> Callable[[], DataFrame]:
+                 shared: SharedNewest | None = None, block_rows: int | None = None) -> Callable[[], DataFrame]:
     """Gate and refine a silver refresh.  The step that is returned publishes
     it: create on the first load or upsert keeping surrogate keys (S10 + M4);
     a layer whose jobs are all staged before any is published keeps its old
@@ -200,7 +202,8 @@ def stage_silver(raw: DataFrame, spec: EntitySpec, table: str | None = None,
     ``incremental=True`` reads only raw rows whose ``_ingested_at`` is after
     the cursor stored with the table's last version (a pushed-down Parquet
     filter, no JSON parsed for old rows), and with ``num_buckets`` the
-    upsert rewrites only the key buckets those rows touch.  A batch may hold
+    upsert rewrites only the key buckets those rows touch (``block_rows``:
+    blocks of consecutive natural keys).  A batch may hold
     older versions than the table: per key, the newest of all versions seen
     wins, whatever the order they arrive in, and an older version neither
     updates nor deletes.  If writers can publish raw rows later than they
@@ -244,14 +247,14 @@ def stage_silver(raw: DataFrame, spec: EntitySpec, table: str | None = None,
     def publish() -> DataFrame:
         accepted, delete_keys = latest, None
         if incremental:
-            accepted = _newer_only(latest, spec, name, num_buckets)
+            accepted = _newer_only(latest, spec, name, num_buckets, block_rows)
             if spec.after_dedup is not None:
                 # a key whose newest version no longer passes this table's filter
                 # (e.g. a result that moved to the other result table) must leave it
                 delete_keys = accepted.select(*[F.col(k).alias(spec.renames.get(k, k)) for k in spec.natural_key])
         return load_or_upsert(clean(accepted, spec), name, spec.key_order, key_col=spec.key_col,
                               num_buckets=num_buckets, cursor=cursor, delete_keys=delete_keys,
-                              validate=not gated_keys)
+                              validate=not gated_keys, block_rows=block_rows)
     return publish
 
 

@@ -93,6 +93,7 @@ RAW = {
     "racing_silver_race": "select row_number() over (order by o_orderkey) as race_key, o_orderkey as race_id, c_nationkey + 1 as circuit_id, year(o_orderdate) as year, o_orderkey % 20 as round, cast(cast(o_orderdate as date) as timestamp) + case when o_orderkey % 7 = 0 then interval 0 second else interval 45296 second end as datetime, case when (o_orderkey + 0) % 2 = 0 then cast(cast(o_orderdate as date) - 0 as timestamp) + case when o_orderkey % 7 = 0 then interval 0 second else interval 45296 second end end as fp1_datetime, case when (o_orderkey + 1) % 2 = 0 then cast(cast(o_orderdate as date) - 1 as timestamp) + case when o_orderkey % 7 = 0 then interval 0 second else interval 45296 second end end as fp2_datetime, case when (o_orderkey + 2) % 2 = 0 then cast(cast(o_orderdate as date) - 2 as timestamp) + case when o_orderkey % 7 = 0 then interval 0 second else interval 45296 second end end as fp3_datetime, case when (o_orderkey + 3) % 2 = 0 then cast(cast(o_orderdate as date) - 3 as timestamp) + case when o_orderkey % 7 = 0 then interval 0 second else interval 45296 second end end as quali_datetime, case when (o_orderkey + 4) % 2 = 0 then cast(cast(o_orderdate as date) - 4 as timestamp) + case when o_orderkey % 7 = 0 then interval 0 second else interval 45296 second end end as sprint_datetime from orders join customer on o_custkey = c_custkey",
     "racing_silver_result": "select row_number() over (order by rid) as race_result_key, rid as race_result_id, case when rid % 7 = 0 then null else l_linenumber end as car_number, case when rid % 7 = 0 then null else l_linenumber end as position, cast(l_quantity as integer) as laps, case when rid % 7 = 0 then null else l_partkey * 10000000000 end as milliseconds, case when rid % 7 = 0 then null else l_linenumber end as fastest_lap_rank, case when rid % 7 = 0 then null else l_extendedprice end as fastest_lap_speed from (select *, l_orderkey * 10 + l_linenumber as rid from {LATEST} x where l_linestatus = 'F') y",
     "racing_report": "select row_number() over (partition by l_linestatus order by rid) as result_key, case l_linestatus when 'F' then 'full_race' else 'sprint' end as race_type, o_orderpriority as race_name, year(o_orderdate) as race_year, cast(o_orderdate as date) as race_date, n_name as circuit_name, r_name as circuit_country, n_nationkey - 10.5 as circuit_lat, case when n_nationkey % 7 = 0 then null else n_regionkey end as circuit_alt, c_name as driver_ref, case when c_custkey % 7 = 0 then null else c_nationkey end as driver_number, concat(c_mktsegment, ' ', c_name) as driver_fullname, s_name as constructor_name, concat('status ', case l_returnflag when 'A' then 1 when 'N' then 2 else 3 end) as status_name, l_linenumber as position_order, l_quantity as points, cast(l_quantity as integer) as laps, case when rid % 7 = 0 then null else l_partkey * 10000000000 end as milliseconds from (select *, l_orderkey * 10 + l_linenumber as rid from {LATEST} x) y join orders on l_orderkey = o_orderkey join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey join supplier on l_suppkey = s_suppkey",
+    "racing_refresh": "select row_number() over (partition by l_linestatus order by rid) as result_key, case l_linestatus when 'F' then 'full_race' else 'sprint' end as race_type, o_orderpriority as race_name, n_name as circuit_name, concat(c_mktsegment, ' ', c_name) as driver_fullname, s_name as constructor_name, concat('status ', case l_returnflag when 'A' then 1 when 'N' then 2 else 3 end) as status_name, l_quantity as points, true as few_blocks from (select *, l_orderkey * 10 + l_linenumber as rid from {LATEST} x) y join orders on l_orderkey = o_orderkey join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey join supplier on l_suppkey = s_suppkey",
     # The refreshed table must equal the latest event per (user, type)
     "stream_refresh": "select user_id, event_type, event_id, value from (select *, row_number() over (partition by user_id, event_type order by ts desc, event_id desc) as rn from events) q where rn = 1",
 }

@@ -4,11 +4,11 @@ partitioned tables behind the name registry."""
 from .raw import RAW_COL, flatten_checked, flatten_json, load_checked, pack_json
 from .scan import scan
 from .extract import full_refresh, incremental_extract, jdbc_source
-from .catalog import (TableStore, compact, ensure_table, load_or_upsert, read, read_touched, register, replace_buckets, replace_table,
-                      save, sql_with_registry, table_exists, vacuum)
+from .catalog import (TableStore, compact, ensure_table, load_or_upsert, read, read_buckets, read_touched, register, replace_buckets, replace_table,
+                      save, sql_with_registry, table_exists, touched_buckets, vacuum)
 
 __all__ = [
     "RAW_COL", "scan", "flatten_checked", "flatten_json", "load_checked", "pack_json", "full_refresh", "incremental_extract",
-    "jdbc_source", "TableStore", "compact", "ensure_table", "load_or_upsert", "read", "read_touched", "register", "replace_buckets", "replace_table",
-    "save", "sql_with_registry", "table_exists", "vacuum",
+    "jdbc_source", "TableStore", "compact", "ensure_table", "load_or_upsert", "read", "read_buckets", "read_touched", "register", "replace_buckets", "replace_table",
+    "save", "sql_with_registry", "table_exists", "touched_buckets", "vacuum",
 ]

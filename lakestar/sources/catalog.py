@@ -45,8 +45,12 @@ GRACE_S = 10                    # after which an empty state counts as abandoned
 _STATE_RE = re.compile(r"^(\d{8})\.json$")
 
 
-def bucket_of(keys: Sequence[str], num_buckets: int):
-    """Pure function of the key values: stable across runs and versions."""
+def bucket_of(keys: Sequence[str], num_buckets: int, block_rows: int | None = None):
+    """Pure function of the key values: stable across runs and versions.  With
+    ``block_rows`` a bucket is a block of that many consecutive values of the
+    (single, integer) key, so new keys come into new buckets."""
+    if block_rows:
+        return F.coalesce(F.floor(F.col(keys[0]).cast("long") / F.lit(block_rows)), F.lit(0)).cast("int")
     return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(num_buckets)).cast("int")
 
 
@@ -133,6 +137,12 @@ class TableStore:
         state = self.state()
         return (state["buckets"], state["keys"]) if state.get("keys") else None
 
+    def bucket(self, columns: Sequence[str] | None = None):
+        """Bucket of a row, by the table's key columns or by columns of other
+        names that hold their values."""
+        state = self.state()
+        return bucket_of(columns or state["keys"], state["buckets"], state.get("block_rows"))
+
     def folder(self) -> str:
         return f"{self.root}/{self.state()['folder']}"
 
@@ -167,12 +177,19 @@ def read(spark: SparkSession, name: str, schema: T.StructType | None = None) ->
     return df
 
 
-def _touched(batch: DataFrame, keys: Sequence[str], n: int) -> list[int]:
-    return sorted(r.b for r in batch.select(bucket_of(keys, n).alias("b")).distinct().collect())
+def touched_buckets(spark: SparkSession, name: str, batch: DataFrame, batch_keys: Sequence[str] | None = None) -> list[int]:
+    """The buckets of a table that a batch touches, ascending: at most as many
+    as there are buckets reach the driver.  A table without key buckets is one
+    bucket, 0."""
+    store = TableStore(spark, name)
+    if store.bucketing() is None:
+        return [0]
+    return sorted(r.b for r in batch.select(store.bucket(batch_keys).alias("b")).distinct().collect())
 
 
-def _in_buckets(store: TableStore, touched: Sequence[int]) -> DataFrame:
-    return store.rows().where(F.col(BUCKET_COL).isin(list(touched))).drop(BUCKET_COL)
+def read_buckets(spark: SparkSession, name: str, buckets: Sequence[int]) -> DataFrame:
+    """The rows in these buckets; Spark lists and reads no other partition."""
+    return TableStore(spark, name).rows().where(F.col(BUCKET_COL).isin(list(buckets))).drop(BUCKET_COL)
 
 
 def read_touched(spark: SparkSession, name: str, batch: DataFrame, keys: Sequence[str],
@@ -184,14 +201,16 @@ def read_touched(spark: SparkSession, name: str, batch: DataFrame, keys: Sequenc
     bucketing = store.bucketing()
     if bucketing is None or bucketing[1] != list(keys):
         return read(spark, name)
-    return _in_buckets(store, _touched(batch, batch_keys or keys, bucketing[0]))
+    return read_buckets(spark, name, touched_buckets(spark, name, batch, batch_keys or keys))
 
 
-def replace_table(df: DataFrame, name: str, keys: Sequence[str], num_buckets: int | None = None) -> DataFrame:
+def replace_table(df: DataFrame, name: str, keys: Sequence[str], num_buckets: int | None = None,
+                  block_rows: int | None = None) -> DataFrame:
     """A full rebuild: ``df`` becomes the whole table, without comparing it
-    with the old one."""
-    save(df, name, mode="overwrite", sort_by=[] if num_buckets else list(keys),
-         bucket_by=list(keys) if num_buckets else [], num_buckets=num_buckets)
+    with the old one.  Blocks are of the first key."""
+    bucket_by = list(keys[:1]) if block_rows else list(keys) if num_buckets else []
+    save(df, name, mode="overwrite", sort_by=[] if bucket_by else list(keys), bucket_by=bucket_by,
+         num_buckets=num_buckets, block_rows=block_rows)
     return read(df.sparkSession, name)
 
 
@@ -211,10 +230,12 @@ def _conform(df: DataFrame, schema: T.StructType | None) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-def _dealt(df: DataFrame, keys: Sequence[str], n: int, touched: Sequence[int] | None = None) -> DataFrame:
-    """Rows with their bucket, one task for each bucket (of those touched)."""
-    out = df.withColumn(BUCKET_COL, bucket_of(keys, n))
-    task = F.col(BUCKET_COL)
+def _dealt(df: DataFrame, keys: Sequence[str], n: int, touched: Sequence[int] | None = None,
+           block_rows: int | None = None) -> DataFrame:
+    """Rows with their bucket, one task for each bucket (of those touched).
+    Blocks of keys are dealt to ``n`` tasks in turn."""
+    out = df.withColumn(BUCKET_COL, bucket_of(keys, n, block_rows))
+    task = F.pmod(F.col(BUCKET_COL), F.lit(n)) if block_rows else F.col(BUCKET_COL)
     if touched is not None:
         n, task = max(len(touched), 1), F.array_position(F.lit(list(touched)).cast("array<int>"), task).cast("int") - 1
     return out.repartitionById(n, task).sortWithinPartitions(BUCKET_COL, *keys)
@@ -239,7 +260,7 @@ def _write(df: DataFrame, path: str, expectations: Sequence = (), mode: str = "a
 
 def save(df: DataFrame, name: str, mode: str = "overwrite", schema: T.StructType | None = None,
          sort_by: Sequence[str] = (), expectations: Sequence = (), bucket_by: Sequence[str] = (),
-         num_buckets: int | None = None, cursor: int | None = None) -> str:
+         num_buckets: int | None = None, cursor: int | None = None, block_rows: int | None = None) -> str:
     """Write ``df`` as table ``name``.
 
     ``mode='overwrite'`` writes a new folder and makes it the table's;
@@ -247,7 +268,8 @@ def save(df: DataFrame, name: str, mode: str = "overwrite", schema: T.StructType
     ``sort_by`` range-partitions and sorts inside partitions (file locality
     without a single-task sort).  ``bucket_by``/``num_buckets`` store the table
     in hash buckets of its key (one shuffle, one task per bucket, sorted by key
-    inside).  Row-level ``expectations`` (not-null, between, length) are
+    inside); with ``block_rows`` these are blocks of consecutive integer keys,
+    as many as the keys need.  Row-level ``expectations`` (not-null, between, length) are
     observed during the write; if one fails nothing is published and
     :class:`~lakestar.operators.quality.ExpectationError` is raised."""
     spark = df.sparkSession
@@ -261,7 +283,7 @@ def save(df: DataFrame, name: str, mode: str = "overwrite", schema: T.StructType
         out = out.select(*[F.col(c) for c in T.StructType.fromJson(store.state()["schema"]).names])
     n = int(num_buckets or spark.conf.get("spark.sql.shuffle.partitions")) if bucket_by else 1
     if bucket_by:
-        out = _dealt(out, bucket_by, n)
+        out = _dealt(out, bucket_by, n, block_rows=block_rows)
     else:
         if sort_by:
             out = out.repartitionByRange(*sort_by).sortWithinPartitions(*sort_by)
@@ -279,15 +301,17 @@ def save(df: DataFrame, name: str, mode: str = "overwrite", schema: T.StructType
         return store.folder()
     kept = {} if cursor is None else {"cursor": int(cursor)}
     store.update(lambda s: s | kept | {"folder": folder, "previous": s.get("folder"), "buckets": n, "keys": list(bucket_by),
-                                       "schema": T.StructType([f for f in columns]).jsonValue()})
+                                       "block_rows": block_rows, "schema": T.StructType([f for f in columns]).jsonValue()})
     return store.folder()
 
 
 def compact(spark: SparkSession, name: str) -> str:
     """Write the table anew with the same buckets and cursor: many small
     appended files become few."""
-    n, keys = TableStore(spark, name).bucketing() or (None, [])
-    return save(read(spark, name), name, mode="overwrite", bucket_by=keys, num_buckets=n)
+    store = TableStore(spark, name)
+    n, keys = store.bucketing() or (None, [])
+    return save(read(spark, name), name, mode="overwrite", bucket_by=keys, num_buckets=n,
+                block_rows=store.state().get("block_rows"))
 
 
 def vacuum(spark: SparkSession, name: str) -> list[str]:
@@ -318,7 +342,7 @@ def replace_buckets(df: DataFrame, name: str, touched: Sequence[int], cursor: in
     store = TableStore(spark, name)
     state = store.state()
     out = df.select(*T.StructType.fromJson(state["schema"]).names)
-    out = _dealt(out, state["keys"], state["buckets"], touched) if state["keys"] else out.withColumn(BUCKET_COL, F.lit(0))
+    out = _dealt(out, state["keys"], state["buckets"], touched, state.get("block_rows")) if state["keys"] else out.withColumn(BUCKET_COL, F.lit(0))
     if expectations or may_empty:
         staged = f"staged-{uuid.uuid4().hex[:12]}"
         _write(out, f"{store.root}/{staged}", expectations)
@@ -344,11 +368,12 @@ def load_or_upsert(df: DataFrame, name: str, keys: Sequence[str],
                    insert_cols: Sequence[str] | None = None,
                    expectations: Sequence = (), num_buckets: int | None = None,
                    cursor: int | None = None, delete_keys: DataFrame | None = None,
-                   validate: bool = True) -> DataFrame:
+                   validate: bool = True, block_rows: int | None = None) -> DataFrame:
     """Create the table on first load (with dense surrogate keys when
     ``key_col`` is given), otherwise upsert into it.  With ``num_buckets`` the
     table is stored in key buckets, and an upsert reads and rewrites only the
-    buckets the batch touches.  New surrogate keys are reserved before anything
+    buckets the batch touches; ``block_rows`` makes these blocks of the first
+    key.  New surrogate keys are reserved before anything
     is written.  Returns the published table."""
     from ..operators.keys import dense_keys
     from ..operators.upsert import upsert, upsert_with_key
@@ -364,17 +389,17 @@ def load_or_upsert(df: DataFrame, name: str, keys: Sequence[str],
             out = out.select(key_col, *[c for c in out.columns if c != key_col])
             sort_by = []
         save(out, name, mode="overwrite", schema=schema, sort_by=sort_by, expectations=expectations,
-             bucket_by=list(keys) if num_buckets else [], num_buckets=num_buckets, cursor=cursor)
+             bucket_by=list(keys[:1]) if block_rows else list(keys) if num_buckets else [], num_buckets=num_buckets,
+             cursor=cursor, block_rows=block_rows)
         return read(spark, name)
 
     bucketing = store.bucketing()
     if bucketing is None:
         touched, target = [0], read(spark, name)
     else:
-        n, bkeys = bucketing
         gone = df.select(*keys) if delete_keys is None else df.select(*keys).unionByName(delete_keys.select(*keys))
-        touched = _touched(gone, bkeys, n)
-        target = _in_buckets(store, touched)
+        touched = touched_buckets(spark, name, gone)
+        target = read_buckets(spark, name, touched)
     if key_col:
         merged = upsert_with_key(target, df, keys, key_col, delete_keys=delete_keys, validate=validate, start=store.reserve)
     else:

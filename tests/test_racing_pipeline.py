@@ -213,3 +213,77 @@ def test_incremental_bucketed_refresh_equals_full(spark, warehouse):
     assert got.exceptAll(full).count() == 0 and full.exceptAll(got).count() == 0
     assert got.where("circuit_name = 'Monza Nuova'").count() == 5
     assert got.where("points = 26.0").count() == 1
+
+
+def test_refresh_reads_only_the_blocks_of_its_batch(spark, warehouse):
+    """Files of blocks that the batch does not touch are made unreadable: the
+    refresh ends without them, and what it leaves equals a rebuild."""
+    import glob
+
+    from lakestar.sources.catalog import TableStore
+
+    def stamped(rows, day):
+        return {k: raw(spark, v).withColumn("_ingested_at", F.lit(f"2024-02-0{day} 00:00:00").cast("timestamp"))
+                for k, v in rows.items() if v}
+
+    def more(result, n, race, driver):
+        return dict(result, resultid=n, raceid=race, driverid=driver)
+
+    rows = batch1()
+    kept = rows["race_result"]
+    # driver 1 in results 1 to 400 of race 1, driver 2 in 401 to 800 of race 2
+    rows["race_result"] = [more(kept[0], n, 1 if n <= 400 else 2, 1 if n <= 400 else 2) for n in range(1, 801)]
+    first = stamped(rows, 1)
+    racing.run(spark, first, seasons=[2022, 2023], incremental=True, num_buckets=2, block_rows=10)
+    news = stamped({"race_result": [more(kept[0], 801, 3, 1), dict(kept[0], resultid=400, points=1.0, updated_at=T2),
+                                    dict(kept[0], resultid=399, driverid=77, updated_at=T2)],
+                    "status": [{"statusid": 9, "status": "Retired", "updated_at": T2}]}, 2)
+    second = {k: df.unionByName(news[k]) if k in news else df for k, df in first.items()}
+    # ids 399, 400, 801 lie in blocks 39, 40 and 80
+    hidden = {}
+    for name in ("silver_race_result", "gold_fct_race_result", "gold_report_result"):
+        for path in glob.glob(f"{TableStore(spark, name).folder()}/_b=*/part-*"):
+            if int(path.split("_b=")[1].split("/")[0]) not in (39, 40, 80, 0 if "report" in name else -1):
+                hidden[path] = open(path, "rb").read()
+                crc = path.replace("part-", ".part-") + ".crc"
+                hidden[crc] = open(crc, "rb").read()
+                open(path, "wb").write(b"unreadable")
+    assert len(hidden) > 4 * 70
+    try:
+        racing.run(spark, second, seasons=[2022, 2023], incremental=True)
+    finally:
+        for path, data in hidden.items():
+            open(path, "wb").write(data)
+    sv = {e: read(spark, f"silver_{e}") for e in racing.specs(None)}
+    full = racing.report(racing.fct_race_result(sv), racing.fct_sprint_result(sv),
+                         racing.dim_race(sv["race"], sv["circuit"]), racing.dim_driver(sv["driver"]),
+                         racing.dim_constructor(sv["constructor"]), racing.dim_status(sv["status"]))
+    got = read(spark, "gold_report_result")
+    assert got.exceptAll(full).count() == 0 and full.exceptAll(got).count() == 0
+    # 399 now refers to an unknown driver and is gone
+    assert got.where("race_type = 'full_race'").count() == 800
+    # a changed driver reads the blocks that show it: those of driver 2 stay hidden
+    late = stamped({"driver": [dict(rows["driver"][0], forename="Sir Lewis", updated_at=T2)]}, 3)
+    for path in [p for p in hidden if p.endswith(".parquet") and "versions" not in p
+                 and 41 <= int(p.split("_b=")[1].split("/")[0]) <= 79]:
+        open(path, "wb").write(b"unreadable")
+    third = {k: df.unionByName(late[k]) if k in late else df for k, df in second.items()}
+    racing.run(spark, third, seasons=[2022, 2023], incremental=True)
+    for path, data in hidden.items():
+        if 41 <= int(path.split("_b=")[1].split("/")[0]) <= 79:
+            open(path, "wb").write(data)
+    assert read(spark, "gold_report_result").where("driver_fullname = 'Sir Lewis Hamilton'").count() == 401
+
+
+def test_gold_makes_up_for_a_run_that_died_after_silver(spark, warehouse):
+    def stamped(rows, day):
+        return {k: raw(spark, v).withColumn("_ingested_at", F.lit(f"2024-02-0{day} 00:00:00").cast("timestamp"))
+                for k, v in rows.items()}
+
+    first = stamped(batch1(), 1)
+    racing.run(spark, first, seasons=[2022, 2023], incremental=True, num_buckets=2)
+    changed = stamped({"driver": [dict(batch1()["driver"][0], forename="Sir Lewis", updated_at=T2)]}, 2)
+    second = {**first, "driver": first["driver"].unionByName(changed["driver"])}
+    racing.run_silver(second, seasons=[2022, 2023], incremental=True)       # and no gold
+    out = racing.run(spark, second, seasons=[2022, 2023], incremental=True)
+    assert out["report_result"].where("driver_fullname = 'Sir Lewis Hamilton'").count() == 5
