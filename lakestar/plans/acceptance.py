@@ -3,6 +3,7 @@ operator of the inventory, each on the whole given tables."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -12,11 +13,11 @@ from pyspark.sql import types as T
 from ..functions import NULL_SENTINEL, assemble_datetime, rename, sentinel_to_null, try_cast_columns
 from ..operators import (DistinctEquals, ExpectationError, InSetOf, LengthBetween, NotNull, Unique, ValueBetween,
                          champions, count_distinct_by, dense_keys, evaluate, hash_key,
-                         incident_counts, latest_per_key, season_totals, standings, top_k,
+                         incident_counts, latest_per_key, lookup_keys, season_totals, standings, top_k,
                          upsert, upsert_with_key)
 from ..session import scratch_path
-from ..sources import (RAW_COL, TableStore, ensure_table, flatten_json, full_refresh, incremental_extract, load_checked, load_or_upsert, pack_json, read,
-                       register, save, scan, sql_with_registry, touched_buckets)
+from ..sources import (RAW_COL, TableStore, cluster_by, ensure_table, flatten_json, full_refresh, incremental_extract, load_checked, load_or_upsert, pack_json, read, read_bucketed,
+                       register, save, save_bucketed, scan, sql_with_registry, touched_buckets)
 from ..sources.extract import sync_incremental
 from . import racing
 from .entities import silver_frame, silver_job
@@ -642,6 +643,44 @@ def q_sorted_load(spark, sf_dir):
         F.count_if(F.col("last") > F.struct("o_totalprice", "o_orderkey")).alias("n_out_of_order"))
 
 
+def bucketed_star(spark, sf_dir) -> DataFrame:
+    """Lines with the keys of their order, both stored in equal buckets of the
+    order's key."""
+    tag = uuid.uuid4().hex[:8]          # Spark's catalog is shared by the session's queries
+    fact, dim = (_fresh_table(spark, f"{n}_{tag}") for n in ("lines_in_buckets", "orders_in_buckets"))
+    lines = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    save_bucketed(lines, fact, ["l_orderkey"], 16)
+    save_bucketed(_t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate"), dim, ["o_orderkey"], 16)
+    spark.sql(f"DROP TABLE {dim}")      # another session: defined anew from the table's folder
+    return lookup_keys(read_bucketed(spark, fact), read_bucketed(spark, dim).hint("merge"), "l_orderkey", "o_orderkey",
+                       "o_custkey", keep_natural=True)
+
+
+def q_bucketed_star(spark, sf_dir):
+    """J2 without a shuffle of either side, nor of the totals per order."""
+    return bucketed_star(spark, sf_dir).groupBy("l_orderkey").agg(
+        F.first("o_custkey").alias("o_custkey"), F.count("*").alias("n_lines"), F.sum("l_quantity").alias("quantity"))
+
+
+def q_clustered_load(spark, sf_dir):
+    """O1 on three columns: the rows that a filter on each of them finds, and
+    whether the files' ranges let it skip at least half of the files."""
+    name = _fresh_table(spark, "lines_clustered")
+    columns = ["l_partkey", "l_suppkey", "l_shipdate"]
+    lines = _t(spark, sf_dir, "lineitem").select("l_orderkey", *columns).withColumn("l_shipdate", F.to_date("l_shipdate"))
+    save(cluster_by(lines, columns, 64), name)
+    rows = read(spark, name)
+    value = {c: F.unix_date(c).cast("long") if c == "l_shipdate" else F.col(c) for c in columns}
+    low = rows.agg(*[(F.min(v) + F.floor((F.max(v) - F.min(v)) / 20)).alias(c) for c, v in value.items()]).first()
+    # where each file's range begins, as its footer has it
+    least = rows.groupBy(F.input_file_name().alias("f")).agg(*[F.min(v).alias(c) for c, v in value.items()])
+    skipped = least.agg(*[(F.count_if(F.col(c) < low[c]) * 2 <= F.count("*")).alias(c) for c in columns]).first()
+    out = [rows.where(value[c] < low[c]).agg(F.lit(c).alias("filter"), F.count("*").alias("n_rows"),
+                                             F.sum("l_orderkey").alias("sum_keys"), F.lit(skipped[c]).alias("half_skipped"))
+           for c in columns]
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
 def q_sql_year_totals(spark, sf_dir):
     """A statement with a CTE over registered names."""
     save(_t(spark, sf_dir, "orders"), _fresh_table(spark, "all_orders"))

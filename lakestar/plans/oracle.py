@@ -87,6 +87,8 @@ RAW = {
     "gate_stops_load": "select c_custkey, c_name from customer",
     "incident_rate": "select *, incidents / starts as incident_rate from (select circuit_name, count(*) as starts, cast(sum(case when status_name in ('RF', 'RO') then 1 else 0 end) as bigint) as incidents from {REPORT} p group by circuit_name) q",
     "declared_schema": "select p_partkey, cast(p_size as bigint) as p_size, cast(p_retailprice as decimal(12, 2)) as p_retailprice from part",
+    "clustered_load": "select 'l_partkey' as filter, count(*) as n_rows, cast(sum(l_orderkey) as bigint) as sum_keys, true as half_skipped from (select l_orderkey, l_partkey as v from lineitem) x, (select min(l_partkey) as lo, max(l_partkey) as hi from lineitem) m where v < lo + (hi - lo) // 20 union all select 'l_suppkey' as filter, count(*) as n_rows, cast(sum(l_orderkey) as bigint) as sum_keys, true as half_skipped from (select l_orderkey, l_suppkey as v from lineitem) x, (select min(l_suppkey) as lo, max(l_suppkey) as hi from lineitem) m where v < lo + (hi - lo) // 20 union all select 'l_shipdate' as filter, count(*) as n_rows, cast(sum(l_orderkey) as bigint) as sum_keys, true as half_skipped from (select l_orderkey, date_diff('day', date '1970-01-01', cast(l_shipdate as date)) as v from lineitem) x, (select min(date_diff('day', date '1970-01-01', cast(l_shipdate as date))) as lo, max(date_diff('day', date '1970-01-01', cast(l_shipdate as date))) as hi from lineitem) m where v < lo + (hi - lo) // 20",
+    "bucketed_star": "select l_orderkey, any_value(o_custkey) as o_custkey, count(*) as n_lines, sum(l_quantity) as quantity from lineitem join orders on l_orderkey = o_orderkey group by l_orderkey",
     "sorted_load": "select count(*) as n_rows, cast(0 as bigint) as n_out_of_order from orders",
     "sql_year_totals": "select year(o_orderdate) as y, count(*) as n_orders, sum(case when o_orderstatus = 'F' then 1 else 0 end)::bigint as n_filled, max(o_totalprice) as top_price from orders group by year(o_orderdate)",
     # the racing configuration
