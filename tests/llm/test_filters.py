@@ -343,3 +343,24 @@ def test_features_equal_brute_force(make):
         assert abs(r.distinct - len(set(c.lower())) / min(n, 36)) < 1 / 12 and r.slashes == c.count("/")
         assert r.quoted == (before[-1:] == '"' and after[:1] == '"') and r.path_before == before.endswith("/")
         assert r.secret_word == ("token" in before) and r.harmless_word == ("commit" in before)
+
+
+def test_licences_by_their_own_sentences(spark, make):
+    s = license_scan.SENTENCES
+    bsd = [s["bsd-redistribution"], "1. " + s["bsd-source"], "2. " + s["bsd-binary"]]
+    gpl = s["gpl-2-free"].replace(" modify", "\n// modify").replace("; either", ";\n// either")
+    texts = {1: ("\n".join(bsd), "BSD-2-Clause"), 2: ("\n".join([*bsd, "3. " + s["bsd-endorse"]]), "BSD-3-Clause"),
+             3: ("\n".join([*bsd, s["bsd-advertising"], s["bsd-endorse"]]), "BSD-4-Clause"), 4: (gpl, "GPL-2.0-or-later"),
+             5: (s["mpl-2-header"] + " If a copy", "MPL-2.0"), 6: ("# SPDX-License-Identifier: LGPL-2.1-or-later\nimport x", "LGPL-2.1-or-later"),
+             7: ("/* SPDX-License-Identifier: MIT */", "MIT"), 8: ("SPDX-License-Identifier: MIT OR Apache-2.0", ""),
+             9: (s["agpl-3-free"] + "\n" + s["gpl-hope"], "AGPL-3.0-or-later"), 10: (s["isc-grant"], "ISC"), 11: (s["0bsd-grant"], "0BSD"),
+             12: (s["gpl-free"].replace(" ", "\n"), "GPL-3.0-or-later"), 13: (s["unlicense-domain"], "Unlicense")}
+    docs = make("doc_id long, text string", [(k, t) for k, (t, _) in texts.items()])
+    got = {r.doc_id: ",".join(r["licenses"]) for r in license_scan.scan(docs).collect()}
+    assert got == {k: name for k, (_, name) in texts.items()}
+    import duckdb
+    con = duckdb.connect()
+    con.register("documents", docs.toPandas())
+    assert {r[0]: r[3] for r in con.execute(license_scan.oracle()).fetchall()} == got
+    assert all(name in s for _, seq in license_scan.RULES for name in seq)
+    assert len({license_scan.normalise_text(x) for x in s.values()}) == len(s)
