@@ -68,9 +68,10 @@ def _number_below(bounds: Column, value: Column) -> Column:
 def cluster_by(df: DataFrame, columns: Sequence[str], num_files: int, bits: int = BITS, accuracy: int = 10_000) -> DataFrame:
     """Rows in ``num_files`` range partitions of the curve through the ranks of
     the (numeric or date) columns, sorted inside.  A rank is the number of
-    approximate quantiles below the value (a frequent value takes several, so every bit splits the rows); nulls have rank 0.  The quantiles,
-    ``2 ** bits - 1`` numbers a column, come from one pass; rows of equal ranks
-    are spread by a hash, so a frequent value does not fill one file."""
+    approximate quantiles below the value (a frequent value takes several, so
+    every bit splits the rows); nulls have rank 0.  The quantiles, ``2 ** bits -
+    1`` numbers a column, come from one pass; rows of equal ranks are spread by
+    a hash, so a frequent value does not fill one file."""
     parts = [k / 2 ** bits for k in range(1, 2 ** bits)]
     number = {c: F.unix_date(c) if df.schema[c].dataType.typeName() == "date" else F.col(c).cast("double") for c in columns}
     cuts = df.agg(*[F.percentile_approx(number[c], parts, accuracy).alias(c) for c in columns]).first()
