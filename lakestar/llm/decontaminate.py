@@ -8,22 +8,29 @@ its words as hit.  Words that no item has reset the automaton, so only runs
 of known words are streamed; these runs are found with word hashes over whole
 Arrow batches, and their words are compared as text.
 
-The items are read in blocks of at most ``BLOCK_ITEMS`` rows, each with an
-automaton of its own, so any number of items works: the documents stream
-through one automaton after the other, and the hits of all are combined.
+The items are read in blocks of at most ``BLOCK_ITEMS`` rows and
+``BLOCK_WORD_BYTES`` bytes, each with an automaton of its own, so any number of
+items works.  The driver holds one block (and the start of the next) at a time.
+With a single block the documents stream through it once.  With more, they are
+numbered and written once; each further block is a job of its own that writes
+only the rows it hits, and the hits of all are combined at the end.
 """
 
 from __future__ import annotations
 
+from itertools import chain
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .textops import prefix_hash, range_hash, row_blocks, utf8, words
+from ..session import scratch_path
+from .textops import prefix_hash, range_hash, returns_memory, row_blocks, utf8, words
 
 BLOCK_ITEMS = 20_000
+BLOCK_WORD_BYTES = 16 << 20
 TEXT_BYTES = 2 << 20
 
 
@@ -154,6 +161,7 @@ def _scanner(items: list[tuple[object, list[bytes]]], window: int):
         shortest = min((len(t) for _, t in items if t), default=window)
         return automaton, known, min(window, shortest)
 
+    @returns_memory
     def scan(batches):
         if "ready" not in state:
             state["ready"] = prepare()
@@ -214,17 +222,22 @@ _SPAN_TYPE = "array<struct<word:bigint,words:bigint,start:bigint,end:bigint>>"
 
 
 def item_blocks(benchmark: DataFrame, item_id: str, text: str, block_items: int = BLOCK_ITEMS):
-    """Items as blocks of at most ``block_items`` (id, words), without those
-    that have no words; one block is on the driver at a time."""
+    """Items as blocks of at most ``block_items`` (id, words) and
+    ``BLOCK_WORD_BYTES`` (a longer item is a block of its own), without those
+    that have no words."""
     block: list[tuple[object, list[bytes]]] = []
+    held = 0
     for row in benchmark.select(F.col(item_id).cast("long").alias("i"), F.col(text).alias("t")) \
             .where("i is not null").toLocalIterator():
         tokens = _words_of(row.t)
-        if tokens:
-            block.append((row.i, tokens))
-        if len(block) == block_items:
+        if not tokens:
+            continue
+        size = sum(map(len, tokens))
+        if block and (len(block) == block_items or held + size > BLOCK_WORD_BYTES):
             yield block
-            block = []
+            block, held = [], 0
+        block.append((row.i, tokens))
+        held += size
     if block:
         yield block
 
@@ -248,14 +261,33 @@ def _scan(rows: DataFrame, benchmark: DataFrame, window: int, item_id: str = "it
           block_items: int = BLOCK_ITEMS) -> DataFrame:
     """The rows, which have a ``text``, with ``n_words, spans, items``."""
     columns = rows.columns
-    out = rows.withColumns({"spans": F.array().cast(_SPAN_TYPE), "items": F.array().cast("array<long>")})
-    schema = StructType([*out.schema.fields, StructField("n_words", LongType()),
+    blocks = item_blocks(benchmark, item_id, item_text, block_items)
+    first, second = next(blocks, []), next(blocks, None)
+    if second is None:
+        found = _pass(rows, first, window)
+        spans, items = F.col("new_spans"), F.col("new_items")
+    else:
+        # a row's number must be the same in every job, so it is written
+        path = scratch_path(rows.sparkSession, "decontamination")
+        numbered = rows.withColumn("_row", F.monotonically_increasing_id()).checkpoint()
+        for k, block in enumerate(chain([second], blocks)):
+            _pass(numbered.select("_row", "text"), block, window).where(F.size("new_items") > 0) \
+                .select("_row", "new_spans", "new_items").write.parquet(f"{path}/block={k}")
+        more = rows.sparkSession.read.parquet(path).groupBy("_row") \
+            .agg(F.flatten(F.collect_list("new_spans")).alias("more_spans"),
+                 F.flatten(F.collect_list("new_items")).alias("more_items"))
+        found = _pass(numbered, first, window).join(more, "_row", "left")
+        spans = F.concat("new_spans", F.coalesce("more_spans", F.array().cast(_SPAN_TYPE)))
+        items = F.concat("new_items", F.coalesce("more_items", F.array().cast("array<long>")))
+    return found.select(*columns, "n_words", _union_spans(spans).alias("spans"),
+                        F.array_sort(F.array_distinct(items)).alias("items"))
+
+
+def _pass(rows: DataFrame, block: list, window: int) -> DataFrame:
+    """The rows with ``n_words, new_spans, new_items`` by one block."""
+    schema = StructType([*rows.schema.fields, StructField("n_words", LongType()),
                          *StructType.fromDDL(f"new_spans {_SPAN_TYPE}, new_items array<long>").fields])
-    for block in list(item_blocks(benchmark, item_id, item_text, block_items)) or [[]]:
-        out = out.select(*columns, "spans", "items").mapInArrow(_scanner(block, window), schema) \
-            .withColumn("spans", _union_spans(F.concat("spans", "new_spans"))) \
-            .withColumn("items", F.array_sort(F.array_distinct(F.concat("items", "new_items"))))
-    return out.select(*columns, "n_words", "spans", "items")
+    return rows.mapInArrow(_scanner(block, window), schema)
 
 
 def _union_spans(spans):

@@ -3,13 +3,16 @@ columns as byte arrays, polynomial prefix hashes, word boundaries."""
 
 from __future__ import annotations
 
+import ctypes
+from functools import wraps
+
 import numpy as np
 import pyarrow as pa
 
 U64 = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
 _BASE_INV = pow(_BASE, -1, 1 << 64)
-_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+_powers: list[tuple[np.ndarray, np.ndarray]] = []
 
 
 def utf8(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
@@ -36,22 +39,41 @@ def row_blocks(offsets: np.ndarray, max_bytes: int):
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """P**i and P**-i modulo 2**64 for i < n (kept per process, sizes rounded
-    up to a power of two)."""
-    size = 1 << max(16, int(n - 1).bit_length())
-    if size not in _powers:
-        if len(_powers) > 2:
-            _powers.clear()
+    """P**i and P**-i modulo 2**64 for i < n (one table per process, which
+    grows by powers of two)."""
+    if not _powers or len(_powers[0][0]) < n:
+        size = 1 << max(16, int(n - 1).bit_length())
+        _powers.clear()
         with np.errstate(over="ignore"):
             up = np.full(size, _BASE, U64)
             up[0] = 1
             down = np.full(size, _BASE_INV, U64)
             down[0] = 1
-            _powers[size] = (np.cumprod(up), np.cumprod(down))
-    up, down = _powers[size]
+            _powers.append((np.cumprod(up, out=up), np.cumprod(down, out=down)))
+    up, down = _powers[0]
     return up[:n], down[:n]
 
 
+def give_back() -> None:
+    """Free memory of this worker goes back to the system: Spark keeps idle
+    workers beside those of later stages."""
+    _powers.clear()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # glibc only
+    if trim is not None:
+        trim(0)
+
+
+def returns_memory(work):
+    """A function for ``mapInArrow`` that gives memory back when its task
+    ends."""
+    @wraps(work)
+    def run(batches):
+        yield from work(batches)
+        give_back()
+    return run
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit finaliser (splitmix64)."""
     x = x ^ (x >> U64(30))

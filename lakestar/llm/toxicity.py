@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .textops import flat_ranges, mix, prefix_hash, range_hash, row_blocks, utf8, words
+from .textops import flat_ranges, mix, prefix_hash, range_hash, returns_memory, row_blocks, utf8, words
 
 HASH_BITS = 40
 STEMS = (4, 6)                  # bytes of a word's beginning
@@ -215,6 +215,7 @@ def _train_pairs(held, label, held_test, label_test, bias, weight, factors, epoc
     return kept
 
 
+@returns_memory
 def _featurise(batches):
     for batch in batches:
         raw_all, offsets = utf8(batch.column(2))
@@ -226,6 +227,7 @@ def _featurise(batches):
 
 
 def _trainer(options: dict):
+    @returns_memory
     def train(batches):
         rows = [(d, y, np.array(t, np.int64)) for batch in batches for d, y, t in zip(
             batch.column(0).to_pylist(), batch.column(1).to_pylist(),
@@ -263,6 +265,7 @@ def train(documents: DataFrame, labels: DataFrame, label: str = "toxic", max_row
 
 
 def _scorer(machine: Machine, text: str):
+    @returns_memory
     def score(batches):
         for batch in batches:
             raw_all, offsets = utf8(batch.column(batch.schema.get_field_index(text)))

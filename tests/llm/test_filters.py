@@ -88,6 +88,27 @@ def test_decontamination_removes_rows_and_not_ids(make):
     assert sorted((r.doc_id or 0, r.text or "") for r in out.collect()) == [(0, "also clean"), (1, "clean"), (2, "")]
 
 
+def test_decontamination_blocks_are_bounded_by_items_and_bytes(make, monkeypatch):
+    items = make("item_id long, text string", [(i, f"a{i} " * 50) for i in range(10)] + [(None, "x"), (11, None), (12, "...")])
+    sizes = [len(b) for b in decontaminate.item_blocks(items, "item_id", "text", 4)]
+    assert sizes == [4, 4, 2]
+    monkeypatch.setattr(decontaminate, "BLOCK_WORD_BYTES", 250)
+    assert [len(b) for b in decontaminate.item_blocks(items, "item_id", "text", 4)] == [2, 2, 2, 2, 2]
+    monkeypatch.setattr(decontaminate, "BLOCK_WORD_BYTES", 1)           # longer items are blocks of their own
+    assert [len(b) for b in decontaminate.item_blocks(items, "item_id", "text", 4)] == [1] * 10
+
+
+def test_decontamination_removes_by_the_hits_of_all_blocks(make, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BLOCK_WORD_BYTES", 1)
+    a, b = "p q", "r s"
+    filler = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, f"{a} {filler}", 1), (1, f"{a} {b} {filler}", 2), (None, f"{a} {filler} {b}", 3), (None, filler, 4), (2, None, 5)]
+    out = decontaminate.remove(make("doc_id long, text string, _row long", rows),
+                               make("item_id long, text string", [(1, a), (2, b), (3, "none of it")]))
+    assert out.columns == ["doc_id", "text", "_row"]
+    assert sorted(r._row for r in out.collect()) == [1, 4, 5]           # 2 of 62 words stay, 4 of 64 go
+
+
 # ---- toxicity -------------------------------------------------------------------
 
 def toxic_table(n=600, seed=1):
