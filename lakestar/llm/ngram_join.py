@@ -6,8 +6,9 @@ bucket of its minimum under a random order of all shingles, so two sets with
 Jaccard similarity s meet with probability s.  Buckets of more than
 ``BUCKET`` sets are split again by the next order, up to ``LEVELS`` times; the
 small ones are compared by brute force on a sketch of minima, which leaves the
-edges of a spanning forest per bucket.  With 16 runs a pair at s = 0.8 that
-splits three times in each run is still met with probability 0.99998.
+edges of a spanning forest per bucket.  Runs are repeated until a pair at the
+threshold is met with probability ``RECALL`` even if every level splits its
+bucket in every run, s ** LEVELS a run: 18 runs for s = 0.8.
 
 The connected candidates are then verified exactly: every pair within a
 candidate component is compared by its true similarity, in blocks, one task
@@ -21,21 +22,30 @@ one candidate component, which the blocks verify.
 
 from __future__ import annotations
 
+from math import ceil, log
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import graph
-from .textops import U64, mix, prefix_hash, range_hash, row_blocks, utf8, words
+from .textops import U64, mix, prefix_hash, range_hash, returns_memory, row_blocks, utf8, words
 
-RUNS, LEVELS = 16, 4
+RECALL, LEVELS = 0.9999, 4
 BUCKET = 256                    # sets that are compared by brute force
 SKETCH_LEVELS = 2               # minima per run that a sketch holds
 BLOCK_ROWS, BLOCK_BYTES = 1024, 4 << 20
 TEXT_BYTES = 2 << 20
 
 
+def runs_for(recall: float, threshold: float, levels: int) -> int:
+    """Runs until a pair at ``threshold`` that is split at all ``levels`` in
+    each of them is met at least once with probability ``recall``."""
+    missed = 1 - threshold ** levels
+    return 1 if missed <= 0 else max(1, ceil(log(1 - recall) / log(missed)))
+
+
 def shingles(raw: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all runs of ``n`` words of every row (a shorter row has one,
     of all its words), and the offsets of the rows in them."""
@@ -68,6 +78,7 @@ def _minima(hashes: np.ndarray, cuts: np.ndarray, orders: int) -> np.ndarray:
 
 
 def _signer(n: int, orders: int):
+    @returns_memory
     def sign(batches):
         for batch in batches:
             column = batch.schema.get_field_index("text")
@@ -98,11 +109,11 @@ def _compare(sketch: int, need: int):
     return compare
 
 
-def candidate_edges(classes: DataFrame, runs: int = RUNS, levels: int = LEVELS) -> DataFrame:
+def candidate_edges(classes: DataFrame, runs: int, levels: int = LEVELS) -> DataFrame:
     """Edges (a, b) that connect the sets which the runs find alike, from a
     table ``node, minima``."""
     sketch = runs * SKETCH_LEVELS
-    # 14 of 32 equal minima: a pair at 0.8 falls below with probability 1e-6
+    # 16 of 36 equal minima: a pair at 0.8 falls below with probability 1e-6
     need = int(sketch * 0.45)
     walks = classes.select("node", F.explode(F.transform(
         F.sequence(F.lit(0), F.lit(runs - 1)),
@@ -159,8 +170,19 @@ def alike(hashes: np.ndarray, cuts: np.ndarray, threshold: float) -> np.ndarray:
         dense = np.zeros((n, width), np.float32)
         dense[row[a:b], token[a:b] - first] = 1
         common += dense @ dense.T
-    union = size[:, None] + size[None, :] - common
-    return (common.astype(float) >= threshold * union - 1e-9) & (union > 0)
+    found = np.empty((n, n), bool)
+    for a in range(0, n, 256):                  # strips: no matrix of doubles
+        union = size[a:a + 256, None] + size[None, :] - common[a:a + 256].astype(float)
+        found[a:a + 256] = (common[a:a + 256] >= threshold * union - 1e-9) & (union > 0)
+    return found
+
+
+def _all_shingles(raw: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """``shingles`` of many rows, a few of them at a time."""
+    parts = [shingles(raw[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a], n)
+             for a, b in row_blocks(offsets, TEXT_BYTES)]
+    sizes = np.concatenate([np.diff(cuts) for _, cuts in parts])
+    return np.concatenate([hashes for hashes, _ in parts]), np.concatenate([[0], np.cumsum(sizes)])
 
 
 def _verifier(n: int, threshold: float):
@@ -168,7 +190,7 @@ def _verifier(n: int, threshold: float):
         raw, offsets = utf8(table.column("text"))
         return graph.links(table.column("node").to_numpy(), table.column("copies").to_numpy(),
                            table.column("block").to_numpy(), key[1].as_py() == key[2].as_py(),
-                           alike(*shingles(raw, offsets, n), threshold))
+                           alike(*_all_shingles(raw, offsets, n), threshold))
     return verify
 
 
@@ -191,7 +213,7 @@ def _linked(rows: DataFrame, classes: DataFrame, threshold: float, n: int, runs:
 
 
 def self_join(documents: DataFrame, threshold: float = 0.8, n: int = 5, doc_id: str = "doc_id",
-              text: str = "text", runs: int = RUNS, levels: int = LEVELS) -> DataFrame:
+              text: str = "text", recall: float = RECALL, levels: int = LEVELS) -> DataFrame:
     """Per document: ``doc_id, class_id`` (smallest doc_id that links reach)
     and ``n_links`` (other documents linked directly, copies included).
 
@@ -201,6 +223,7 @@ def self_join(documents: DataFrame, threshold: float = 0.8, n: int = 5, doc_id:
     own class.  Rows that repeat an id are documents of their own.  Other
     columns are not read.  An empty table gives an empty one.
     """
+    runs = runs_for(recall, threshold, levels)
     rows = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.md5(F.col(text)).alias("key"),
                             F.col(text).alias("text"))
     signed = rows.mapInArrow(_signer(n, runs * levels), "doc_id long, key string, minima array<int>").checkpoint()
@@ -224,13 +247,14 @@ def deduplicate(documents: DataFrame, threshold: float = 0.8, n: int = 5) -> Dat
     so rows that share an id are judged apart, and rows with a null id too.
     Null, empty and wordless texts link with nothing and all stay.
     """
+    runs = runs_for(RECALL, threshold, LEVELS)
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.md5("text").alias("key"), "text")
-    signed = rows.mapInArrow(_signer(n, RUNS * LEVELS), "doc_id long, key string, minima array<int>").checkpoint()
+    signed = rows.mapInArrow(_signer(n, runs * LEVELS), "doc_id long, key string, minima array<int>").checkpoint()
     # a class is a text; ids do not tell classes apart, so they are numbered
     classes = signed.where(F.size("minima") > 0).groupBy("key") \
         .agg(F.min("doc_id").alias("least_id"), F.count("*").alias("copies"), F.first("minima").alias("minima")) \
         .withColumn("node", F.monotonically_increasing_id()).checkpoint()
-    _, component = _linked(rows, classes, threshold, n, RUNS, LEVELS)
+    _, component = _linked(rows, classes, threshold, n, runs, LEVELS)
     first = F.struct(F.col("least_id").isNull().alias("no_id"), "least_id", F.col("key").alias("_kept"))
     grouped = classes.select("key", "least_id", "node").join(component, "node")
     kept = grouped.groupBy("component").agg(F.min(first)["_kept"].alias("_kept"))

@@ -65,6 +65,25 @@ def test_join_equals_brute_force(make, monkeypatch):
         assert r.n_links == sum(r.doc_id in e for e in edges)
 
 
+def test_join_runs_follow_from_the_target_recall():
+    assert ngram_join.runs_for(0.9999, 0.8, 4) == 18 and ngram_join.runs_for(0.99, 0.8, 1) == 3
+    assert ngram_join.runs_for(0.9999, 1.0, 4) == 1
+    for recall, s, levels in [(0.9, 0.5, 2), (0.999, 0.8, 3), (0.9999, 0.9, 4)]:
+        runs = ngram_join.runs_for(recall, s, levels)
+        assert (1 - s ** levels) ** runs <= 1 - recall < (1 - s ** levels) ** (runs - 1)
+
+
+def test_shingles_of_many_rows_are_those_of_each(monkeypatch):
+    rng = random.Random(5)
+    texts = [" ".join(rng.choices("abcdefg", k=rng.randrange(40))) for _ in range(50)] + ["", "x " * 300]
+    raw = np.frombuffer("".join(texts).encode(), np.uint8)
+    offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    whole = ngram_join.shingles(raw, offsets, 5)
+    monkeypatch.setattr(ngram_join, "TEXT_BYTES", 64)
+    parts = ngram_join._all_shingles(raw, offsets, 5)
+    assert np.array_equal(whole[0], parts[0]) and np.array_equal(whole[1], parts[1])
+
+
 def test_join_edge_tables(make):
     assert ngram_join.self_join(make("doc_id long, text string", [])).count() == 0
     rows = [(1, "a b c d e f"), (1, "a b c d e f"), (None, "a b c d e f"), (2, None)]
