@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .textops import flat_ranges, row_blocks, utf8
+from .textops import flat_ranges, returns_memory, row_blocks, utf8
 
 BLOCK_BYTES = 4 << 20           # text whose new words are replayed together
 CACHED_WORDS = 300_000          # words a task remembers; beyond, it starts anew
@@ -274,6 +274,7 @@ def compile_pattern(pattern: str, last: int = sys.maxunicode) -> re.Pattern:
 
 
 def _encoder(path: str, pattern: str, text: str):
+    @returns_memory
     def encode(batches):
         basic, full = compile_pattern(pattern, 0xFFFF).findall, None
         beyond = re.compile("[\U00010000-\U0010ffff]").search
@@ -317,6 +318,7 @@ def encode(documents: DataFrame, ranks_path: str, pattern: str, text: str = "tex
 
 
 def _decoder(path: str, ids: str):
+    @returns_memory
     def decode(batches):
         ranks = load_ranks(path)
         for batch in batches:
@@ -346,6 +348,22 @@ def decode(encoded: DataFrame, ranks_path: str, ids: str = "ids") -> DataFrame:
     return encoded.mapInArrow(_decoder(ranks_path, ids), schema)
 
 
+def round_trip(documents: DataFrame, ranks_path: str, pattern: str, text: str = "text") -> DataFrame:
+    """``encode`` and ``decode`` in one pass: a task has one Python worker,
+    and the ids do not travel between two.  The text is dropped; nulls, empty
+    texts and other columns are as in ``encode``."""
+    documents = documents.drop("ids", "decoded")
+    kept = [f for f in documents.schema.fields if f.name != text]
+    schema = T.StructType([*kept, T.StructField("ids", T.ArrayType(T.IntegerType())),
+                           T.StructField("decoded", T.BinaryType())])
+    encode_batches, decode_batches = _encoder(ranks_path, pattern, text), _decoder(ranks_path, "ids")
+
+    def both(batches):
+        encoded = (b.drop_columns([text]) for b in encode_batches(batches))
+        return decode_batches(encoded)
+    return documents.mapInArrow(both, schema)
+
+
 def digests(decoded: DataFrame) -> DataFrame:
     """Number of ids, and hashes of the ids and of the decoded bytes."""
     return decoded.select(

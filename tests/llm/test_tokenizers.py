@@ -40,6 +40,16 @@ def test_byte_bpe_equals_library_and_decodes(make):
         assert r.decoded == text.encode()
 
 
+def test_byte_bpe_round_trip_in_one_pass(make):
+    rows = [(i, t, "x", b"y") for i, t in enumerate(texts())]
+    df = make("doc_id long, text string, ids string, decoded binary", rows)
+    once = byte_bpe.round_trip(df, RANKS, P.PATTERN)
+    assert once.columns == ["doc_id", "ids", "decoded"]
+    twice = byte_bpe.decode(byte_bpe.encode(df, RANKS, P.PATTERN), RANKS).select(*once.columns)
+    assert sorted(once.collect()) == sorted(twice.collect())
+    assert byte_bpe.round_trip(df.limit(0), RANKS, P.PATTERN).count() == 0
+
+
 def test_byte_bpe_empty_table(make):
     df = make("doc_id long, text string", [])
     assert byte_bpe.digests(byte_bpe.decode(byte_bpe.encode(df, RANKS, P.PATTERN), RANKS)).count() == 0
