@@ -44,8 +44,7 @@ def encode_bytes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     them again."""
     bounded_batches(spark)
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    encoded = byte_bpe.encode(docs.select("doc_id", "text"), ranks, public_tokenizers.PATTERN).drop("text")
-    return byte_bpe.digests(byte_bpe.decode(encoded, ranks))
+    return byte_bpe.digests(byte_bpe.round_trip(docs.select("doc_id", "text"), ranks, public_tokenizers.PATTERN))
 
 
 STAGES = [
