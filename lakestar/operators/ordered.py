@@ -5,7 +5,7 @@ one task.  Instead the shuffle's own range partitioning cuts the order into
 contiguous partitions (sampled boundaries, as many partitions as the session's
 shuffles have, merged by AQE when they are small); each partition is sorted
 and its rows are numbered where they lie.  The numbered rows are written once
-to the shared checkpoint folder, so every later reader sees the same numbers
+to the shared scratch folder, so every later reader sees the same numbers
 and none repeats the sort.  Row counts per partition, one row per shuffle
 partition, become offsets: ``offset + position`` is the global row number.
 
@@ -21,6 +21,8 @@ from itertools import accumulate
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 BUCKET = "_rb"
 POSITION = "_rb_pos"
 OFFSET = "_rb_off"
@@ -46,12 +48,12 @@ def sort_exprs(order: Order) -> list[Column]:
 
 def range_buckets(df: DataFrame, order: Order) -> DataFrame:
     """Add :data:`BUCKET` (the range partition, ascending in ``order``) and
-    :data:`POSITION` (place within it, from 0); written to the checkpoint
+    :data:`POSITION` (place within it, from 0); written to the scratch
     folder.  ``monotonically_increasing_id`` holds the partition in its upper
     31 bits and the place in its lower 33."""
     by = sort_exprs(order)
-    placed = df.repartitionByRange(*by).sortWithinPartitions(*by) \
-        .withColumn(POSITION, F.monotonically_increasing_id()).checkpoint(eager=True)
+    placed = materialize(df.repartitionByRange(*by).sortWithinPartitions(*by)
+                         .withColumn(POSITION, F.monotonically_increasing_id()), "ordered")
     return placed.withColumns({BUCKET: F.shiftright(POSITION, 33).cast("int"),
                                POSITION: F.col(POSITION).bitwiseAND((1 << 33) - 1)})
 
@@ -59,14 +61,13 @@ def range_buckets(df: DataFrame, order: Order) -> DataFrame:
 def _row_numbers(df: DataFrame, order: Order, out_col: str, start: int | Callable[[int], int]) -> DataFrame:
     rows = range_buckets(df, order)
     # one row per shuffle partition reaches the driver
-    counts = sorted(tuple(r) for r in rows.groupBy(BUCKET).count().collect())
+    counts = {b: n for b, n in rows.groupBy(BUCKET).count().collect()}
     if callable(start):             # told the number of rows
-        start = start(sum(n for _, n in counts))
-    before = accumulate((n for _, n in counts), initial=start)
-    offsets = df.sparkSession.createDataFrame([(b, o) for (b, _), o in zip(counts, before)],
-                                              f"{BUCKET} int, {OFFSET} long")
-    return rows.join(F.broadcast(offsets), BUCKET) \
-        .withColumn(out_col, F.col(OFFSET) + F.col(POSITION)).drop(BUCKET, POSITION, OFFSET)
+        start = start(sum(counts.values()))
+    # by bucket number, as an array: a join would hide the rows' size from the planner
+    before = accumulate((counts.get(b, 0) for b in range(max(counts, default=0))), initial=start)
+    offset = F.get(F.lit(list(before)).cast("array<bigint>"), F.col(BUCKET))
+    return rows.withColumn(out_col, offset + F.col(POSITION)).drop(BUCKET, POSITION)
 
 
 def bucket_offsets(rows: DataFrame, partition_cols: Sequence[str], weight_col: str | None) -> DataFrame:

@@ -7,6 +7,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .ordered import global_number
 
 
@@ -33,7 +34,7 @@ def standings(totals: DataFrame) -> DataFrame:
     the result joins back on (season, points, wins), many-to-one (AQE
     broadcasts the histogram when small, else splits a hot score's
     partition)."""
-    totals = totals.checkpoint(eager=True)      # small next to the facts, read twice
+    totals = materialize(totals, "totals")      # small next to the facts, read twice
     hist = totals.groupBy("race_year", "total_points", "wins").agg(F.count(F.lit(1)).alias("_n"))
     ranked = global_number(hist, [("total_points", False), ("wins", False)], "season_rank",
                            partition_cols=["race_year"], method="prefix", weight_col="_n",

@@ -22,6 +22,7 @@ from ..functions import assemble_datetimes, rename, sentinel_to_null, try_cast_c
 from ..operators import check, dense_keys, latest_per_key
 from ..operators.quality import (DistinctEquals, Expectation, ExpectationError, InSetOf, InValues, NotNull,
                                 observed_metrics)
+from ..session import materialize
 from ..sources import RAW_COL, TableStore, flatten_json, load_or_upsert, read, read_touched, table_exists
 
 
@@ -89,13 +90,12 @@ def refine(flat: DataFrame, spec: EntitySpec) -> DataFrame:
 def gated_newest(raw: DataFrame, spec: EntitySpec, run_gate: bool = True,
                  extra_rules: Sequence[Expectation] = ()) -> DataFrame:
     """Gate the raw rows and reduce them to the latest versions; the result
-    is checkpointed.
+    is written to the shared scratch folder.
 
     One scan of the raw rows does all of it: reference rules join the known
     keys to the parsed rows, these and the row-level rules are *observed*,
     duplicates are reduced to the latest version, and the result is
-    checkpointed to the shared checkpoint folder (lineage cut: later passes do
-    not read the raw JSON again).  Only rules on whole groups (uniqueness) run
+    materialized (lineage cut: later passes do not read the raw JSON again).  Only rules on whole groups (uniqueness) run
     as jobs of their own.  The gate raises before anything is returned, so
     nothing unchecked is ever published."""
     flat = flatten(raw, spec)
@@ -113,7 +113,7 @@ def gated_newest(raw: DataFrame, spec: EntitySpec, run_gate: bool = True,
         observation = Observation(f"gate_{spec.name}")
         metrics, finish = observed_metrics(row_rules)
         flat = flat.observe(observation, *metrics)
-    df = newest(flat.select(*columns), spec).checkpoint(eager=True)
+    df = materialize(newest(flat.select(*columns), spec), f"newest-{spec.name}")
     if observation is not None:
         report = finish(observation.get)
         failed = [r for r in report if not r["success"]]
@@ -140,16 +140,20 @@ class SharedNewest:
 
 
 def prepare(raw: DataFrame, spec: EntitySpec, run_gate: bool = True,
-            extra_rules: Sequence[Expectation] = ()) -> DataFrame:
-    """Gate and refine the raw rows."""
-    return clean(gated_newest(raw, spec, run_gate, extra_rules), spec)
+            extra_rules: Sequence[Expectation] = (), shared: SharedNewest | None = None) -> DataFrame:
+    """Gate and refine the raw rows.  Jobs that split one raw table (same
+    schema and rules) pass the same ``shared``."""
+    def make() -> DataFrame:
+        return gated_newest(raw, spec, run_gate, extra_rules)
+
+    return clean(make() if shared is None else shared.get("first load", make), spec)
 
 
 def silver_frame(raw: DataFrame, spec: EntitySpec, run_gate: bool = True,
-                 extra_rules: Sequence[Expectation] = ()) -> DataFrame:
+                 extra_rules: Sequence[Expectation] = (), shared: SharedNewest | None = None) -> DataFrame:
     """The silver table as of a first load: refined rows with surrogate keys
     numbered in natural-key order (key column first)."""
-    df = prepare(raw, spec, run_gate, extra_rules)
+    df = prepare(raw, spec, run_gate, extra_rules, shared)
     if spec.key_col:
         df = dense_keys(df, spec.key_order, spec.key_col)
         df = df.select(spec.key_col, *[c for c in df.columns if c != spec.key_col])
@@ -177,8 +181,9 @@ def _newer_only(latest: DataFrame, spec: EntitySpec, name: str, num_buckets: int
     store = versions_table(name)
     if table_exists(latest.sparkSession, store):
         known = read_touched(latest.sparkSession, store, rows, keys).withColumnRenamed(VERSION, "_known")
-        rows = rows.join(known, keys, "left").where(F.col("_known").isNull() | (F.col(VERSION) >= F.col("_known"))) \
-            .drop("_known").checkpoint(eager=True)
+        rows = rows.join(known, keys, "left") \
+            .where(F.col("_known").isNull() | (F.col(VERSION) >= F.col("_known"))).drop("_known")
+        rows = materialize(rows, "accepted")
     load_or_upsert(rows.select(*keys, VERSION), store, keys, num_buckets=num_buckets, validate=False,
                    block_rows=block_rows)
     return rows.drop(VERSION)

@@ -26,7 +26,7 @@ from ..operators import (DistinctEquals, InSetOf, NotNull, attach_dimensions, jo
                          lookup_keys, union_tagged)
 from ..sources import (RAW_COL, TableStore, load_or_upsert, pack_json, read, replace_table, save, scan,
                        table_exists)
-from ..session import warehouse_root
+from ..session import materialize, warehouse_root
 from .entities import EntitySpec, SharedNewest, in_parallel as _in_parallel, silver_frame, silver_job, stage_silver
 
 # Fixed values of the raw rule.
@@ -231,6 +231,7 @@ class StarPipeline:
         self.sf_dir = sf_dir.rstrip("/")
         self.run_gates = run_gates
         self.frames: dict[str, DataFrame] = {}      # of layers not published yet
+        self.newest_results = SharedNewest()        # of both result frames
         self.live: set[str] = set()                 # published layers
 
     @classmethod
@@ -287,8 +288,8 @@ class StarPipeline:
             "statusname": F.concat("l_returnflag", "l_linestatus"), "updated_at": "l_shipdate"})
 
     # ---- silver ---------------------------------------------------------
-    def _silver(self, raw: DataFrame, spec: EntitySpec, extra=()) -> DataFrame:
-        return silver_frame(raw, spec, run_gate=self.run_gates, extra_rules=extra)
+    def _silver(self, raw: DataFrame, spec: EntitySpec, extra=(), shared: SharedNewest | None = None) -> DataFrame:
+        return silver_frame(raw, spec, run_gate=self.run_gates, extra_rules=extra, shared=shared)
 
     @_Frame
     def silver_circuit(self) -> DataFrame:
@@ -312,11 +313,11 @@ class StarPipeline:
 
     @_Frame
     def silver_race_result(self) -> DataFrame:
-        return self._silver(self.raw_result, RACE_RESULT, self._status_rule())
+        return self._silver(self.raw_result, RACE_RESULT, self._status_rule(), self.newest_results)
 
     @_Frame
     def silver_sprint_result(self) -> DataFrame:
-        return self._silver(self.raw_result, SPRINT_RESULT, self._status_rule())
+        return self._silver(self.raw_result, SPRINT_RESULT, self._status_rule(), self.newest_results)
 
     @_Frame
     def silver_status(self) -> DataFrame:
@@ -353,13 +354,20 @@ class StarPipeline:
                                           "circuit_alt")
 
     # ---- gold facts ------------------------------------------------------
-    def _fact(self, results: DataFrame) -> DataFrame:
+    def _fact(self, results: DataFrame, whole: bool = False) -> DataFrame:
+        """The race gives its surrogate key and, in this configuration, the
+        driver.  For the whole fact, the driver's key is looked up once per race
+        and not once per result, of which there are several times as many; for a
+        batch of results, only their races' drivers are looked up."""
         f = results.select("result_id", "race_id", "constructor_id", "status_name",
                            "position_order", "points")
-        # the race gives its surrogate key and, in this configuration, the driver
-        f = join_dimension(f, self.silver_race, "race_id", ["race_key", "driver_id"], how="inner")
-        f = f.drop("race_id")
-        f = lookup_keys(f, self.silver_driver, "driver_id", "driver_id", "driver_key")
+        races = self.silver_race.select("race_id", "race_key", "driver_id")
+        if whole:
+            races = lookup_keys(races, self.silver_driver, "driver_id", "driver_id", "driver_key")
+            f = join_dimension(f, races, "race_id", ["race_key", "driver_key"], how="inner").drop("race_id")
+        else:
+            f = join_dimension(f, races, "race_id", ["race_key", "driver_id"], how="inner").drop("race_id")
+            f = lookup_keys(f, self.silver_driver, "driver_id", "driver_id", "driver_key")
         f = lookup_keys(f, self.silver_constructor, "constructor_id", "constructor_id", "constructor_key")
         f = lookup_keys(f, self.silver_status, "status_name", "status_name", "status_key")
         return f.select("result_id", "race_key", "driver_key", "constructor_key", "status_key",
@@ -367,11 +375,11 @@ class StarPipeline:
 
     @_Frame
     def fct_race_result(self) -> DataFrame:
-        return self._fact(self.silver_race_result)
+        return self._fact(self.silver_race_result, whole=True)
 
     @_Frame
     def fct_sprint_result(self) -> DataFrame:
-        return self._fact(self.silver_sprint_result)
+        return self._fact(self.silver_sprint_result, whole=True)
 
     # ---- report ----------------------------------------------------------
     @_Frame
@@ -424,7 +432,7 @@ class StarPipeline:
         def sync(name: str) -> DataFrame:
             src = self.raw_result if name == "bronze_result" else getattr(self, name.replace("bronze_", "raw_"))
             if table_exists(self.spark, name):      # raw rows that are there already are not synced again
-                src = src.join(read(self.spark, name).select(RAW_COL), RAW_COL, "left_anti").checkpoint()
+                src = materialize(src.join(read(self.spark, name).select(RAW_COL), RAW_COL, "left_anti"), "unseen")
                 if src.isEmpty():
                     return read(self.spark, name)
             save(src.withColumn("_ingested_at", F.current_timestamp()), name, mode="append")
@@ -481,8 +489,8 @@ class StarPipeline:
         # the result ids of this batch (read before the silver cursor moves on)
         cursor = TableStore(self.spark, "silver_race_result").cursor()
         new_raw = raw if cursor is None else raw.where(F.col("_ingested_at") > F.timestamp_micros(F.lit(cursor)))
-        touched = flatten_json(new_raw, _RESULT_SCHEMA).select(F.col("resultid").alias("result_id")) \
-            .distinct().checkpoint(eager=True)
+        touched = materialize(flatten_json(new_raw, _RESULT_SCHEMA).select(F.col("resultid").alias("result_id"))
+                              .distinct(), "touched")
         statuses = read(self.spark, "silver_status")
         results = SharedNewest()
         out = _in_parallel({entity: (lambda entity=entity: silver_job(
@@ -533,8 +541,8 @@ class StarPipeline:
         new_raw = all_raw if cursor is None else \
             all_raw.where(F.col("_ingested_at") > F.timestamp_micros(F.lit(cursor)))
         natural = spec.key_order[0]
-        touched_ids = flatten_json(new_raw, spec.raw_schema) \
-            .select(F.col(spec.natural_key[0]).alias(natural)).distinct().checkpoint(eager=True)
+        touched_ids = materialize(flatten_json(new_raw, spec.raw_schema)
+                                  .select(F.col(spec.natural_key[0]).alias(natural)).distinct(), "touched")
         out = {"silver": silver_job(all_raw, spec, run_gate=self.run_gates, incremental=True,
                                     num_buckets=num_buckets)}
         changed_silver = out["silver"].join(touched_ids, natural, "left_semi")
@@ -555,7 +563,7 @@ class StarPipeline:
                 self.silver_race.join(touched_ids, "circuit_id", "left_semi")
             out["dim"] = load_or_upsert(self._dim_race(races), "gold_dim_race", ["race_key"])
             key_col = "race_key"
-            keys = races.select(key_col).distinct().checkpoint(eager=True)
+            keys = materialize(races.select(key_col).distinct(), "touched")
             if entity == "race":
                 race_ids = changed_silver.select("race_id")
         if race_ids is not None or constructors is not None:
