@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from lakestar.operators import dense_keys
 from lakestar.plans import acceptance, entities, racing
 from lakestar.plans.star import StarPipeline
-from lakestar.sources import scan
+from lakestar.sources import TableStore, load_or_upsert, scan
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -43,6 +43,21 @@ def test_a_well_compressed_file_is_not_taken_for_a_small_table(spark, warehouse)
     assert held < 10 << 20 < _bytes(scan(spark, f"{warehouse}/t.parquet", 1))
 
 
+def test_a_large_bucket_is_written_by_several_tasks(spark, warehouse):
+    rows = spark.range(200_000).withColumn("v", F.xxhash64("id"))
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "200k")
+    try:
+        out = load_or_upsert(rows, "few_buckets", ["id"], num_buckets=2)
+        files = out.select("id", F.input_file_name().alias("f")).groupBy("f").count().collect()
+        assert len(files) > 2 and len(TableStore(spark, "few_buckets").partitions(TableStore(spark, "few_buckets").state()["folder"])) == 2
+        out = load_or_upsert(rows.where("id < 10").withColumn("v", F.lit(0).cast("long")), "few_buckets", ["id"])
+        assert out.count() == 200_000 and out.where("v = 0").count() == 10
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_the_racing_run_finds_the_latest_lines_once(spark, monkeypatch):
     seen = {}
     monkeypatch.setattr(racing, "run", lambda spark, bronze, *a, **k: seen.update(bronze) or {"report_result": spark.range(0)})
