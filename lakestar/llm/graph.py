@@ -8,22 +8,51 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+EDGES = 1 << 20                 # that one task contracts
 LINK_SCHEMA = "a long, b long, n long"
 _LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64())])
 
 
+def contract(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The nodes of some edges, and the smallest node that these edges connect
+    each with.  Every root hooks to a smaller neighbour and all paths are
+    compressed, so each pass at least halves the roots that have edges left."""
+    nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    a, b = at[:len(a)], at[len(a):]
+    root = np.arange(len(nodes))
+    while len(a):
+        np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
+        while (root[root] != root).any():
+            root = root[root]
+        a, b = root[a], root[b]
+        a, b = a[a != b], b[a != b]
+    return nodes, nodes[root]
+
+
+def _contract(batches):
+    held = [(batch.column(0).to_numpy(), batch.column(1).to_numpy()) for batch in batches]
+    if held:
+        node, root = contract(*map(np.concatenate, zip(*held)))
+        yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(root)], ["u", "v"])
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``node, component`` (smallest node) for every node of ``edges`` (a, b).
 
-    Alternating large and small stars: every round links the neighbours of a
-    node to the smallest of them, so the number of rounds grows with the
-    logarithm of the nodes.  All groups are minima with partial aggregation.
-    The minima are checkpointed before they are joined, so that side is a plain
-    shuffle and AQE splits a hub, which is a skewed join key.
+    Tasks of about ``EDGES`` edges first contract those they hold, without a
+    shuffle: a graph that fits one of them is done.  The stars of several
+    tasks are joined by alternating large and small stars: every round links
+    the neighbours of a node to the smallest of them, so the number of rounds
+    grows with the logarithm of the nodes.  All groups are minima with partial
+    aggregation.  The minima are checkpointed before they are joined, so that
+    side is a plain shuffle and AQE splits a hub, which is a skewed join key.
     """
-    e = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct() \
-        .checkpoint()
-    last = None
+    e = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").checkpoint()
+    tasks = max(1, -(-e.count() // EDGES))
+    e = e.coalesce(tasks).mapInArrow(_contract, "u long, v long").checkpoint()
+    if tasks == 1:
+        return e.select(F.col("u").alias("node"), F.col("v").alias("component"))
+    e, last = e.where("u <> v"), None
     while True:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")).checkpoint()

@@ -113,6 +113,37 @@ def test_components_of_paths_and_hubs(make):
     assert got == {n: c for n, c in components(edges, nodes).items()}
 
 
+def test_components_of_many_tasks_and_of_one(make, monkeypatch):
+    rng = random.Random(3)
+    edges = [(rng.randrange(400), rng.randrange(400)) for _ in range(260)] + [(500 + i, 501 + i) for i in range(50)] + [(600, k) for k in range(601, 660)]
+    want = components(edges, {n for e in edges for n in e if e[0] != e[1]})
+    nodes, roots = graph.contract(*np.array(edges).T)
+    assert {n: r for n, r in zip(nodes.tolist(), roots.tolist()) if n in want} == want
+    for most in (graph.EDGES, 7):
+        monkeypatch.setattr(graph, "EDGES", most)
+        got = graph.components(make("a long, b long", edges).repartition(5)).collect()
+        assert {r.node: r.component for r in got} == want and len(got) == len(want)
+
+
+def test_a_small_graph_needs_no_shuffles(spark, make):
+    """Tasks, and so their files on disk, follow the edges and not the number of partitions."""
+    held = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    edges = make("a long, b long", [(i, i + 1) for i in range(200)]).coalesce(2)
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        spark.sparkContext.setJobGroup("small graph", "components")
+        assert {r.component for r in graph.components(edges).collect()} == {0}
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    jobs = spark.sparkContext.statusTracker()
+    stages = {s for j in jobs.getJobIdsForGroup("small graph") for s in jobs.getJobInfo(j).stageIds}
+    assert 0 < sum(jobs.getStageInfo(s).numTasks for s in stages) < 64
+
+
 def vectors(seed=4):
     rng = np.random.default_rng(seed)
     out, centres = [], rng.normal(size=(30, 16))
