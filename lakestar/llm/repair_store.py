@@ -59,22 +59,28 @@ SCHEMA = ("part int, shard int, first_doc long, start long, n_ids long, doc_ids
           "first_rule int, end_id int, width int, symbols binary")
 
 
+# the pattern that WordEncoder cuts on arrays
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_SPACE, _LETTER, _NUMBER, _OTHER = range(4)
+_SUFFIXES = ("s", "t", "re", "ve", "m", "ll", "d")
+
+
 class _Ids:
     """Strings with a sequence of ids each."""
 
     def __init__(self):
-        self.index: dict[str, int] = {}
+        self.index: dict[str | bytes, int] = {}
         self.flat = np.zeros(0, np.uint32)
         self.start = np.zeros(0, np.int64)
         self.count = np.zeros(0, np.int64)
 
-    def add(self, strings: list[str], sizes: np.ndarray, flat: np.ndarray) -> None:
+    def add(self, strings: list[str] | list[bytes], sizes: np.ndarray, flat: np.ndarray) -> None:
         self.index.update(zip(strings, count(len(self.index))))
         self.start = np.concatenate([self.start, len(self.flat) + np.cumsum(sizes) - sizes])
         self.count = np.concatenate([self.count, sizes])
         self.flat = np.concatenate([self.flat, flat])
 
-    def at(self, strings: list[str]) -> np.ndarray:
+    def at(self, strings: list[str] | list[bytes]) -> np.ndarray:
         return np.fromiter(map(self.index.__getitem__, strings), np.int64, len(strings))
 
     def take(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -83,93 +89,135 @@ class _Ids:
         return self.flat[flat_ranges(self.start[at], sizes)], sizes
 
 
+def _values(strings: pa.Array) -> list[str] | list[bytes]:
+    if not pa.types.is_binary(strings.type) or not len(strings):
+        return strings.to_pylist()
+    _, ends, data = strings.buffers()
+    ends = np.frombuffer(ends, np.int32, len(strings) + 1, 4 * strings.offset).tolist()
+    raw = data.to_pybytes()
+    return [raw[a:b] for a, b in zip(ends, ends[1:])]
+
+
 class WordEncoder:
-    """Ids of whitespace-separated words by the tokenizers library, each
-    distinct word once per task.
+    """Ids by the tokenizers library, each distinct piece once per task.
 
     Normalisation, pre-tokenization and merges of this kind of tokenizer do
-    not look across white space, so a text's ids are its words' ids.  Words
+    not look across white space, so a text's ids are its words' ids.  Texts
     of Latin letters are lower-cased here and cut by the tokenizer's own
-    pattern; all others, and words that hold the string of an added token,
-    are encoded by the library as a whole.
+    pattern, all of a shard at once; of other texts, and of those that hold
+    the string of an added token, each word is encoded by the library as a
+    whole.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        # the model alone, over lines
+        self.model = Tokenizer(self.tokenizer.model)
+        self.model.pre_tokenizer = pre_tokenizers.Split("\n", "removed")
         with open(path, encoding="utf-8") as f:
             settings = json.load(f)
-        split = settings["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
+        vocabulary, suffix = settings["model"]["vocab"], settings["model"].get("end_of_word_suffix")
+        self.final = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        if suffix:
+            self.final[[i for t, i in vocabulary.items() if t.endswith(suffix)]] = True
+        self.split = settings["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         # words that may hold an added token, which the library looks for first
         added = [re.escape(t["content"]) for t in settings.get("added_tokens", [])]
         self.added = re.compile("|".join(added) or "(?!)", re.IGNORECASE).search
-        # pieces of many words at once, with the line ends between them
-        self.pieces = compile_pattern(split + "|\n", 0x24F).findall
+        self.pieces = compile_pattern(self.split, 0x24F).findall
         self.plain = compile_pattern("[\x00-\u017f]*").fullmatch
+        kinds = [compile_pattern(c, 0x24F).fullmatch for c in (r"[\s]", r"[\p{L}]", r"[\p{N}]")]
+        self.kind = np.full(1 << 16, _OTHER, np.uint8)
+        for i in range(0x250):
+            self.kind[i] = next((k for k, match in enumerate(kinds) if match(chr(i))), _OTHER)
         # the byte-level alphabet: printable bytes stand for themselves, the
         # others follow from U+0100 on
         shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
         hidden = [b for b in range(256) if b not in shown]
-        self.alphabet = {b: b for b in shown} | {b: 0x100 + i for i, b in enumerate(hidden)}
+        self.alphabet = {b: b for b in shown} | {b: 0x100 + i for i, b in enumerate(hidden)} | {0x0A: 0x0A}
+        self.hidden = re.compile("[\x00-\x09\x0b-\x20\x7f]").search
         self.clear()
 
     def clear(self) -> None:
-        self.words_seen, self.pieces_seen = _Ids(), _Ids()
-
-    def _tokenize(self, piece: str) -> list[int]:
-        # ASCII letters and digits stand for themselves in the byte alphabet
-        mapped = piece if piece.isascii() and piece.isalnum() else \
-            piece.encode().decode("latin-1").translate(self.alphabet)
-        return [t.id for t in self.tokenizer.model.tokenize(mapped)]
-
-    def _learn(self, new: list[str]) -> None:
-        """Ids of words met for the first time."""
-        joined = "".join(new)
-        whole = {w for w in new if self.added(w)} if self.added(joined) else ()
-        plain = new if self.plain(joined) and not whole else [w for w in new if self.plain(w) and w not in whole]
-        if len(plain) < len(new):
-            rest = [w for w in new if not self.plain(w) or w in whole]
-            found = [self.tokenizer.encode(w, add_special_tokens=False).ids for w in rest]
-            self.words_seen.add(rest, np.fromiter(map(len, found), np.int64, len(found)),
-                                np.fromiter(chain.from_iterable(found), np.uint32))
-        if plain:
-            pieces = self.pieces("\n".join(plain).lower())
-            seen = self.pieces_seen
-            fresh = [p for p in dict.fromkeys(pieces) if p not in seen.index]
-            found = [self._tokenize(p) if p != "\n" else [] for p in fresh]
-            seen.add(fresh, np.fromiter(map(len, found), np.int64, len(found)),
-                     np.fromiter(chain.from_iterable(found), np.uint32))
-            at = seen.at(pieces)
-            ids, sizes = seen.take(at)
-            ends = np.concatenate([np.flatnonzero(at == seen.index.get("\n", -1)), [len(at)]])
-            before = np.concatenate([[0], np.cumsum(sizes)])[ends]
-            self.words_seen.add(plain, np.diff(np.concatenate([[0], before])), ids)
-
-    def words(self, text: str) -> list[str]:
-        """Maximal runs without white space.  The separators U+001C-U+001F
-        are not white space for the tokenizer, but are for str.split."""
-        if "\x1c" in text or "\x1d" in text or "\x1e" in text or "\x1f" in text:
-            return compile_pattern(r"[^\s]+").findall(text)
-        return text.split()
+        self.seen = _Ids()
+
+    def _learn(self, new: list[str] | list[bytes]) -> None:
+        """Ids of words, or of the pieces of Latin texts, met for the first time."""
+        if isinstance(new[0], str):
+            found = [self.tokenizer.encode(w, add_special_tokens=False).ids for w in new]
+            ids, sizes = list(chain.from_iterable(found)), np.fromiter(map(len, found), np.int64, len(found))
+        else:                   # one call of the model for all: no piece holds a line end
+            lines = b"\n\0".join(new).decode("utf-16-le")
+            if not lines.isascii() or self.hidden(lines):
+                lines = lines.encode().decode("latin-1").translate(self.alphabet)
+            ids = np.array(self.model.encode_batch_fast([lines], add_special_tokens=False)[0].ids, np.uint32)
+            sizes = np.diff(np.concatenate([[-1], np.flatnonzero(self.final[ids])]))
+            if len(sizes) != len(new) or sizes.sum() != len(ids):       # a model without marks at the end of words
+                words = np.array(self.model.encode(lines, add_special_tokens=False).word_ids, np.int64)
+                sizes = np.bincount(words, minlength=len(new))
+        self.seen.add(new, sizes, np.asarray(ids, np.uint32))
+
+    def _cut(self, texts: list[str]) -> tuple[pa.Array, np.ndarray]:
+        """Pieces (UTF-16) of Latin texts, and how many each has."""
+        lowered = [t.lower() for t in texts]
+        if self.split != SPLIT:
+            found = [self.pieces(t) for t in lowered]
+            return pa.array([p.encode("utf-16-le") for f in found for p in f], pa.binary()), \
+                np.fromiter(map(len, found), np.int64, len(found))
+        text = np.frombuffer("\n".join([*lowered, "\n\n\n"]).encode("utf-16-le"), np.uint16)
+        kind = self.kind[text]
+        change = np.concatenate([[True], kind[1:] != kind[:-1]])
+        first = (kind != _SPACE) & change | (kind == _NUMBER)
+        last = np.concatenate([kind[1:] == _NUMBER, [True]]) | np.concatenate([change[1:], [True]])
+        # an apostrophe and a suffix are a piece where no other sign is before them
+        quote = np.flatnonzero((text == ord("'")) & first)
+        for suffix in _SUFFIXES:
+            hit = quote
+            for i, letter in enumerate(suffix, 1):
+                hit = hit[text[hit + i] == ord(letter)]
+            first[hit + 1] = False
+            last[hit] = False
+            end = hit + len(suffix)
+            first[end + 1] |= kind[end + 1] == _LETTER
+            last[end] = True
+        start = np.flatnonzero(first)
+        size = np.flatnonzero(last & (kind != _SPACE)) + 1 - start
+        ends = np.concatenate([[0], np.cumsum(2 * size)]).astype(np.int32)
+        found = pa.Array.from_buffers(pa.binary(), len(start), [
+            None, pa.py_buffer(ends.tobytes()), pa.py_buffer(text[flat_ranges(start, size)].tobytes())])
+        bounds = np.concatenate([[0], np.cumsum([len(t) + 1 for t in lowered])]).astype(np.int64)
+        return found, np.diff(np.searchsorted(start, bounds))
+
+    def _words(self, texts: list[str]) -> tuple[pa.Array, np.ndarray]:
+        """Maximal runs without white space, and how many each text has.  The
+        separators U+001C-U+001F are not white space for the tokenizer, but
+        are for str.split."""
+        found = [compile_pattern(r"[^\s]+").findall(t) for t in texts]
+        return pa.array([w for f in found for w in f], pa.string()), np.fromiter(map(len, found), np.int64, len(found))
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts; ids of each."""
-        if len(self.words_seen.index) > CACHED_WORDS:
+        if len(self.seen.index) > CACHED_WORDS:
             self.clear()
-        seen = self.words_seen
-        words: list[str] = []
-        ends = np.empty(len(texts), np.int64)
-        for i, text in enumerate(texts):
-            if text:
-                words += self.words(text)
-            ends[i] = len(words)
-        new = [w for w in dict.fromkeys(words) if w not in seen.index]
-        if new:
-            self._learn(new)
-        ids, sizes = seen.take(seen.at(words))
-        before = np.concatenate([[0], np.cumsum(sizes)])[ends]
-        return ids, np.diff(np.concatenate([[0], before]))
+        texts = [t or "" for t in texts]
+        plain = np.fromiter((self.plain(t) is not None and self.added(t) is None for t in texts), bool, len(texts))
+        units, parts = np.zeros(len(texts), np.int64), []
+        for rows, cut in ((np.flatnonzero(plain), self._cut), (np.flatnonzero(~plain), self._words)):
+            found, units[rows] = cut([texts[i] for i in rows.tolist()])
+            coded = found.dictionary_encode()
+            keys = _values(coded.dictionary)
+            fresh = [k for k in keys if k not in self.seen.index]
+            if fresh:
+                self._learn(fresh)
+            parts.append((rows, self.seen.at(keys)[coded.indices.to_numpy()]))
+        cuts = np.concatenate([[0], np.cumsum(units)])
+        at = np.empty(cuts[-1], np.int64)
+        for rows, numbers in parts:
+            at[flat_ranges(cuts[rows], units[rows])] = numbers
+        ids, sizes = self.seen.take(at)
+        return ids, np.diff(np.concatenate([[0], np.cumsum(sizes)])[cuts])
 
 
 def compress(ids: np.ndarray, sizes: np.ndarray, min_count: int = MIN_COUNT, min_share: float = MIN_SHARE

@@ -1,5 +1,6 @@
 import base64
 import random
+import sys
 import zlib
 
 import numpy as np
@@ -97,6 +98,37 @@ def test_store_encodes_added_tokens_as_the_library(spark, make):
     assert 49407 in got[0]
 
 
+def test_latin_texts_are_cut_as_by_the_pattern():
+    encoder = repair_store.WordEncoder(WORDS)
+    rng = random.Random(7)
+    some = ["", "a's 's ''s x'sy 'S 're've'm'll'd'x 'tis don''t 1's2't ½x²", "'", "'r", "l'l", "İ'S ſt\x00'd\n\n", "a'v", "'s't"] + \
+        ["".join(rng.choices("ab'strevmldé1½ \n\x85\xa0×ª?\x00\x7f\xadİ", k=rng.randrange(40))) for _ in range(2000)]
+    found, sizes = encoder._cut(some)
+    want = [encoder.pieces(t.lower()) for t in some]
+    assert sizes.tolist() == list(map(len, want))
+    assert [p.decode("utf-16-le") for p in found.to_pylist()] == [p for w in want for p in w]
+    ids, sizes = encoder.encode(some)
+    lib = Tokenizer.from_file(WORDS)
+    assert ids.tolist() == [i for t in some for i in lib.encode(t, add_special_tokens=False).ids]
+
+
+def test_new_words_cost_no_calls_each():
+    """CPU per word met for the first time: one call for all of a shard."""
+    encoder = repair_store.WordEncoder(WORDS)
+    rng = random.Random(8)
+    some = [" ".join("".join(rng.choices("abcdefghijk", k=9)) + rng.choice(["", ",", "."]) for _ in range(50)) for _ in range(100)]
+    calls = [0]
+
+    def count(frame, event, arg):
+        calls[0] += event in ("call", "c_call")
+    sys.setprofile(count)
+    try:
+        encoder.encode(some)
+    finally:
+        sys.setprofile(None)
+    assert calls[0] < 2500          # of 5000 new words
+
+
 def test_store_empty_table(spark, make):
     path = scratch_path(spark, "test-store")
     repair_store.write(make("doc_id long, text string", []), path, WORDS)
