@@ -71,7 +71,10 @@ def cluster_by(df: DataFrame, columns: Sequence[str], num_files: int, bits: int
     approximate quantiles below the value (a frequent value takes several, so
     every bit splits the rows); nulls have rank 0.  The quantiles, ``2 ** bits -
     1`` numbers a column, come from one pass; rows of equal ranks are spread by
-    a hash, so a frequent value does not fill one file."""
+    a hash, so a frequent value does not fill one file.  A second pass takes the
+    files' bounds on the curve, approximate quantiles too: a bound drawn from a
+    sample can miss by half a file, and a file then reaches into its neighbour's
+    range."""
     parts = [k / 2 ** bits for k in range(1, 2 ** bits)]
     number = {c: F.unix_date(c) if df.schema[c].dataType.typeName() == "date" else F.col(c).cast("double") for c in columns}
     cuts = df.agg(*[F.percentile_approx(number[c], parts, accuracy).alias(c) for c in columns]).first()
@@ -80,5 +83,10 @@ def cluster_by(df: DataFrame, columns: Sequence[str], num_files: int, bits: int
         bounds = F.lit(list(cuts[c] or [])).cast("array<double>")
         ranks.append(F.when(F.col(c).isNull(), 0).otherwise(_number_below(bounds, number[c])).cast("int"))
     order = [F.col("_curve"), F.col("_spread")]
-    return df.withColumns({"_curve": curve_key(ranks, bits), "_spread": F.xxhash64(*df.columns)}) \
-        .repartitionByRange(num_files, *order).sortWithinPartitions(*order).drop("_curve", "_spread")
+    rows = df.withColumns({"_curve": curve_key(ranks, bits), "_spread": F.xxhash64(*df.columns)})
+    # a double of 53 bits: the curve's first, at most 40, then the hash's
+    place = F.shiftright("_curve", max(0, bits * len(columns) - 40)) + (F.shiftright("_spread", 32) + 2 ** 31) / F.lit(2.0 ** 32)
+    at = [k / num_files for k in range(1, num_files)]
+    ends = rows.agg(F.percentile_approx(place, at, max(accuracy, 100 * num_files)).alias("ends")).first().ends if at else None
+    file = _number_below(F.lit(list(ends or [])).cast("array<double>"), place)
+    return rows.repartitionById(num_files, file).sortWithinPartitions(*order).drop("_curve", "_spread")

@@ -58,3 +58,13 @@ def test_every_filter_skips_files_and_no_row_is_lost(spark, warehouse):
 def test_clustering_an_empty_table(spark, warehouse):
     empty = spark.createDataFrame([], "a long, d date")
     assert cluster_by(empty, ["a", "d"], 4).count() == 0
+
+
+def test_clustered_files_are_equally_large(spark):
+    columns = ["a", "b", "c", "d", "e", "f", "g"]        # 56 bits
+    rows = spark.range(20_000).select("id", *[(F.col("id") * p % 1009).alias(c) for c, p in zip(columns, (7, 11, 13, 17, 19, 23, 29))],
+                                      F.lit(1).alias("one"), F.lit(None).cast("date").alias("none"))
+    for by, files in ((["a", "b"], 32), (columns, 32), (["one", "none"], 32), (["a"], 1)):
+        part = cluster_by(rows, by, files).groupBy(F.spark_partition_id()).count().collect()
+        assert len(part) == files and sum(p["count"] for p in part) == 20_000
+        assert max(abs(p["count"] - 20_000 / files) for p in part) <= 12, by
