@@ -254,6 +254,32 @@ def test_repeats_shared_with_rows_without_id(make):
     assert [sorted((s.start, s.end) for s in r.spans) for r in out if r.doc_id == 1] == [[(300, 800)]]
 
 
+def test_context_of_many_texts_is_split(spark, make):
+    rng = random.Random(11)
+
+    def text(n):
+        return "".join(rng.choice("abcdefgh") for _ in range(n))
+    passage = text(1000)
+    rows = [(i, text(20) + passage + text(20)) for i in range(4000)] + [(4000 + i, text(600) * 2) for i in range(300)]
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k", "spark.sql.shuffle.partitions": "40",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        changed = substring_dedup.changed_texts(make("doc_id long, text string", rows).repartition(16))
+        out = changed.collect()
+        plan = changed._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert len(out) == 4300
+    assert sum(s.start <= 20 and s.end >= 1020 for r in out for s in r.spans) >= 4000
+    joins = plan.split("SortMergeJoin")[1:]
+    assert any(j.startswith("(skew=true) [c#") for j in joins), [j[:60] for j in joins]
+
+
 def test_repeats_empty_table(make):
     assert substring_dedup.remove_repeats(make("doc_id long, text string", [])).count() == 0
 
