@@ -5,6 +5,8 @@ import re
 
 import numpy as np
 
+from pyspark.sql import DataFrameWriter
+
 from lakestar.llm import graph, ngram_join, substring_dedup, vector_dedup
 
 
@@ -254,7 +256,7 @@ def test_repeats_shared_with_rows_without_id(make):
     assert [sorted((s.start, s.end) for s in r.spans) for r in out if r.doc_id == 1] == [[(300, 800)]]
 
 
-def test_context_of_many_texts_is_split(spark, make):
+def test_hash_and_context_of_many_texts_are_split(spark, make, monkeypatch):
     rng = random.Random(11)
 
     def text(n):
@@ -267,17 +269,22 @@ def test_context_of_many_texts_is_split(spark, make):
     old = {k: spark.conf.get(k, None) for k in conf}
     for k, v in conf.items():
         spark.conf.set(k, v)
+    written, parquet = [], DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, path: (written.append(self._df), parquet(self, path))[1])
     try:
         changed = substring_dedup.changed_texts(make("doc_id long, text string", rows).repartition(16))
         out = changed.collect()
-        plan = changed._jdf.queryExecution().executedPlan().toString()
+        ranges = next(df for df in written if df.columns == ["c", "before", "after"])
+        ranges.collect()
+        plans = [df._jdf.queryExecution().executedPlan().toString() for df in (ranges, changed)]
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     assert len(out) == 4300
     assert sum(s.start <= 20 and s.end >= 1020 for r in out for s in r.spans) >= 4000
-    joins = plan.split("SortMergeJoin")[1:]
-    assert any(j.startswith("(skew=true) [c#") for j in joins), [j[:60] for j in joins]
+    for plan, key in zip(plans, "hc"):
+        joins = plan.split("SortMergeJoin")[1:]
+        assert any(j.startswith(f"(skew=true) [{key}#") for j in joins), [j[:60] for j in joins]
 
 
 def test_repeats_empty_table(make):
