@@ -98,3 +98,15 @@ def test_a_large_table_is_not_shuffled_for_few_buckets(spark, warehouse, monkeyp
     store = TableStore(spark, "few")
     assert out.count() == 1000 and out.where("v = 0").count() == 10 and store.partitions(store.state()["folder"]) == set(range(4))
     assert store.rows().where(F.col("_b") != catalog.bucket_of(["id"], 4)).isEmpty()
+
+
+def test_a_large_rewrite_shuffles_in_steps(spark, warehouse, monkeypatch):
+    rows = spark.range(1000).withColumn("v", F.xxhash64("id"))
+    load_or_upsert(rows, "steps", ["id"], num_buckets=4)
+    plans, real = [], catalog._write
+    monkeypatch.setattr(catalog, "STEP_BYTES", 1)
+    monkeypatch.setattr(catalog, "_write", lambda df, *a, **k: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or real(df, *a, **k))
+    before = _scratch(spark)
+    out = load_or_upsert(rows.where("id < 10").withColumn("v", F.lit(0).cast("long")), "steps", ["id"])
+    assert len(plans) == 1 and "Join" not in plans[0] and "RebalancePartitions" in plans[0] and _scratch(spark) == before
+    assert out.count() == 1000 and out.where("v = 0").count() == 10
